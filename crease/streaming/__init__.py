@@ -1,0 +1 @@
+"""crease.streaming"""
