@@ -409,3 +409,14 @@ def ensemble_consensus(preds: DataFrame, case: list[str], value: str = "predicti
         F.avg(value).alias("mean_pred"), F.stddev_pop(value).alias("std_pred"),
         F.min(value).alias("min_pred"), F.max(value).alias("max_pred"),
         F.count(value).alias("n_models"))
+
+
+def fifty_flag(log: DataFrame, keys: list[str], runs: str = "runs", context: list[str] | None = None,
+               order: list[str] | None = None, threshold: int = 50) -> DataFrame:
+    """Per ``keys`` (e.g. match, batter): runs, a 0/1 flag runs >= threshold and the
+    context columns of the group's first row in ``order`` -- one aggregate."""
+    context = context or []
+    key = F.struct(*[F.col(c) for c in (order or keys)])
+    out = log.groupBy(*keys).agg(F.sum(runs).cast("long").alias(runs),
+                                 *[F.min_by(F.col(c), key).alias(c) for c in context])
+    return out.select(*keys, runs, _flag(F.col(runs) >= threshold).alias("fifty"), *context)
