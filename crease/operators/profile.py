@@ -2,7 +2,7 @@
 audit and score, univariate statistics, shapes, top-k, histograms, boxes.
 
 Every operator is one (or a few) wide aggregate passes; results are returned
-in long form (one row per column) via ``unpivot``.  Nothing is looped over on
+in long form (one row per column) by exploding the single aggregate row.  Nothing is looped over on
 the driver except the schema (which is metadata).
 
 Numeric conventions follow pandas: std with n-1, bias-corrected skewness (G1)
@@ -52,12 +52,11 @@ def present(df: DataFrame, c: str) -> Column:
 
 
 def _long(row_df: DataFrame, cols: list[str], metrics: list[str], types: dict[str, str]) -> DataFrame:
-    """Turn a one-row ``{col}__{metric}`` table into rows (column, metric...)."""
-    parts = []
-    for c in cols:
-        parts.append(row_df.select(F.lit(c).alias("column"),
-                                   *[F.col(f"`{c}__{m}`").cast(types[m]).alias(m) for m in metrics]))
-    return reduce(DataFrame.unionByName, parts)
+    """Turn a one-row ``{col}__{metric}`` table into rows (column, metric...) with a
+    single explode, so the aggregate behind it runs once."""
+    cells = [F.struct(F.lit(c).alias("column"),
+                      *[F.col(f"`{c}__{m}`").cast(types[m]).alias(m) for m in metrics]) for c in cols]
+    return row_df.select(F.explode(F.array(*cells)).alias("__c")).select("__c.*")
 
 
 # ---------------------------------------------------------------------------
@@ -149,10 +148,10 @@ def missing_summary(df: DataFrame) -> DataFrame:
         pct = F.when(n > 0, m / n * 100.0).otherwise(F.lit(0.0))
         strategy = (F.when(m == 0, "none").when(pct > 50.0, "drop_column")
                     .otherwise(F.lit("median" if is_numeric(df, c) else "mode")))
-        parts.append(row.select(F.lit(c).alias("column"), m.alias("missing_count"),
-                                F.round(pct, 2).alias("missing_percentage"), strategy.alias("recommended_strategy"),
-                                F.lit(df.schema[c].dataType.simpleString()).alias("data_type")))
-    return reduce(DataFrame.unionByName, parts)
+        parts.append(F.struct(F.lit(c).alias("column"), m.alias("missing_count"),
+                              F.round(pct, 2).alias("missing_percentage"), strategy.alias("recommended_strategy"),
+                              F.lit(df.schema[c].dataType.simpleString()).alias("data_type")))
+    return row.select(F.explode(F.array(*parts)).alias("__c")).select("__c.*")
 
 
 def missing_ranking(df: DataFrame) -> DataFrame:
@@ -200,10 +199,10 @@ def quality_audit(df: DataFrame, classes: dict[str, str] | None = None) -> DataF
                   .when(high_card, F.lit("High cardinality ID/Name column") if is_id
                         else F.format_string("High cardinality categorical (%d uniques)", d))
                   .otherwise(""))
-        parts.append(row.select(F.lit(c).alias("feature"), F.lit(df.schema[c].dataType.simpleString()).alias("data_type"),
-                                m.alias("missing_count"), F.round(pct, 2).alias("missing_percentage"),
-                                d.alias("unique_values"), status.alias("status"), reason.alias("reason")))
-    return reduce(DataFrame.unionByName, parts)
+        parts.append(F.struct(F.lit(c).alias("feature"), F.lit(df.schema[c].dataType.simpleString()).alias("data_type"),
+                              m.alias("missing_count"), F.round(pct, 2).alias("missing_percentage"),
+                              d.alias("unique_values"), status.alias("status"), reason.alias("reason")))
+    return row.select(F.explode(F.array(*parts)).alias("__c")).select("__c.*")
 
 
 def quality_score(df: DataFrame, classes: dict[str, str] | None = None) -> DataFrame:
