@@ -32,23 +32,42 @@ CRAMER_NONE = "Little to No Association"
 CORR_CHUNK = 120
 
 
-@F.pandas_udf("double")
-def corr_p_udf(r: pd.Series, n: pd.Series) -> pd.Series:
-    return pd.Series([dist.corr_p(a, int(b)) if a is not None and b is not None and not pd.isna(a) else None
+def _p_corr(r: pd.Series, n: pd.Series) -> pd.Series:
+    return pd.Series([dist.corr_p(a, int(b)) if not pd.isna(a) and not pd.isna(b) else None
                       for a, b in zip(r, n)], dtype="float64")
 
 
-@F.pandas_udf("double")
-def f_p_udf(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
+def _p_f(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     return pd.Series([dist.f_upper_p(a, b, c) if not pd.isna(a) else None for a, b, c in zip(f, d1, d2)],
                      dtype="float64")
 
 
-@F.pandas_udf("double")
-def chi2_p_udf(x: pd.Series, k: pd.Series) -> pd.Series:
+def _p_chi2(x: pd.Series, k: pd.Series) -> pd.Series:
     return pd.Series([dist.chi2_upper_p(a, b) if not pd.isna(a) else None for a, b in zip(x, k)], dtype="float64")
 
 
+_UDFS: dict = {}
+
+
+def _udf(fn):
+    """Pandas UDFs are built on first use (building one needs an active session)."""
+    if fn.__name__ not in _UDFS:
+        _UDFS[fn.__name__] = F.pandas_udf(fn, "double")
+    return _UDFS[fn.__name__]
+
+
+def corr_p_udf(r: Column, n: Column) -> Column:
+    return _udf(_p_corr)(r, n)
+
+
+def f_p_udf(f: Column, d1: Column, d2: Column) -> Column:
+    return _udf(_p_f)(f, d1, d2)
+
+
+def chi2_p_udf(x: Column, k: Column) -> Column:
+    return _udf(_p_chi2)(x, k)
+
+
 def strength_label(r: Column) -> Column:
     a = F.abs(r)
     out = F.lit(STRENGTH_NONE)
