@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crease.operators.scan import running_totals
+from crease.operators.scan import order_bounds, running_totals
 
 # Fixed values of the rating system (must equal the reference's for equal results):
 ELO_K = 32.0
@@ -78,7 +78,7 @@ def first_innings_total(log: DataFrame, match: str = "match_id", innings: str =
 
 def h2h_prior_wins(matches: DataFrame, a: str = "side_a", b: str = "side_b",
                    winner: str = "winner", order: list[str] | None = None,
-                   out: str = "h2h_prior_wins") -> DataFrame:
+                   out: str = "h2h_prior_wins", bounds: list[float] | None = None) -> DataFrame:
     """Earlier matches of the same unordered pair won by this row's ``a`` side.
 
     Running wins of the low and of the high side per (least, greatest) pair,
@@ -90,17 +90,17 @@ def h2h_prior_wins(matches: DataFrame, a: str = "side_a", b: str = "side_b",
     rt = running_totals(df, ["__lo", "__hi"], order, {
         "__lo_w": _flag(F.col(winner) == F.col("__lo")),
         "__hi_w": _flag(F.col(winner) == F.col("__hi")),
-    })
+    }, bounds=bounds)
     res = F.when(F.col(a) == F.col("__lo"), F.col("__lo_w")).otherwise(F.col("__hi_w"))
     return rt.withColumn(out, res.cast("long")).drop("__lo", "__hi", "__lo_w", "__hi_w")
 
 
 def venue_prior_wins(matches: DataFrame, a: str = "side_a", venue: str = "venue",
                      winner: str = "winner", order: list[str] | None = None,
-                     out: str = "venue_prior_wins") -> DataFrame:
+                     out: str = "venue_prior_wins", bounds: list[float] | None = None) -> DataFrame:
     """Earlier matches at the same venue with the same ``a`` side that ``a`` won."""
     order = order or ["ts", "match_id"]
-    rt = running_totals(matches, [venue, a], order, {"__w": _flag(F.col(winner) == F.col(a))})
+    rt = running_totals(matches, [venue, a], order, {"__w": _flag(F.col(winner) == F.col(a))}, bounds=bounds)
     return rt.withColumn(out, F.col("__w").cast("long")).drop("__w")
 
 
@@ -171,14 +171,14 @@ def elo_rating(matches: DataFrame, award: str = "award", winner: str = "winner")
 
 
 def elo_history(matches: DataFrame, award: str = "award", winner: str = "winner",
-                order: list[str] | None = None) -> DataFrame:
+                order: list[str] | None = None, bounds: list[float] | None = None) -> DataFrame:
     """Rating of the award winner right after each award (point in time):
     input rows with an award + ``award_no`` and ``rating_after``."""
     order = order or ["ts", "match_id"]
     spark = matches.sparkSession
     aw = _awards(matches, award, winner)
-    numbered = running_totals(aw, [award], order, {"award_no": F.lit(1)}, exclusive=False)
-    max_n = numbered.agg(F.max("award_no")).first()[0] or 0
+    numbered = running_totals(aw, [award], order, {"award_no": F.lit(1)}, exclusive=False, bounds=bounds)
+    max_n = aw.groupBy(award).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     table = elo_table(spark, max_n).withColumnRenamed("n", "award_no")
     return numbered.join(table.withColumnRenamed("rating", "rating_after"), "award_no")
 
@@ -190,7 +190,7 @@ def elo_history(matches: DataFrame, award: str = "award", winner: str = "winner"
 def team_strength_running(matches: DataFrame, a: str = "side_a", b: str = "side_b",
                           winner: str = "winner", award: str = "award",
                           order: list[str] | None = None, as_published: bool = False,
-                          default: float = ELO_R0) -> DataFrame:
+                          default: float = ELO_R0, bounds: list[float] | None = None) -> DataFrame:
     """Before each match, each side's mean award-winner rating over the side's
     earlier wins (``a_strength``, ``b_strength``), ``default`` when none.
 
@@ -204,7 +204,9 @@ def team_strength_running(matches: DataFrame, a: str = "side_a", b: str = "side_
             F.col("player_name").alias(award), F.col("elo_rating").alias("__rating"))
         rated = matches.join(ratings, award, "left")
     else:
-        hist = elo_history(matches, award, winner, order).select(
+        if bounds is None:
+            bounds = order_bounds(matches, order[0])
+        hist = elo_history(matches, award, winner, order, bounds=bounds).select(
             *keycols, F.col("rating_after").alias("__rating"))
         rated = matches.join(hist, keycols, "left")
     sides = (rated.select(*keycols, F.lit("a").alias("__side"), F.col(a).alias("__team"), winner, "__rating")
@@ -214,7 +216,7 @@ def team_strength_running(matches: DataFrame, a: str = "side_a", b: str = "side_
     rt = running_totals(sides, ["__team"], order, {
         "__s": F.coalesce(gain, F.lit(0.0)),
         "__c": F.when(gain.isNotNull(), F.lit(1)).otherwise(F.lit(0)),
-    })
+    }, bounds=bounds)
     strength = F.when(F.col("__c") > 0, F.col("__s") / F.col("__c")).otherwise(F.lit(float(default)))
     per_side = rt.select(*keycols, "__side", strength.alias("__str"))
     wide = per_side.groupBy(*keycols).agg(
@@ -242,9 +244,16 @@ def match_features(matches: DataFrame, a: str = "side_a", b: str = "side_b",
     team_codes = dictionary_codes(teams, "v")
     venue_codes = dictionary_codes(matches.select(F.col(venue).alias("v")), "v")
 
-    df = h2h_prior_wins(matches, a, b, winner, order, out="a_h2h_wins")
-    df = venue_prior_wins(df, a, venue, winner, order, out="venue_a_wins")
-    df = team_strength_running(df, a, b, winner, award, order)
+    bounds = order_bounds(matches, order[0])  # one pass over the order column, shared below
+    # Each running feature is computed from the base table (narrow projection) and
+    # joined back on the order key, so the plan grows linearly, not by doubling.
+    h = h2h_prior_wins(matches.select(*order, a, b, winner), a, b, winner, order, out="a_h2h_wins",
+                       bounds=bounds).select(*order, "a_h2h_wins")
+    v = venue_prior_wins(matches.select(*order, venue, a, winner), a, venue, winner, order, out="venue_a_wins",
+                         bounds=bounds).select(*order, "venue_a_wins")
+    s = team_strength_running(matches.select(*order, a, b, winner, award), a, b, winner, award, order,
+                              bounds=bounds).select(*order, f"{a}_strength", f"{b}_strength")
+    df = matches.join(h, order).join(v, order).join(s, order)
     df = (df.withColumn("a_won", _flag(F.col(winner) == F.col(a)))
             .withColumn("toss_bat_first", _flag(F.col(toss_decision) == "bat"))
             .withColumn("toss_winner_is_a", _flag(F.col(toss_winner) == F.col(a)))

@@ -131,52 +131,58 @@ def gaussian_nb(train: DataFrame, features: list[str], label: str) -> GaussianNB
 # margin is turned into a probability by a one-feature logistic fit.
 # ---------------------------------------------------------------------------
 
-def rff_columns(features: list[str], n_components: int = 100, gamma: float | None = None,
-                seed: int = SEED) -> list[Column]:
-    d = len(features)
+def rff_weights(d: int, n_components: int = 100, gamma: float | None = None, seed: int = SEED):
+    """Random Fourier feature parameters: w_j ~ N(0, 2 gamma I), b_j ~ U(0, 2 pi)."""
     gamma = gamma if gamma is not None else 1.0 / d
     rnd = random.Random(seed)
-    cols = []
-    for j in range(n_components):
-        w = [rnd.gauss(0.0, math.sqrt(2 * gamma)) for _ in range(d)]
-        b = rnd.uniform(0, 2 * math.pi)
-        lin = reduce(lambda a, t: a + t, [F.col(c).cast("double") * w[i] for i, c in enumerate(features)])
-        cols.append((F.lit(math.sqrt(2.0 / n_components)) * F.cos(lin + b)).alias(f"__rff{j}"))
-    return cols
+    ws = [[rnd.gauss(0.0, math.sqrt(2 * gamma)) for _ in range(d)] for _ in range(n_components)]
+    bs = [rnd.uniform(0, 2 * math.pi) for _ in range(n_components)]
+    return ws, bs
+
+
+def rff_map(x: Column, ws: list[list[float]], bs: list[float]) -> Column:
+    """z(x) = sqrt(2/D) cos(W x + b) as one array expression (JVM higher-order
+    functions over a literal D x d matrix), instead of D wide column trees."""
+    D = len(ws)
+    w = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in ws])
+    b = F.array(*[F.lit(float(v)) for v in bs])
+    dots = F.transform(w, lambda row: F.aggregate(F.zip_with(row, x, lambda p, q: p * q), F.lit(0.0),
+                                                  lambda acc, t: acc + t))
+    return F.zip_with(dots, b, lambda u, v: F.lit(math.sqrt(2.0 / D)) * F.cos(u + v))
 
 
 class RbfSvmModel:
-    def __init__(self, scaler_model, rff, svm_model, platt_model, features):
-        self.scaler_model, self.rff, self.svm, self.platt, self.features = scaler_model, rff, svm_model, platt_model, features
+    def __init__(self, scaler_model, ws, bs, svm_model, platt_model):
+        self.scaler_model, self.ws, self.bs, self.svm, self.platt = scaler_model, ws, bs, svm_model, platt_model
+
+    def features(self, df: DataFrame) -> DataFrame:
+        from pyspark.ml.functions import array_to_vector
+        scaled = self.scaler_model.transform(df)
+        z = rff_map(vector_to_array("features"), self.ws, self.bs)
+        return scaled.withColumn("features", array_to_vector(z)).drop("features_raw")
 
     def transform(self, df: DataFrame) -> DataFrame:
-        z = self._z(df)
-        s = self.svm.transform(z).withColumn("margin", vector_to_array("rawPrediction")[1])
+        s = self.svm.transform(self.features(df)).withColumn("margin", vector_to_array("rawPrediction")[1])
         s = s.drop("prediction", "rawPrediction")
-        p = self.platt.transform(VectorAssembler(inputCols=["margin"], outputCol="__m").transform(s)
-                                 .drop("features").withColumnRenamed("__m", "features"))
-        return p
-
-    def _z(self, df: DataFrame) -> DataFrame:
-        scaled = self.scaler_model.transform(df)
-        arr = scaled.withColumn("__s", vector_to_array("features")).drop("features", "features_raw")
-        cols = [F.col("__s")[i].alias(f"__x{i}") for i in range(len(self.features))]
-        base = arr.select("*", *cols)
-        z = base.select("*", *self.rff)
-        return VectorAssembler(inputCols=[f"__rff{j}" for j in range(len(self.rff))], outputCol="features").transform(z)
+        m = VectorAssembler(inputCols=["margin"], outputCol="__m").transform(s).drop("features") \
+            .withColumnRenamed("__m", "features")
+        return self.platt.transform(m)
 
 
 def svm_rbf(train: DataFrame, features: list[str], label: str, n_components: int = 100,
             reg: float = 0.01) -> RbfSvmModel:
+    """Linear SVM on random Fourier features of the standardised input, with a
+    logistic (Platt) fit on the margin for probabilities."""
     scaler_model = Pipeline(stages=assemble(features, scale=True)).fit(train)
-    rff = rff_columns([f"__x{i}" for i in range(len(features))], n_components)
-    model = RbfSvmModel(scaler_model, rff, None, None, features)
-    z = model._z(train)
+    ws, bs = rff_weights(len(features), n_components)
+    model = RbfSvmModel(scaler_model, ws, bs, None, None)
+    z = model.features(train).cache()
     model.svm = LinearSVC(featuresCol="features", labelCol=label, regParam=reg, maxIter=100).fit(z)
     m = model.svm.transform(z).withColumn("margin", vector_to_array("rawPrediction")[1])
     m = VectorAssembler(inputCols=["margin"], outputCol="__m").transform(m.drop("prediction", "rawPrediction")) \
         .drop("features").withColumnRenamed("__m", "features")
     model.platt = LogisticRegression(featuresCol="features", labelCol=label).fit(m)
+    z.unpersist()
     return model
 
 
@@ -328,7 +334,8 @@ def model_persist(model: PipelineModel, path: str) -> PipelineModel:
 def coefficients(model: PipelineModel, features: list[str]) -> DataFrame:
     """(feature, coefficient) of the final linear stage plus the intercept."""
     lm = model.stages[-1]
-    spark = model.stages[0].__class__ and __import__("pyspark").sql.SparkSession.getActiveSession()
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
     rows = [(f, float(c)) for f, c in zip(features, lm.coefficients.toArray())] + [("(intercept)", float(lm.intercept))]
     return spark.createDataFrame(rows, "feature string, coefficient double")
 
@@ -434,22 +441,23 @@ def feature_importance(model: PipelineModel, features: list[str]) -> DataFrame:
 
 def permutation_importance(model, df: DataFrame, features: list[str], label: str, id_col: str,
                            kind: str = "classification", seed: int = SEED) -> DataFrame:
-    """Drop in score when one column is permuted: the column is re-attached by a
-    join on a hash rank (rank of the row's id hash -> value of the row with the
-    same rank in id order), so the shuffle is distributed."""
+    """Drop in score when one column is permuted.  Each row gets its position in id
+    order and in hash order (blocked running counts); the permuted column of the
+    row at hash position p is the value of the row at id position p -- a
+    distributed equi-join, no driver shuffle."""
     from crease.operators.scan import running_totals
     ev = _evaluator(kind, label)
     base = float(ev.evaluate(model.transform(df)))
-    pos = running_totals(df, [], [id_col], {"__r": F.lit(1)})
+    pos = running_totals(df, [], [id_col], {"__pid": F.lit(1)})
+    pos = running_totals(pos.withColumn("__h", portable_hash(F.col(id_col), seed)), [], ["__h", id_col],
+                         {"__phash": F.lit(1)}).cache()
     rows = []
     for c in features:
-        vals = pos.select(F.col("__r"), F.col(c).alias("__v"))
-        perm = running_totals(pos.withColumn("__h", portable_hash(F.col(id_col), seed)), [], ["__h", id_col],
-                              {"__r2": F.lit(1)})
-        shuffled = perm.join(vals, perm["__r2"] == vals["__r"]).drop(c, "__r2", "__h").drop(vals["__r"]) \
-                       .withColumnRenamed("__v", c)
-        score = float(ev.evaluate(model.transform(shuffled.drop("__r"))))
+        donors = pos.select(F.col("__pid").alias("__phash"), F.col(c).alias("__perm"))
+        shuffled = pos.drop(c).join(donors, "__phash").withColumnRenamed("__perm", c)
+        score = float(ev.evaluate(model.transform(shuffled)))
         rows.append((c, base - score if kind != "regression" else score - base))
+    pos.unpersist()
     return df.sparkSession.createDataFrame(rows, "feature string, importance double")
 
 

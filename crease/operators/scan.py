@@ -72,18 +72,28 @@ def block_boundaries(df: DataFrame, x: Column, n_blocks: int) -> list[float]:
     return sorted({float(q) for q in (qs or []) if q is not None})
 
 
+def order_bounds(df: DataFrame, order_col: str, n_blocks: int | None = None) -> list[float]:
+    """Block boundaries of an order column, to share between several running
+    totals over the same axis (computed once from a cheap source, e.g. the base
+    table, instead of from each intermediate result)."""
+    return block_boundaries(df.select(order_col), _numeric_projection(df, order_col), _n_blocks(df, n_blocks))
+
+
 def running_totals(df: DataFrame, keys: list[str], order: list[str | Column],
                    values: dict[str, Column], exclusive: bool = True,
-                   n_blocks: int | None = None) -> DataFrame:
+                   n_blocks: int | None = None, bounds: list[float] | None = None) -> DataFrame:
     """Append, for every ``name -> expr`` in ``values``, the sum of ``expr`` over the
     rows of the same ``keys`` group that come earlier in ``order`` (``exclusive``)
     or up to and including the row.  ``order`` must be a total order; the first
     order column must be numeric, date/time or string.  Empty sums are 0.
+    ``bounds`` (from ``order_bounds``) skips the boundary pass over ``df``; any
+    boundaries give the same result, they only set the balance of the blocks.
     """
     n = _n_blocks(df, n_blocks)
     tmp = {name: f"__v_{name}" for name in values}
     x = _numeric_projection(df, order[0])
-    bounds = block_boundaries(df, x, n)
+    if bounds is None:
+        bounds = block_boundaries(df, x, n)
     base = df.select("*", *[expr.alias(tmp[name]) for name, expr in values.items()],
                      _bucket(x, bounds).alias(_BLK))
 
@@ -117,8 +127,9 @@ def rank_histogram(df: DataFrame, value: str, keys: list[str] | None = None,
     keys = keys or []
     hist = (df.filter(F.col(value).isNotNull())
               .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("ties")))
+    bounds = order_bounds(df.filter(F.col(value).isNotNull()), value, n_blocks)  # one-column pass over the input
     cum = running_totals(hist, keys, [value], {"below": F.col("ties")}, exclusive=True,
-                         n_blocks=n_blocks)
+                         n_blocks=n_blocks, bounds=bounds)
     return cum.select(*keys, value, "ties", (F.col("below") + (F.col("ties") + 1) / 2.0).alias("avg_rank"))
 
 

@@ -24,14 +24,19 @@ DIMS = ["e0", "e1", "e2"]
 
 
 def _reg_split(spark, sf):
+    """Step-feature training table with its split, lineage cut by a reliable
+    checkpoint (the fit loops below run many jobs over it)."""
+    checkpoint_dir(spark)
     s = step_table(spark, sf).withColumn("row_id", F.col("match_id") * 10 + F.col("over"))
-    s = s.withColumn("final_score", F.col("final_score").cast("double"))
-    return train_test_split(s, "row_id", 0.2, rounding="ceil").cache()
+    s = s.withColumn("final_score", F.col("final_score").cast("double")).checkpoint()
+    return train_test_split(s, "row_id", 0.2, rounding="ceil").checkpoint()
 
 
 def _cls_split(spark, sf):
-    f = match_feature_table(spark, sf).withColumn("a_won", F.col("a_won").cast("double"))
-    return train_test_split(f, "match_id", 0.2, rounding="ceil", label="a_won").cache()
+    """Match-feature training table (stratified split), checkpointed."""
+    checkpoint_dir(spark)
+    f = match_feature_table(spark, sf).withColumn("a_won", F.col("a_won").cast("double")).checkpoint()
+    return train_test_split(f, "match_id", 0.2, rounding="ceil", label="a_won").checkpoint()
 
 
 def _fit_one(kind: str, name: str):
