@@ -28,8 +28,10 @@ DIRECTION_EPS = 0.05
 CRAMER_BANDS = [(0.5, "Very Strong Association"), (0.3, "Strong Association"),
                 (0.15, "Moderate Association"), (0.05, "Weak Association")]
 CRAMER_NONE = "Little to No Association"
-# Pairs per aggregate pass of the correlation matrix (keeps generated code small).
-CORR_CHUNK = 120
+# Aggregation-buffer fields per pass of the correlation matrix: Spark turns
+# whole-stage codegen off above spark.sql.codegen.maxFields (100); corr keeps 6
+# buffer fields, stddev 3.
+CORR_FIELD_BUDGET = 96
 
 
 def _p_corr(r: pd.Series, n: pd.Series) -> pd.Series:
@@ -141,23 +143,32 @@ def correlation_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFram
     cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC_TYPES)]
     base = df.select(*[present(df, c).cast("double").alias(c) for c in cols])
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    items = [("sd", c, None) for c in cols] + [("corr", a, b) for a, b in pairs]
+    passes, cur, used = [], [], 0
+    for it in items:
+        cost = 3 if it[0] == "sd" else 6
+        if cur and used + cost > CORR_FIELD_BUDGET:
+            passes.append(cur)
+            cur, used = [], 0
+        cur.append(it)
+        used += cost
+    if cur:
+        passes.append(cur)
     parts = []
-    for k in range(0, max(len(pairs), 1), CORR_CHUNK):
-        chunk = pairs[k:k + CORR_CHUNK]
-        aggs = [F.corr(a, b).alias(f"{a}__{b}") for a, b in chunk]
-        if k == 0:
-            aggs += [F.stddev_pop(c).alias(f"{c}__sd") for c in cols]
-        row = base.agg(*aggs)
-        cells = []
-        for a, b in chunk:
-            r = F.col(f"`{a}__{b}`")
-            cells += [F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), r.alias("r")),
-                      F.struct(F.lit(b).alias("x"), F.lit(a).alias("y"), r.alias("r"))]
-        if k == 0:
-            cells += [F.struct(F.lit(c).alias("x"), F.lit(c).alias("y"),
-                               F.when(F.col(f"`{c}__sd`") > 0, F.lit(1.0)).alias("r")) for c in cols]
-        # one aggregate row -> k^2 long rows by a single explode (no per-cell branches)
-        parts.append(row.select(F.explode(F.array(*cells)).alias("c")).select("c.*"))
+    for chunk in passes:
+        aggs, cells = [], []
+        for kind, a, b in chunk:
+            if kind == "sd":
+                aggs.append(F.stddev_pop(a).alias(f"{a}__sd"))
+                cells.append(F.struct(F.lit(a).alias("x"), F.lit(a).alias("y"),
+                                      F.when(F.col(f"`{a}__sd`") > 0, F.lit(1.0)).alias("r")))
+            else:
+                aggs.append(F.corr(a, b).alias(f"{a}__{b}"))
+                r = F.col(f"`{a}__{b}`")
+                cells += [F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), r.alias("r")),
+                          F.struct(F.lit(b).alias("x"), F.lit(a).alias("y"), r.alias("r"))]
+        # one aggregate row per pass -> its cells by a single explode
+        parts.append(base.agg(*aggs).select(F.explode(F.array(*cells)).alias("c")).select("c.*"))
     return reduce(DataFrame.unionAll, parts)
 
 

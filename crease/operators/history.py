@@ -293,13 +293,18 @@ def step_features(log: DataFrame, match_tbl: DataFrame, match: str = "match_id",
     A match has at most ``limit`` overs, so the per-match window is bounded."""
     from crease.operators.prepare import dictionary_codes
 
+    from crease.session import checkpoint_dir
+
     lim = F.col(overs_limit) if isinstance(overs_limit, str) else F.lit(int(overs_limit))
-    mt = match_tbl.select(match, venue, final, lim.alias("overs_limit"))
-    has_inn1 = log.filter(F.col(innings) == 1).select(match).distinct()
-    mt = mt.join(has_inn1, match, "left_semi")
+    # The match table feeds the spine, the venue dictionary and the final join:
+    # materialise it once (one row per match, far smaller than the log) in the
+    # shared checkpoint folder instead of re-deriving it from the log three times.
+    checkpoint_dir(match_tbl.sparkSession)
+    mt = match_tbl.select(match, venue, final, lim.alias("overs_limit")).checkpoint()
     steps = _over_spine(log, mt, match, innings, over, runs, wicket, F.col("overs_limit"))
+    # matches without innings-1 balls have no first over and drop out here
     steps = steps.filter(F.col(over) >= F.col("__first"))
-    codes = dictionary_codes(match_tbl.select(F.col(venue).alias("v")), "v")
+    codes = dictionary_codes(mt.select(F.col(venue).alias("v")), "v")
     out = (steps.join(mt, match)
            .join(codes.select(F.col("v").alias(venue), F.col("code").alias("venue_enc")),
                  venue, "left"))
