@@ -1 +1,7 @@
-"""crease.streaming"""
+"""Streaming operators.
+
+The reference has no streaming behaviour (no watermarks, event-time windows,
+state or late data), so this package holds no operator.  Every operator in
+``crease.operators`` is a lazy DataFrame function and can be applied per
+micro-batch inside ``foreachBatch`` where a caller needs it.
+"""
