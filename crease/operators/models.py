@@ -382,13 +382,51 @@ def grid_search(df: DataFrame, features: list[str], label: str, estimator, grid:
     pipe = Pipeline(stages=assemble(features, scale) + [est])
     pmaps = [{est.getParam(k.name): v for k, v in m.items()} for m in maps]
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=pmaps, evaluator=_evaluator(kind, label),
-                        foldCol="fold", parallelism=parallelism, seed=seed)
+                        foldCol="fold", numFolds=folds, parallelism=parallelism, seed=seed)
     model = cv.fit(f)
     f.unpersist()
     rows = [(", ".join(f"{k.name}={v}" for k, v in m.items()), float(s)) for m, s in zip(maps, model.avgMetrics)]
     return df.sparkSession.createDataFrame(rows, "params string, mean_score double")
 
 
+def regularised_cv(df: DataFrame, features: list[str], label: str, id_col: str, kind: str = "ridge",
+                   alphas: list[float] | None = None, folds: int = 5) -> tuple[float, PipelineModel]:
+    """Ridge / lasso with the penalty chosen by k-fold CV (mean absolute error):
+    returns (best alpha, model refitted on all rows).  alpha is in the
+    reference's units and converted to Spark's regParam per the module notes."""
+    n = df.count()
+    if kind == "ridge":
+        alphas = alphas or [0.01, 0.1, 1, 10, 100]
+        reg = {a: a / max(n, 1) for a in alphas}
+        base = LinearRegression(elasticNetParam=0.0, standardization=False)
+    else:
+        alphas = alphas or [0.001, 0.01, 0.1, 1, 10]
+        reg = {a: a for a in alphas}
+        base = LinearRegression(elasticNetParam=1.0, standardization=False, maxIter=5000)
+    res = grid_search(df, features, label, base, {"regParam": [reg[a] for a in alphas]}, id_col, folds=folds,
+                      kind="regression").collect()
+    best_reg = min(res, key=lambda r: r["mean_score"])["params"].split("=")[1]
+    best_alpha = [a for a in alphas if abs(reg[a] - float(best_reg)) <= 1e-12 * max(1.0, reg[a])][0]
+    model = fit_pipeline(df, features, label, base.copy().setRegParam(reg[best_alpha]))
+    return best_alpha, model
+
+
+def tree_rules(model: PipelineModel, features: list[str], max_depth: int | None = None) -> DataFrame:
+    """Text rules of a fitted decision tree, one line per row (feature indices
+    replaced by names), optionally cut at a depth."""
+    from pyspark.sql import SparkSession
+    text = model.stages[-1].toDebugString
+    lines = []
+    for line in text.splitlines()[1:]:
+        depth = len(line) - len(line.lstrip(" ")) - 2  # root rules are indented by 2, +1 per level
+        for i in sorted(range(len(features)), reverse=True):
+            line = line.replace(f"feature {i} ", f"{features[i]} ")
+        lines.append((len(lines), depth, line.strip()))
+    if max_depth is not None:
+        lines = [t for t in lines if t[1] <= max_depth]
+    return SparkSession.getActiveSession().createDataFrame(lines, "line int, depth int, rule string")
+
+
 def learning_curve(df: DataFrame, features: list[str], label: str, estimator, id_col: str,
                    sizes: list[float] | None = None, folds: int = 5, kind: str = "regression",
                    scale: bool = False) -> DataFrame:

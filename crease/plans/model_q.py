@@ -142,7 +142,27 @@ def q_random_search(spark, sf):
     f = _cls_split(spark, sf)
     grid = {"maxIter": [100, 200, 300, 400], "maxDepth": [3, 5, 7], "stepSize": [0.01, 0.05, 0.1],
             "subsamplingRate": [0.6, 0.8, 1.0]}
-    return M.grid_search(f, FEATURE_COLS, "a_won", GBTClassifier(seed=42), grid, "match_id", folds=3, sample=4)
+    return M.grid_search(f, FEATURE_COLS, "a_won", GBTClassifier(seed=42), grid, "match_id", folds=3, sample=2)
+
+
+def _cv_linear(kind):
+    def q(spark, sf):
+        d = _reg_split(spark, sf)
+        tr = d.filter(F.col("split") == "train")
+        alpha, model = M.regularised_cv(tr, STEP_FEATURES, "final_score", "row_id", kind)
+        return M.coefficients(model, STEP_FEATURES).withColumn("alpha", F.lit(float(alpha)))
+    return q
+
+
+register("ridge_cv")(_cv_linear("ridge"))
+register("lasso_cv")(_cv_linear("lasso"))
+
+
+@register("tree_rules")
+def q_tree_rules(spark, sf):
+    d = _cls_split(spark, sf)
+    m = M.fit_pipeline(d.filter(F.col("split") == "train"), FEATURE_COLS, "a_won", M.classifiers(1)["dt"])
+    return M.tree_rules(m, FEATURE_COLS, max_depth=3)
 
 
 @register("learning_curve")
