@@ -213,9 +213,11 @@ def role_quota_top_k(pool: DataFrame, quotas: dict[str, int], rating: str = "rat
     # one row per player: the role whose rating is highest (ties -> role name)
     best = best.groupBy(player).agg(F.max_by(F.struct(role, rating, team), F.struct(rating, F.col(role))).alias("__p")) \
                .select(player, "__p.*")
+    from crease.operators.scan import top_n
     q = pool.sparkSession.createDataFrame(list(quotas.items()), f"{role} string, __quota int")
-    w = Window.partitionBy(role).orderBy(F.desc(rating), player)
-    ranked = best.join(F.broadcast(q), role).withColumn("rank", F.row_number().over(w))
+    # a role may hold most players: salted two-phase top-n up to the largest quota
+    ranked = top_n(best.join(F.broadcast(q), role), [role], [F.desc(rating), F.col(player)],
+                   max(quotas.values()), salt_by=[player])
     return ranked.filter(F.col("rank") <= F.col("__quota")).drop("__quota")
 
 

@@ -139,3 +139,21 @@ def average_rank(df: DataFrame, value: str, keys: list[str] | None = None,
     keys = keys or []
     ranks = rank_histogram(df, value, keys, n_blocks).select(*keys, value, F.col("avg_rank").alias(rank_col))
     return df.join(ranks, on=[*keys, value], how="left")
+
+
+# Salt buckets of the two-phase top-n.
+TOP_N_SALTS = 64
+
+
+def top_n(df: DataFrame, group: list[str], order: list[str | Column], n: int, rank_col: str = "rank",
+          salt_by: list[str] | None = None, salts: int = TOP_N_SALTS) -> DataFrame:
+    """The first ``n`` rows of each group in ``order`` (a total order), with their
+    1-based rank.  Two phases so a hot group is not ranked in one task: top-n
+    per (group, salt) with the salt a hash of ``salt_by`` columns, then top-n
+    over the at most n x salts survivors of each group."""
+    salt_cols = salt_by or [c for c in df.columns if c not in group][:4]
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(salts)))
+    w1 = Window.partitionBy(*group, "__salt").orderBy(*order)
+    first = salted.withColumn("__r1", F.row_number().over(w1)).filter(F.col("__r1") <= n).drop("__r1", "__salt")
+    w2 = Window.partitionBy(*group).orderBy(*order)
+    return first.withColumn(rank_col, F.row_number().over(w2)).filter(F.col(rank_col) <= n)

@@ -272,7 +272,7 @@ SELECT query_id, similar_id, ROUND(dist, 6) AS dist, CAST(rk AS INT) AS rank FRO
 def q_similar_entities(spark, sf):
     z = _emb_scaled(spark, sf)
     queries = z.groupBy("label").agg(F.min("vec_id").alias("vec_id")).select("vec_id")
-    s = K.similar_entities(z, "vec_id", DIMS, "label", queries, top_n=5)
+    s = K.similar_entities(z, "vec_id", DIMS, "label", queries, n=5)
     return s.withColumn("dist", F.round("dist", R6))
 
 
