@@ -36,6 +36,9 @@ from crease.operators.prepare import kfold_assign, portable_hash
 SEED = 42
 # Algorithms that get standardised input (as in the reference's pipeline).
 SCALED = {"logistic", "knn", "svm_rbf", "ridge_cv", "lasso_cv"}
+# Deep forests: keep each row's node id between levels (no re-walk of the
+# trees per level; checkpointed every 10 levels) and grow more nodes per pass.
+DEEP = {"cacheNodeIds": True, "maxMemoryInMB": 1024}
 
 
 def _count(df: DataFrame) -> int:
@@ -49,7 +52,7 @@ def regressors(n: int) -> dict:
         "ridge": LinearRegression(regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False),
         "lasso": LinearRegression(regParam=0.1, elasticNetParam=1.0, standardization=False),
         "dt": DecisionTreeRegressor(maxDepth=8, maxBins=64, seed=SEED),
-        "rf": RandomForestRegressor(numTrees=100, maxDepth=10, seed=SEED),
+        "rf": RandomForestRegressor(numTrees=100, maxDepth=10, seed=SEED, **DEEP),
         "gb": GBTRegressor(maxIter=100, stepSize=0.1, maxDepth=3, seed=SEED),
         "xgb": GBTRegressor(maxIter=300, maxDepth=6, stepSize=0.05, subsamplingRate=0.8,
                             featureSubsetStrategy="0.8", seed=SEED),
@@ -63,8 +66,8 @@ def classifiers(n: int) -> dict:
                                        standardization=False),
         "nb": "gaussian_nb",
         "dt": DecisionTreeClassifier(maxDepth=5, minInstancesPerNode=10, impurity="gini", seed=SEED),
-        "bag": RandomForestClassifier(numTrees=200, featureSubsetStrategy="all", maxDepth=30, seed=SEED),
-        "rf": RandomForestClassifier(numTrees=200, maxDepth=10, minInstancesPerNode=1, seed=SEED),
+        "bag": RandomForestClassifier(numTrees=200, featureSubsetStrategy="all", maxDepth=30, seed=SEED, **DEEP),
+        "rf": RandomForestClassifier(numTrees=200, maxDepth=10, minInstancesPerNode=1, seed=SEED, **DEEP),
         "gb": GBTClassifier(maxIter=200, maxDepth=4, stepSize=0.05, seed=SEED),
         "xgb": GBTClassifier(maxIter=300, maxDepth=6, stepSize=0.05, subsamplingRate=0.8,
                              featureSubsetStrategy="0.8", seed=SEED),
@@ -211,6 +214,10 @@ class AdaBoostModel:
 
 def adaboost(train: DataFrame, features: list[str], label: str, n_estimators: int = 100,
              learning_rate: float = 0.1, checkpoint_every: int = 10) -> AdaBoostModel:
+    """One stump fit and one aggregate (the weighted error) per round.  Weights
+    sum to 1, so the new total is (1 - err) + err * exp(alpha) without a second
+    pass.  Each round's table is cached (the stump fit reads it several times)
+    and written to the checkpoint folder every ``checkpoint_every`` rounds."""
     from crease.session import checkpoint_dir
     checkpoint_dir(train.sparkSession)
     classes = sorted(r[0] for r in train.select(F.col(label).cast("double")).distinct().collect())  # class labels
@@ -218,26 +225,41 @@ def adaboost(train: DataFrame, features: list[str], label: str, n_estimators: in
     va = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
     n = train.count()
     cur = va.transform(train).withColumn("__w", F.lit(1.0 / n)).checkpoint()
-    stumps, alphas = [], []
+    cols = cur.columns
+    stumps, alphas, cached, stale = [], [], None, None
     for m in range(n_estimators):
         stump = DecisionTreeClassifier(maxDepth=1, labelCol=label, featuresCol="features", weightCol="__w",
                                        seed=SEED).fit(cur)
-        pred = stump.transform(cur).select(*cur.columns, F.col("prediction").alias("__p"))
-        miss = (F.col("__p") != F.col(label).cast("double"))
-        err_row = pred.agg((F.sum(F.when(miss, F.col("__w")).otherwise(0.0)) / F.sum("__w")).alias("e")).first()
-        err = float(err_row["e"] or 0.0)
+        if stale is not None:  # the fit above materialised ``cur``; its parent's cache can go
+            stale.unpersist()
+            stale = None
+        miss = stump.transform(cur).select(*cols, (F.col("prediction") != F.col(label).cast("double")).alias("__miss"))
+        row = miss.agg(F.sum(F.when(F.col("__miss"), F.col("__w")).otherwise(0.0)).alias("a"),
+                       F.sum("__w").alias("b")).first()
+        err = float(row["a"] or 0.0) / float(row["b"] or 1.0)
         if err >= 1.0 - 1.0 / K:
             break
         alpha = learning_rate * (math.log((1 - err) / max(err, 1e-12)) + math.log(K - 1))
         stumps.append(stump)
         alphas.append(alpha)
-        if err <= 0:
+        if err <= 0 or m == n_estimators - 1:
             break
-        upd = pred.withColumn("__w", F.when(miss, F.col("__w") * math.exp(alpha)).otherwise(F.col("__w")))
-        tot = upd.agg(F.sum("__w")).first()[0]
-        cur = upd.withColumn("__w", F.col("__w") / tot).drop("__p")
+        tot = (1.0 - err) + err * math.exp(alpha)  # new total / old total
+        nxt = miss.select(*[c for c in cols if c != "__w"],
+                          (F.when(F.col("__miss"), F.col("__w") * math.exp(alpha)).otherwise(F.col("__w"))
+                           / F.lit(tot * float(row["b"]))).alias("__w"))
         if (m + 1) % checkpoint_every == 0:
-            cur = cur.checkpoint()
+            nxt = nxt.checkpoint()  # materialised now: the parent's cache is no longer read
+            if cached is not None:
+                cached.unpersist()
+            cached = None
+        else:
+            nxt = nxt.cache()
+            stale, cached = cached, nxt
+        cur = nxt
+    for c in (stale, cached):
+        if c is not None:
+            c.unpersist()
     return AdaBoostModel(stumps, alphas, features, classes)
 
 
@@ -258,25 +280,40 @@ class StackingModel:
         return self.meta.transform(cur)
 
 
-def stacking(train: DataFrame, features: list[str], label: str, id_col: str, folds: int = 5) -> StackingModel:
+def stacking(train: DataFrame, features: list[str], label: str, id_col: str, folds: int = 5,
+             parallelism: int = 4) -> StackingModel:
+    """Out-of-fold base probabilities are written once (checkpoint) before the
+    meta model's boosting rounds read them; otherwise every round would re-score
+    every fold through every base model.  The folds x bases fits are independent
+    Spark jobs and run from ``parallelism`` driver threads."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from crease.session import checkpoint_dir
+    checkpoint_dir(train.sparkSession)
     n = train.count()
     bases = {"lr": (LogisticRegression(maxIter=1000, regParam=1.0 / n), True),
-             "rf": (RandomForestClassifier(numTrees=200, maxDepth=10, seed=SEED), False),
+             "rf": (RandomForestClassifier(numTrees=200, maxDepth=10, seed=SEED, **DEEP), False),
              "gb": (GBTClassifier(maxIter=200, maxDepth=4, stepSize=0.05, seed=SEED), False)}
-    f = kfold_assign(train, id_col, folds).cache()
+    f = kfold_assign(train, id_col, folds).checkpoint()
+    tasks = [(k, name) for k in range(folds) for name in bases] + [(None, name) for name in bases]
+
+    def fit(task):
+        k, name = task
+        est, scale = bases[name]
+        return fit_pipeline(train if k is None else f.filter(F.col("fold") != k), features, label, est, scale)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        models = dict(zip(tasks, pool.map(fit, tasks)))
     oof = []
     for k in range(folds):
-        tr, te = f.filter(F.col("fold") != k), f.filter(F.col("fold") == k)
-        cur = te
-        for name, (est, scale) in bases.items():
-            m = fit_pipeline(tr, features, label, est, scale)
-            cur = m.transform(cur).withColumn(f"__p_{name}", vector_to_array("probability")[1]) \
-                   .drop("features", "features_raw", "rawPrediction", "probability", "prediction")
+        cur = f.filter(F.col("fold") == k)
+        for name in bases:
+            cur = models[(k, name)].transform(cur).withColumn(f"__p_{name}", vector_to_array("probability")[1]) \
+                                   .drop("features", "features_raw", "rawPrediction", "probability", "prediction")
         oof.append(cur)
-    meta_in = reduce(DataFrame.unionByName, oof)
+    meta_in = reduce(DataFrame.unionByName, oof).checkpoint()
     meta = fit_pipeline(meta_in, [f"__p_{b}" for b in bases], label, GBTClassifier(maxIter=100, seed=SEED))
-    full = {name: fit_pipeline(train, features, label, est, scale) for name, (est, scale) in bases.items()}
-    f.unpersist()
+    full = {name: models[(None, name)] for name in bases}
     return StackingModel(full, meta, features)
 
 
