@@ -27,12 +27,35 @@ def _union(parts):
 
 # ---------------------------------------------------------------------------
 
-@register("classify_columns")
+# Spark type names of DuckDB's storage types, for the dtype column.
+_DTYPE_SQL = """CASE typeof(MIN({c})) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'SMALLINT' THEN 'smallint'
+    WHEN 'DOUBLE' THEN 'double' WHEN 'FLOAT' THEN 'float' WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean'
+    WHEN 'DATE' THEN 'date' ELSE lower(typeof(MIN({c}))) END"""
+
+
+def _classify_sql(c, n):
+    """Boolean when at most two distinct values, all in the boolean domain;
+    otherwise by storage type (no dirty_orders string column has a date name)."""
+    domain = "CAST({c} AS DOUBLE) NOT IN (0, 1)" if n else "{c} NOT IN ('True', 'False', 'yes', 'no', 'Y', 'N')"
+    out = f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND {domain.format(c=c)})"
+    return f"""SELECT '{c}' AS "column",
+  CASE WHEN COUNT(DISTINCT {c}) <= 2 AND {out} = 0 THEN 'boolean' ELSE '{"numerical" if n else "categorical"}' END AS class,
+  {_DTYPE_SQL.format(c=c)} AS dtype
+FROM dirty_orders"""
+
+
+CLASSIFY_BODY = _union([_classify_sql(c, n) for c, n in DIRTY_COLS])
+CLASSIFY_SQL = with_ctes(DIRTY_ORDERS_SQL, body=CLASSIFY_BODY)
+DTYPE_SQL = with_ctes(DIRTY_ORDERS_SQL, f"cls AS ({CLASSIFY_BODY})", body="""
+SELECT "column", class, dtype, COUNT(*) OVER (PARTITION BY class) AS class_count FROM cls""")
+
+
+@register("classify_columns", CLASSIFY_SQL)
 def q_classify_columns(spark, sf):
     return P.classify_columns(dirty_orders(spark, sf))
 
 
-@register("dtype_table")
+@register("dtype_table", DTYPE_SQL)
 def q_dtype_table(spark, sf):
     return P.dtype_table(dirty_orders(spark, sf))
 
@@ -92,7 +115,7 @@ def q_duplicate_summary(spark, sf):
 # Classes of the dirty_orders columns under the classification rules:
 # numerical for the three numeric columns, categorical for the strings
 # (league has one value that is not in the boolean domain).
-def _audit_sql(c, n, categorical):
+def _audit_sql(c, n, categorical, table="dirty_orders"):
     m = f"(COUNT(*) - COUNT({c}))"
     pct = f"({m} * 100.0 / COUNT(*))"
     d = f"COUNT(DISTINCT {c})"
@@ -107,7 +130,7 @@ def _audit_sql(c, n, categorical):
        WHEN {pct} > 20 THEN printf('High missing values (%.1f%%)', {pct})
        WHEN {pct} > 0 THEN printf('Contains missing values (%.1f%%)', {pct})
        WHEN {hc} THEN {hc_reason} ELSE '' END AS reason
-FROM dirty_orders"""
+FROM {table}"""
 
 
 AUDIT_BODY = _union([_audit_sql(c, n, not n) for c, n in DIRTY_COLS])
@@ -232,7 +255,24 @@ def q_box_summary(spark, sf):
                                                          "upper_fence")], "n_outliers")
 
 
-@register("before_after_summary")
+def _stage_summary_sql(stage, table):
+    audit = _union([_audit_sql(c, n, not n, table) for c, n in DIRTY_COLS])
+    missing = " + ".join(f"(COUNT(*) - COUNT({c}))" for c, _ in DIRTY_COLS)
+    return f"""SELECT '{stage}' AS stage, t.total_rows, CAST({len(DIRTY_COLS)} AS BIGINT) AS total_columns,
+  t.missing_cells, t.duplicate_rows,
+  CAST(GREATEST(5, FLOOR(100.0 - t.duplicate_rows * 15.0 / t.total_rows
+       - 5.0 * (SELECT COUNT(*) FROM ({audit}) a WHERE status = 'Problem')
+       - 2.5 * (SELECT COUNT(*) FROM ({audit}) a WHERE status = 'Warning'))) AS BIGINT) AS quality_score
+FROM (SELECT COUNT(*) AS total_rows, CAST({missing} AS BIGINT) AS missing_cells,
+        COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM {table}) d) AS duplicate_rows FROM {table}) t"""
+
+
+BEFORE_AFTER_SQL = with_ctes(DIRTY_ORDERS_SQL, "deduped AS (SELECT DISTINCT * FROM dirty_orders)",
+                             body=_union([_stage_summary_sql("original", "dirty_orders"),
+                                          _stage_summary_sql("latest", "deduped")]))
+
+
+@register("before_after_summary", BEFORE_AFTER_SQL)
 def q_before_after_summary(spark, sf):
     d = dirty_orders(spark, sf)
     return P.before_after_summary(d, C.drop_duplicates(d))
