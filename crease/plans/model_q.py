@@ -13,7 +13,7 @@ from crease.operators import models as M
 from crease.operators.history import elo_rating
 from crease.operators.prepare import scale_standard, train_test_split
 from crease.plans.eval_q import embedding_dims
-from crease.plans.history_q import FEATURE_COLS, match_feature_table, step_table
+from crease.plans.history_q import FEATURE_COLS, FEATURES_SQL, match_feature_table, step_table
 from crease.plans.registry import register, with_ctes
 from crease.session import checkpoint_dir
 from crease.sources.fixtures import contests
@@ -54,11 +54,47 @@ for _name, _key in [("linear_regression", "linear"), ("ridge", "ridge"), ("lasso
                     ("gradient_boosting_regressor", "gb"), ("xgboost_like_regressor", "xgb")]:
     register(_name)(_fit_one("regression", _key))
 
-for _name, _key in [("logistic", "logistic"), ("gaussian_nb", "nb"), ("dt_classifier", "dt"), ("bagging", "bag"),
+for _name, _key in [("logistic", "logistic"), ("dt_classifier", "dt"), ("bagging", "bag"),
                     ("random_forest", "rf"), ("gradient_boosting", "gb"), ("xgboost_like", "xgb")]:
     register(_name)(_fit_one("classification", _key))
 
 
+def _gaussian_nb_sql():
+    """Gaussian naive Bayes in closed form: class priors, per-class means and
+    population variances on the train split, variances smoothed by 1e-9 x the
+    largest feature variance, arg-max of the log joint on the test split."""
+    h = "((match_id % 1000003 + 42) * 2654435761) % 1000003"
+    fs = FEATURE_COLS
+    stats = ",\n    ".join(f"AVG(CAST({c} AS DOUBLE)) AS m_{c}, VAR_POP(CAST({c} AS DOUBLE)) AS v_{c}" for c in fs)
+    ll = "\n      ".join(f"- 0.5 * LN(2 * PI() * (st.v_{c} + e.eps)) - POW(t.{c} - st.m_{c}, 2) / (2 * (st.v_{c} + e.eps))"
+                          for c in fs)
+    return f"""
+WITH feat AS ({FEATURES_SQL}),
+sp AS (SELECT *, CASE WHEN ROW_NUMBER() OVER (PARTITION BY a_won ORDER BY {h}, match_id) - 1
+                          < CEIL(COUNT(*) OVER (PARTITION BY a_won) * 0.2) THEN 'test' ELSE 'train' END AS split
+       FROM feat),
+st AS (SELECT a_won AS cls, COUNT(*) * 1.0 / SUM(COUNT(*)) OVER () AS prior,
+    {stats}
+  FROM sp WHERE split = 'train' GROUP BY a_won),
+e AS (SELECT 1e-9 * GREATEST({", ".join(f"VAR_POP(CAST({c} AS DOUBLE))" for c in fs)}) AS eps
+      FROM sp WHERE split = 'train'),
+ll AS (SELECT t.match_id, t.a_won, st.cls, LN(st.prior)
+      {ll} AS ll
+  FROM sp t CROSS JOIN st CROSS JOIN e WHERE t.split = 'test'),
+pred AS (SELECT match_id, a_won, ARG_MAX(cls, ll) AS p FROM ll GROUP BY match_id, a_won),
+c AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE a_won = p) AS ok,
+        COUNT(*) FILTER (WHERE a_won = 1 AND p = 1) AS tp, COUNT(*) FILTER (WHERE a_won <> 1 AND p = 1) AS fp,
+        COUNT(*) FILTER (WHERE a_won = 1 AND p <> 1) AS fn FROM pred),
+r AS (SELECT n, ok * 1.0 / n AS accuracy,
+        CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp * 1.0 / (tp + fp) END AS precision,
+        CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp * 1.0 / (tp + fn) END AS recall FROM c)
+SELECT 'nb' AS model, accuracy, precision, recall,
+  CASE WHEN precision + recall = 0 THEN 0.0 ELSE 2 * precision * recall / (precision + recall) END AS f1 FROM r"""
+
+
+register("gaussian_nb", _gaussian_nb_sql())(_fit_one("classification", "nb"))
+
+
 @register("fit_many_compare")
 def q_fit_many_compare(spark, sf):
     d = _reg_split(spark, sf)
