@@ -269,3 +269,23 @@ def test_outlier_handling(spark):
     capped = [r[0] for r in C.handle_outliers(df, "x", "cap").collect()]
     assert capped[-1] is None and max(v for v in capped if v is not None) == pytest.approx(s["upper_bound"])
     assert C.handle_outliers(df, "x", "remove").count() == 6
+
+
+@pytest.mark.parametrize("dims", [2, 3])
+def test_dbscan_dense_cells_vs_all_pairs(spark, dims):
+    """The dense-cell grid (no pairs inside a cell holding >= min_samples
+    points) equals DBSCAN from all neighbour pairs, with one hot blob holding
+    a third of the points, touching blobs, sparse bridges and noise."""
+    from crease.operators.cluster import _dbscan_pairs, dbscan
+    rng = np.random.default_rng(11)
+    pts = np.vstack([rng.normal(0, 0.05, (150, dims)), rng.normal(0.6, 0.15, (120, dims)),
+                     rng.normal(2.5, 0.25, (100, dims)), np.linspace(0.6, 2.5, 12)[:, None] * np.ones((1, dims)),
+                     rng.uniform(-1.5, 4, (68, dims))])
+    rows = [(i, *map(float, p)) for i, p in enumerate(pts)]
+    cols = [f"f{j}" for j in range(dims)]
+    df = spark.createDataFrame(rows, "id long, " + ", ".join(f"{c} double" for c in cols))
+    for eps, ms in [(0.3, 5), (0.2, 8)]:
+        got = sorted(tuple(r) for r in dbscan(df, "id", cols, eps, ms).collect())
+        want = sorted(tuple(r) for r in _dbscan_pairs(df, "id", cols, eps, ms, "dbscan_cluster").collect())
+        assert got == want
+        assert len({c for _, c, _ in got if c >= 0}) >= 2
