@@ -27,7 +27,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -406,7 +406,7 @@ def cross_validate(df: DataFrame, features: list[str], label: str, estimator, id
 def grid_search(df: DataFrame, features: list[str], label: str, estimator, grid: dict, id_col: str,
                 folds: int = 5, kind: str = "classification", scale: bool = False, parallelism: int = 4,
                 sample: int | None = None, seed: int = SEED) -> DataFrame:
-    """``CrossValidator`` over a parameter grid (or a seeded sample of ``sample``
+    """k-fold cross validation over a parameter grid (or a seeded sample of ``sample``
     points of it: random search).  Returns (params, mean score) per point."""
     est = estimator.copy().setFeaturesCol("features").setLabelCol(label)
     b = ParamGridBuilder()
@@ -415,14 +415,27 @@ def grid_search(df: DataFrame, features: list[str], label: str, estimator, grid:
     maps = b.build()
     if sample is not None and sample < len(maps):
         maps = random.Random(seed).sample(maps, sample)
-    f = kfold_assign(df, id_col, folds).cache()
+    from concurrent.futures import ThreadPoolExecutor
+
+    from crease.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    f = kfold_assign(df, id_col, folds).checkpoint()
     pipe = Pipeline(stages=assemble(features, scale) + [est])
     pmaps = [{est.getParam(k.name): v for k, v in m.items()} for m in maps]
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=pmaps, evaluator=_evaluator(kind, label),
-                        foldCol="fold", numFolds=folds, parallelism=parallelism, seed=seed)
-    model = cv.fit(f)
-    f.unpersist()
-    rows = [(", ".join(f"{k.name}={v}" for k, v in m.items()), float(s)) for m, s in zip(maps, model.avgMetrics)]
+    ev = _evaluator(kind, label)
+
+    # what CrossValidator computes (mean over folds of the validation metric), with
+    # every (fold, point) fit an independent job, not only the points of one fold
+    def score(task):
+        k, i = task
+        m = pipe.fit(f.filter(F.col("fold") != k), pmaps[i])
+        return float(ev.evaluate(m.transform(f.filter(F.col("fold") == k))))
+
+    tasks = [(k, i) for k in range(folds) for i in range(len(pmaps))]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        scores = dict(zip(tasks, pool.map(score, tasks)))
+    rows = [(", ".join(f"{k.name}={v}" for k, v in m.items()), sum(scores[(k, i)] for k in range(folds)) / folds)
+            for i, m in enumerate(maps)]
     return df.sparkSession.createDataFrame(rows, "params string, mean_score double")
 
 
