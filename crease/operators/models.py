@@ -480,16 +480,23 @@ def tree_rules(model: PipelineModel, features: list[str], max_depth: int | None
 def learning_curve(df: DataFrame, features: list[str], label: str, estimator, id_col: str,
                    sizes: list[float] | None = None, folds: int = 5, kind: str = "regression",
                    scale: bool = False) -> DataFrame:
-    """Train / validation score for training prefixes (hash order) of each fold."""
+    """Train / validation score for training prefixes of each fold: the first
+    floor(size x n) training rows in hash order.  Positions come from the
+    blocked running count (no driver-side quantile summary of the rows)."""
+    from crease.operators.scan import running_totals
+    from crease.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
     sizes = sizes or [i / 10 for i in range(1, 11)]
-    f = kfold_assign(df, id_col, folds).withColumn("__h", portable_hash(F.col(id_col), 7)).cache()
+    f = kfold_assign(df, id_col, folds).withColumn("__h", portable_hash(F.col(id_col), 7)).checkpoint()
     ev = _evaluator(kind, label)
     rows = []
     for k in range(folds):
-        tr, va = f.filter(F.col("fold") != k), f.filter(F.col("fold") == k)
-        q = tr.approxQuantile("__h", sizes, 0.0)  # exact hash thresholds for the prefixes
-        for frac, thr in zip(sizes, q):
-            part = tr.filter(F.col("__h") <= thr)
+        va = f.filter(F.col("fold") == k)
+        tr = running_totals(f.filter(F.col("fold") != k), [], ["__h", id_col], {"__pos": F.lit(1)},
+                            exclusive=True).checkpoint()
+        n_tr = tr.count()
+        for frac in sizes:
+            part = tr.filter(F.col("__pos") < math.floor(frac * n_tr))
             m = fit_pipeline(part, features, label, estimator, scale)
             rows.append((float(frac), k, float(ev.evaluate(m.transform(part))), float(ev.evaluate(m.transform(va)))))
     f.unpersist()
