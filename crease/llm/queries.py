@@ -15,12 +15,32 @@ def _query(fn):
     return fn
 
 
+@_query
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crease.llm.decontaminate import contained_items
+    return contained_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @_query
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from crease.llm.bpe import digests
     return digests(read(spark, sf_dir, "documents"))
 
 
+@_query
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crease.llm.license import report, scan
+    return report(scan(read(spark, sf_dir, "documents")))
+
+
+@_query
+def op4_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    from crease.llm.htmlmain import extract, train_on
+    pages = read(spark, sf_dir, "pages")
+    return extract(pages, train_on(pages)).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @_query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from crease.llm.tokencount import token_counts
