@@ -41,6 +41,47 @@ def op4_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(pages, train_on(pages)).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+@_query
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crease.llm.jaccard import jaccard_classes
+    return jaccard_classes(read(spark, sf_dir, "documents"))
+
+
+@_query
+def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import uuid
+    from pyspark.sql import functions as F
+    from crease.llm.common import checkpoint_dir
+    from crease.llm.shards import read_shards, write_shards
+    folder = f"{checkpoint_dir(spark)}/shards-{uuid.uuid4().hex}"
+    if not write_shards(read(spark, sf_dir, "documents"), folder):
+        return spark.createDataFrame([], "slot long, shard long, offset long, doc_id long, at long, n_tokens long, "
+                                         "ids_sha256 string")
+    return read_shards(spark, folder).withColumn("ids_sha256", F.sha2("ids", 256)).drop("ids")
+
+
+@_query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    from crease.llm.quality import held_out, score, train_on
+    docs = read(spark, sf_dir, "documents")
+    scored = score(docs.select("doc_id", "text"), train_on(docs, read(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@_query
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crease.llm.pii import surrogates
+    docs = read(spark, sf_dir, "documents")
+    return surrogates(docs.select("doc_id", "text"), count_col="n_replaced")
+
+
+@_query
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crease.llm.ann import search
+    return search(read(spark, sf_dir, "embeddings"))
+
+
 @_query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from crease.llm.tokencount import token_counts
