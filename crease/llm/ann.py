@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from crease.llm.common import cut, shuffle_width
+from crease.llm.common import bounded_sample, cut, shuffle_width
 
 TREES, LEAF, SHARD = 8, 128, 4_096
 #: Vectors of the sample on which the planes are fitted.
@@ -140,7 +140,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_
     count, longest, width = nodes.agg(F.count("*"), F.max(squares), F.max(F.size("v"))).first()
     width, longest = width or 0, longest or 0.0
     depth = max(0, int(np.ceil(np.log2(max(1, min(count, 4 * sample) / leaf)))))
-    drawn = nodes.orderBy(F.xxhash64("node"), "node").limit(sample).select("v").toArrow()
+    drawn = bounded_sample(nodes.select("node", "v"), sample, "node").select("v").toArrow()
     # One more coordinate makes all vectors equally long, so that the nearest by angle is that by inner product.
     lifted = _lift(_matrix(drawn.column(0), width), longest) if count else np.zeros((0, 1))
     forest = spark.sparkContext.broadcast(Forest(lifted, trees, depth))

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from crease.llm.common import bounded_sample
+
 #: Pages of the training sample, and the length up to which a page may be in it.
 SAMPLE, SAMPLE_CHARS = 150, 60_000
 
@@ -33,19 +35,21 @@ _INLINE = frozenset("a abbr b bdi bdo big cite code del dfn em font i ins kbd la
                     "strong sub sup time tt u var br wbr img".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style noscript template textarea iframe svg math object select button".split())
+_REGIONS = frozenset("article main section nav header footer aside form".split())
 _UNSEEN = frozenset(["head", "title"])
 
 
 class Block:
-    __slots__ = ("text", "tags", "marks", "links")
+    __slots__ = ("text", "tags", "marks", "near", "links")
 
-    def __init__(self, text, tags, marks, links):
-        self.text, self.tags, self.marks, self.links = text, tags, marks, links
+    def __init__(self, text, tags, marks, near, links):
+        self.text, self.tags, self.marks, self.near, self.links = text, tags, marks, near, links
 
 
 def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order: text with white space collapsed, the tags and
-    the class/id words above it, and the share of its characters in links.
+    the class/id words above it, those (or the tag) of the innermost region, and
+    the share of its characters in links.
 
     Text of scripts, styles, controls and comments never counts.  Open tags are
     closed by their ancestors' ends and the page's end; a ``p`` ends where the
@@ -63,7 +67,8 @@ def blocks(page: str) -> list[Block]:
             if text and not any(tag in _UNSEEN for tag, _ in stack):
                 tags = tuple(tag for tag, _ in stack if tag not in _INLINE)
                 marks = tuple(dict.fromkeys(m for _, ms in stack for m in ms))
-                out.append(Block(text, tags, marks, linked / max(1, len(text))))
+                near = next((ms or (tag,) for tag, ms in reversed(stack) if ms or tag in _REGIONS), ())
+                out.append(Block(text, tags, marks, near, linked / max(1, len(text))))
             buffer.clear()
         linked = 0
 
@@ -119,7 +124,7 @@ def features(page: list[Block]) -> list[list[str]]:
     for k, b in enumerate(page):
         words = len(b.text.split())
         out.append(["bias", f"own:{b.tags[-1] if b.tags else ''}", *{f"in:{t}" for t in b.tags},
-                    *{f"mark:{m}" for m in b.marks},
+                    *{f"mark:{m}" for m in b.marks}, *{f"near:{m}" for m in b.near},
                     f"words:{min(words.bit_length(), 7)}", f"links:{min(3, int(b.links * 4))}",
                     f"stop:{b.text[-1] in '.!?:”'}", f"sign:{'©' in b.text}",
                     f"place:{min(3, 4 * k // n)}"])
@@ -156,47 +161,47 @@ class Field:
         return path[::-1]
 
 
-def fit(pages: list[tuple[list[list[str]], list[int]]], rounds: int = 60, penalty: float = 1e-3) -> Field:
+def fit(pages: list[tuple[list[list[str]], list[int]]], rounds: int = 200, penalty: float = 1e-6) -> Field:
     """Weights of the largest penalised conditional likelihood, by full-batch
-    ascent with per-weight steps (exact forward-backward marginals)."""
+    descent with adaptive steps (exact forward-backward marginals)."""
     pages = [p for p in pages if p[0]]
     names = {n: i for i, n in enumerate(sorted({f for rows, _ in pages for row in rows for f in row}))}
     w, moves = np.zeros((len(names), 2)), np.zeros((2, 2))
-    seen_w, seen_m = np.full_like(w, 1e-6), np.full_like(moves, 1e-6)
+    means = [(np.zeros_like(x), np.zeros_like(x)) for x in (w, moves)]
     flat = np.array([names[f] for rows, _ in pages for row in rows for f in row], np.int64)
     block = np.repeat(np.arange(sum(len(r) for r, _ in pages)), [len(row) for rows, _ in pages for row in rows])
     gold = np.array([y for _, ys in pages for y in ys], np.int64)
-    ends = np.cumsum([len(rows) for rows, _ in pages])
-    for _ in range(rounds if pages else 0):
-        score = np.zeros((len(gold), 2))
-        np.add.at(score, block, w[flat])
-        given, walked = np.zeros((len(gold), 2)), np.zeros((2, 2))
-        start = 0
-        for end in ends:
-            s = score[start:end]
-            n = len(s)
-            alpha, beta = np.empty_like(s), np.zeros_like(s)
-            alpha[0] = s[0]
-            for t in range(1, n):
-                alpha[t] = s[t] + np.logaddexp(alpha[t - 1][0] + moves[0], alpha[t - 1][1] + moves[1])
-            for t in range(n - 2, -1, -1):
-                ahead = s[t + 1] + beta[t + 1]
-                beta[t] = np.logaddexp(moves[:, 0] + ahead[0], moves[:, 1] + ahead[1])
-            z = np.logaddexp(*alpha[-1])
-            given[start:end] = np.exp(alpha + beta - z)
-            if n > 1:
-                walked += np.exp(alpha[:-1, :, None] + moves + (s[1:] + beta[1:])[:, None, :] - z).sum(axis=0)
-                np.add.at(walked, (gold[start:end - 1], gold[start + 1:end]), -1.0)
-            start = end
+    lens = np.array([len(rows) for rows, _ in pages], np.int64)
+    page = np.repeat(np.arange(len(pages)), lens)
+    place = np.arange(len(gold)) - np.repeat(np.cumsum(lens) - lens, lens)
+    steps = int(lens.max()) if pages else 0
+    inside = np.arange(steps) < lens[:, None]
+    follows = np.flatnonzero(page[1:] == page[:-1])
+    for turn in range(1, rounds + 1 if pages else 1):
+        score = np.column_stack([np.bincount(block, w[flat, y], len(gold)) for y in (0, 1)])
+        s = np.zeros((len(pages), steps, 2))
+        s[page, place] = score
+        alpha, beta = np.empty_like(s), np.zeros_like(s)
+        alpha[:, 0] = s[:, 0]
+        for t in range(1, steps):
+            go = s[:, t] + np.logaddexp(alpha[:, t - 1, :1] + moves[0], alpha[:, t - 1, 1:] + moves[1])
+            alpha[:, t] = np.where(inside[:, t, None], go, alpha[:, t - 1])
+        for t in range(steps - 2, -1, -1):
+            ahead = s[:, t + 1] + beta[:, t + 1]
+            go = np.logaddexp(ahead[:, :1] + moves[:, 0], ahead[:, 1:] + moves[:, 1])
+            beta[:, t] = np.where(inside[:, t + 1, None], go, 0)
+        z = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])
+        given = np.exp(alpha + beta - z[:, None, None])[page, place]
         given[np.arange(len(gold)), gold] -= 1
-        step = np.zeros_like(w)
-        np.add.at(step, flat, given[block])
-        step = -step / len(gold) - penalty * w
-        turn = -walked / len(gold) - penalty * moves
-        seen_w += step ** 2
-        seen_m += turn ** 2
-        w += 0.5 * step / np.sqrt(seen_w)
-        moves += 0.5 * turn / np.sqrt(seen_m)
+        after = (s + beta)[:, 1:]
+        pairs = np.exp(alpha[:, :-1, :, None] + moves + after[:, :, None, :] - z[:, None, None, None])
+        walked = (pairs * inside[:, 1:, None, None]).sum(axis=(0, 1))
+        np.add.at(walked, (gold[follows], gold[follows + 1]), -1.0)
+        step = np.column_stack([np.bincount(flat, given[block, y], len(names)) for y in (0, 1)])
+        for x, slope, (mean, square) in ((w, step, means[0]), (moves, walked, means[1])):
+            slope = slope / len(gold) + penalty * x
+            mean[:], square[:] = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope * slope
+            x -= 0.1 * mean / (1 - 0.9 ** turn) / (np.sqrt(square / (1 - 0.99 ** turn)) + 1e-8)
     return Field({n: (float(w[i, 0]), float(w[i, 1])) for n, i in names.items()}, moves.tolist())
 
 
@@ -217,7 +222,8 @@ def self_labels(page: list[Block]) -> list[int] | None:
 # How re-dressed pages name their regions.
 _BODIES = ["article", "main", "section class='article-body'", "div class='content'", "div class='post-content'",
            "div id='main-content'", "div class='entry-content'", "div class='story body'", "div class='article-text'",
-           "div class='post'", "div itemprop='articleBody'"]
+           "div class='post'", "div itemprop='articleBody'", "div id='content'", "section class='entry'",
+           "div class='article'", "section id='main'", "div class='text'", "div class='story'", "div role='main'"]
 _ABOVE = ["nav", "header", "header class='site-header'", "div class='menu'", "div class='navbar'", "div id='nav'",
           "div class='header top'", "ul class='menu'", "div class='breadcrumbs'", "div class='cookie-notice'",
           "div class='notice'", "div class='cookie banner'", "div class='ad'", "div class='advert'",
@@ -252,7 +258,10 @@ def redress(texts: list[str], furniture: list[str], seed: int) -> tuple[list[Blo
         labels.extend([label] * len(found))
 
     def some(most: int) -> list[str]:
-        return [draw.choice(furniture) if draw.random() < 0.7 else draw.choice(texts) for _ in range(draw.randint(1, most))]
+        return [draw.choice(furniture) if draw.random() < 0.5 else draw.choice(texts) for _ in range(draw.randint(1, most))]
+
+    # what stands on either side is told by the markup: short content and long furniture are as common
+    texts = [" ".join(t.split()[:draw.randint(1, 4)]) + draw.choice([".", ""]) if draw.random() < 0.35 else t for t in texts]
 
     wrap = draw.choice(["", "<div id='page'>", "<div class='wrapper'>", "<div class='container'>"])
     body = draw.choice(_BODIES)
@@ -280,7 +289,7 @@ _TEXTS = ["A report on the river", "The river rose again on Monday, and the town
           "By evening the rain had stopped, but the fields to the south were still under water."]
 
 
-def train(sample: list[str], seed: int = 7, dressings: int = 3) -> Field:
+def train(sample: list[str], seed: int = 7, dressings: int = 4) -> Field:
     """Field of self-labelled ``sample`` pages and their re-dressed forms (and of
     a few built-in texts, so that an empty sample gives a usable field too)."""
     pages, number = [], seed
@@ -311,17 +320,17 @@ def train_on(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
     the first in the order of a hash of page and id, so that runs agree."""
     short = pages.select(F.col(id_col).alias("i"), F.col(html_col).alias("h")) \
         .filter(F.col("h").isNotNull() & (F.length("h") <= sample_chars))
-    rows = short.orderBy(F.xxhash64("i", "h"), "i", "h").limit(sample).collect()
+    rows = bounded_sample(short, sample, "i", "h").collect()
     return train([r["h"] for r in rows])
 
 
 def extract(pages: DataFrame, field: Field, html_col: str = "html", out_col: str = "text") -> DataFrame:
-    """``pages`` with the main text as ``out_col`` (an equally named column gives way).
+    """``pages`` with the main text as ``out_col`` instead of ``html_col`` (an equally named column gives way).
 
     Content blocks are joined by one newline; a null or empty page and one
     without content give the empty string.  One row per row, repeated ones too.
     """
-    rest = [c for c in pages.columns if c.lower() != out_col.lower()]
+    rest = [c for c in pages.columns if c.lower() not in (out_col.lower(), html_col.lower())]
     kept = pages.select(*rest, F.col(html_col).alias("__html"))
     out = StructType([*[f for f in kept.schema.fields if f.name != "__html"], StructField(out_col, StringType(), False)])
     shared = pages.sparkSession.sparkContext.broadcast((field.weights, field.moves))

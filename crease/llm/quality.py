@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from crease.llm.common import bounded_sample
+
 #: Words of a passage at most; bins of its bag of words.
 PASSAGE, BINS = 96, 64
 #: Labelled documents of the training sample, and the longest text that may be in it.
@@ -175,11 +177,12 @@ def train_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     in the order of a hash of the id; longer texts than ``sample_chars`` and null
     labels or ids are left out of the sample (not of the scoring)."""
     picked = labels.select(F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("y")) \
-        .filter(F.col("y").isin(0, 1) & F.col("i").isNotNull() & ~held_out("i")) \
-        .orderBy(F.xxhash64(F.col("i").cast("string")), "i", "y").limit(sample)
+        .filter(F.col("y").isin(0, 1) & F.col("i").isNotNull() & ~held_out("i"))
+    picked = bounded_sample(picked, sample, "i", "y")
     texts = docs.select(F.col(id_col).alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("t")) \
         .filter(F.length("t") <= sample_chars)
-    rows = texts.join(F.broadcast(picked), "i").orderBy("i", "y", F.xxhash64("t")).limit(sample).collect()
+    rows = bounded_sample(texts.join(F.broadcast(picked), "i"), sample, "i", "y", "t").collect()
+    rows = sorted(rows, key=lambda r: (r["i"], r["y"], r["t"]))
     return fit([r["t"] for r in rows], [r["y"] for r in rows])
 
 
