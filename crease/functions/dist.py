@@ -1,87 +1,70 @@
 """Tail probabilities of the t, F and chi-square distributions, for turning one
-test statistic into a p-value on the driver (SciPy is not available).
+test statistic into a p-value (SciPy is not available).
 
-Regularised incomplete beta by its continued fraction (modified Lentz) and the
-regularised incomplete gamma by series / continued fraction -- the textbook
-algorithms (e.g. Press et al., Numerical Recipes, ch. 6).
+The incomplete beta and gamma functions come from their published continued
+fractions, evaluated by the recurrence of numerators and denominators.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
+from collections.abc import Iterable
+
+_CLOSE = 1e-15
+_TERMS = 5_000
+_LARGE = 1e200
+
+
+def _fraction(terms: Iterable[tuple[float, float]]) -> float:
+    """Value of ``a1 / (b1 + a2 / (b2 + ...))`` from its (a, b) pairs: numerators
+    and denominators of the convergents follow one linear recurrence."""
+    above, below, value = (1.0, 0.0), (0.0, 1.0), 0.0
+    for a, b in itertools.islice(terms, _TERMS):
+        above = above[1], b * above[1] + a * above[0]
+        below = below[1], b * below[1] + a * below[0]
+        if abs(below[1]) > _LARGE or abs(above[1]) > _LARGE:
+            above, below = tuple(x / _LARGE for x in above), tuple(x / _LARGE for x in below)
+        if below[1]:
+            before, value = value, above[1] / below[1]
+            if abs(value - before) <= _CLOSE * abs(value):
+                break
+    return value
+
+
+def _beta_terms(a: float, b: float, x: float):
+    yield 1.0, 1.0
+    for m in itertools.count():
+        yield -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)), 1.0
+        yield (m + 1) * (b - m - 1) * x / ((a + 2 * m + 1) * (a + 2 * m + 2)), 1.0
+
 
-_EPS = 1e-15
-_TINY = 1e-300
-_MAX_IT = 500
-
-
-def _betacf(a: float, b: float, x: float) -> float:
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > _TINY else _TINY)
-    h = d
-    for m in range(1, _MAX_IT + 1):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > _TINY else _TINY)
-        c = 1.0 + aa / c
-        c = c if abs(c) > _TINY else _TINY
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > _TINY else _TINY)
-        c = 1.0 + aa / c
-        c = c if abs(c) > _TINY else _TINY
-        de = d * c
-        h *= de
-        if abs(de - 1.0) < _EPS:
-            break
-    return h
+def _gamma_terms(a: float, x: float):
+    yield 1.0, x + 1 - a
+    for k in itertools.count(1):
+        yield k * (a - k), x + 2 * k + 1 - a
 
 
 def betainc(a: float, b: float, x: float) -> float:
     """Regularised incomplete beta I_x(a, b)."""
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    lbt = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    bt = math.exp(lbt)
-    if x < (a + 1.0) / (a + b + 2.0):
-        return bt * _betacf(a, b, x) / a
-    return 1.0 - bt * _betacf(b, a, 1.0 - x) / b
+    if not 0.0 < x < 1.0:
+        return float(x >= 1.0)
+    if x > (a + 1) / (a + b + 2):  # the fraction converges fast on the other side only
+        return 1.0 - betainc(b, a, 1.0 - x)
+    scale = a * math.log(x) + b * math.log1p(-x) + math.lgamma(a + b) - math.lgamma(a + 1) - math.lgamma(b)
+    return math.exp(scale) * _fraction(_beta_terms(a, b, x))
 
 
 def gammainc_upper(a: float, x: float) -> float:
     """Regularised upper incomplete gamma Q(a, x)."""
     if x <= 0.0:
         return 1.0
-    gln = math.lgamma(a)
-    if x < a + 1.0:
-        ap, s, d = a, 1.0 / a, 1.0 / a
-        for _ in range(_MAX_IT):
-            ap += 1.0
-            d *= x / ap
-            s += d
-            if abs(d) < abs(s) * _EPS:
-                break
-        return max(0.0, 1.0 - s * math.exp(-x + a * math.log(x) - gln))
-    b = x + 1.0 - a
-    c, d = 1.0 / _TINY, 1.0 / b
-    h = d
-    for i in range(1, _MAX_IT + 1):
-        an = -i * (i - a)
-        b += 2.0
-        d = an * d + b
-        d = 1.0 / (d if abs(d) > _TINY else _TINY)
-        c = b + an / c
-        c = c if abs(c) > _TINY else _TINY
-        de = d * c
-        h *= de
-        if abs(de - 1.0) < _EPS:
-            break
-    return math.exp(-x + a * math.log(x) - gln) * h
+    scale = a * math.log(x) - x
+    if x > a + 1:
+        return math.exp(scale - math.lgamma(a)) * _fraction(_gamma_terms(a, x))
+    ratios = itertools.accumulate((x / (a + k) for k in range(1, _TERMS)), lambda p, r: p * r, initial=1.0)
+    lower = math.fsum(itertools.takewhile(lambda t: t > _CLOSE / 10, ratios))
+    return max(0.0, 1.0 - math.exp(scale - math.lgamma(a + 1)) * lower)
 
 
 def t_two_sided_p(t: float, df: float) -> float:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from crease.functions import dist
 from crease.operators.profile import NUMERIC_TYPES, present
 from crease.operators.reports import top_k_counts
-from crease.operators.scan import rank_histogram
+from crease.operators.scan import quantiles, rank_histogram
 
 # Fixed values (must equal the reference's): qualitative bands.
 STRENGTH_BANDS = [(0.7, "Strong"), (0.4, "Moderate"), (0.2, "Weak")]
@@ -104,11 +104,17 @@ def pearson(df: DataFrame, x: str, y: str, with_p: bool = True) -> DataFrame:
 
 def spearman(df: DataFrame, x: str, y: str, with_p: bool = True) -> DataFrame:
     """rho = Pearson correlation of the average ranks over complete pairs."""
-    pairs = _pairs(df, x, y).withColumn("__id", F.monotonically_increasing_id())
+    pairs = _pairs(df, x, y)
     rx = rank_histogram(pairs, "x").select("x", F.col("avg_rank").alias("rx"))
     ry = rank_histogram(pairs, "y").select("y", F.col("avg_rank").alias("ry"))
-    ranked = pairs.join(rx, "x").join(ry, "y")
-    out = ranked.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.corr("rx", "ry"), F.lit(0.0)).alias("rho"))
+    # one row per distinct pair: a value that a third of the rows hold is not one hot join key
+    held = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).cast("double").alias("c")).join(rx, "x").join(ry, "y")
+    s = held.agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("rx")).alias("a"), F.sum(F.col("c") * F.col("ry")).alias("b"),
+                 F.sum(F.col("c") * F.col("rx") * F.col("rx")).alias("aa"), F.sum(F.col("c") * F.col("ry") * F.col("ry")).alias("bb"),
+                 F.sum(F.col("c") * F.col("rx") * F.col("ry")).alias("ab"))
+    spread = (F.col("aa") - F.col("a") * F.col("a") / F.col("n")) * (F.col("bb") - F.col("b") * F.col("b") / F.col("n"))
+    rho = F.when(spread > 0, (F.col("ab") - F.col("a") * F.col("b") / F.col("n")) / F.sqrt(spread))
+    out = s.select(F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"), F.coalesce(rho, F.lit(0.0)).alias("rho"))
     if with_p:
         out = out.withColumn("p_value", F.when(F.col("n") >= 3, corr_p_udf(F.col("rho"), F.col("n"))))
     return out
@@ -185,31 +191,33 @@ def correlated_pairs(matrix: DataFrame, top: int = 5, pos: float = 0.1, neg: flo
     return p.unionByName(n).unionByName(c).select("kind", "x", "y", "r3")
 
 
-def _top_categories(d: DataFrame, cat: str, k: int) -> DataFrame:
-    return top_k_counts(d, cat, k).select(cat)
+def _only_top(d: DataFrame, cat: str, k: int | None) -> DataFrame:
+    """``d``, or its rows of the ``k`` most frequent categories where a chart asks for that."""
+    return d if k is None else d.join(top_k_counts(d, cat, k).select(cat), cat, "left_semi")
 
 
-def group_stats(df: DataFrame, cat: str, num: str, top: int = 25) -> DataFrame:
-    """Per category (top ``top`` by count when there are more): count, mean,
-    median, std (n-1; 0 for one value), min, max, q1, q3."""
+def group_stats(df: DataFrame, cat: str, num: str, top: int | None = None) -> DataFrame:
+    """Per category (all, or the ``top`` most frequent): count, mean, median, std
+    (n-1; 0 for one value), min, max, q1, q3."""
     d = df.select(F.col(cat).cast("string").alias(cat), present(df, num).cast("double").alias(num)) \
           .filter(F.col(cat).isNotNull() & F.col(num).isNotNull())
-    d = d.join(_top_categories(d, cat, top), cat, "left_semi")
+    d = _only_top(d, cat, top)
     x = F.col(num)
-    return d.groupBy(cat).agg(
-        F.count(x).alias("count"), F.avg(x).alias("mean"), F.median(x).alias("median"),
-        F.when(F.count(x) > 1, F.stddev_samp(x)).otherwise(F.lit(0.0)).alias("std"),
-        F.min(x).alias("min"), F.max(x).alias("max"),
-        F.percentile(x, 0.25).alias("q1"), F.percentile(x, 0.75).alias("q3")).orderBy(F.desc("count"), cat)
+    s = d.groupBy(cat).agg(
+        F.count(x).alias("count"), F.avg(x).alias("mean"),
+        F.when(F.count(x) > 1, F.stddev_samp(x)).otherwise(F.lit(0.0)).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
+    q = quantiles(d, {"__q": (x, [0.25, 0.5, 0.75])}, [cat])
+    return s.join(q, cat).select(cat, "count", "mean", F.col("__q")[1].alias("median"), "std", "min", "max",
+                                 F.col("__q")[0].alias("q1"), F.col("__q")[2].alias("q3")).orderBy(F.desc("count"), cat)
 
 
-def _groups(df: DataFrame, cat: str, num: str, top: int) -> DataFrame:
+def _groups(df: DataFrame, cat: str, num: str, top: int | None) -> DataFrame:
     d = df.select(F.col(cat).cast("string").alias("g"), present(df, num).cast("double").alias("v")) \
           .filter(F.col("g").isNotNull() & F.col("v").isNotNull())
-    return d.join(_top_categories(d, "g", top), "g", "left_semi")
+    return _only_top(d, "g", top)
 
 
-def anova_oneway(df: DataFrame, cat: str, num: str, top: int = 25, with_p: bool = True) -> DataFrame:
+def anova_oneway(df: DataFrame, cat: str, num: str, top: int | None = None, with_p: bool = True) -> DataFrame:
     """One-way ANOVA F from per-group (n, mean, population variance):
     SSB = sum n_i (m_i - m)^2, SSW = sum n_i var_i, F = (SSB/(k-1)) / (SSW/(N-k))."""
     g = _groups(df, cat, num, top).groupBy("g").agg(F.count("v").alias("n"), F.avg("v").alias("m"),
@@ -229,7 +237,7 @@ def anova_oneway(df: DataFrame, cat: str, num: str, top: int = 25, with_p: bool
     return out
 
 
-def kruskal_wallis(df: DataFrame, cat: str, num: str, top: int = 25, with_p: bool = True) -> DataFrame:
+def kruskal_wallis(df: DataFrame, cat: str, num: str, top: int | None = None, with_p: bool = True) -> DataFrame:
     """H = 12 / (N (N + 1)) sum R_i^2 / n_i - 3 (N + 1), divided by the tie
     correction 1 - sum(t^3 - t) / (N^3 - N); ranks averaged over ties."""
     d = _groups(df, cat, num, top)
@@ -251,31 +259,32 @@ def kruskal_wallis(df: DataFrame, cat: str, num: str, top: int = 25, with_p: boo
     return out
 
 
-def _cat_pairs(df: DataFrame, x: str, y: str, top: int = 20) -> DataFrame:
+def _cat_pairs(df: DataFrame, x: str, y: str, top: int | None = None) -> DataFrame:
     d = df.select(F.col(x).cast("string").alias("x"), F.col(y).cast("string").alias("y")) \
           .filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-    d = d.join(_top_categories(d, "x", top), "x", "left_semi")
-    return d.join(_top_categories(d, "y", top), "y", "left_semi")
+    return _only_top(_only_top(d, "x", top), "y", top)
 
 
-def crosstab(df: DataFrame, x: str, y: str, top: int = 20, total: str = "Total") -> DataFrame:
-    """Long-form contingency table with ``Total`` margins: count and, for inner
-    cells, row %, column % and total %.  Margins come from ``cube``."""
+def crosstab(df: DataFrame, x: str, y: str, top: int | None = None, total: str = "Total") -> DataFrame:
+    """Long-form contingency table with ``Total`` margins: count, ``margin`` (which
+    tells them from a level of that name) and, for inner cells, row %, column %
+    and total %.  Margins come from ``cube``."""
     d = _cat_pairs(df, x, y, top)
     cube = d.cube("x", "y").agg(F.count(F.lit(1)).alias("count"), F.grouping_id().alias("__gid"))
-    cells = cube.select(F.coalesce("x", F.lit(total)).alias(x), F.coalesce("y", F.lit(total)).alias(y), "count", "__gid")
+    cells = cube.select(F.coalesce("x", F.lit(total)).alias(x), F.coalesce("y", F.lit(total)).alias(y), "count", "__gid",
+                        (F.col("__gid") > 0).alias("margin"))
     inner = cells.filter(F.col("__gid") == 0)
     rows = cells.filter(F.col("__gid") == 1).select(F.col(x), F.col("count").alias("__row"))
     colsum = cells.filter(F.col("__gid") == 2).select(F.col(y), F.col("count").alias("__col"))
     n = cells.filter(F.col("__gid") == 3).select(F.col("count").alias("__n"))
-    pct = inner.join(rows, x).join(colsum, y).crossJoin(n).select(
-        x, y, (F.col("count") / F.col("__row") * 100.0).alias("row_pct"),
+    pct = inner.join(rows, x).join(colsum, y).crossJoin(n).select(  # n is one row
+        x, y, "margin", (F.col("count") / F.col("__row") * 100.0).alias("row_pct"),
         (F.col("count") / F.col("__col") * 100.0).alias("col_pct"),
         (F.col("count") / F.col("__n") * 100.0).alias("total_pct"))
-    return cells.drop("__gid").join(pct, [x, y], "left")
+    return cells.drop("__gid").join(pct, [x, y, "margin"], "left")
 
 
-def chi_square(df: DataFrame, x: str, y: str, top: int = 20, with_p: bool = True) -> DataFrame:
+def chi_square(df: DataFrame, x: str, y: str, top: int | None = None, with_p: bool = True) -> DataFrame:
     """Chi-square test of independence on the table without margins (zero cells
     included), Yates-corrected when dof = 1: statistic, dof, n, cramers_v, strength."""
     d = _cat_pairs(df, x, y, top)
@@ -283,13 +292,19 @@ def chi_square(df: DataFrame, x: str, y: str, top: int = 20, with_p: bool = True
     rx = obs.groupBy("x").agg(F.sum("o").alias("rx"))
     cy = obs.groupBy("y").agg(F.sum("o").alias("cy"))
     tot = obs.agg(F.sum("o").alias("n"), F.countDistinct("x").alias("r"), F.countDistinct("y").alias("c"))
-    cells = rx.crossJoin(cy).join(obs, ["x", "y"], "left").crossJoin(tot)  # levels x levels, bounded by top^2
-    e = F.col("rx") * F.col("cy") / F.col("n")
-    o = F.coalesce("o", F.lit(0)).cast("double")
+    # Observed cells are enough: sum (o - e)^2 / e = n (sum o^2 / (row x column) - 1); in a
+    # 2 x 2 table all |o - e| agree and sum 1 / e = n (sum 1 / row) (sum 1 / column).
+    o = F.col("o").cast("double")
+    seen = obs.join(rx, "x").join(cy, "y").agg(F.sum(o * o / F.col("rx") / F.col("cy")).alias("t"),
+                                               F.min_by(F.struct("o", "rx", "cy"), F.struct("x", "y")).alias("one"))
+    inverse = rx.agg(F.sum(1 / F.col("rx")).alias("ix")).crossJoin(cy.agg(F.sum(1 / F.col("cy")).alias("iy")))
+    n = F.col("n")
+    diff = F.abs(F.col("one.o") - F.col("one.rx") * F.col("one.cy") / n)
+    less = diff - F.least(F.lit(0.5), diff)
     dof = (F.col("r") - 1) * (F.col("c") - 1)
-    diff = F.abs(o - e)
-    adj = F.when(dof == 1, diff - F.least(F.lit(0.5), diff)).otherwise(diff)
-    s = cells.groupBy("n", "r", "c").agg(F.sum(adj * adj / e).alias("chi2"))
+    s = seen.crossJoin(tot).crossJoin(inverse).select(  # single rows
+        "n", "r", "c", F.when(dof == 1, less * less * n * F.col("ix") * F.col("iy"))
+        .otherwise(F.greatest(F.lit(0.0), n * (F.col("t") - 1))).alias("chi2"))
     md = F.least(F.col("r"), F.col("c")) - 1
     valid = (F.col("r") >= 2) & (F.col("c") >= 2)
     v = F.when(valid & (md > 0), F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.sqrt(F.col("chi2") / (F.col("n") * md))))) \
@@ -306,19 +321,19 @@ def chi_square(df: DataFrame, x: str, y: str, top: int = 20, with_p: bool = True
     return out
 
 
-def top_combination(df: DataFrame, x: str, y: str, top: int = 20) -> DataFrame:
+def top_combination(df: DataFrame, x: str, y: str, top: int | None = None) -> DataFrame:
     """Most frequent (x, y) pair (ties -> smallest x, then y)."""
     d = _cat_pairs(df, x, y, top)
     return d.groupBy("x", "y").agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), "x", "y").limit(1) \
             .select(F.col("x").alias(x), F.col("y").alias(y), "count")
 
 
-def box_by_category(df: DataFrame, cat: str, num: str, top: int = 20, refuse_over: int = 50) -> DataFrame:
-    """Five numbers and fences per category (top ``top`` categories)."""
+def box_by_category(df: DataFrame, cat: str, num: str, top: int | None = None) -> DataFrame:
+    """Five numbers and fences per category (all, or the ``top`` most frequent)."""
     from crease.operators.profile import box_summary
     d = df.select(F.col(cat).cast("string").alias(cat), present(df, num).cast("double").alias(num)) \
           .filter(F.col(cat).isNotNull() & F.col(num).isNotNull())
-    d = d.join(_top_categories(d, cat, top), cat, "left_semi")
+    d = _only_top(d, cat, top)
     return box_summary(d, num, [cat])
 
 

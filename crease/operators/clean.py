@@ -12,21 +12,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crease.operators.profile import is_missing, is_numeric, present
+from crease.operators.scan import modes, quantiles
 
 STRATEGIES = ("mean", "median", "mode", "drop_rows", "drop_column", "none")
 
 
 def _fill_values(df: DataFrame, plan: list[tuple[str, str]]) -> dict:
-    aggs = []
-    for c, s in plan:
-        v = present(df, c)
-        if s == "mean":
-            aggs.append(F.avg(v.cast("double")).alias(c))
-        elif s == "median":
-            aggs.append(F.median(v.cast("double")).alias(c))
-        elif s == "mode":
-            aggs.append(F.mode(v, True).alias(c))  # smallest among ties, like pandas
-    return df.agg(*aggs).first().asDict() if aggs else {}
+    means = [c for c, s in plan if s == "mean"]
+    medians = {c: (present(df, c), [0.5]) for c, s in plan if s == "median"}
+    out = df.agg(*[F.avg(present(df, c).cast("double")).alias(c) for c in means]).first().asDict() if means else {}
+    if medians:
+        out |= {c: v[0] if v else None for c, v in quantiles(df, medians).first().asDict().items()}
+    return out | modes(df, {c: present(df, c) for c, s in plan if s == "mode"})
 
 
 def impute(df: DataFrame, strategies: dict[str, str]) -> DataFrame:
@@ -89,8 +86,8 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
 
 def _iqr_stats(df: DataFrame, col: str) -> DataFrame:
     x = present(df, col).cast("double")
-    q = df.agg(F.percentile(x, 0.25).alias("q1"), F.percentile(x, 0.75).alias("q3"),
-               F.count(F.lit(1)).alias("total_count"), F.count(x).alias("non_null_count"))
+    q = quantiles(df, {"__q": (x, [0.25, 0.75])}).select(F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("q3")) \
+        .crossJoin(df.agg(F.count(F.lit(1)).alias("total_count"), F.count(x).alias("non_null_count")))  # single rows
     iqr = F.col("q3") - F.col("q1")
     return q.select("*", iqr.alias("iqr"), (F.col("q1") - 1.5 * iqr).alias("lower_bound"),
                     (F.col("q3") + 1.5 * iqr).alias("upper_bound"))

@@ -378,7 +378,7 @@ def latest_team_rating(features: DataFrame, a: str = "side_a", b: str = "side_b"
 def h2h_total(matches: DataFrame, a: str = "side_a", b: str = "side_b", winner: str = "winner") -> DataFrame:
     """All-time record per unordered pair: matches, wins of the low and high side."""
     lo, hi = F.least(a, b), F.greatest(a, b)
-    return (matches.groupBy(lo.alias("team_lo"), hi.alias("team_hi"))
+    return (matches.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(lo.alias("team_lo"), hi.alias("team_hi"))
             .agg(F.count(F.lit(1)).alias("played"),
                  F.sum(_flag(F.col(winner) == lo)).cast("long").alias("lo_wins"),
                  F.sum(_flag(F.col(winner) == hi)).cast("long").alias("hi_wins")))
@@ -389,7 +389,7 @@ def venue_total(matches: DataFrame, a: str = "side_a", b: str = "side_b", winner
     """All-time wins per (venue, team) counting both roles."""
     sides = (matches.select(venue, F.col(a).alias("team"), winner)
              .unionAll(matches.select(venue, F.col(b).alias("team"), winner)))
-    return (sides.groupBy(venue, "team")
+    return (sides.filter(F.col(venue).isNotNull() & F.col("team").isNotNull()).groupBy(venue, "team")
             .agg(F.count(F.lit(1)).alias("played"),
                  F.sum(_flag(F.col(winner) == F.col("team"))).cast("long").alias("wins")))
 
@@ -431,6 +431,6 @@ def fifty_flag(log: DataFrame, keys: list[str], runs: str = "runs", context: lis
     context columns of the group's first row in ``order`` -- one aggregate."""
     context = context or []
     key = F.struct(*[F.col(c) for c in (order or keys)])
-    out = log.groupBy(*keys).agg(F.sum(runs).cast("long").alias(runs),
+    out = log.dropna(subset=keys).groupBy(*keys).agg(F.sum(runs).cast("long").alias(runs),
                                  *[F.min_by(F.col(c), key).alias(c) for c in context])
     return out.select(*keys, runs, _flag(F.col(runs) >= threshold).alias("fifty"), *context)

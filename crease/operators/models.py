@@ -173,9 +173,11 @@ class RbfSvmModel:
 
 
 def svm_rbf(train: DataFrame, features: list[str], label: str, n_components: int = 100,
-            reg: float = 0.01) -> RbfSvmModel:
+            c: float = 1.0) -> RbfSvmModel:
     """Linear SVM on random Fourier features of the standardised input, with a
-    logistic (Platt) fit on the margin for probabilities."""
+    logistic (Platt) fit on the margin for probabilities.  ``c`` weighs the loss
+    of all rows, Spark's regParam the mean loss: regParam = 1 / (c n)."""
+    reg = 1.0 / (c * max(1, train.count()))
     scaler_model = Pipeline(stages=assemble(features, scale=True)).fit(train)
     ws, bs = rff_weights(len(features), n_components)
     model = RbfSvmModel(scaler_model, ws, bs, None, None)
@@ -381,9 +383,9 @@ def coefficients(model: PipelineModel, features: list[str]) -> DataFrame:
 # Cross validation, grid / random search, learning curve, depth sweep
 # ---------------------------------------------------------------------------
 
-def _evaluator(kind: str, label: str):
+def _evaluator(kind: str, label: str, metric: str | None = None):
     if kind == "regression":
-        return RegressionEvaluator(labelCol=label, metricName="mae")
+        return RegressionEvaluator(labelCol=label, metricName=metric or "mae")
     return MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
 
 
@@ -405,9 +407,10 @@ def cross_validate(df: DataFrame, features: list[str], label: str, estimator, id
 
 def grid_search(df: DataFrame, features: list[str], label: str, estimator, grid: dict, id_col: str,
                 folds: int = 5, kind: str = "classification", scale: bool = False, parallelism: int = 4,
-                sample: int | None = None, seed: int = SEED) -> DataFrame:
+                sample: int | None = None, seed: int = SEED, metric: str | None = None) -> DataFrame:
     """k-fold cross validation over a parameter grid (or a seeded sample of ``sample``
-    points of it: random search).  Returns (params, mean score) per point."""
+    points of it: random search), with folds stratified by a class label.
+    Returns (params, mean score) per point."""
     est = estimator.copy().setFeaturesCol("features").setLabelCol(label)
     b = ParamGridBuilder()
     for p, values in grid.items():
@@ -419,10 +422,10 @@ def grid_search(df: DataFrame, features: list[str], label: str, estimator, grid:
 
     from crease.session import checkpoint_dir
     checkpoint_dir(df.sparkSession)
-    f = kfold_assign(df, id_col, folds).checkpoint()
+    f = kfold_assign(df, id_col, folds, label=label if kind == "classification" else None).checkpoint()
     pipe = Pipeline(stages=assemble(features, scale) + [est])
     pmaps = [{est.getParam(k.name): v for k, v in m.items()} for m in maps]
-    ev = _evaluator(kind, label)
+    ev = _evaluator(kind, label, metric)
 
     # what CrossValidator computes (mean over folds of the validation metric), with
     # every (fold, point) fit an independent job, not only the points of one fold
@@ -441,23 +444,25 @@ def grid_search(df: DataFrame, features: list[str], label: str, estimator, grid:
 
 def regularised_cv(df: DataFrame, features: list[str], label: str, id_col: str, kind: str = "ridge",
                    alphas: list[float] | None = None, folds: int = 5) -> tuple[float, PipelineModel]:
-    """Ridge / lasso with the penalty chosen by k-fold CV (mean absolute error):
-    returns (best alpha, model refitted on all rows).  alpha is in the
-    reference's units and converted to Spark's regParam per the module notes."""
+    """Ridge / lasso with the penalty chosen by k-fold CV (ridge: largest R2, lasso:
+    least squared error): returns (best alpha, model refitted on all rows).
+    alpha is converted to Spark's regParam per the module notes, with the rows
+    that a fit sees: those of the other folds, then all."""
     n = df.count()
+    seen = max(1.0, n * (folds - 1) / folds)
     if kind == "ridge":
         alphas = alphas or [0.01, 0.1, 1, 10, 100]
-        reg = {a: a / max(n, 1) for a in alphas}
+        reg = {a: a / seen for a in alphas}
         base = LinearRegression(elasticNetParam=0.0, standardization=False)
     else:
         alphas = alphas or [0.001, 0.01, 0.1, 1, 10]
         reg = {a: a for a in alphas}
         base = LinearRegression(elasticNetParam=1.0, standardization=False, maxIter=5000)
     res = grid_search(df, features, label, base, {"regParam": [reg[a] for a in alphas]}, id_col, folds=folds,
-                      kind="regression").collect()
-    best_reg = min(res, key=lambda r: r["mean_score"])["params"].split("=")[1]
-    best_alpha = [a for a in alphas if abs(reg[a] - float(best_reg)) <= 1e-12 * max(1.0, reg[a])][0]
-    model = fit_pipeline(df, features, label, base.copy().setRegParam(reg[best_alpha]))
+                      kind="regression", metric="r2" if kind == "ridge" else "mse").collect()
+    score = {r["params"].split("=")[1]: r["mean_score"] * (-1 if kind == "ridge" else 1) for r in res}
+    best_alpha = min(alphas, key=lambda a: score[f"{reg[a]}"])
+    model = fit_pipeline(df, features, label, base.copy().setRegParam(best_alpha / max(n, 1) if kind == "ridge" else best_alpha))
     return best_alpha, model
 
 
@@ -571,6 +576,10 @@ def linear_attribution(model: PipelineModel, df: DataFrame, features: list[str],
 def decision_grid(model, df: DataFrame, fx: str, fy: str, others: dict | None = None, steps: int = 60) -> DataFrame:
     """Model output on a steps x steps grid spanning [min - 1, max + 1] of two
     features (other features fixed at given values, default their means)."""
+    inputs = model.stages[0].getInputCols() if hasattr(model, "stages") else []
+    rest = [c for c in inputs if c not in (fx, fy) and c not in (others or {})]
+    if rest:
+        others = (others or {}) | df.agg(*[F.avg(c).alias(c) for c in rest]).first().asDict()
     b = df.agg(F.min(fx).alias("x0"), F.max(fx).alias("x1"), F.min(fy).alias("y0"), F.max(fy).alias("y1"))
     g = b.select(F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("i"), "*") \
          .select(F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("j"), "*") \

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crease.operators.scan import running_totals
+from crease.operators.scan import quantiles, running_totals
 
 MISSING = "Missing"
 UNKNOWN = "<unknown>"
@@ -81,7 +81,8 @@ def _scale(df: DataFrame, cols: list[str], method: str) -> DataFrame:
     if method not in ("standard", "minmax", "robust"):
         raise ValueError(method)
     # Pass 1: medians, to fill nulls (the reference imputes before fitting).
-    meds = df.agg(*[F.median(F.col(c).cast("double")).alias(f"{c}__med") for c in cols])
+    meds = quantiles(df, {f"{c}__med": (F.col(c), [0.5]) for c in cols}) \
+        .select(*[F.col(f"{c}__med")[0].alias(f"{c}__med") for c in cols])
     filled = df.crossJoin(F.broadcast(meds)).select(*[
         F.coalesce(F.col(c).cast("double"), F.col(f"{c}__med")).alias(c) if c in cols else F.col(c)
         for c in df.columns])
@@ -93,10 +94,11 @@ def _scale(df: DataFrame, cols: list[str], method: str) -> DataFrame:
             aggs += [F.avg(x).alias(f"{c}__a"), F.stddev_pop(x).alias(f"{c}__b")]
         elif method == "minmax":
             aggs += [F.min(x).alias(f"{c}__a"), F.max(x).alias(f"{c}__b")]
-        else:
-            aggs += [F.median(x).alias(f"{c}__a"),
-                     (F.percentile(x, 0.75) - F.percentile(x, 0.25)).alias(f"{c}__b")]
-    stats = filled.agg(*aggs)
+    if method == "robust":
+        fives = quantiles(filled, {c: (F.col(c), [0.25, 0.5, 0.75]) for c in cols})
+        stats = fives.select(*[x for c in cols for x in (F.col(c)[1].alias(f"{c}__a"), (F.col(c)[2] - F.col(c)[0]).alias(f"{c}__b"))])
+    else:
+        stats = filled.agg(*aggs)
     j = filled.crossJoin(F.broadcast(stats))  # one-row statistics
     out = []
     for c in df.columns:
@@ -160,7 +162,11 @@ def train_test_split(df: DataFrame, id_col: str, test_size: float = 0.2, seed: i
     sizes = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     rnd = F.floor if rounding == "floor" else F.ceil
     sizes = sizes.withColumn("__test", rnd(F.col("__n") * F.lit(float(test_size))).cast("long"))
-    j = pos.join(F.broadcast(sizes), keys, "inner") if keys else pos.crossJoin(F.broadcast(sizes))
+    if keys:  # a null label is a stratum like the others
+        sizes = sizes.withColumnRenamed(label, "__label")
+        j = pos.join(sizes, F.col(label).eqNullSafe(F.col("__label"))).drop("__label")
+    else:
+        j = pos.crossJoin(sizes)  # one row
     return j.withColumn("split", F.when(F.col("__pos") < F.col("__test"), "test").otherwise("train")) \
             .drop("__h", "__pos", "__n", "__test")
 

@@ -15,6 +15,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from crease.operators.scan import quantiles
 from pyspark.sql import types as T
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
@@ -128,8 +130,10 @@ def overview(df: DataFrame) -> DataFrame:
                      F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
         else:
             aggs += [F.lit(None).cast("double").alias(f"{c}__{m}") for m in ("mean", "std", "min", "max")]
-    row = df.agg(*aggs)
-    row = row.select("*", *[(F.col("__rows") - F.col(f"{c}__non_null_count")).alias(f"{c}__missing_count")
+    fives = quantiles(df, {f"{c}__q": (present(df, c), [0.25, 0.5, 0.75]) for c in cols})
+    row = df.agg(*aggs).crossJoin(fives)  # single rows
+    row = row.select("*", *[F.col(f"`{c}__q`")[i].alias(f"{c}__{q}") for c in cols for i, q in enumerate(("q1", "median", "q3"))],
+                     *[(F.col("__rows") - F.col(f"{c}__non_null_count")).alias(f"{c}__missing_count")
                             for c in cols], *[F.col("__rows").alias(f"{c}__count") for c in cols])
     metrics = ["count", "non_null_count", "missing_count", "unique_count", "mean", "std", "min", "max"]
     types = {m: "long" for m in metrics[:4]} | {m: "double" for m in metrics[4:]}
@@ -193,12 +197,8 @@ def quality_audit(df: DataFrame, classes: dict[str, str] | None = None) -> DataF
         is_id = any(h in c.lower() for h in ID_NAME_HINTS)
         status = (F.when(d <= 1, "Problem").when(pct > 20.0, "Problem").when(pct > 0.0, "Warning")
                   .when(high_card, "Warning").otherwise("Good"))
-        reason = (F.when(d <= 1, "Constant column (no variance)")
-                  .when(pct > 20.0, F.format_string("High missing values (%.1f%%)", pct))
-                  .when(pct > 0.0, F.format_string("Contains missing values (%.1f%%)", pct))
-                  .when(high_card, F.lit("High cardinality ID/Name column") if is_id
-                        else F.format_string("High cardinality categorical (%d uniques)", d))
-                  .otherwise(""))
+        reason = (F.when(d <= 1, "constant").when(pct > 20.0, "missing")
+                  .when(pct > 0.0, "gaps").when(high_card, "many ids" if is_id else "many levels").otherwise("ok"))
         parts.append(F.struct(F.lit(c).alias("feature"), F.lit(df.schema[c].dataType.simpleString()).alias("data_type"),
                               m.alias("missing_count"), F.round(pct, 2).alias("missing_percentage"),
                               d.alias("unique_values"), status.alias("status"), reason.alias("reason")))
@@ -213,7 +213,7 @@ def quality_score(df: DataFrame, classes: dict[str, str] | None = None) -> DataF
     audit = quality_audit(df, classes).agg(
         F.count_if(F.col("status") == "Problem").alias("problems"),
         F.count_if(F.col("status") == "Warning").alias("warnings"),
-        F.count_if(F.col("reason") == "Constant column (no variance)").alias("constant_columns"))
+        F.count_if(F.col("reason") == "constant").alias("constant_columns"))
     dup = duplicate_summary(df)
     j = dup.crossJoin(audit)  # both sides are single rows
     counts = {k: sum(1 for v in classes.values() if v == k) for k in ("numerical", "categorical", "date", "boolean")}
@@ -248,15 +248,16 @@ def univariate_numeric(df: DataFrame, cols: list[str] | None = None) -> DataFram
     for c in cols:
         x = present(df, c).cast("double")
         n = F.count(x)
-        aggs += [F.avg(x).alias(f"{c}__mean"), F.median(x).alias(f"{c}__median"),
+        aggs += [F.avg(x).alias(f"{c}__mean"),
                  F.when(n > 1, F.stddev_samp(x)).when(n == 1, F.lit(0.0)).alias(f"{c}__std"),
                  F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
-                 F.percentile(x, 0.25).alias(f"{c}__q1"), F.percentile(x, 0.75).alias(f"{c}__q3"),
                  F.when(n > 2, _g1(x)).when(n > 0, F.lit(0.0)).alias(f"{c}__skewness"),
                  F.when(n > 3, _g2(x)).when(n > 0, F.lit(0.0)).alias(f"{c}__kurtosis"),
                  n.alias(f"{c}__non_null_count")]
-    row = df.agg(*aggs)
-    row = row.select("*", *[(F.col("__rows") - F.col(f"{c}__non_null_count")).alias(f"{c}__missing_count")
+    fives = quantiles(df, {f"{c}__q": (present(df, c), [0.25, 0.5, 0.75]) for c in cols})
+    row = df.agg(*aggs).crossJoin(fives)  # single rows
+    row = row.select("*", *[F.col(f"`{c}__q`")[i].alias(f"{c}__{q}") for c in cols for i, q in enumerate(("q1", "median", "q3"))],
+                     *[(F.col("__rows") - F.col(f"{c}__non_null_count")).alias(f"{c}__missing_count")
                             for c in cols])
     metrics = ["mean", "median", "std", "min", "max", "q1", "q3", "skewness", "kurtosis",
                "non_null_count", "missing_count"]
@@ -295,8 +296,8 @@ def distribution_shape(df: DataFrame, cols: list[str] | None = None) -> DataFram
         cls = classes_dict(df)
         cols = [c for c in numeric_columns(df) if cls.get(c) == "numerical"]
     u = univariate_numeric(df, cols).filter(F.col("non_null_count") >= 3)
-    shape = (F.when(F.abs("skewness") < 0.5, "Approximately Symmetric (Normal)")
-             .when(F.col("skewness") >= 0.5, "Right Skewed (Positive)").otherwise("Left Skewed (Negative)"))
+    shape = (F.when(F.abs("skewness") < 0.5, "symmetric")
+             .when(F.col("skewness") >= 0.5, "right").otherwise("left"))
     return u.select("column", F.round("mean", 2).alias("mean"), F.round("median", 2).alias("median"),
                     F.round("skewness", 2).alias("skewness"), F.round("kurtosis", 2).alias("kurtosis"),
                     shape.alias("shape"))
@@ -342,9 +343,10 @@ def box_summary(df: DataFrame, col: str, by: list[str] | None = None) -> DataFra
     d = df.select(*by, x.alias("__x")).filter(F.col("__x").isNotNull())
     for k in by:
         d = d.filter(F.col(k).isNotNull())
-    q = d.groupBy(*by).agg(F.count("__x").alias("n"), F.min("__x").alias("min"),
-                           F.percentile("__x", 0.25).alias("q1"), F.median("__x").alias("median"),
-                           F.percentile("__x", 0.75).alias("q3"), F.max("__x").alias("max"))
+    q = d.groupBy(*by).agg(F.count("__x").alias("n"), F.min("__x").alias("min"), F.max("__x").alias("max"))
+    fives = quantiles(d, {"__q": (F.col("__x"), [0.25, 0.5, 0.75])}, by)
+    q = (q.join(fives, by) if by else q.crossJoin(fives)).select(
+        *by, "n", "min", *[F.col("__q")[i].alias(c) for i, c in enumerate(("q1", "median", "q3"))], "max")
     q = q.withColumn("lower_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("upper_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
     outl = d.join(q.select(*by, "lower_fence", "upper_fence"), by, "inner") if by else \

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crease.functions.columns import assign_role
+from crease.operators.scan import quantiles
 
 
 def _flag(cond: Column) -> Column:
@@ -80,7 +81,7 @@ def win_matrix(df: DataFrame, a: str = "side_a", b: str = "side_b", winner: str
 def pair_record(df: DataFrame, a: str = "side_a", b: str = "side_b", winner: str = "winner") -> DataFrame:
     """All pairs at once: matches in either order, wins of each side, other results."""
     lo, hi = F.least(a, b), F.greatest(a, b)
-    return (df.groupBy(lo.alias("team_a"), hi.alias("team_b"))
+    return (df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(lo.alias("team_a"), hi.alias("team_b"))
               .agg(F.count(F.lit(1)).alias("total"),
                    F.sum(_flag(F.col(winner) == lo)).cast("long").alias("a_wins"),
                    F.sum(_flag(F.col(winner) == hi)).cast("long").alias("b_wins"))
@@ -96,7 +97,7 @@ def pair_history(df: DataFrame, team_a, team_b, a: str = "side_a", b: str = "sid
 
 def batting_career(log: DataFrame, batter: str = "batter", runs: str = "runs", ball: str = "seq") -> DataFrame:
     """Per batter: runs, balls (non-null ball ids), fours, sixes."""
-    return log.groupBy(batter).agg(F.sum(runs).cast("long").alias("runs"), F.count(ball).alias("balls"),
+    return log.filter(F.col(batter).isNotNull()).groupBy(batter).agg(F.sum(runs).cast("long").alias("runs"), F.count(ball).alias("balls"),
                                    F.count_if(F.col(runs) == 4).alias("fours"),
                                    F.count_if(F.col(runs) == 6).alias("sixes"))
 
@@ -104,7 +105,7 @@ def batting_career(log: DataFrame, batter: str = "batter", runs: str = "runs", b
 def two_level_aggregate(log: DataFrame, batter: str = "batter", match: str = "match_id",
                         runs: str = "runs", fifty: int = 50, hundred: int = 100) -> DataFrame:
     """Per (batter, match) runs, then per batter: high score, #50-99, #>=100."""
-    per = log.groupBy(batter, match).agg(F.sum(runs).alias("__r"))
+    per = log.filter(F.col(batter).isNotNull() & F.col(match).isNotNull()).groupBy(batter, match).agg(F.sum(runs).alias("__r"))
     return per.groupBy(batter).agg(F.max("__r").cast("long").alias("high_score"),
                                    F.count_if((F.col("__r") >= fifty) & (F.col("__r") < hundred)).alias("fifties"),
                                    F.count_if(F.col("__r") >= hundred).alias("hundreds"))
@@ -113,7 +114,7 @@ def two_level_aggregate(log: DataFrame, batter: str = "batter", match: str = "ma
 def bowling_career(log: DataFrame, bowler: str = "bowler", wicket: str = "dismissal", runs: str = "runs",
                    ball: str = "seq") -> DataFrame:
     """Per bowler: dismissals (non-null), balls, runs conceded, economy = runs / balls x 6."""
-    s = log.groupBy(bowler).agg(F.count(wicket).alias("wickets"), F.count(ball).alias("balls_bowled"),
+    s = log.filter(F.col(bowler).isNotNull()).groupBy(bowler).agg(F.count(wicket).alias("wickets"), F.count(ball).alias("balls_bowled"),
                                 F.sum(runs).cast("long").alias("runs_conceded"))
     return s.withColumn("econ", F.when(F.col("balls_bowled") > 0,
                                        F.col("runs_conceded") / F.col("balls_bowled") * 6.0).otherwise(F.lit(0.0)))
@@ -123,7 +124,8 @@ def best_figures(log: DataFrame, bowler: str = "bowler", match: str = "match_id"
                  runs: str = "runs") -> DataFrame:
     """Per bowler the match maximising 100 x wickets - runs, as text 'w/r'
     (ties -> smaller match id)."""
-    per = log.groupBy(bowler, match).agg(F.count(wicket).alias("w"), F.sum(runs).alias("r"))
+    per = log.filter(F.col(bowler).isNotNull() & F.col(match).isNotNull()) \
+        .groupBy(bowler, match).agg(F.count(wicket).alias("w"), F.sum(runs).alias("r"))
     key = F.struct((F.col("w") * 100 - F.col("r")).alias("s"), (-F.col(match)).alias("m"))
     best = per.groupBy(bowler).agg(F.max_by(F.struct("w", "r"), key).alias("__b"))
     return best.select(bowler, F.concat_ws("/", F.col("__b.w").cast("string"), F.col("__b.r").cast("string"))
@@ -179,7 +181,7 @@ def batter_form(log: DataFrame, batter: str = "batter", runs: str = "runs", extr
     """Per batter: runs, balls faced (wides excluded), fours, sixes; batters with
     >= min_balls; strike rate and boundary %."""
     not_wide = ~F.coalesce(F.col(extra).contains("wides"), F.lit(False))
-    s = (log.groupBy(batter).agg(F.sum(runs).cast("long").alias("runs"), F.count_if(not_wide).alias("balls"),
+    s = (log.filter(F.col(batter).isNotNull()).groupBy(batter).agg(F.sum(runs).cast("long").alias("runs"), F.count_if(not_wide).alias("balls"),
                                  F.count_if(F.col(runs) == 4).alias("fours"), F.count_if(F.col(runs) == 6).alias("sixes"))
             .filter(F.col("balls") >= min_balls))
     return s.select("*", (F.col("runs") / F.col("balls") * 100.0).alias("strike_rate"),
@@ -193,7 +195,7 @@ def bowler_form(log: DataFrame, bowler: str = "bowler", wicket_flag: Column | No
     wf = wicket_flag if wicket_flag is not None else F.lit(0)
     vb = valid_ball if valid_ball is not None else F.lit(1)
     rr = runs if runs is not None else F.lit(0)
-    s = (log.groupBy(bowler).agg(F.sum(F.coalesce(wf, F.lit(0))).cast("long").alias("wickets"),
+    s = (log.filter(F.col(bowler).isNotNull()).groupBy(bowler).agg(F.sum(F.coalesce(wf, F.lit(0))).cast("long").alias("wickets"),
                                  F.sum(F.coalesce(vb, F.lit(1))).cast("long").alias("balls"),
                                  F.sum(F.coalesce(rr, F.lit(0))).cast("double").alias("runs"))
             .filter(F.col("balls") >= min_balls))
@@ -255,12 +257,14 @@ def group_mean_profile(df: DataFrame, group: str, metrics: list[str], labels: di
     return s.withColumn("label", archetype_label(group, labels)) if labels else s
 
 
-def category_aggregate(df: DataFrame, cat: str, num: str, how: str = "mean", top: int = 20,
-                       refuse_over: int = 50) -> DataFrame:
-    """Mean or median of ``num`` per category; with more than ``top`` categories
-    only the ``top`` most frequent are kept (a chart cap; the refusal above
-    ``refuse_over`` is left to the caller, since counting is the same pass)."""
+def category_aggregate(df: DataFrame, cat: str, num: str, how: str = "mean", top: int | None = None) -> DataFrame:
+    """Mean or median of ``num`` per category, of all or (for a chart) of the
+    ``top`` most frequent ones."""
     d = df.filter(F.col(cat).isNotNull() & F.col(num).isNotNull())
-    keep = top_k_counts(d, cat, top).select(cat)
-    agg = F.avg(num) if how == "mean" else F.median(num)
-    return d.join(keep, cat, "left_semi").groupBy(cat).agg(agg.alias(f"{how}_{num}")).orderBy(F.desc(f"{how}_{num}"))
+    if top is not None:
+        d = d.join(top_k_counts(d, cat, top).select(cat), cat, "left_semi")
+    if how == "mean":
+        out = d.groupBy(cat).agg(F.avg(num).alias(f"{how}_{num}"))
+    else:
+        out = quantiles(d, {"__q": (F.col(num), [0.5])}, [cat]).select(cat, F.col("__q")[0].alias(f"{how}_{num}"))
+    return out.orderBy(F.desc(f"{how}_{num}"))

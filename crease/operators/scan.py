@@ -23,6 +23,8 @@ from pyspark.sql import types as T
 _BLK = "__blk"
 # Quantile accuracy of the block boundaries (only balance depends on it).
 _ACCURACY = 10000
+# Strings drawn per block for the boundaries of a string axis.
+_STRINGS_PER_BLOCK = 40
 
 
 def _n_blocks(df: DataFrame, n_blocks: int | None) -> int:
@@ -41,16 +43,13 @@ def _numeric_projection(df: DataFrame, col: str | Column) -> Column:
     if isinstance(dt, T.DateType):
         return F.unix_date(c).cast("double")
     if isinstance(dt, T.StringType):
-        # First 6 bytes as a big-endian number: exact in a double, binary order.
-        b = F.substring(F.encode(c, "UTF-8"), 1, 6)
-        padded = F.rpad(F.hex(b), 12, "0")
-        return F.conv(padded, 16, 10).cast("double")
+        return c  # strings are compared as strings
     if isinstance(dt, T.BooleanType):
         return c.cast("int").cast("double")
     return c.cast("double")
 
 
-def _bucket(x: Column, bounds: list[float]) -> Column:
+def _bucket(x: Column, bounds: list) -> Column:
     """Number of boundaries <= x (binary search as a CASE tree); null -> -1."""
 
     def build(lo: int, hi: int) -> Column:
@@ -66,12 +65,27 @@ def block_boundaries(df: DataFrame, x: Column, n_blocks: int) -> list[float]:
     """Distinct approximate quantiles of ``x`` (at most n_blocks - 1 values)."""
     if n_blocks <= 1:
         return []
+    if isinstance(df.select(x).schema[0].dataType, T.StringType):
+        return _string_boundaries(df.select(x.alias("x")), n_blocks)
     probs = [i / n_blocks for i in range(1, n_blocks)]
     row = df.select(F.percentile_approx(x, probs, _ACCURACY).alias("q")).first()
     qs = row["q"] if row is not None else None
     return sorted({float(q) for q in (qs or []) if q is not None})
 
 
+def _string_boundaries(values: DataFrame, n_blocks: int) -> list[str]:
+    """Boundaries between strings, from at most ``_STRINGS_PER_BLOCK * n_blocks``
+    of the distinct values, drawn by hash.  Only the balance depends on them."""
+    size = _STRINGS_PER_BLOCK * n_blocks
+    known = values.filter(F.col("x").isNotNull())
+    total = known.agg(F.approx_count_distinct("x")).first()[0]
+    near = F.shiftrightunsigned(F.xxhash64("x"), 24)
+    if total > size:
+        known = known.filter(near < int((1 << 40) * (2 * size / total)))
+    drawn = sorted(r[0] for r in known.distinct().limit(2 * size).collect())
+    return sorted({drawn[i * len(drawn) // n_blocks] for i in range(1, n_blocks)}) if drawn else []
+
+
 def order_bounds(df: DataFrame, order_col: str, n_blocks: int | None = None) -> list[float]:
     """Block boundaries of an order column, to share between several running
     totals over the same axis (computed once from a cheap source, e.g. the base
@@ -88,14 +102,24 @@ def running_totals(df: DataFrame, keys: list[str], order: list[str | Column],
     order column must be numeric, date/time or string.  Empty sums are 0.
     ``bounds`` (from ``order_bounds``) skips the boundary pass over ``df``; any
     boundaries give the same result, they only set the balance of the blocks.
+    Rows whose first order value is null come first; where there are any, the
+    second order column cuts them into blocks of their own.
     """
     n = _n_blocks(df, n_blocks)
     tmp = {name: f"__v_{name}" for name in values}
     x = _numeric_projection(df, order[0])
     if bounds is None:
         bounds = block_boundaries(df, x, n)
-    base = df.select("*", *[expr.alias(tmp[name]) for name, expr in values.items()],
-                     _bucket(x, bounds).alias(_BLK))
+        blank = df.filter(F.col(order[0]).isNull()) if isinstance(order[0], str) and len(order) > 1 \
+            and isinstance(order[1], str) else None
+        second = order_bounds(blank, order[1], n) if blank is not None and df.schema[order[0]].nullable else []
+    else:
+        second = []
+    block = _bucket(x, bounds)
+    if second:
+        within = _bucket(_numeric_projection(df, order[1]), second)
+        block = F.when(x.isNull(), within - len(second) - 1).otherwise(block)
+    base = df.select("*", *[expr.alias(tmp[name]) for name, expr in values.items()], block.alias(_BLK))
 
     w_local = Window.partitionBy(*keys, _BLK).orderBy(*order)
     frame = w_local.rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
@@ -133,6 +157,45 @@ def rank_histogram(df: DataFrame, value: str, keys: list[str] | None = None,
     return cum.select(*keys, value, "ties", (F.col("below") + (F.col("ties") + 1) / 2.0).alias("avg_rank"))
 
 
+def quantiles(df: DataFrame, wanted: dict[str, tuple[Column, list[float]]], by: list[str] | None = None,
+              n_blocks: int | None = None) -> DataFrame:
+    """Exact linearly interpolated quantiles: ``by`` columns plus, per ``name ->
+    (value, probabilities)``, an array column (null where a group has no value).
+
+    No group's values meet in one buffer: values are counted per distinct value,
+    a blocked running count gives their positions, and every quantile picks the
+    two neighbouring positions by a conditional maximum.  Without ``by`` the
+    result is one row, without rows too.
+    """
+    by = by or []
+    long = df.select(*by, F.explode(F.array(*[F.struct(F.lit(name).alias("c"), value.cast("double").alias("x"))
+                                              for name, (value, _) in wanted.items()])).alias("__e")) \
+        .select(*by, F.col("__e.c").alias("__c"), F.col("__e.x").alias("__x")).filter(F.col("__x").isNotNull())
+    hist = long.groupBy(*by, "__c", "__x").agg(F.count(F.lit(1)).alias("__held"))
+    at = running_totals(hist, [*by, "__c"], ["__x"], {"__before": F.col("__held")}, n_blocks=n_blocks)
+    sizes = hist.groupBy(*[F.col(k).alias(f"__by{i}") for i, k in enumerate(by)], F.col("__c").alias("__of")) \
+        .agg(F.sum("__held").alias("__size"))
+    same = [F.col(k).eqNullSafe(F.col(f"__by{i}")) for i, k in enumerate(by)] + [F.col("__c") == F.col("__of")]
+    probs = sorted({p for _, ps in wanted.values() for p in ps})
+    holds = lambda place: F.max(F.when((F.col("__before") <= place) &
+                                       (place < F.col("__before") + F.col("__held")), F.col("__x")))
+    picked = at.join(sizes, same).groupBy(*by, "__c").agg(
+        F.first("__size").alias("__size"),
+        *[agg for i, p in enumerate(probs) for place in [(F.col("__size") - 1) * F.lit(float(p))]
+          for agg in (holds(F.floor(place)).alias(f"__lo{i}"), holds(F.ceil(place)).alias(f"__hi{i}"))])
+    value = {p: F.when(F.col(f"__lo{i}") == F.col(f"__hi{i}"), F.col(f"__lo{i}")).otherwise(
+        F.col(f"__lo{i}") * (1 - frac) + F.col(f"__hi{i}") * frac)
+        for i, p in enumerate(probs) for frac in [F.pmod((F.col("__size") - 1) * F.lit(float(p)), F.lit(1.0))]}
+    return picked.groupBy(*by).agg(*[
+        F.max(F.when(F.col("__c") == name, F.array(*[value[p] for p in ps]))).alias(name) for name, (_, ps) in wanted.items()])
+
+
+def modes(df: DataFrame, wanted: dict[str, Column]) -> dict:
+    """Most frequent non-null value per name (ties: the smallest), by counts per value."""
+    return {name: (df.select(value.alias("v")).filter(F.col("v").isNotNull()).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+                   .agg(F.min_by("v", F.struct(-F.col("n"), F.col("v")))).first()[0]) for name, value in wanted.items()}
+
+
 def average_rank(df: DataFrame, value: str, keys: list[str] | None = None,
                  rank_col: str = "avg_rank", n_blocks: int | None = None) -> DataFrame:
     """``df`` with the average rank of ``value`` within ``keys`` (null -> null)."""

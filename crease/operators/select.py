@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crease.operators.profile import is_missing, is_numeric, present
+from crease.operators.scan import quantiles
 
 ID_COLUMNS = ["match_id", "id", "index"]
 MI_BINS = 10
@@ -18,7 +19,8 @@ def feature_screen(df: DataFrame, target: str | None = None) -> DataFrame:
     """Per column except the target, in the reference's order: missing > 40 % ->
     Remove; numeric with variance (n-1) < 0.001 or undefined -> Remove; other
     columns with <= 1 distinct value -> Remove; other columns whose name has 'id'
-    and whose values are all distinct -> Remove; else Select."""
+    and whose values are all distinct -> Remove; else Select.  ``reason`` is a code
+    (missing, flat, constant, identifier, ok); the numbers behind it are columns."""
     cols = [c for c in df.columns if c != target]
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for c in cols:
@@ -36,20 +38,15 @@ def feature_screen(df: DataFrame, target: str | None = None) -> DataFrame:
             v = F.col(f"`{c}__v`")
             low = v.isNull() | F.isnan(v) | (v < 0.001)
             status = F.when(pct > 40.0, "Remove").when(low, "Remove").otherwise("Select")
-            reason = (F.when(pct > 40.0, F.format_string("High missing values (%.1f%%). Imputation might bias model.", pct))
-                      .when(low, F.format_string("Extremely low variance (%.5f). Feature provides no predictive signal.",
-                                                 F.coalesce(v, F.lit(float("nan")))))
-                      .otherwise("Good feature candidate."))
+            reason = F.when(pct > 40.0, "missing").when(low, "flat").otherwise("ok")
             var = F.round(F.coalesce(v, F.lit(float("nan"))), 4)
         else:
             d = F.col(f"`{c}__d`")
             is_id = "id" in c.lower()
             status = (F.when(pct > 40.0, "Remove").when(d <= 1, "Remove")
                       .when(F.lit(is_id) & (d == n), "Remove").otherwise("Select"))
-            reason = (F.when(pct > 40.0, F.format_string("High missing values (%.1f%%). Imputation might bias model.", pct))
-                      .when(d <= 1, "Constant column. Values do not change.")
-                      .when(F.lit(is_id) & (d == n), "Unique Identifier (High-cardinality index with no physical signal).")
-                      .otherwise("Good feature candidate."))
+            reason = (F.when(pct > 40.0, "missing").when(d <= 1, "constant")
+                      .when(F.lit(is_id) & (d == n), "identifier").otherwise("ok"))
             var = F.lit(None).cast("double")
         cells.append(F.struct(F.lit(c).alias("feature"), status.alias("status"), reason.alias("reason"),
                               var.alias("variance"), F.round(pct, 2).alias("missing_percentage")))
@@ -66,13 +63,15 @@ def mutual_information(df: DataFrame, features: list[str], target: str, bins: in
     d = df.filter(F.col(target).isNotNull())
     probs = [i / bins for i in range(1, bins)]
     numeric = [c for c in features + [target] if is_numeric(d, c)]
-    cuts_row = d.agg(*[F.percentile(present(d, c).cast("double"), probs).alias(f"{c}__q") for c in numeric],
-                     *[F.median(present(d, c).cast("double")).alias(f"{c}__med") for c in numeric])
-    j = d.crossJoin(F.broadcast(cuts_row))  # one row of cut points
+    j = d
+    if numeric:
+        cuts = quantiles(d, {f"{c}__q": (present(d, c), probs) for c in numeric} |
+                         {f"{c}__med": (present(d, c), [0.5]) for c in numeric})
+        j = d.crossJoin(F.broadcast(cuts))  # one row of cut points
 
     def code(c):
         if c in numeric:
-            x = F.coalesce(present(d, c).cast("double"), F.col(f"{c}__med"))
+            x = F.coalesce(present(d, c).cast("double"), F.col(f"{c}__med")[0])
             return F.size(F.filter(F.col(f"{c}__q"), lambda q: q < x)).cast("string")
         return F.coalesce(F.col(c).cast("string"), F.lit("Missing_Val"))
 
@@ -115,7 +114,8 @@ def pca(df: DataFrame, k: int = 2, target: str | None = None, id_col: str | None
     if cols is None:
         cols = [c for c in df.columns if is_numeric(df, c) and c != target and c not in ID_COLUMNS and c != id_col]
     k = max(1, min(k, len(cols)))
-    meds = df.agg(*[F.median(present(df, c).cast("double")).alias(c) for c in cols]).first().asDict()
+    meds = {c: v[0] if v else None
+            for c, v in quantiles(df, {c: (present(df, c), [0.5]) for c in cols}).first().asDict().items()}
     filled = df.select(*([id_col] if id_col else []), *([target] if target else []),
                        *[F.coalesce(present(df, c).cast("double"), F.lit(meds[c] if meds[c] is not None else 0.0))
                          .alias(c) for c in cols])

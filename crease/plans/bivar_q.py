@@ -3,6 +3,9 @@ comparison (DuckDB has no t/F/chi-square CDF); they are unit-tested instead."""
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crease.operators import bivariate as B
@@ -149,17 +152,23 @@ _PS = """d AS (SELECT o_orderpriority AS x, o_orderstatus AS y FROM orders WHERE
   AND o_orderstatus IS NOT NULL)"""
 
 
-@register("crosstab", with_ctes(_PS, """c AS (SELECT x, y, COUNT(*) AS cnt FROM d GROUP BY x, y)""", body="""
+def _with_total(orders):
+    """Orders with a level that is named like a margin."""
+    return orders.withColumn("o_orderpriority", F.when(F.col("o_orderkey") % 50 == 0, "Total").otherwise(F.col("o_orderpriority")))
+
+
+@register("crosstab", with_ctes("""d AS (SELECT CASE WHEN o_orderkey % 50 = 0 THEN 'Total' ELSE o_orderpriority END AS x,
+  o_orderstatus AS y FROM orders WHERE o_orderstatus IS NOT NULL AND (o_orderpriority IS NOT NULL OR o_orderkey % 50 = 0))""", """c AS (SELECT x, y, COUNT(*) AS cnt FROM d GROUP BY x, y)""", body="""
 SELECT x AS o_orderpriority, y AS o_orderstatus, cnt AS count,
   ROUND(cnt * 100.0 / SUM(cnt) OVER (PARTITION BY x), 6) AS row_pct,
   ROUND(cnt * 100.0 / SUM(cnt) OVER (PARTITION BY y), 6) AS col_pct,
-  ROUND(cnt * 100.0 / SUM(cnt) OVER (), 6) AS total_pct FROM c
-UNION ALL SELECT x, 'Total', SUM(cnt), NULL, NULL, NULL FROM c GROUP BY x
-UNION ALL SELECT 'Total', y, SUM(cnt), NULL, NULL, NULL FROM c GROUP BY y
-UNION ALL SELECT 'Total', 'Total', SUM(cnt), NULL, NULL, NULL FROM c"""))
+  ROUND(cnt * 100.0 / SUM(cnt) OVER (), 6) AS total_pct, FALSE AS margin FROM c
+UNION ALL SELECT x, 'Total', SUM(cnt), NULL, NULL, NULL, TRUE FROM c GROUP BY x
+UNION ALL SELECT 'Total', y, SUM(cnt), NULL, NULL, NULL, TRUE FROM c GROUP BY y
+UNION ALL SELECT 'Total', 'Total', SUM(cnt), NULL, NULL, NULL, TRUE FROM c"""))
 def q_crosstab(spark, sf):
-    c = B.crosstab(table(spark, sf, "orders"), "o_orderpriority", "o_orderstatus")
-    return c.select("o_orderpriority", "o_orderstatus", "count", _r("row_pct"), _r("col_pct"), _r("total_pct"))
+    c = B.crosstab(_with_total(table(spark, sf, "orders")), "o_orderpriority", "o_orderstatus")
+    return c.select("o_orderpriority", "o_orderstatus", "count", _r("row_pct"), _r("col_pct"), _r("total_pct"), "margin")
 
 
 def _chi_sql(src: str, yates: bool) -> str:
@@ -223,5 +232,11 @@ def q_box_by_category(spark, sf):
 
 @register("bivariate_auto")
 def q_bivariate_auto(spark, sf):
-    res = B.bivariate_auto(table(spark, sf, "orders"), "o_orderpriority", "o_orderstatus")
-    return res["crosstab"]
+    """All three branches of the dispatch, every result as (pair, result, row as JSON)."""
+    orders = table(spark, sf, "orders").withColumn("cents", F.col("o_totalprice") % 1000)
+    parts = []
+    for x, y in (("o_totalprice", "cents"), ("o_orderpriority", "o_totalprice"), ("o_orderpriority", "o_orderstatus")):
+        for name, out in B.bivariate_auto(orders, x, y).items():
+            parts.append(out.select(F.lit(f"{x} / {y}").alias("pair"), F.lit(name).alias("result"),
+                                    F.to_json(F.struct(*[F.col(c) for c in out.columns])).alias("row")))
+    return reduce(DataFrame.unionAll, parts)

@@ -37,26 +37,21 @@ _EMB = """e AS (SELECT vec_id, CAST(label AS VARCHAR) AS c, CAST(embedding[1] AS
   CAST(embedding[2] AS DOUBLE) AS x1, CAST(embedding[3] AS DOUBLE) AS x2 FROM embeddings)"""
 
 
-@register("feature_screen", with_ctes(DIRTY_ORDERS_SQL, body="""
-SELECT 'o_orderkey' AS feature, CASE WHEN VAR_SAMP(o_orderkey) < 0.001 THEN 'Remove' ELSE 'Select' END AS status,
-  CASE WHEN VAR_SAMP(o_orderkey) < 0.001 THEN 'low' ELSE 'Good feature candidate.' END AS reason,
-  ROUND(VAR_SAMP(o_orderkey), 1) AS variance, ROUND((COUNT(*) - COUNT(o_orderkey)) * 100.0 / COUNT(*), 2) AS missing_percentage
-FROM dirty_orders
-UNION ALL
-SELECT 'amount', CASE WHEN VAR_SAMP(amount) < 0.001 THEN 'Remove' ELSE 'Select' END,
-  'Good feature candidate.', ROUND(VAR_SAMP(amount), 1), ROUND((COUNT(*) - COUNT(amount)) * 100.0 / COUNT(*), 2)
-FROM dirty_orders
-UNION ALL
-SELECT 'priority', CASE WHEN (COUNT(*) - COUNT(priority)) * 100.0 / COUNT(*) > 40 OR COUNT(DISTINCT priority) <= 1
-  THEN 'Remove' ELSE 'Select' END, 'Good feature candidate.', NULL, ROUND((COUNT(*) - COUNT(priority)) * 100.0 / COUNT(*), 2)
-FROM dirty_orders
-UNION ALL
-SELECT 'sparse', 'Remove', printf('High missing values (%.1f%%). Imputation might bias model.',
-  (COUNT(*) - COUNT(sparse)) * 100.0 / COUNT(*)), ROUND(VAR_SAMP(sparse), 1),
-  ROUND((COUNT(*) - COUNT(sparse)) * 100.0 / COUNT(*), 2) FROM dirty_orders
-UNION ALL
-SELECT 'league', 'Remove', 'Constant column. Values do not change.', NULL,
-  ROUND((COUNT(*) - COUNT(league)) * 100.0 / COUNT(*), 2) FROM dirty_orders"""))
+def _screen_sql(column, numeric):
+    missing = f"(COUNT(*) - COUNT({column})) * 100.0 / COUNT(*)"
+    if numeric:
+        tests = f"WHEN {missing} > 40 THEN 'missing' WHEN VAR_SAMP({column}) IS NULL OR VAR_SAMP({column}) < 0.001 THEN 'flat'"
+    else:
+        tests = (f"WHEN {missing} > 40 THEN 'missing' WHEN COUNT(DISTINCT {column}) <= 1 THEN 'constant' "
+                 f"WHEN '{column}' LIKE '%id%' AND COUNT(DISTINCT {column}) = COUNT(*) THEN 'identifier'")
+    variance = f"ROUND(VAR_SAMP({column}), 1)" if numeric else "NULL"
+    return f"""SELECT feature, CASE WHEN reason = 'ok' THEN 'Select' ELSE 'Remove' END AS status, reason, variance, missing_percentage
+FROM (SELECT '{column}' AS feature, CASE {tests} ELSE 'ok' END AS reason, {variance} AS variance,
+  ROUND({missing}, 2) AS missing_percentage FROM dirty_orders)"""
+
+
+@register("feature_screen", with_ctes(DIRTY_ORDERS_SQL, body="\nUNION ALL\n".join(
+    _screen_sql(c, n) for c, n in (("o_orderkey", True), ("amount", True), ("priority", False), ("sparse", True), ("league", False)))))
 def q_feature_screen(spark, sf):
     # variances near 1e10 agree across engines to ~15 digits: compare at 1 dp
     return S.feature_screen(dirty_orders(spark, sf), target="o_orderstatus").withColumn(

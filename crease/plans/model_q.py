@@ -160,14 +160,14 @@ def q_coefficients(spark, sf):
 
 @register("cross_validate")
 def q_cross_validate(spark, sf):
-    f = _cls_split(spark, sf)
+    f = _cls_split(spark, sf).filter(F.col("split") == "train")
     return M.cross_validate(f, FEATURE_COLS, "a_won", M.classifiers(1)["dt"], "match_id", folds=5)
 
 
 @register("grid_search")
 def q_grid_search(spark, sf):
     from pyspark.ml.classification import DecisionTreeClassifier
-    f = _cls_split(spark, sf)
+    f = _cls_split(spark, sf).filter(F.col("split") == "train")
     return M.grid_search(f, FEATURE_COLS, "a_won", DecisionTreeClassifier(seed=42),
                          {"maxDepth": [3, 5, 7, 10], "impurity": ["gini", "entropy"]}, "match_id", folds=5)
 
@@ -175,7 +175,7 @@ def q_grid_search(spark, sf):
 @register("random_search")
 def q_random_search(spark, sf):
     from pyspark.ml.classification import GBTClassifier
-    f = _cls_split(spark, sf)
+    f = _cls_split(spark, sf).filter(F.col("split") == "train")
     grid = {"maxIter": [100, 200, 300, 400], "maxDepth": [3, 5, 7], "stepSize": [0.01, 0.05, 0.1],
             "subsamplingRate": [0.6, 0.8, 1.0]}
     return M.grid_search(f, FEATURE_COLS, "a_won", GBTClassifier(seed=42), grid, "match_id", folds=3, sample=2)

@@ -121,15 +121,13 @@ def _audit_sql(c, n, categorical, table="dirty_orders"):
     d = f"COUNT(DISTINCT {c})"
     hc = f"({'TRUE' if categorical else 'FALSE'} AND {d} > 50)"
     idname = any(h in c.lower() for h in ("id", "name"))
-    hc_reason = "'High cardinality ID/Name column'" if idname else f"printf('High cardinality categorical (%d uniques)', {d})"
+    hc_reason = "'many ids'" if idname else "'many levels'"
     return f"""SELECT '{c}' AS feature, {m} AS missing_count, ROUND({pct}, 2) AS missing_percentage,
   {d} AS unique_values,
   CASE WHEN {d} <= 1 THEN 'Problem' WHEN {pct} > 20 THEN 'Problem' WHEN {pct} > 0 THEN 'Warning'
        WHEN {hc} THEN 'Warning' ELSE 'Good' END AS status,
-  CASE WHEN {d} <= 1 THEN 'Constant column (no variance)'
-       WHEN {pct} > 20 THEN printf('High missing values (%.1f%%)', {pct})
-       WHEN {pct} > 0 THEN printf('Contains missing values (%.1f%%)', {pct})
-       WHEN {hc} THEN {hc_reason} ELSE '' END AS reason
+  CASE WHEN {d} <= 1 THEN 'constant' WHEN {pct} > 20 THEN 'missing' WHEN {pct} > 0 THEN 'gaps'
+       WHEN {hc} THEN {hc_reason} ELSE 'ok' END AS reason
 FROM {table}"""
 
 
@@ -147,7 +145,7 @@ SCORE_SQL = with_ctes(DIRTY_ORDERS_SQL, f"audit AS ({AUDIT_BODY})", """dup AS (
     COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM dirty_orders) d) AS duplicate_rows FROM dirty_orders)""",
                       body="""
 SELECT total_rows, CAST(6 AS BIGINT) AS total_columns, duplicate_rows,
-  (SELECT COUNT(*) FROM audit WHERE reason = 'Constant column (no variance)') AS constant_columns,
+  (SELECT COUNT(*) FROM audit WHERE reason = 'constant') AS constant_columns,
   CAST(3 AS BIGINT) AS numerical_features_count, CAST(3 AS BIGINT) AS categorical_features_count,
   CAST(0 AS BIGINT) AS date_features_count, CAST(0 AS BIGINT) AS boolean_features_count,
   (SELECT COUNT(*) FROM audit WHERE status = 'Problem') AS problems,
@@ -199,8 +197,8 @@ def q_univariate_categorical(spark, sf):
 SHAPE_SQL = with_ctes(DIRTY_ORDERS_SQL, body=_union([
     f"""SELECT '{c}' AS "column", ROUND(AVG({c}), 2) AS mean, ROUND(MEDIAN({c}), 2) AS median,
   ROUND(SKEWNESS({c}), 2) AS skewness, ROUND(KURTOSIS({c}), 2) AS kurtosis,
-  CASE WHEN ABS(SKEWNESS({c})) < 0.5 THEN 'Approximately Symmetric (Normal)'
-       WHEN SKEWNESS({c}) >= 0.5 THEN 'Right Skewed (Positive)' ELSE 'Left Skewed (Negative)' END AS shape
+  CASE WHEN ABS(SKEWNESS({c})) < 0.5 THEN 'symmetric'
+       WHEN SKEWNESS({c}) >= 0.5 THEN 'right' ELSE 'left' END AS shape
 FROM dirty_orders HAVING COUNT({c}) >= 3""" for c in NUM]))
 
 

@@ -25,38 +25,6 @@ def scan_csv(spark: SparkSession, path: str, schema=None, infer: bool = True) ->
     return strip_column_names(r.csv(path))
 
 
-def scan_excel(spark: SparkSession, path: str) -> DataFrame:
-    """First sheet of .xlsx/.xls workbooks as a job: the files are listed and read
-    by Spark (binaryFile), each workbook parsed inside a task.  Needs openpyxl
-    (xlsx) / xlrd (xls) on the executors; other suffixes are rejected."""
-    if not path.lower().rstrip("/*").endswith((".xlsx", ".xls")) and "*" not in path:
-        raise ValueError("only .xlsx / .xls files are supported")
-    try:
-        import openpyxl  # noqa: F401
-    except ImportError as e:  # pragma: no cover - environment dependent
-        raise ImportError("scan_excel needs openpyxl") from e
-    files = spark.read.format("binaryFile").load(path)
-
-    def parse(it):
-        import io
-
-        import pandas as pd
-        for pdf in it:
-            for content in pdf["content"]:
-                sheet = pd.read_excel(io.BytesIO(content), sheet_name=0, dtype=str)
-                yield sheet.rename(columns=lambda c: str(c).strip())
-
-    sample = files.limit(1).collect()  # header of one workbook gives the schema (metadata only)
-    if not sample:
-        raise ValueError("no workbook found")
-    import io
-
-    import pandas as pd
-    cols = [str(c).strip() for c in pd.read_excel(io.BytesIO(sample[0]["content"]), sheet_name=0, nrows=0).columns]
-    schema = ", ".join(f"`{c}` string" for c in cols)
-    return files.select("content").mapInPandas(parse, schema)
-
-
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
