@@ -34,12 +34,15 @@ def bounded_sample(rows: DataFrame, size: int, *keys: str) -> DataFrame:
     return near.dropDuplicates(["__hash"]).orderBy("__hash").limit(size).drop("__hash")
 
 
+_ZIP, _UNZIP = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def squeeze(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(data)
+    return _ZIP.compress(data)
 
 
 def unsqueeze(data: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(data)
+    return _UNZIP.decompress(data)
 
 
 def pack_ints(values: np.ndarray) -> bytes:

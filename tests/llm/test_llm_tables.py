@@ -111,37 +111,43 @@ def test_shards_round_trip(spark, tmp_path):
     import base64
     import public_tokenizers as P
     import tiktoken
-    from crease.llm.shards import Order, read_shards, record_type, write_shards
+    from crease.llm.shards import read_shards, record_type, write_shards
     with open(P.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
         lib = tiktoken.Encoding("own", pat_str=P.PATTERN, special_tokens={},
                                 mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, f)})
     own = [(901, None), (902, ""), (None, "a null id"), (903, "two  spaces \n and\ttabs "), (903, "two  spaces \n and\ttabs ")]
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionAll(spark.createDataFrame(own, SCHEMA)) \
         .withColumn("slot", F.lit(1)).withColumn("shard", F.lit(2))
-    folder, length, per_shard = str(tmp_path / "out"), 100, 250
-    total = write_shards(docs, folder, length=length, per_shard=per_shard)
-    rows = read_shards(spark, folder, length, per_shard).collect()
+    folder, length, per_shard = str(tmp_path / "out"), 100, 700
+    assert write_shards(docs, folder, length=length, per_shard=per_shard)
+    rows = read_shards(spark, folder, length).collect()
     expected = sorted((-1 if r.doc_id is None else r.doc_id, k // length, tuple(ids[k:k + length]))
                       for r in docs.collect() for ids in [lib.encode_ordinary(r.text or "")] for k in range(0, len(ids), length))
+    total = len(expected)
     assert sorted((r.doc_id, r["at"], tuple(np.frombuffer(bytes(r.ids), "<u2").tolist())) for r in rows) == expected
-    assert sorted(r.slot for r in rows) == list(range(total)) and len(expected) == total
+    assert sorted(r.slot for r in rows) == list(range(total))
     size = record_type(length).itemsize
     files = {int(p.parent.name.split("=")[1]): p for p in (tmp_path / "out").glob("shard=*/part-*")}
-    assert sorted(files) == list(range(-(-total // per_shard)))
-    assert all(p.stat().st_size == size * min(per_shard, total - k * per_shard) for k, p in files.items())
-    later = read_shards(spark, folder, length, per_shard, first_slot=333).collect()
+    assert len(files) > 3 and sum(p.stat().st_size for p in files.values()) == size * total
+    for r in rows[:50]:
+        with open(files[r.shard], "rb") as f:
+            f.seek(r.offset)
+            assert np.frombuffer(f.read(8), "<i8")[0] == r.doc_id
+    later = read_shards(spark, folder, length, first_slot=333).collect()
     assert sorted(r.slot for r in later) == list(range(333, total))
-    again = str(tmp_path / "again")
+    # the order is that of the permutation over what the bytes have room for, and it hangs on the key alone
+    again, other = str(tmp_path / "again"), str(tmp_path / "other")
     write_shards(docs, again, length=length, per_shard=per_shard)
-    same = read_shards(spark, again, length, per_shard).collect()
-    assert sorted(map(tuple, same), key=lambda r: r[0]) == sorted(map(tuple, rows), key=lambda r: r[0])
-    assert Order(total, "epoch-0").slot(np.arange(total)).max() == total - 1
+    write_shards(docs, other, key="epoch-1", length=length, per_shard=per_shard)
+    by_slot = [{r.slot: (r.doc_id, r["at"]) for r in read_shards(spark, f, length).collect()} for f in (again, other)]
+    assert by_slot[0] == {r.slot: (r.doc_id, r["at"]) for r in rows}
+    assert sum(by_slot[0][s] != by_slot[1][s] for s in by_slot[0]) > 0.9 * total
 
 
 def test_shards_of_nothing(spark, tmp_path):
     from crease.llm.shards import write_shards
-    assert write_shards(_empty(spark), str(tmp_path / "none")) == 0
-    assert write_shards(spark.createDataFrame([(1, None), (2, "")], SCHEMA), str(tmp_path / "none")) == 0
+    assert not write_shards(_empty(spark), str(tmp_path / "none"))
+    assert not write_shards(spark.createDataFrame([(1, None), (2, "")], SCHEMA), str(tmp_path / "none"))
 
 
 def test_surrogates_are_consistent_and_distinct(spark):
