@@ -27,14 +27,24 @@ _DL = """dl AS (SELECT l.doc_id, l.quality, d.n_chars, CASE WHEN d.n_chars > 200
   FROM labels l JOIN documents d ON d.doc_id = l.doc_id)"""
 
 
-def embedding_dims(spark, sf, dims=3):
+#: Entries of an embedding.
+DIMENSIONS = 64
+
+
+def embedding_dims(spark, sf, dims=DIMENSIONS):
     e = table(spark, sf, "embeddings")
     return e.select("vec_id", F.col("label").cast("string").alias("label"),
                     *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(dims)])
 
 
-_EMB = """e AS (SELECT vec_id, CAST(label AS VARCHAR) AS c, CAST(embedding[1] AS DOUBLE) AS x0,
-  CAST(embedding[2] AS DOUBLE) AS x1, CAST(embedding[3] AS DOUBLE) AS x2 FROM embeddings)"""
+_ALL = range(DIMENSIONS)
+_EMB = "e AS (SELECT vec_id, CAST(label AS VARCHAR) AS c, " + \
+    ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}" for i in _ALL) + " FROM embeddings)"
+
+
+def _square(a, b):
+    """Squared distance of two points or centroids, by their column prefixes."""
+    return " + ".join(f"({a}{i} - {b}{i}) ^ 2" for i in _ALL)
 
 
 def _screen_sql(column, numeric):
@@ -86,19 +96,19 @@ def q_target_correlation(spark, sf):
 
 @register("pca")
 def q_pca(spark, sf):
-    proj, _ = S.pca(embedding_dims(spark, sf, 8), k=3, id_col="vec_id", cols=[f"e{i}" for i in range(8)])
+    proj, _ = S.pca(embedding_dims(spark, sf), k=3, id_col="vec_id", cols=[f"e{i}" for i in _ALL])
     return proj
 
 
 @register("pca_explained")
 def q_pca_explained(spark, sf):
-    _, ratios = S.pca(embedding_dims(spark, sf, 8), k=3, id_col="vec_id", cols=[f"e{i}" for i in range(8)])
+    _, ratios = S.pca(embedding_dims(spark, sf), k=3, id_col="vec_id", cols=[f"e{i}" for i in _ALL])
     return ratios
 
 
 @register("pca_2d_scaled")
 def q_pca_2d_scaled(spark, sf):
-    proj, _ = S.pca_2d_scaled(embedding_dims(spark, sf, 8), [f"e{i}" for i in range(8)], id_col="vec_id")
+    proj, _ = S.pca_2d_scaled(embedding_dims(spark, sf), [f"e{i}" for i in _ALL], id_col="vec_id")
     return proj
 
 
@@ -199,24 +209,24 @@ def q_confusion_matrix(spark, sf):
 
 
 @register("silhouette_sq", with_ctes(_EMB, """pr AS (SELECT a.vec_id, a.c, b.c AS c2,
-  (a.x0 - b.x0) ^ 2 + (a.x1 - b.x1) ^ 2 + (a.x2 - b.x2) ^ 2 AS d FROM e a JOIN e b ON a.vec_id <> b.vec_id)""",
+  """ + _square("a.x", "b.x") + """ AS d FROM e a JOIN e b ON a.vec_id <> b.vec_id)""",
                                      """per AS (SELECT vec_id, c, c2, AVG(d) AS md FROM pr GROUP BY 1, 2, 3)""",
                                      """pt AS (SELECT vec_id, MAX(CASE WHEN c = c2 THEN md END) AS a,
   MIN(CASE WHEN c <> c2 THEN md END) AS b FROM per GROUP BY vec_id)""", body="""
 SELECT ROUND(AVG(CASE WHEN a IS NULL THEN 0.0 ELSE (b - a) / GREATEST(a, b) END), 6) AS silhouette_sq FROM pt"""))
 def q_silhouette_sq(spark, sf):
-    s = E.silhouette_sq(embedding_dims(spark, sf), ["e0", "e1", "e2"], "label")
+    s = E.silhouette_sq(embedding_dims(spark, sf), [f"e{i}" for i in _ALL], "label")
     return s.select(_r("silhouette_sq"))
 
 
-@register("davies_bouldin", with_ctes(_EMB, """cent AS (SELECT c, AVG(x0) m0, AVG(x1) m1, AVG(x2) m2 FROM e GROUP BY c)""",
-                                      """s AS (SELECT e.c, AVG(SQRT((x0 - m0) ^ 2 + (x1 - m1) ^ 2 + (x2 - m2) ^ 2)) AS s
+@register("davies_bouldin", with_ctes(_EMB, "cent AS (SELECT c, " + ", ".join(f"AVG(x{i}) m{i}" for i in _ALL) + " FROM e GROUP BY c)",
+                                      """s AS (SELECT e.c, AVG(SQRT(""" + _square("x", "m") + """)) AS s
   FROM e JOIN cent USING (c) GROUP BY e.c)""", """cs AS (SELECT * FROM cent JOIN s USING (c))""", body="""
 SELECT ROUND(AVG(r), 6) AS davies_bouldin FROM (
-  SELECT a.c, MAX((a.s + b.s) / SQRT((a.m0 - b.m0) ^ 2 + (a.m1 - b.m1) ^ 2 + (a.m2 - b.m2) ^ 2)) AS r
+  SELECT a.c, MAX((a.s + b.s) / SQRT(""" + _square("a.m", "b.m") + """)) AS r
   FROM cs a JOIN cs b ON a.c <> b.c GROUP BY a.c) t"""))
 def q_davies_bouldin(spark, sf):
-    d = E.davies_bouldin(embedding_dims(spark, sf), ["e0", "e1", "e2"], "label")
+    d = E.davies_bouldin(embedding_dims(spark, sf), [f"e{i}" for i in _ALL], "label")
     return d.select(_r("davies_bouldin"))
 
 

@@ -12,7 +12,7 @@ from crease.operators import cluster as K
 from crease.operators import models as M
 from crease.operators.history import elo_rating
 from crease.operators.prepare import scale_standard, train_test_split
-from crease.plans.eval_q import embedding_dims
+from crease.plans.eval_q import DIMENSIONS, _square, embedding_dims
 from crease.plans.history_q import FEATURE_COLS, FEATURES_SQL, match_feature_table, step_table
 from crease.plans.registry import register, with_ctes
 from crease.session import checkpoint_dir
@@ -20,7 +20,7 @@ from crease.sources.fixtures import contests
 
 R6 = 6
 STEP_FEATURES = ["over", "cum_runs", "cum_wickets", "run_rate", "venue_enc", "overs_limit"]
-DIMS = ["e0", "e1", "e2"]
+DIMS = [f"e{i}" for i in range(DIMENSIONS)]
 
 
 def _reg_split(spark, sf):
@@ -247,16 +247,24 @@ def q_decision_grid(spark, sf):
 # clustering
 # ---------------------------------------------------------------------------
 
-def _emb_scaled(spark, sf):
-    return scale_standard(embedding_dims(spark, sf), DIMS)
+# The dense-cell grid of DBSCAN is for few dimensions: its query clusters on three of them.
+DBSCAN_DIMS = DIMS[:3]
 
 
-_EMB_Z = ["""e0 AS (SELECT vec_id, CAST(label AS VARCHAR) AS label, CAST(embedding[1] AS DOUBLE) AS a,
-  CAST(embedding[2] AS DOUBLE) AS b, CAST(embedding[3] AS DOUBLE) AS c FROM embeddings)""",
-          """st AS (SELECT AVG(a) ma, STDDEV_POP(a) sa, AVG(b) mb, STDDEV_POP(b) sb, AVG(c) mc, STDDEV_POP(c) sc FROM e0)""",
-          """e AS (SELECT vec_id AS id, label, (a - ma) / sa AS x0, (b - mb) / sb AS x1, (c - mc) / sc AS x2 FROM e0, st)"""]
+def _emb_scaled(spark, sf, dims=DIMS):
+    return scale_standard(embedding_dims(spark, sf, len(dims)), dims)
 
-DBSCAN_SQL = "WITH RECURSIVE " + ",\n".join(_EMB_Z + [
+
+def _emb_z(n):
+    each = lambda f: ", ".join(f(i) for i in range(n))
+    return [f"e0 AS (SELECT vec_id, CAST(label AS VARCHAR) AS label, {each(lambda i: f'CAST(embedding[{i + 1}] AS DOUBLE) AS v{i}')} "
+            "FROM embeddings)",
+            f"st AS (SELECT {each(lambda i: f'AVG(v{i}) m{i}, STDDEV_POP(v{i}) s{i}')} FROM e0)",
+            f"e AS (SELECT vec_id AS id, label, {each(lambda i: f'(v{i} - m{i}) / s{i} AS x{i}')} FROM e0, st)"]
+
+
+_EMB_Z = _emb_z(len(DIMS))
+DBSCAN_SQL = "WITH RECURSIVE " + ",\n".join(_emb_z(3) + [
     """pr AS (SELECT p.id AS a, q.id AS b FROM e p JOIN e q
   ON (p.x0 - q.x0) * (p.x0 - q.x0) + (p.x1 - q.x1) * (p.x1 - q.x1) + (p.x2 - q.x2) * (p.x2 - q.x2) <= 0.25)""",
     """core AS (SELECT a AS id FROM pr GROUP BY a HAVING COUNT(*) >= 5)""",
@@ -273,7 +281,7 @@ FROM e LEFT JOIN cl ON cl.id = e.id LEFT JOIN border ON border.id = e.id"""
 
 @register("dbscan", DBSCAN_SQL)
 def q_dbscan(spark, sf):
-    return K.dbscan(_emb_scaled(spark, sf), "vec_id", DIMS, eps=0.5, min_samples=5)
+    return K.dbscan(_emb_scaled(spark, sf, DBSCAN_DIMS), "vec_id", DBSCAN_DIMS, eps=0.5, min_samples=5)
 
 
 _SPLIT = """sp AS (SELECT *, ROW_NUMBER() OVER (ORDER BY ((id % 1000003 + 42) * 2654435761) % 1000003, id) - 1 AS pos,
@@ -281,7 +289,7 @@ _SPLIT = """sp AS (SELECT *, ROW_NUMBER() OVER (ORDER BY ((id % 1000003 + 42) *
 
 KNN_SQL = with_ctes(*_EMB_Z, _SPLIT, """tr AS (SELECT * FROM sp WHERE pos >= ntest)""", """te AS (SELECT * FROM sp WHERE pos < ntest)""",
                     """nb AS (SELECT * FROM (SELECT t.id AS tid, r.id AS rid, r.label,
-  ROW_NUMBER() OVER (PARTITION BY t.id ORDER BY SQRT((t.x0 - r.x0) ^ 2 + (t.x1 - r.x1) ^ 2 + (t.x2 - r.x2) ^ 2), r.id) AS rk
+  ROW_NUMBER() OVER (PARTITION BY t.id ORDER BY SQRT(""" + _square("t.x", "r.x") + """), r.id) AS rk
   FROM te t, tr r) z WHERE rk <= 7)""", """v AS (SELECT tid, label, COUNT(*) AS n FROM nb GROUP BY tid, label)""", body="""
 SELECT tid AS vec_id, CAST(FIRST(label ORDER BY n DESC, CAST(label AS DOUBLE)) AS DOUBLE) AS prediction,
   ROUND(MAX(n) / 7.0, 6) AS vote_share FROM v GROUP BY tid""")
@@ -299,8 +307,8 @@ def q_knn_classify(spark, sf):
 SIMILAR_SQL = with_ctes(*_EMB_Z, """q AS (SELECT label, MIN(id) AS qid FROM e GROUP BY label)""", body="""
 SELECT query_id, similar_id, ROUND(dist, 6) AS dist, CAST(rk AS INT) AS rank FROM (
   SELECT q.qid AS query_id, m.id AS similar_id,
-    SQRT((a.x0 - m.x0) ^ 2 + (a.x1 - m.x1) ^ 2 + (a.x2 - m.x2) ^ 2) AS dist,
-    ROW_NUMBER() OVER (PARTITION BY q.qid ORDER BY SQRT((a.x0 - m.x0) ^ 2 + (a.x1 - m.x1) ^ 2 + (a.x2 - m.x2) ^ 2), m.id) AS rk
+    SQRT(""" + _square("a.x", "m.x") + """) AS dist,
+    ROW_NUMBER() OVER (PARTITION BY q.qid ORDER BY SQRT(""" + _square("a.x", "m.x") + """), m.id) AS rk
   FROM q JOIN e a ON a.id = q.qid JOIN e m ON m.label = a.label AND m.id <> a.id) t WHERE rk <= 5""")
 
 

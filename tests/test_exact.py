@@ -116,3 +116,42 @@ def test_decision_grid_fills_other_features_with_their_means(spark):
     model = fit_pipeline(df, ["a", "b", "c"], "y", LinearRegression())
     out = decision_grid(model, df, "a", "b", steps=4).collect()
     assert len(out) == 16 and {round(r["c"], 9) for r in out} == {2.0}
+
+
+def _nearest(train, test, k):
+    out = {}
+    for t, q in test:
+        if all(v is not None for v in q):
+            far = sorted((np.sqrt(sum((a - b) ** 2 for a, b in zip(q, p))), r) for r, p in train if all(v is not None for v in p))
+            out[t] = [r for _, r in far[:k]]
+    return {t: v for t, v in out.items() if v}
+
+
+@pytest.mark.parametrize("dims", [1, 3, 64])
+def test_knn_ends_and_is_exact(spark, dims):
+    """A third of the rows on one point, a far test row, null features, ties, blocks smaller than a cell."""
+    from crease.operators.cluster import knn_neighbours
+    draw = np.random.default_rng(dims)
+    train = [(i, draw.normal(size=dims).round(3).tolist()) for i in range(200)] + [(i, [0.5] * dims) for i in range(200, 300)] + \
+        [(300, [None] + [0.0] * (dims - 1))]
+    test = [(1000 + i, draw.normal(size=dims).round(3).tolist()) for i in range(30)] + \
+        [(2000, [1e6] * dims), (2001, [None] * dims), (2002, [0.5] * dims)]
+    names = [f"x{i}" for i in range(dims)]
+    frame = lambda rows: spark.createDataFrame([(i, *p) for i, p in rows],
+                                               "id long, " + ", ".join(f"{c} double" for c in names))
+    got = defaultdict(list)
+    for r in sorted(knn_neighbours(frame(train), frame(test), "id", names, k=7, pivots=12, block=16).collect(),
+                    key=lambda r: (r["test_id"], r["rank"])):
+        got[r["test_id"]].append(r["train_id"])
+    assert got == _nearest(train, test, 7)
+    assert knn_neighbours(frame(train[:0]), frame(test), "id", names).count() == 0
+    assert knn_neighbours(frame(train), frame(test[:0]), "id", names).count() == 0
+    assert knn_neighbours(frame(train[:3]), frame(test[:1]), "id", names, k=7).count() == 3
+
+
+def test_dbscan_takes_null_features_as_noise(spark):
+    from crease.operators.cluster import dbscan
+    rows = [(i, 0.01 * i, 0.0) for i in range(6)] + [(6, None, 0.0), (7, 9.0, 9.0)]
+    got = {r["id"]: (r["dbscan_cluster"], r["is_core"]) for r in dbscan(spark.createDataFrame(rows, "id int, x double, y double"),
+                                                                        "id", ["x", "y"], 0.5, 5).collect()}
+    assert got == {**{i: (0, True) for i in range(6)}, 6: (-1, False), 7: (-1, False)}
