@@ -134,21 +134,11 @@ def elo_table(spark: SparkSession, max_n: int, k: float = ELO_K, r0: float = ELO
     ).alias("starts"))
     chunks = starts.select(F.posexplode("starts").alias("c", "r_start"))
 
-    def expand(it):
-        import pandas as pd
-        for pdf in it:
-            ns, rs = [], []
-            for c, r in zip(pdf["c"].tolist(), pdf["r_start"].tolist()):
-                first = c * chunk + 1
-                last = min(max_n, (c + 1) * chunk)
-                for n in range(first, last + 1):
-                    r = r + k * (1.0 - 1.0 / (1.0 + 10.0 ** ((ELO_OPPONENT - r) / ELO_SCALE)))
-                    ns.append(n)
-                    rs.append(r)
-            yield pd.DataFrame({"n": pd.Series(ns, dtype="int64"), "rating": pd.Series(rs, dtype="float64")})
-
     n_parts = max(1, min(n_chunks, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    return chunks.repartition(n_parts, "c").mapInPandas(expand, "n long, rating double")
+    walk = F.aggregate(F.sequence(F.lit(1), F.lit(chunk)), F.array("r_start"),
+                       lambda acc, _x: F.concat(acc, F.array(_elo_step(F.element_at(acc, -1), k))))
+    return chunks.repartition(n_parts, "c").select("c", F.posexplode(F.slice(walk, 2, chunk)).alias("i", "rating")) \
+        .select((F.col("c") * chunk + F.col("i") + 1).cast("long").alias("n"), "rating").filter(F.col("n") <= max_n)
 
 
 def _awards(matches: DataFrame, award: str, winner: str) -> DataFrame:

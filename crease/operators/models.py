@@ -201,17 +201,23 @@ class AdaBoostModel:
         self.stumps, self.alphas, self.features, self.classes = stumps, alphas, features, classes
 
     def transform(self, df: DataFrame) -> DataFrame:
-        va = VectorAssembler(inputCols=self.features, outputCol="features", handleInvalid="keep")
-        cur = va.transform(df).withColumn("__votes", F.array(*[F.lit(0.0) for _ in self.classes]))
-        for i, (stump, alpha) in enumerate(zip(self.stumps, self.alphas)):
-            p = stump.transform(cur).withColumnRenamed("prediction", "__p")
-            p = p.drop("rawPrediction", "probability")
-            cur = p.withColumn("__votes", F.transform(
-                "__votes", lambda v, k: v + F.when(F.col("__p") == F.element_at(F.array(*[F.lit(c) for c in self.classes]), k + 1),
-                                                  F.lit(alpha)).otherwise(F.lit(0.0)))).drop("__p")
+        """``df`` with the class of most votes: every stump is one comparison, so
+        all of them are one expression per class, not a stage each."""
+        votes = [reduce(lambda a, b: a + b, [F.when(_stump(s, self.features) == F.lit(float(c)), F.lit(w)).otherwise(F.lit(0.0))
+                                             for s, w in zip(self.stumps, self.alphas)], F.lit(0.0)) for c in self.classes]
+        cur = df.withColumn("__votes", F.array(*votes))
         best = F.array_position("__votes", F.array_max("__votes"))
-        cls = F.element_at(F.array(*[F.lit(c) for c in self.classes]), best.cast("int"))
-        return cur.withColumn("prediction", cls).drop("features")
+        return cur.withColumn("prediction", F.element_at(F.array(*[F.lit(float(c)) for c in self.classes]), best.cast("int")))
+
+
+def _stump(model, features: list[str]) -> Column:
+    """Prediction of a tree of one split, as an expression."""
+    root = model._call_java("rootNode")
+    if model.numNodes == 1:
+        return F.lit(float(root.prediction()))
+    split, left, right = root.split(), float(root.leftChild().prediction()), float(root.rightChild().prediction())
+    x = F.col(features[split.featureIndex()]).cast("double")
+    return F.when(x <= float(split.threshold()), F.lit(left)).otherwise(F.lit(right))
 
 
 def adaboost(train: DataFrame, features: list[str], label: str, n_estimators: int = 100,

@@ -230,9 +230,21 @@ def q_davies_bouldin(spark, sf):
     return d.select(_r("davies_bouldin"))
 
 
-@register("pred_vs_actual")
+def _pairs_sql():
+    from crease.plans.history_q import _MT
+    from crease.sources.fixtures import DELIVERIES_SQL
+    return with_ctes(DELIVERIES_SQL, _MT, _STEPS, """p AS (SELECT match_id * 10 + ov AS row_id, final_score, run_rate * 7 AS yhat
+  FROM steps)""", body="""
+SELECT row_id, CAST(final_score AS DOUBLE) AS final_score, ROUND(yhat, 6) AS yhat,
+  (SELECT CAST(LEAST(MIN(final_score), MIN(yhat)) AS DOUBLE) FROM p) AS lo,
+  (SELECT ROUND(GREATEST(MAX(final_score), MAX(yhat)), 6) FROM p) AS hi
+FROM p ORDER BY ((row_id % 1000003 + 42) * 2654435761) % 1000003, row_id LIMIT 500""")
+
+
+@register("pred_vs_actual", _pairs_sql())
 def q_pred_vs_actual(spark, sf):
     s = step_table(spark, sf).withColumn("yhat", F.col("run_rate") * F.col("overs_limit")) \
                             .withColumn("row_id", F.col("match_id") * 10 + F.col("over"))
-    pts, _ = E.pred_vs_actual(s, "final_score", "yhat", "row_id")
-    return pts
+    pts, bounds = E.pred_vs_actual(s, "final_score", "yhat", "row_id")
+    return pts.crossJoin(bounds).select("row_id", F.col("final_score").cast("double"), _r("yhat"),  # one row of bounds
+                                        F.round(F.col("lo").cast("double"), 6).alias("lo"), F.round("hi", 6).alias("hi"))

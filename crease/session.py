@@ -16,6 +16,8 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # superseded checkpoints (component rounds, boosting weights) go with their DataFrames
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -155,3 +155,29 @@ def test_dbscan_takes_null_features_as_noise(spark):
     got = {r["id"]: (r["dbscan_cluster"], r["is_core"]) for r in dbscan(spark.createDataFrame(rows, "id int, x double, y double"),
                                                                         "id", ["x", "y"], 0.5, 5).collect()}
     assert got == {**{i: (0, True) for i in range(6)}, 6: (-1, False), 7: (-1, False)}
+
+
+def test_dbscan_of_many_equal_points(spark):
+    """Equal points count as often as they stand, in three and in five dimensions."""
+    from crease.operators.cluster import dbscan
+    for dims in (3, 5):
+        names = [f"x{i}" for i in range(dims)]
+        rows = [(i, *[1.0] * dims) for i in range(50, 450)] + [(i, *[0.2 * i] * dims) for i in range(4)] + [(900, *[50.0] * dims)]
+        df = spark.createDataFrame(rows, "id int, " + ", ".join(f"{c} double" for c in names))
+        got = {r["id"]: (r["dbscan_cluster"], r["is_core"]) for r in dbscan(df, "id", names, eps=0.3, min_samples=5).collect()}
+        assert len(got) == len(rows) and {got[i] for i in range(50, 450)} == {(0, True)}
+        assert {got[i] for i in range(4)} == {(-1, False)} and got[900] == (-1, False)
+
+
+def test_stump_votes_equal_the_models(spark):
+    from crease.operators.models import _stump, adaboost
+    draw = np.random.default_rng(2)
+    rows = [(float(a), float(b), float(a + 0.3 * b > 0)) for a, b in draw.normal(size=(200, 2))]
+    df = spark.createDataFrame(rows, "a double, b double, y double")
+    model = adaboost(df, ["a", "b"], "y", n_estimators=4)
+    from pyspark.ml.feature import VectorAssembler
+    wide = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    for stump in model.stumps:
+        out = stump.transform(wide).withColumn("own", _stump(stump, ["a", "b"]))
+        assert out.filter("prediction <> own").count() == 0
+    assert model.transform(df).filter("prediction = y").count() > 150

@@ -286,6 +286,6 @@ def test_dbscan_dense_cells_vs_all_pairs(spark, dims):
     df = spark.createDataFrame(rows, "id long, " + ", ".join(f"{c} double" for c in cols))
     for eps, ms in [(0.3, 5), (0.2, 8)]:
         got = sorted(tuple(r) for r in dbscan(df, "id", cols, eps, ms).collect())
-        want = sorted(tuple(r) for r in _dbscan_pairs(df, "id", cols, eps, ms, "dbscan_cluster").collect())
+        want = sorted(tuple(r) for r in _dbscan_pairs(df.withColumn("w", F.lit(1)), cols, eps, ms).collect())
         assert got == want
         assert len({c for _, c, _ in got if c >= 0}) >= 2
