@@ -22,6 +22,8 @@ ELO_K = 32.0
 ELO_R0 = 1500.0
 ELO_OPPONENT = 1500.0
 ELO_SCALE = 400.0
+# A dictionary of at most this many values is broadcast.
+BROADCAST_ROWS = 50_000
 
 
 def _flag(cond: Column) -> Column:
@@ -227,29 +229,55 @@ def match_features(matches: DataFrame, a: str = "side_a", b: str = "side_b",
     """The classifier's input table: encodings, toss flags, season index,
     prior h2h and venue wins, running strengths and the target ``a_won``."""
     from crease.operators.prepare import dictionary_codes
+    from crease.session import checkpoint_dir
 
     order = order or ["ts", "match_id"]
-    teams = (matches.select(F.col(a).alias("v")).unionAll(matches.select(F.col(b).alias("v")))
-             .unionAll(matches.select(F.col(toss_winner).alias("v"))))
-    team_codes = dictionary_codes(teams, "v")
-    venue_codes = dictionary_codes(matches.select(F.col(venue).alias("v")), "v")
-
-    bounds = order_bounds(matches, order[0])  # one pass over the order column, shared below
-    # Each running feature is computed from the base table (narrow projection) and
-    # joined back on the order key, so the plan grows linearly, not by doubling.
-    h = h2h_prior_wins(matches.select(*order, a, b, winner), a, b, winner, order, out="a_h2h_wins",
-                       bounds=bounds).select(*order, "a_h2h_wins")
-    v = venue_prior_wins(matches.select(*order, venue, a, winner), a, venue, winner, order, out="venue_a_wins",
-                         bounds=bounds).select(*order, "venue_a_wins")
-    s = team_strength_running(matches.select(*order, a, b, winner, award), a, b, winner, award, order,
-                              bounds=bounds).select(*order, f"{a}_strength", f"{b}_strength")
-    df = matches.join(h, order).join(v, order).join(s, order)
-    df = (df.withColumn("a_won", _flag(F.col(winner) == F.col(a)))
-            .withColumn("toss_bat_first", _flag(F.col(toss_decision) == "bat"))
-            .withColumn("toss_winner_is_a", _flag(F.col(toss_winner) == F.col(a)))
-            .withColumn("season_idx", F.col(season).cast("int") - base_season))
+    checkpoint_dir(matches.sparkSession)
+    used = list(dict.fromkeys([*order, a, b, winner, venue, toss_winner, award]))
+    base = matches.select(*used).checkpoint()  # the narrow table is read once; all below goes on from it
+    bounds = order_bounds(base, order[0])
+    rating = elo_history(base.select(*order, award, winner), award, winner, order, bounds=bounds) \
+        .select(*order, F.col("rating_after").alias("__rating"))
+    lo, hi = F.least(a, b), F.greatest(a, b)
+
+    def entry(at: str, kind: str, k1: Column, k2: Column, v1: Column, v2: Column) -> Column:
+        return F.struct(F.lit(at).alias("__at"), F.lit(kind).alias("__kind"), k1.cast("string").alias("__k1"),
+                        k2.cast("string").alias("__k2"), v1.cast("double").alias("__v1"), v2.cast("double").alias("__v2"))
+
+    def gained(side: str) -> tuple[Column, Column]:
+        got = (F.col(side) == F.col(winner)) & F.col("__rating").isNotNull()
+        return F.when(got, F.col("__rating")).otherwise(F.lit(0.0)), F.coalesce(_flag(got), F.lit(0))
+
+    # every running feature is a running sum over (kind, key): one blocked scan of the long form
+    none = F.lit("")
+    long = base.join(rating, order, "left").select(*order, F.explode(F.array(
+        entry("pair", "pair", lo, hi, _flag(F.col(winner) == lo), _flag(F.col(winner) == hi)),
+        entry("venue", "venue", F.col(venue), F.col(a), _flag(F.col(winner) == F.col(a)), F.lit(0)),
+        entry("a", "side", F.col(a), none, *gained(a)), entry("b", "side", F.col(b), none, *gained(b)))).alias("__e")) \
+        .select(*order, "__e.*").checkpoint()
+    sums = running_totals(long, ["__kind", "__k1", "__k2"], order, {"__s1": F.col("__v1"), "__s2": F.col("__v2")}, bounds=bounds)
+    of = lambda at, c: F.max(F.when(F.col("__at") == at, F.col(c)))
+    wide = sums.groupBy(*order).agg(of("pair", "__s1").alias("__lo_w"), of("pair", "__s2").alias("__hi_w"),
+                                    of("venue", "__s1").cast("long").alias("venue_a_wins"),
+                                    *[of(k, c).alias(f"__{k}{c}") for k in ("a", "b") for c in ("__s1", "__s2")])
+
+    def strength(k: str) -> Column:
+        return F.when(F.col(f"__{k}__s2") > 0, F.col(f"__{k}__s1") / F.col(f"__{k}__s2")).otherwise(F.lit(ELO_R0))
+
+    df = matches.join(wide, order)
+    df = df.select(*matches.columns, F.when(F.col(a) == lo, F.col("__lo_w")).otherwise(F.col("__hi_w")).cast("long").alias("a_h2h_wins"),
+                   "venue_a_wins", strength("a").alias(f"{a}_strength"), strength("b").alias(f"{b}_strength"),
+                   _flag(F.col(winner) == F.col(a)).alias("a_won"), _flag(F.col(toss_decision) == "bat").alias("toss_bat_first"),
+                   _flag(F.col(toss_winner) == F.col(a)).alias("toss_winner_is_a"),
+                   (F.col(season).cast("int") - base_season).alias("season_idx"))
+
+    def codes_of(values: DataFrame) -> DataFrame:
+        codes = dictionary_codes(values, "v").checkpoint()
+        return F.broadcast(codes) if codes.count() <= BROADCAST_ROWS else codes
+
+    team_codes = codes_of(base.select(F.explode(F.array(a, b, toss_winner)).alias("v")))
+    venue_codes = codes_of(base.select(F.col(venue).alias("v")))
     for col, codes in ((a, team_codes), (b, team_codes), (toss_winner, team_codes), (venue, venue_codes)):
-        # Dictionary size is not bounded a priori: AQE broadcasts it when small.
         df = df.join(codes.select(F.col("v").alias(col), F.col("code").alias(f"{col}_enc")),
                      col, "left").withColumn(f"{col}_enc", F.coalesce(f"{col}_enc", F.lit(0)))
     return df
