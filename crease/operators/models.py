@@ -21,7 +21,7 @@ import random
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
+from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, OneVsRest,
                                        NaiveBayes, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -329,21 +329,49 @@ def stacking(train: DataFrame, features: list[str], label: str, id_col: str, fol
 # L16 fit many / L20 batch scoring / L22 persistence / L23 coefficients
 # ---------------------------------------------------------------------------
 
-def _metrics_row(spark, name, pred: DataFrame, label: str, kind: str) -> DataFrame:
-    from crease.operators.evaluate import binary_metrics, regression_metrics
+def _metrics_row(spark, name, pred: DataFrame, label: str, kind: str, n_features: int = 1) -> DataFrame:
+    from crease.operators.evaluate import binary_metrics, regression_metrics, roc_auc
     if kind == "regression":
-        m = regression_metrics(pred, label, "prediction")
-        return m.select(F.lit(name).alias("model"), "mae", "rmse", "r2")
-    m = binary_metrics(pred.withColumn("__y", F.col(label).cast("double")), "__y", "prediction", positive=1.0)
-    return m.select(F.lit(name).alias("model"), "accuracy", "precision", "recall", "f1")
+        m = regression_metrics(pred, label, "prediction", n_features)
+        return m.select(F.lit(name).alias("model"), "mae", "mse", "rmse", "r2", "adj_r2")
+    if kind == "multiclass":
+        return _multiclass_row(name, pred, label)
+    pred = pred.withColumn("__y", F.col(label).cast("double"))
+    m = binary_metrics(pred, "__y", "prediction", positive=1.0)
+    auc = roc_auc(pred.withColumn("__p", vector_to_array("probability")[1]), "__y", "__p", positive=1.0).select("auc") \
+        if "probability" in pred.columns else spark.range(1).select(F.lit(None).cast("double").alias("auc"))
+    return m.crossJoin(auc).select(F.lit(name).alias("model"), "accuracy", "precision", "recall", "f1", "auc")  # single rows
+
+
+def _multiclass_row(name: str, pred: DataFrame, label: str) -> DataFrame:
+    """Accuracy, macro precision / recall / F1 and one-vs-rest AUC over the classes of ``label``."""
+    from crease.operators.evaluate import macro_metrics, roc_auc_ovr
+    scored = pred.withColumn("__y", F.col(label).cast("double")).withColumn("__p", vector_to_array(
+        "probability" if "probability" in pred.columns else "rawPrediction"))
+    size = scored.select(F.size("__p").alias("n")).first()["n"]  # classes of the model
+    scored = scored.select("__y", F.col("prediction").cast("double").alias("prediction"),
+                           *[F.col("__p")[i].alias(f"__p{i}") for i in range(size)]).checkpoint()
+    seen = sorted(r[0] for r in scored.select("__y").distinct().collect() if r[0] is not None and r[0] < size)
+    acc = scored.agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("__y") == F.col("prediction")).cast("double")).alias("accuracy"))
+    auc = roc_auc_ovr(scored, "__y", {c: f"__p{int(c)}" for c in seen})
+    return acc.crossJoin(macro_metrics(scored, "__y", "prediction")).crossJoin(auc).select(  # single rows
+        F.lit(name).alias("model"), "n", "accuracy", "macro_precision", "macro_recall", "macro_f1", F.col("macro_auc"))
+
+
+def multiclass_classifiers(n: int) -> dict:
+    """Classifiers of more than two classes; boosted trees one against the rest."""
+    pool = {k: v for k, v in classifiers(n).items() if k in ("logistic", "dt", "rf")}
+    return pool | {"gb": OneVsRest(classifier=GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.1, seed=SEED), parallelism=4)}
 
 
 def fit_many_compare(train: DataFrame, test: DataFrame, features: list[str], label: str, kind: str,
                      names: list[str] | None = None) -> tuple[DataFrame, dict]:
-    """Fit the selected algorithms on one split; metrics table (one row per model)
-    and the fitted models.  The split is cached once for all fits."""
+    """Fit the selected algorithms on one split; metrics table (one row per model,
+    ``best`` marking the largest R2, F1 or macro F1) and the fitted models.  The
+    split is cached for the fits.  ``kind``: regression, classification (labels 0
+    and 1) or multiclass (labels 0..)."""
     n = train.count()
-    pool = regressors(n) if kind == "regression" else classifiers(n)
+    pool = regressors(n) if kind == "regression" else multiclass_classifiers(n) if kind == "multiclass" else classifiers(n)
     names = names or list(pool)
     train = train.cache()
     fitted, rows = {}, []
@@ -354,8 +382,12 @@ def fit_many_compare(train: DataFrame, test: DataFrame, features: list[str], lab
         else:
             model = fit_pipeline(train, features, label, est, scale=name in SCALED)
         fitted[name] = model
-        rows.append(_metrics_row(train.sparkSession, name, model.transform(test), label, kind))
-    return reduce(DataFrame.unionByName, rows), fitted
+        rows.append(_metrics_row(train.sparkSession, name, model.transform(test), label, kind, len(features)))
+    table = reduce(DataFrame.unionByName, rows).checkpoint()  # one row per model
+    train.unpersist()
+    score = {"regression": "r2", "multiclass": "macro_f1"}.get(kind, "f1")
+    top = table.agg(F.max_by("model", F.struct(score, "model")).alias("__top"))
+    return table.crossJoin(top).withColumn("best", F.col("model") == F.col("__top")).drop("__top"), fitted
 
 
 def batch_score(models: dict, df: DataFrame, keep: list[str]) -> DataFrame:

@@ -189,6 +189,22 @@ def q_roc_auc(spark, sf):
     return a.select(_r("auc"), "n_pos", "n_neg")
 
 
+_OVR_CLASSES = (("F", 997), ("O", 787), ("P", 613))
+_OVR_SQL = with_ctes(*[f"""s{c} AS (SELECT CASE WHEN o_orderstatus = '{c}' THEN 1 ELSE 0 END AS pos,
+  RANK() OVER (ORDER BY s) + (COUNT(*) OVER (PARTITION BY s) - 1) / 2.0 AS r
+  FROM (SELECT o_orderstatus, CAST(o_orderkey * {m} % 1009 AS DOUBLE) AS s FROM orders) x)""" for c, m in _OVR_CLASSES],
+                     *[f"""a{c} AS (SELECT (SUM(CASE WHEN pos = 1 THEN r END) - SUM(pos) * (SUM(pos) + 1) / 2.0)
+  / (SUM(pos) * (COUNT(*) - SUM(pos))) AS auc FROM s{c})""" for c, _ in _OVR_CLASSES], body="""
+SELECT ROUND((aF.auc + aO.auc + aP.auc) / 3, 6) AS macro_auc FROM aF, aO, aP""")
+
+
+@register("roc_auc_ovr", _OVR_SQL)
+def q_roc_auc_ovr(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderstatus", *[
+        (F.col("o_orderkey") * m % 1009).cast("double").alias(f"s{c}") for c, m in _OVR_CLASSES])
+    return E.roc_auc_ovr(o, "o_orderstatus", {c: f"s{c}" for c, _ in _OVR_CLASSES}).select(_r("macro_auc"))
+
+
 @register("roc_curve", with_ctes(_DL, """g AS (SELECT CAST(n_chars AS DOUBLE) AS t, SUM(quality) AS p, COUNT(*) AS c FROM dl
   WHERE n_chars IS NOT NULL GROUP BY 1)""", body="""
 SELECT t AS threshold, ROUND(SUM(c - p) OVER (ORDER BY t DESC) * 1.0 / (SELECT SUM(c - p) FROM g), 6) AS fpr,

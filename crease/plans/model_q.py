@@ -103,6 +103,15 @@ def q_fit_many_compare(spark, sf):
     return metrics
 
 
+@register("fit_many_multiclass")
+def q_fit_many_multiclass(spark, sf):
+    """Which of all sides wins: the comparison table with macro metrics."""
+    d = _cls_split(spark, sf).filter(F.col("winner").isNotNull()).withColumn("won_by", F.col("winner").cast("double"))
+    tr, te = d.filter(F.col("split") == "train"), d.filter(F.col("split") == "test")
+    metrics, _ = M.fit_many_compare(tr, te, FEATURE_COLS, "won_by", "multiclass", ["logistic", "dt", "rf"])
+    return metrics
+
+
 @register("svm_rbf")
 def q_svm_rbf(spark, sf):
     from crease.operators.evaluate import binary_metrics

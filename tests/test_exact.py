@@ -181,3 +181,17 @@ def test_stump_votes_equal_the_models(spark):
         out = stump.transform(wide).withColumn("own", _stump(stump, ["a", "b"]))
         assert out.filter("prediction <> own").count() == 0
     assert model.transform(df).filter("prediction = y").count() > 150
+
+
+def test_multiclass_comparison(spark):
+    from crease.operators.models import fit_many_compare
+    draw = np.random.default_rng(4)
+    rows = [(float(a), float(b), float(int(a > 0) + int(b > 0)), k % 4) for k, (a, b) in enumerate(draw.normal(size=(400, 2)))]
+    df = spark.createDataFrame(rows, "a double, b double, y double, k int")
+    table, models = fit_many_compare(df.filter("k > 0"), df.filter("k = 0"), ["a", "b"], "y", "multiclass", ["dt", "gb"])
+    got = {r["model"]: r for r in table.collect()}
+    assert set(got) == set(models) == {"dt", "gb"} and sum(r["best"] for r in got.values()) == 1
+    for r in got.values():
+        assert r["n"] == 100 and r["accuracy"] > 0.8 and 0.7 < r["macro_f1"] <= 1 and 0.8 < r["macro_auc"] <= 1
+    pred = models["dt"].transform(df.filter("k = 0")).select("y", "prediction").collect()
+    assert got["dt"]["accuracy"] == pytest.approx(np.mean([r["y"] == r["prediction"] for r in pred]))
