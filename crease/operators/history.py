@@ -348,7 +348,7 @@ def sequence_features(log: DataFrame, match_tbl: DataFrame, match: str = "match_
     steps = _over_spine(log, mt, match, innings, over, runs, wicket, F.lit(seq_len))
     cw = F.col("__cw").cast("double")
     cr = F.col("cum_runs").cast("double")
-    vec = F.array(
+    vec = F.array(  # fixed values: the five divisors
         (F.col(over) / 19.0).cast("float"),
         F.least(cr / 300.0, F.lit(1.0)).cast("float"),
         F.least(cw / 10.0, F.lit(1.0)).cast("float"),

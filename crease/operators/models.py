@@ -45,8 +45,9 @@ def _count(df: DataFrame) -> int:
     return df.count()
 
 
+# The algorithms compared and their settings.
 def regressors(n: int) -> dict:
-    """The reference's regression set (Spark equivalents)."""
+    """The regression set."""
     return {
         "linear": LinearRegression(regParam=0.0, solver="normal"),
         "ridge": LinearRegression(regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False),
@@ -60,7 +61,7 @@ def regressors(n: int) -> dict:
 
 
 def classifiers(n: int) -> dict:
-    """The reference's classifier set (Spark equivalents)."""
+    """The classifier set (fixed values, as above)."""
     return {
         "logistic": LogisticRegression(maxIter=1000, regParam=1.0 / max(n, 1), elasticNetParam=0.0,
                                        standardization=False),

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from crease.operators.scan import quantiles, running_totals
 
+# Names of the categories of missing and of unseen values.
 MISSING = "Missing"
 UNKNOWN = "<unknown>"
-# Most distinct levels turned into one-hot columns through the driver.
+# Most distinct levels turned into columns of their own; more become one sparse vector.
 ONE_HOT_MAX_LEVELS = 1000
 
 
@@ -63,16 +64,27 @@ def one_hot(df: DataFrame, col: str, missing: str = MISSING,
             max_levels: int = ONE_HOT_MAX_LEVELS) -> DataFrame:
     """One 0/1 column ``{col}_{value}`` per distinct value (null -> Missing), no
     dropped level, source column removed.  The distinct levels become the output
-    schema, so they are fetched (bounded by ``max_levels``)."""
+    schema, so they are fetched; with more than ``max_levels`` the result is one
+    sparse vector column ``{col}_onehot`` instead, its index the level's code."""
     as_text = F.coalesce(F.col(col).cast("string"), F.lit(missing))
     levels_df = df.select(as_text.alias("v")).distinct()
     levels = [r[0] for r in levels_df.orderBy("v").limit(max_levels + 1).collect()]
     if len(levels) > max_levels:
-        raise ValueError(f"{col}: more than {max_levels} levels; use label_encode or ml OneHotEncoder")
+        return one_hot_vector(df, col, missing)
     rest = [F.col(c) for c in df.columns if c != col]
     return df.select(*rest, *[(as_text == F.lit(v)).cast("int").alias(f"{col}_{v}") for v in levels])
 
 
+def one_hot_vector(df: DataFrame, col: str, missing: str = MISSING) -> DataFrame:
+    """The one-hot code as a sparse vector ``{col}_onehot``: no level reaches the
+    driver, codes are those of ``label_encode``."""
+    from pyspark.ml.feature import OneHotEncoder
+
+    coded, _ = label_encode(df, col, missing)
+    encoder = OneHotEncoder(inputCol=col, outputCol=f"{col}_onehot", dropLast=False)
+    return encoder.fit(coded).transform(coded).drop(col)
+
+
 # ---------------------------------------------------------------------------
 # Scalers (null -> median first, as the reference does)
 # ---------------------------------------------------------------------------

@@ -195,3 +195,13 @@ def test_multiclass_comparison(spark):
         assert r["n"] == 100 and r["accuracy"] > 0.8 and 0.7 < r["macro_f1"] <= 1 and 0.8 < r["macro_auc"] <= 1
     pred = models["dt"].transform(df.filter("k = 0")).select("y", "prediction").collect()
     assert got["dt"]["accuracy"] == pytest.approx(np.mean([r["y"] == r["prediction"] for r in pred]))
+
+
+def test_one_hot_of_many_levels_is_a_sparse_vector(spark):
+    from crease.operators.prepare import one_hot
+    rows = [(k, f"v{k % 12:02d}" if k % 13 else None) for k in range(60)]
+    df = spark.createDataFrame(rows, "k int, c string")
+    levels = sorted({v or "Missing" for _, v in rows})
+    out = {r["k"]: r["c_onehot"] for r in one_hot(df, "c", max_levels=5).collect()}
+    assert all(out[k].size == len(levels) and out[k].indices.tolist() == [levels.index(v or "Missing")] for k, v in rows)
+    assert "c_v01" in one_hot(df, "c").columns
