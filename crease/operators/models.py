@@ -428,15 +428,28 @@ def _evaluator(kind: str, label: str, metric: str | None = None):
     return MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
 
 
+# Fits of a loop that run at the same time (each is a Spark job of its own).
+PARALLEL_FITS = 4
+
+
+def _at_once(fn, tasks: list) -> list:
+    """``fn`` of every task, in order, several jobs at a time."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=PARALLEL_FITS) as pool:
+        return list(pool.map(fn, tasks))
+
+
 def cross_validate(df: DataFrame, features: list[str], label: str, estimator, id_col: str, folds: int = 5,
                    kind: str = "classification", scale: bool = False, stratified: bool = True) -> DataFrame:
     """Per-fold validation score plus mean and std (population) rows."""
     f = kfold_assign(df, id_col, folds, label=label if (stratified and kind == "classification") else None).cache()
     ev = _evaluator(kind, label)
-    rows = []
-    for k in range(folds):
+
+    def score(k: int) -> tuple[int, float]:
         m = fit_pipeline(f.filter(F.col("fold") != k), features, label, estimator, scale)
-        rows.append((k, float(ev.evaluate(m.transform(f.filter(F.col("fold") == k))))))
+        return k, float(ev.evaluate(m.transform(f.filter(F.col("fold") == k))))
+
+    rows = _at_once(score, list(range(folds)))
     f.unpersist()
     spark = df.sparkSession
     scores = spark.createDataFrame(rows, "fold int, score double")
@@ -533,17 +546,22 @@ def learning_curve(df: DataFrame, features: list[str], label: str, estimator, id
     sizes = sizes or [i / 10 for i in range(1, 11)]
     f = kfold_assign(df, id_col, folds).withColumn("__h", portable_hash(F.col(id_col), 7)).checkpoint()
     ev = _evaluator(kind, label)
-    rows = []
-    for k in range(folds):
-        va = f.filter(F.col("fold") == k)
-        tr = running_totals(f.filter(F.col("fold") != k), [], ["__h", id_col], {"__pos": F.lit(1)},
-                            exclusive=True).checkpoint()
-        n_tr = tr.count()
-        for frac in sizes:
-            part = tr.filter(F.col("__pos") < math.floor(frac * n_tr))
-            m = fit_pipeline(part, features, label, estimator, scale)
-            rows.append((float(frac), k, float(ev.evaluate(m.transform(part))), float(ev.evaluate(m.transform(va)))))
-    f.unpersist()
+
+    def prefixes(k: int) -> DataFrame:
+        return running_totals(f.filter(F.col("fold") != k), [], ["__h", id_col], {"__pos": F.lit(1)},
+                              exclusive=True).checkpoint()
+
+    trains = _at_once(lambda k: (tr := prefixes(k), tr.count()), list(range(folds)))
+
+    def score(task: tuple[int, float]) -> tuple:
+        k, frac = task
+        tr, n_tr = trains[k]
+        part = tr.filter(F.col("__pos") < math.floor(frac * n_tr))
+        m = fit_pipeline(part, features, label, estimator, scale)
+        return (float(frac), k, float(ev.evaluate(m.transform(part))),
+                float(ev.evaluate(m.transform(f.filter(F.col("fold") == k)))))
+
+    rows = _at_once(score, [(k, frac) for k in range(folds) for frac in sizes])
     out = df.sparkSession.createDataFrame(rows, "size double, fold int, train_score double, val_score double")
     agg = out.groupBy("size").agg(F.avg("train_score").alias("train_score"), F.avg("val_score").alias("val_score"))
     gap = F.col("train_score") - F.col("val_score") if kind != "regression" else F.col("val_score") - F.col("train_score")
@@ -555,10 +573,13 @@ def depth_sweep(train: DataFrame, test: DataFrame, features: list[str], label: s
     """Train / test accuracy of a decision tree for each depth."""
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
     train = train.cache()
-    rows = []
-    for d in depths:
+
+    def score(d: int) -> tuple:
         m = fit_pipeline(train, features, label, DecisionTreeClassifier(maxDepth=d, seed=SEED))
-        rows.append((d, float(ev.evaluate(m.transform(train))), float(ev.evaluate(m.transform(test)))))
+        return d, float(ev.evaluate(m.transform(train))), float(ev.evaluate(m.transform(test)))
+
+    rows = _at_once(score, list(depths))
+    train.unpersist()
     return train.sparkSession.createDataFrame(rows, "depth int, train_accuracy double, test_accuracy double")
 
 
