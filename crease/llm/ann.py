@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from crease.llm.common import bounded_sample, cut, shuffle_width
+from crease.llm.common import bounded_sample, cut, frugal, shuffle_width
 
 TREES, LEAF, SHARD = 8, 128, 4_096
 #: Vectors of the sample on which the planes are fitted.
@@ -116,7 +116,7 @@ def _least_ids(rows: DataFrame, k: int) -> DataFrame:
                 [batch.column("h1").take(at), batch.column("h2").take(at), batch.column("v").take(at),
                  pa.array([heapq.nsmallest(k, x[1]) for x in held.values()], pa.list_(pa.int64()))], ["h1", "h2", "v", "ids"])
 
-    some = rows.mapInArrow(run, "h1 long, h2 long, v array<double>, ids array<long>")
+    some = rows.mapInArrow(frugal(run), "h1 long, h2 long, v array<double>, ids array<long>")
     return some.groupBy("h1", "h2").agg(F.min("v").alias("v"), F.flatten(F.collect_list("ids")).alias("ids")) \
         .select("h1", "h2", "v", F.slice(F.array_sort("ids"), 1, k).alias("ids"))
 
@@ -194,9 +194,9 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_
     asked = rows.filter(F.col("vec_id") % every == 0)
     queries = nodes.join(asked.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi")
     wide = shuffle_width(spark)
-    sent = nodes.select("node", "v", "ids").mapInArrow(index, _SENT) \
-        .unionAll(queries.select("node", "v", "ids").mapInArrow(route, _SENT))
-    found = sent.repartition(wide, "shard").sortWithinPartitions("shard", "kind").mapInArrow(rerank, _FOUND)
+    sent = nodes.select("node", "v", "ids").mapInArrow(frugal(index), _SENT) \
+        .unionAll(queries.select("node", "v", "ids").mapInArrow(frugal(route), _SENT))
+    found = sent.repartition(wide, "shard").sortWithinPartitions("shard", "kind").mapInArrow(frugal(rerank), _FOUND)
 
     def merge(key: tuple, table: pa.Table) -> pa.Table:
         ids = table.column("ids").combine_chunks().flatten().to_numpy(zero_copy_only=False)

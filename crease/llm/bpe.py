@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from crease.llm.common import ragged
+from crease.llm.common import frugal, ragged
 from crease.llm.wordshuffle import word_values
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -108,7 +108,7 @@ def decode(encoded: DataFrame, table: DataFrame, ids_col: str = "ids", out_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, lens = np.frombuffer(shared.value[0], np.uint8), shared.value[1]
         starts = np.cumsum(np.maximum(lens, 0)) - np.maximum(lens, 0)
-        for batch in batches:
+        for batch in (b.slice(i, 500) for b in batches for i in range(0, b.num_rows, 500)):
             decoded = []
             for value in batch.column(at):
                 ids = np.frombuffer(value.as_py() or b"", "<u4")
@@ -118,7 +118,7 @@ def decode(encoded: DataFrame, table: DataFrame, ids_col: str = "ids", out_col:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())],
                                              [*batch.schema.names, out_col])
 
-    return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField(out_col, BinaryType())]))
+    return encoded.mapInArrow(frugal(run), StructType([*encoded.schema.fields, StructField(out_col, BinaryType())]))
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,

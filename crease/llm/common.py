@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import re
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -20,6 +26,38 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small_batches(spark: SparkSession, size: int = 8 << 20) -> None:
+    """Lowers the session's Arrow batches to ``size`` bytes: rows of whole texts
+    stand in an executor's memory several times (JVM, pipe, Python, result)."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    number, unit = re.fullmatch(r"(-?\d+)([kmgt]?)b?", spark.conf.get(key).strip().lower()).groups()
+    now = int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+    if now <= 0 or now > size:
+        spark.conf.set(key, f"{size}b")
+
+
+def give_back() -> None:
+    """Returns freed memory to the system.  Python workers are used again by later
+    tasks, and what their allocators keep adds up in an executor's memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim:
+        trim(0)
+
+
+def frugal(run: Callable) -> Callable:
+    """An Arrow function over batches that leaves no memory behind in its worker."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 

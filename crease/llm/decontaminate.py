@@ -21,15 +21,17 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
+from crease.llm.common import frugal, small_batches
 from crease.llm.shingles import SHINGLE, mix, shingle_hashes
 
 CONTAINMENT, RECALL = 0.8, 0.9995
 #: Items of one pass: with at most 64 bands their tables take under 20 MB.
 SLICE = 20_000
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
-_BATCH = 2_000_000
+_BATCH = 400_000
 
 
 def band_count(containment: float = CONTAINMENT, recall: float = RECALL) -> int:
@@ -131,6 +133,7 @@ def _matches(docs: DataFrame, text_col: str, items: DataFrame, item_col: str, it
              containment: float, recall: float, slice_items: int):
     """For each slice, a function Arrow batch -> [(row, item id, containment)]."""
     spark = docs.sparkSession
+    small_batches(spark)
 
     def searcher(part):
         shared = spark.sparkContext.broadcast(part)
@@ -165,7 +168,6 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     match nothing; a repeated document row or an item id with several texts gives
     a row each; an empty table on either side gives no rows.
     """
-    from pyspark.sql.pandas.types import to_arrow_type
     out = StructType([docs.schema[id_col], items.schema[item_col], StructField("containment", DoubleType())])
 
     def one(make):
@@ -176,7 +178,7 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
                 ids = batch.column(0).take(pa.array([f[0] for f in found], pa.int64()))
                 yield pa.RecordBatch.from_arrays([ids, pa.array([f[1] for f in found], to_arrow_type(out[1].dataType)),
                                                   pa.array([f[2] for f in found], pa.float64())], out.names)
-        return docs.select(id_col, text_col).mapInArrow(run, out)
+        return docs.select(id_col, text_col).mapInArrow(frugal(run), out)
 
     passes = [one(make) for make in _matches(docs, text_col, items, item_col, item_text, n, containment, recall,
                                              slice_items)]
@@ -197,5 +199,5 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
                 keep[[f[0] for f in search(batch.column(at))]] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(frugal(run), docs.schema)
     return docs

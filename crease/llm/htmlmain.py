@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from crease.llm.common import bounded_sample
+from crease.llm.common import bounded_sample, frugal, small_batches
 
 #: Pages of the training sample, and the length up to which a page may be in it.
 SAMPLE, SAMPLE_CHARS = 150, 60_000
@@ -330,6 +330,7 @@ def extract(pages: DataFrame, field: Field, html_col: str = "html", out_col: str
     Content blocks are joined by one newline; a null or empty page and one
     without content give the empty string.  One row per row, repeated ones too.
     """
+    small_batches(pages.sparkSession)
     rest = [c for c in pages.columns if c.lower() not in (out_col.lower(), html_col.lower())]
     kept = pages.select(*rest, F.col(html_col).alias("__html"))
     out = StructType([*[f for f in kept.schema.fields if f.name != "__html"], StructField(out_col, StringType(), False)])
@@ -342,4 +343,4 @@ def extract(pages: DataFrame, field: Field, html_col: str = "html", out_col: str
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())],
                                              [*batch.schema.names[:-1], out_col])
 
-    return kept.mapInArrow(run, out)
+    return kept.mapInArrow(frugal(run), out)

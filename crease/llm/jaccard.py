@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from crease.llm.common import cut, shuffle_width, squeeze, unsqueeze
+from crease.llm.common import cut, frugal, shuffle_width, small_batches, squeeze, unsqueeze
 from crease.llm.shingles import SHINGLE, mix, shingle_hashes, words_of
 from crease.operators.cluster import connected_components
 
@@ -107,7 +107,7 @@ def _tagged(docs: DataFrame, id_col: str, text_col: str, n: int, bands: int, row
             row += m
 
     return cut(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), *content_key(id_col, text_col))
-               .mapInArrow(run, out))
+               .mapInArrow(frugal(run), out))
 
 
 def content_key(id_col: str, text_col: str):
@@ -192,12 +192,13 @@ def _verify(blocks: DataFrame, n: int, similarity: float, width: int) -> DataFra
         if rows:
             yield answer(rows)
 
-    return blocks.repartition(width, "grp", "i", "j").sortWithinPartitions("grp", "i", "j").mapInArrow(run, out)
+    return blocks.repartition(width, "grp", "i", "j").sortWithinPartitions("grp", "i", "j").mapInArrow(frugal(run), out)
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str, n: int, similarity: float, recall: float):
     """(tagged rows, classes, verified): ``classes`` has node (its smallest row),
     digest, copies and smallest id; ``verified`` has row, links, label for nodes with links."""
+    small_batches(docs.sparkSession)
     bands, rows = banding(similarity, recall)
     width = shuffle_width(docs.sparkSession)
     tagged = _tagged(docs, id_col, text_col, n, bands, rows)

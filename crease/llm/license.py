@@ -10,8 +10,11 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
+from crease.llm.common import frugal, small_batches
+
 # The base phrases and their labels.
 PHRASES = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
 
@@ -201,7 +204,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **sett
     each; a null id stays null; an empty table stays empty.  Every text is
     streamed whole; a task holds one text at a time.
     """
-    from pyspark.sql.pandas.types import to_arrow_type
+    small_batches(docs.sparkSession)
     out = StructType([docs.schema[id_col], StructField("n_words", LongType()), StructField("phrases", ArrayType(_HIT)),
                       StructField("spans", ArrayType(_SPAN))])
 
@@ -215,7 +218,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **sett
                  pa.array([[dict(zip(("label", "start", "end", "share"), s)) for s in r[2]] for r in rows],
                           to_arrow_type(out[3].dataType))], out.names)
 
-    return docs.select(F.col(id_col), F.col(text_col).cast("binary").alias("t")).mapInArrow(run, out)
+    return docs.select(F.col(id_col), F.col(text_col).cast("binary").alias("t")).mapInArrow(frugal(run), out)
 
 
 def report(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:

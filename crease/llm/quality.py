@@ -9,6 +9,7 @@ together from labels of whole documents.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from crease.llm.common import bounded_sample
+from crease.llm.common import bounded_sample, frugal, small_batches
 
 #: Words of a passage at most; bins of its bag of words.
 PASSAGE, BINS = 96, 64
@@ -24,14 +25,14 @@ PASSAGE, BINS = 96, 64
 SAMPLE, SAMPLE_CHARS = 4_000, 200_000
 _TRAITS = 10
 WIDTH = _TRAITS + 4 + BINS
-_CACHE = 400_000
+_CACHE = 200_000
 
 
 class Words:
     """Traits of words, computed once per distinct word (bounded cache)."""
 
     def __init__(self):
-        self.index, self.rows, self.bins = {}, [], []
+        self.index, self.rows, self.bins = {}, array("f"), array("B")
         self.table = None
 
     def _trait(self, word: str) -> None:
@@ -40,7 +41,7 @@ class Words:
         upper = sum(map(str.isupper, word))
         digits = sum(map(str.isdigit, word))
         odd = n - letters - digits
-        self.rows.append((min(n, 40) / 10, upper / n, digits / n, odd / n, float(odd > 1), 1 - len(word.encode("ascii", "ignore")) / n,
+        self.rows.extend((min(n, 40) / 10, upper / n, digits / n, odd / n, float(odd > 1), 1 - len(word.encode("ascii", "ignore")) / n,
                           float(upper > 1 and upper == letters), float(word[0].isupper()), float(word[-1] in ".!?"),
                           float(letters == 0)))
         self.bins.append(zlib.crc32(word.lower().encode("utf-8", "surrogatepass")) % BINS)
@@ -56,7 +57,7 @@ class Words:
                 index[w] = len(index)
                 self._trait(w)
             seqs.append(np.fromiter(map(index.__getitem__, words), np.int64, len(words)))
-        self.table = np.array(self.rows, np.float32).reshape(-1, _TRAITS)
+        self.table = np.frombuffer(self.rows.tobytes(), np.float32).reshape(-1, _TRAITS)
         return np.concatenate(seqs) if seqs else np.zeros(0, np.int64), np.array([len(s) for s in seqs], np.int64)
 
 
@@ -81,7 +82,7 @@ def passages(texts: list[str], words: Words) -> tuple[np.ndarray, np.ndarray]:
     out[:, _TRAITS] = np.sqrt(np.maximum(0, np.bincount(at, weights=length * length, minlength=n) * share - out[:, 0] ** 2))
     same = (flat[1:] == flat[:-1]) & (at[1:] == at[:-1])
     out[:, _TRAITS + 1] = np.bincount(at[1:], weights=same, minlength=n) * share if len(flat) else 0
-    bag = np.bincount(at * BINS + np.array(words.bins, np.int64)[flat], minlength=n * BINS).reshape(n, BINS) * share[:, None] \
+    bag = np.bincount(at * BINS + np.frombuffer(words.bins.tobytes(), np.uint8).astype(np.int64)[flat], minlength=n * BINS).reshape(n, BINS) * share[:, None] \
         if len(flat) else np.zeros((n, BINS))
     out[:, _TRAITS + 2] = (bag ** 2).sum(axis=1)
     out[:, _TRAITS + 3] = np.log1p(held)
@@ -187,13 +188,14 @@ def train_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "score", least: float | None = None,
-          flush_chars: int = 8_000_000) -> DataFrame:
+          flush_chars: int = 4_000_000) -> DataFrame:
     """``docs`` with the score (0 to 1) of every whole text as ``out_col``, or,
     with ``least``, the rows of at least that score, columns as they were.
 
     A null or empty text is scored as one passage without words.  One row per
     row; the model (some thousand numbers) is all that goes to every task.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
     out = docs.schema if least is not None else StructType([*docs.schema.fields, StructField(out_col, DoubleType(), False)])
@@ -221,4 +223,4 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.float64())],
                                                  [*batch.schema.names, out_col])
 
-    return docs.mapInArrow(run, out)
+    return docs.mapInArrow(frugal(run), out)

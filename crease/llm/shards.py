@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from crease.llm.bpe import ranks, read_ranks, vocabulary_path
-from crease.llm.common import shuffle_width, squeeze, unsqueeze
+from crease.llm.common import frugal, shuffle_width, small_batches, squeeze, unsqueeze
 from crease.llm.shingles import mix
 
 #: Tokens of a sequence; places of a shard (about half of them are sequences).
@@ -98,6 +98,7 @@ def write_shards(docs: DataFrame, folder: str, key: str = "epoch-0", id_col: str
     files and checkpoints do; else the write fails.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     data = read_ranks(path or vocabulary_path())
     if max(ranks(data).values()) > 0xFFFF:
         raise ValueError("a vocabulary of over 65,536 tokens does not fit 16-bit records")
@@ -145,9 +146,9 @@ def write_shards(docs: DataFrame, folder: str, key: str = "epoch-0", id_col: str
             yield pa.RecordBatch.from_arrays([batch.column("shard"), pa.array(records, pa.binary())], ["shard", "record"])
 
     to = F.floor(F.col("shard") * width / shards).cast("int")
-    texts.mapInArrow(place, given).withColumn("shard", F.floor(F.col("place") / per_shard)) \
+    texts.mapInArrow(frugal(place), given).withColumn("shard", F.floor(F.col("place") / per_shard)) \
         .repartitionById(width, to).sortWithinPartitions("shard", "place") \
-        .mapInArrow(fill, "shard long, record binary").select("shard", F.col("record").cast("string").alias("value")) \
+        .mapInArrow(frugal(fill), "shard long, record binary").select("shard", F.col("record").cast("string").alias("value")) \
         .write.partitionBy("shard").option("lineSep", "\n").option("compression", "none").text(folder)
     return True
 
@@ -185,4 +186,4 @@ def read_shards(spark: SparkSession, folder: str, length: int = LENGTH, first_sl
                          pa.array(ids, pa.binary())],
                         ["slot", "shard", "offset", "doc_id", "at", "n_tokens", "ids"])
 
-    return wanted.mapInArrow(run, "slot long, shard long, offset long, doc_id long, at long, n_tokens long, ids binary")
+    return wanted.mapInArrow(frugal(run), "slot long, shard long, offset long, doc_id long, at long, n_tokens long, ids binary")

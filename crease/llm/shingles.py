@@ -9,7 +9,7 @@ import xxhash
 
 SHINGLE = 5
 _FIND = re.compile(r"\w+").findall
-_CACHE = 500_000
+_CACHE = 100_000
 
 
 class _Hashes(dict):

@@ -29,18 +29,19 @@ import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
-from crease.llm.common import pack_ints, pack_strings, shuffle_width, unpack_ints, unpack_strings
+from crease.llm.common import frugal, give_back, pack_ints, pack_strings, shuffle_width, small_batches, unpack_ints, unpack_strings
 
 PERM, VALUES, TEXTS = 0, 1, 2
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 400_000
 
 
 def word_values(docs: DataFrame, id_col: str, text_col: str, split: Callable[[], Callable[[str], list[str]]],
                 value_of: Callable[[], Callable[[list[bytes]], list[bytes]]],
                 assemble: Callable[[list[bytes]], Callable[[np.ndarray], object]],
-                out: StructField, chunk_chars: int = 12_000_000, block_chars: int = 500_000) -> DataFrame:
+                out: StructField, chunk_chars: int = 8_000_000, block_chars: int = 500_000) -> DataFrame:
     """One row (id, ``out``) per row of ``docs``; a null text counts as empty.
 
     ``split()`` gives the function text -> words; ``value_of()`` the function
@@ -49,6 +50,7 @@ def word_values(docs: DataFrame, id_col: str, text_col: str, split: Callable[[],
     word, and gives the function from a text's word positions to its output.
     """
     id_type = docs.schema[id_col].dataType
+    small_batches(docs.sparkSession)
     buckets = max(64, 4 * shuffle_width(docs.sparkSession))
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,7 +76,6 @@ def word_values(docs: DataFrame, id_col: str, text_col: str, split: Callable[[],
         if ids:
             yield from _chunk_rows(name(), index, texts, ids, buckets, block_chars, id_arrow)
 
-    from pyspark.sql.pandas.types import to_arrow_type
     id_arrow, out_arrow = to_arrow_type(id_type), to_arrow_type(out.dataType)
     packed = StructType([StructField("dest", LongType()), StructField("kind", IntegerType()),
                          StructField("chunk", LongType()), StructField("bucket", IntegerType()),
@@ -82,7 +83,7 @@ def word_values(docs: DataFrame, id_col: str, text_col: str, split: Callable[[],
                          StructField("payload", BinaryType())])
     width = shuffle_width(docs.sparkSession)
     # One exchange for words (by bucket) and texts (by chunk): texts stay where it brings them.
-    dealt = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).mapInArrow(chunks, packed) \
+    dealt = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).mapInArrow(frugal(chunks), packed) \
         .repartition(width, "dest")
 
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,10 +121,13 @@ def word_values(docs: DataFrame, id_col: str, text_col: str, split: Callable[[],
             ids += left.column("ids")[k].as_py()
             texts.append(pa.array([place(s) for s in np.split(unpack_ints(left.column("payload")[k].as_py()), ends[:-1])],
                                   out_arrow))
-        return pa.Table.from_arrays([pa.array(ids, id_arrow), pa.chunked_array(texts, out_arrow)], ["id", out.name])
+        result = pa.Table.from_arrays([pa.array(ids, id_arrow), pa.chunked_array(texts, out_arrow)], ["id", out.name])
+        del place, texts
+        give_back()
+        return result
 
     # No filter here: it would be pushed below the exchange, which both readers are to share.
-    return dealt.groupBy("dest").cogroup(dealt.mapInArrow(values, packed).groupBy("dest")) \
+    return dealt.groupBy("dest").cogroup(dealt.mapInArrow(frugal(values), packed).groupBy("dest")) \
         .applyInArrow(back, StructType([StructField("id", id_type), out]))
 
 

@@ -260,7 +260,7 @@ def test_nearest_edges(spark):
     draw = np.random.default_rng(1)
     good = [(i, draw.normal(size=5).astype(np.float32).tolist()) for i in range(60)]
     good += [(i, [1.0, 0.5, 0.0, 0.0, 2.0]) for i in range(60, 90)]
-    bad = [(100, None), (120, [0.0] * 5), (140, [float("nan")] * 5), (160, [float("inf"), 0, 0, 0, 1]), (180, [None, 1.0, 1.0, 1.0, 1.0]),
+    bad = [(100, None), (120, [0.0] * 5), (140, [float("nan")] * 5), (160, [float("inf"), 0.0, 0.0, 0.0, 1.0]), (180, [None, 1.0, 1.0, 1.0, 1.0]),
            (200, [1.0, 2.0]), (None, [1.0] * 5), (220, [])]
     rows = search(_vectors(spark, good + bad + good[:7]), leaf=8, shard=16).collect()
     exact = _nearest(good, 20, 20)
@@ -324,3 +324,15 @@ def test_every_query_runs_by_its_name(spark, name):
     assert len(found) == 1
     out = queries()[found[0]](spark, SF)
     assert out.count() > 0 and len(set(out.columns)) == len(out.columns)
+
+
+def test_arrow_batches_are_lowered_never_raised(spark):
+    from crease.llm.common import small_batches
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    for given, expected in (("64m", 8 << 20), ("1g", 8 << 20), ("65536b", 65536), ("1m", 1 << 20)):
+        spark.conf.set(key, given)
+        small_batches(spark)
+        value = spark.conf.get(key)
+        assert value == given if expected < 8 << 20 else value == f"{expected}b"
+    spark.conf.set(key, before)
