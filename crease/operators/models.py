@@ -512,8 +512,8 @@ def regularised_cv(df: DataFrame, features: list[str], label: str, id_col: str,
         base = LinearRegression(elasticNetParam=1.0, standardization=False, maxIter=5000)
     res = grid_search(df, features, label, base, {"regParam": [reg[a] for a in alphas]}, id_col, folds=folds,
                       kind="regression", metric="r2" if kind == "ridge" else "mse").collect()
-    score = {r["params"].split("=")[1]: r["mean_score"] * (-1 if kind == "ridge" else 1) for r in res}
-    best_alpha = min(alphas, key=lambda a: score[f"{reg[a]}"])
+    score = {float(r["params"].split("=")[1]): r["mean_score"] * (-1 if kind == "ridge" else 1) for r in res}
+    best_alpha = min(alphas, key=lambda a: score[float(reg[a])])
     model = fit_pipeline(df, features, label, base.copy().setRegParam(best_alpha / max(n, 1) if kind == "ridge" else best_alpha))
     return best_alpha, model
 

@@ -130,10 +130,8 @@ def overview(df: DataFrame) -> DataFrame:
                      F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
         else:
             aggs += [F.lit(None).cast("double").alias(f"{c}__{m}") for m in ("mean", "std", "min", "max")]
-    fives = quantiles(df, {f"{c}__q": (present(df, c), [0.25, 0.5, 0.75]) for c in cols})
-    row = df.agg(*aggs).crossJoin(fives)  # single rows
-    row = row.select("*", *[F.col(f"`{c}__q`")[i].alias(f"{c}__{q}") for c in cols for i, q in enumerate(("q1", "median", "q3"))],
-                     *[(F.col("__rows") - F.col(f"{c}__non_null_count")).alias(f"{c}__missing_count")
+    row = df.agg(*aggs)
+    row = row.select("*", *[(F.col("__rows") - F.col(f"{c}__non_null_count")).alias(f"{c}__missing_count")
                             for c in cols], *[F.col("__rows").alias(f"{c}__count") for c in cols])
     metrics = ["count", "non_null_count", "missing_count", "unique_count", "mean", "std", "min", "max"]
     types = {m: "long" for m in metrics[:4]} | {m: "double" for m in metrics[4:]}

@@ -92,7 +92,9 @@ SELECT 'nb' AS model, accuracy, precision, recall,
   CASE WHEN precision + recall = 0 THEN 0.0 ELSE 2 * precision * recall / (precision + recall) END AS f1 FROM r"""
 
 
-register("gaussian_nb", _gaussian_nb_sql())(_fit_one("classification", "nb"))
+@register("gaussian_nb", _gaussian_nb_sql())
+def q_gaussian_nb(spark, sf):
+    return _fit_one("classification", "nb")(spark, sf).select("model", "accuracy", "precision", "recall", "f1")
 
 
 @register("fit_many_compare")

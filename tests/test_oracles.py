@@ -44,7 +44,7 @@ def test_rows_only(spark, name):
         if row.get("r2") is not None and name in ("linear_regression", "ridge", "dt_regressor", "fit_many_compare"):
             assert row["r2"] > 0.2, row
         if row.get("accuracy") is not None:
-            assert 0.4 < row["accuracy"] <= 1, row
+            assert (0.2 if name == "fit_many_multiclass" else 0.4) < row["accuracy"] <= 1, row  # ten classes, or two
 
 
 def test_entry(spark):
