@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -39,6 +41,24 @@ def get_session(app: str = "crease", master: str | None = None,
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application, so that they
+    can import it wherever it lies on the driver (as ``--py-files`` would)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="crease-package-")) / "crease.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(path))
+    _SHIPPED.add(sc.applicationId)
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
@@ -51,6 +71,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder; on a cluster a missing setting is an error, because a
     machine-local folder would not survive executor loss.
     """
+    ship(spark)
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
