@@ -12,11 +12,12 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crease.session import checkpoint_dir
+from crease.session import checkpoint_dir, ship
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A table of the data folder, through Spark's reader only."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -29,6 +30,7 @@ def cut(df: DataFrame) -> DataFrame:
 def small_batches(spark: SparkSession, size: int = 8 << 20) -> None:
     """Lowers the session's Arrow batches to ``size`` bytes: rows of whole texts
     stand in an executor's memory several times (JVM, pipe, Python, result)."""
+    ship(spark)
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     number, unit = re.fullmatch(r"(-?\d+)([kmgt]?)b?", spark.conf.get(key).strip().lower()).groups()
     now = int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
