@@ -11,6 +11,7 @@ and the script.
 
 from __future__ import annotations
 
+import string
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -55,6 +56,9 @@ _FAMILY = {"Latin": (["Ald", "Brem", "Car", "Dol", "Fen", "Gar", "Hol", "Lind",
            "Cyrillic": (["Бел", "Вол", "Гор", "Кор", "Лап", "Мор", "Сок", "Тих"], ["ан", "ен", "ин", "ол", "ор"],
                         ["ов", "ев", "ин"])}
 
+#: Letters and digits of a secret's further tries.
+_FREE = string.ascii_letters + string.digits
+
 
 def _byte(hexes: Column, i) -> Column:
     """The i-th byte of a 64-byte hash in hex, from 0 on and round again."""
@@ -119,12 +123,16 @@ def _surrogate(kind: Column, normal: Column, key: str, turn: int) -> Column:
     syllables = ["an", "el", "ir", "on", "ur"]
     cyrillic = ["ан", "ел", "ир", "он", "ур"]
     for (gender, script), (first, last) in _GIVEN.items():
-        extra = [_pick(cyrillic if script == "Cyrillic" else syllables, b(8 + t)) for t in range(min(turn, 8))]
+        extra = [_pick(cyrillic if script == "Cyrillic" else syllables, b(8 + t)) for t in range(turn)]
         out = out.when(kind == f"given-{gender}-{script}", F.concat(_pick(first, b(0)), *extra, _pick(last, b(1))))
     for script, (first, mid, last) in _FAMILY.items():
-        extra = [_pick(cyrillic if script == "Cyrillic" else syllables, b(8 + t)) for t in range(min(turn, 8))]
+        extra = [_pick(cyrillic if script == "Cyrillic" else syllables, b(8 + t)) for t in range(turn)]
         out = out.when(kind == f"family-{script}", F.concat(_pick(first, b(0)), _pick(mid, b(1)), *extra, _pick(last, b(2))))
-    return out.otherwise(_shape(normal, hexes))
+    if not turn:
+        return out.otherwise(_shape(normal, hexes))
+    # signs and letters beyond ASCII leave a shape no room: a further try is letters and digits, longer every round
+    free = F.transform(F.sequence(F.lit(1), F.length(normal) + turn), lambda i: F.lit(_FREE).substr(_byte(hexes, i) % 62 + 1, F.lit(1)))
+    return out.otherwise(F.array_join(free, ""))
 
 
 def _parsed(mentions: DataFrame) -> DataFrame:
@@ -160,7 +168,10 @@ def assign_surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
     surrogates agree, and none is an entity of that kind.
 
     In a round every open entity has a candidate; of equal candidates that are
-    not taken the one of the smallest normal form wins, the others go on.
+    not taken the one of the smallest normal form wins, the others go on.  Names,
+    mail addresses and secrets have more room every round, so a masked secret
+    (``********``) gets letters and digits; numbers keep their length, which has
+    room while a corpus holds fewer than about half of all numbers of the type.
     """
     waiting, taken, turn = cut(entities.select("kind", "normal").distinct()), [], 0
     originals = waiting.select("kind", F.lower("normal").alias("form"))

@@ -190,6 +190,28 @@ def test_surrogates_settle_collisions(spark):
     assert {tuple(r) for r in rows} != {tuple(r) for r in other}
 
 
+def test_surrogates_end_for_secrets_without_room_in_their_shape(spark):
+    import signal
+    from crease.llm.pii import surrogates
+    texts = ["password: ********", "token: секрет", "token: пароль", "token: 秘密的钥匙吗", "token: 我的密码是吗",
+             "pwd=------ and password: ********"]
+
+    def stop(*_):
+        raise TimeoutError("the collision rounds do not end")
+
+    old = signal.signal(signal.SIGALRM, stop)
+    signal.alarm(120)
+    try:
+        rows = {r.doc_id: r.text for r in surrogates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    finally:
+        signal.alarm(0)
+        signal.signal(signal.SIGALRM, old)
+    news = [re.split("[:=] ?", rows[i].split(" and ")[0])[1] for i in range(6)]
+    assert len({x.lower() for x in news}) == 6
+    assert all(re.fullmatch("[A-Za-z0-9]{6,}", x) for x in news)
+    assert rows[5].endswith(f" and password: {news[0]}") and rows[0].startswith("password: ")
+
+
 def test_surrogates_edges_and_plan(spark):
     from crease.llm.pii import surrogates
     long = "word " * 100_000 + "x@y.org " + "word " * 100_000
