@@ -32,9 +32,17 @@ _TOKEN = re.compile(r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/
 _MARKS = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PARTS = re.compile(r"[a-z]+")
 _INLINE = frozenset("a abbr b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp small span strike "
-                    "strong sub sup time tt u var br wbr img".split())
+                    "strong sub sup time tt u var br wbr img param".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript template textarea iframe svg math object select button".split())
+#: Their text ends at their own end tag or with the page, whatever stands in it.
+_RAW = frozenset("script style template textarea iframe".split())
+_CONTROLS = frozenset("select button option optgroup".split())
+#: Stand within a line as the inline tags do, but are features of their block.
+_EMBEDDED = frozenset("math svg object noscript".split())
+_FOREIGN = frozenset(["math", "svg"])
+#: End the line within math and svg too; any other tag in them is theirs.
+_BREAKS = frozenset("address article aside blockquote body center dd div dl dt fieldset figcaption figure footer form h1 h2 h3 "
+                    "h4 h5 h6 head header hr li main nav ol p pre section table tbody td th thead tr ul".split())
 _REGIONS = frozenset("article main section nav header footer aside form".split())
 _UNSEEN = frozenset(["head", "title"])
 
@@ -46,32 +54,55 @@ class Block:
         self.text, self.tags, self.marks, self.near, self.links = text, tags, marks, near, links
 
 
+def _end(tag: str) -> re.Pattern:
+    return re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I)
+
+
+def _edge(tag: str) -> re.Pattern:
+    """Next end or start of the tag."""
+    return re.compile(rf"<(/?){tag}\b[^>]*(?:>|\Z)", re.I)
+
+
 def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order: text with white space collapsed, the tags and
     the class/id words above it, those (or the tag) of the innermost region, and
     the share of its characters in links.
 
-    Text of scripts, styles, controls and comments never counts.  Open tags are
-    closed by their ancestors' ends and the page's end; a ``p`` ends where the
-    next block starts; a tag cut off by the page's end is dropped.
+    Text of scripts, styles, controls and comments never counts; of a control
+    that is not closed only what stands right in it.  Math, drawings, objects and
+    ``noscript`` are text like any other.  Open tags are closed by their
+    ancestors' ends and the page's end; a ``p`` ends where the next block starts;
+    a tag cut off by the page's end is dropped.
     """
     out: list[Block] = []
     stack: list[tuple[str, tuple]] = []
     buffer: list[str] = []
-    linked, links, at, size = 0, 0, 0, len(page)
+    held: list[str] = []  # embedded tags of the line
+    linked, links, foreign, at, size = 0, 0, 0, 0, len(page)
 
     def flush() -> None:
         nonlocal linked
         if buffer:
             text = " ".join(htmllib.unescape("".join(buffer)).split())
-            if text and not any(tag in _UNSEEN for tag, _ in stack):
-                tags = tuple(tag for tag, _ in stack if tag not in _INLINE)
+            tags = tuple(tag for tag, _ in stack if tag not in _INLINE)
+            if text and not _UNSEEN.intersection(tags) and not (tags and tags[-1] in _CONTROLS):
+                tags = (*dict.fromkeys(t for t in held if t not in tags), *tags)
                 marks = tuple(dict.fromkeys(m for _, ms in stack for m in ms))
                 near = next((ms or (tag,) for tag, ms in reversed(stack) if ms or tag in _REGIONS), ())
                 out.append(Block(text, tags, marks, near, linked / max(1, len(text))))
             buffer.clear()
+        held.clear()
         linked = 0
 
+    def close(tag: str) -> None:
+        nonlocal links, foreign
+        while stack:
+            top = stack.pop()[0]
+            links -= top == "a"
+            foreign -= top in _FOREIGN
+            if top == tag:
+                break
+
     while at < size:
         m = _TOKEN.search(page, at)
         text = page[at:m.start() if m else size]
@@ -86,34 +117,36 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag == "br":
             buffer.append(" ")
-        inline = tag in _INLINE
+        inline = tag in _INLINE or tag in _EMBEDDED or (foreign > 0 and tag not in _BREAKS)
         if m[1]:
             if any(t == tag for t, _ in stack):
                 if not inline:
                     flush()
-                while stack:
-                    top = stack.pop()[0]
-                    links -= top == "a"
-                    if top == tag:
-                        break
+                close(tag)
             continue
         if tag in _RAW:
-            end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+            end = _end(tag).search(page, at)
             at = end.end() if end else size
             continue
+        if tag == "select" or tag == "button" or (foreign and tag == "title"):  # none holds another of its kind
+            end = _edge(tag).search(page, at)
+            if end and end[1]:
+                at = end.end()
+                continue
         if not inline:
             flush()
             if any(t == "p" for t, _ in stack):
-                while stack:
-                    top = stack.pop()[0]
-                    links -= top == "a"
-                    if top == "p":
-                        break
+                close("p")
+        if tag in _EMBEDDED:
+            held.append(tag)
+        elif foreign and tag == "text":  # labels of a drawing stand apart
+            buffer.append(" ")
         if tag in _VOID or m[3].endswith("/"):
             continue
         words = _PARTS.findall(" ".join(x for g in _MARKS.findall(m[3]) for x in g).lower()) if "=" in m[3] else ()
         stack.append((tag, tuple(w.rstrip("s") for w in words if len(w) > 1)))
         links += tag == "a"
+        foreign += tag in _FOREIGN
     flush()
     return out
 

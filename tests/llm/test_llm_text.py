@@ -269,6 +269,34 @@ def test_main_text_edges(spark, field):
     assert extract(empty, train_on(empty)).count() == 0
 
 
+@pytest.mark.parametrize("part, text", [
+    ("<p>One.</p><svg viewBox='0 0 1 1'/><p>Two.</p>", ["One.", "Two."]),
+    ("<p>One <svg><path d='M0'/></svg>line <math/>here.</p><p>Two.</p>", ["One line here.", "Two."]),
+    ("<p>One.</p><button>Share<p>Two.</p><p>Three.</p>", ["One.", "Two.", "Three."]),
+    ("<p>One.</p><button>Share<p>Two.</p><button>Like</button><p>Three.</p>", ["One.", "Two.", "Three."]),
+    ("<p>One.</p><select><option>a<option>b<p>Two.</p>", ["One.", "Two."]),
+    ("<p>One.</p><object data='x'><p>Two.</p>", ["One.", "Two."]),
+    ("<p>One.</p><svg><path d='M0'><p>Two.</p>", ["One.", "Two."]),
+    ("<p>As <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds.</p>", ["As x=1 holds."]),
+    ("<noscript><p>One.</p></noscript><object><p>Two.</p></object>", ["One.", "Two."]),
+    ("<p>One.</p><svg><title>icon</title><text>A b</text><text>C</text></svg><p>Two.</p>", ["One.", "A b C", "Two."]),
+    ("<p>One.</p><button><div>Share</div></button><select><option>x</option></select><p>Two.</p>", ["One.", "Two."])])
+def test_embedded_and_unclosed_tags_lose_no_text(field, part, text):
+    from crease.llm.htmlmain import blocks, main_text
+    assert [b.text for b in blocks(f"<article>{part}</article>")] == text
+    assert [b.text for b in blocks(f"<article>{part}</article><p>After.</p>")] == [*text, "After."]
+    page = PAGE.format(body="article", close="article", above="<nav><a href='/'>Home</a></nav>", below="<footer>Us</footer>",
+                       within=part)
+    assert set(text) <= set(main_text(page, field).split("\n"))
+
+
+def test_embedded_tags_are_features():
+    from crease.llm.htmlmain import blocks, features
+    rows = features(blocks("<article><p>As <math><mi>x</mi></math> is.</p><noscript><p>Yes.</p></noscript><p>No.</p></article>"))
+    assert ["in:math" in r for r in rows] == [True, False, False] and ["in:noscript" in r for r in rows] == [False, True, False]
+    assert all("own:p" in r for r in rows)
+
+
 def test_viterbi_is_the_best_path():
     import itertools
     from crease.llm.htmlmain import Field
