@@ -362,7 +362,7 @@ def _multiclass_row(name: str, pred: DataFrame, label: str) -> DataFrame:
 def multiclass_classifiers(n: int) -> dict:
     """Classifiers of more than two classes; boosted trees one against the rest."""
     pool = {k: v for k, v in classifiers(n).items() if k in ("logistic", "dt", "rf")}
-    return pool | {"gb": OneVsRest(classifier=GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.1, seed=SEED), parallelism=4)}
+    return pool | {"gb": OneVsRest(classifier=GBTClassifier(maxIter=100, maxDepth=4, stepSize=0.1, seed=SEED), parallelism=4)}
 
 
 def fit_many_compare(train: DataFrame, test: DataFrame, features: list[str], label: str, kind: str,

@@ -101,7 +101,7 @@ def q_gaussian_nb(spark, sf):
 def q_fit_many_compare(spark, sf):
     d = _reg_split(spark, sf)
     tr, te = d.filter(F.col("split") == "train"), d.filter(F.col("split") == "test")
-    metrics, _ = M.fit_many_compare(tr, te, STEP_FEATURES, "final_score", "regression", ["linear", "ridge", "lasso", "dt"])
+    metrics, _ = M.fit_many_compare(tr, te, STEP_FEATURES, "final_score", "regression")
     return metrics
 
 
@@ -110,7 +110,7 @@ def q_fit_many_multiclass(spark, sf):
     """Which of all sides wins: the comparison table with macro metrics."""
     d = _cls_split(spark, sf).filter(F.col("winner").isNotNull()).withColumn("won_by", F.col("winner").cast("double"))
     tr, te = d.filter(F.col("split") == "train"), d.filter(F.col("split") == "test")
-    metrics, _ = M.fit_many_compare(tr, te, FEATURE_COLS, "won_by", "multiclass", ["logistic", "dt", "rf"])
+    metrics, _ = M.fit_many_compare(tr, te, FEATURE_COLS, "won_by", "multiclass")
     return metrics
 
 
@@ -145,7 +145,7 @@ def q_stacking(spark, sf):
 def q_batch_score(spark, sf):
     d = _reg_split(spark, sf)
     tr, te = d.filter(F.col("split") == "train"), d.filter(F.col("split") == "test")
-    _, models = M.fit_many_compare(tr, te, STEP_FEATURES, "final_score", "regression", ["linear", "ridge", "lasso"])
+    _, models = M.fit_many_compare(tr, te, STEP_FEATURES, "final_score", "regression")
     return M.batch_score(models, te, ["row_id", "final_score"])
 
 

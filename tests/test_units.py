@@ -289,3 +289,24 @@ def test_dbscan_dense_cells_vs_all_pairs(spark, dims):
         want = sorted(tuple(r) for r in _dbscan_pairs(df.withColumn("w", F.lit(1)), cols, eps, ms).collect())
         assert got == want
         assert len({c for _, c, _ in got if c >= 0}) >= 2
+
+
+@pytest.mark.parametrize("name", ["fit_many_compare", "fit_many_multiclass", "batch_score"])
+def test_comparison_queries_fit_the_whole_pool(spark, monkeypatch, name):
+    from crease.operators import models as M
+    from crease.plans import QUERIES
+
+    def seen(train, test, features, label, kind, names=None):
+        pool = M.regressors(1) if kind == "regression" else M.multiclass_classifiers(1)
+        assert set(names or pool) == set(pool)
+        raise StopIteration(kind)
+
+    monkeypatch.setattr(M, "fit_many_compare", seen)
+    with pytest.raises(StopIteration):
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+
+
+def test_multiclass_booster_has_its_full_rounds():
+    from crease.operators.models import multiclass_classifiers
+    booster = multiclass_classifiers(1)["gb"].getClassifier()
+    assert (booster.getMaxIter(), booster.getStepSize()) == (100, 0.1)
