@@ -189,7 +189,7 @@ def q_random_search(spark, sf):
     f = _cls_split(spark, sf).filter(F.col("split") == "train")
     grid = {"maxIter": [100, 200, 300, 400], "maxDepth": [3, 5, 7], "stepSize": [0.01, 0.05, 0.1],
             "subsamplingRate": [0.6, 0.8, 1.0]}
-    return M.grid_search(f, FEATURE_COLS, "a_won", GBTClassifier(seed=42), grid, "match_id", folds=3, sample=2)
+    return M.grid_search(f, FEATURE_COLS, "a_won", GBTClassifier(seed=42), grid, "match_id", folds=5, sample=50)
 
 
 def _cv_linear(kind):

@@ -310,3 +310,16 @@ def test_multiclass_booster_has_its_full_rounds():
     from crease.operators.models import multiclass_classifiers
     booster = multiclass_classifiers(1)["gb"].getClassifier()
     assert (booster.getMaxIter(), booster.getStepSize()) == (100, 0.1)
+
+
+def test_random_search_runs_fifty_draws_of_five_folds(spark, monkeypatch):
+    from crease.operators import models as M
+    from crease.plans import QUERIES
+
+    def seen(df, features, label, estimator, grid, id_col, folds=5, sample=None, **_):
+        assert (folds, sample, math.prod(map(len, grid.values()))) == (5, 50, 108)
+        raise StopIteration
+
+    monkeypatch.setattr(M, "grid_search", seen)
+    with pytest.raises(StopIteration):
+        QUERIES["random_search"](spark, "/root/testdata/sf0.001")
