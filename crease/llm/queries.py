@@ -15,6 +15,16 @@ def _query(fn):
     return fn
 
 
+#: CRC-32 in SQL: its table, and the value of a text by it.
+_CRC_TABLE = ("crc AS (SELECT list(v ORDER BY k) AS tab FROM (SELECT k, list_reduce(list_prepend(k, range(8)), lambda c, i: "
+              "CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v FROM range(256) AS t(k)))")
+
+
+def _crc32(text: str) -> str:
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode({text})), '..'), "
+            "lambda x: ('0x' || x)::BIGINT)), lambda c, b: xor(c // 256, tab[(xor(c, b) % 256 + 1)::INT])), 4294967295)")
+
+
 @_query
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from crease.llm.decontaminate import contained_items
@@ -86,3 +96,59 @@ def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from crease.llm.tokencount import token_counts
     return token_counts(read(spark, sf_dir, "documents"))
+
+
+@_query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crease.llm.spelling import variants
+    return variants(read(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_spelling_variants"] = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS k
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL),
+hashed AS (SELECT w, k, CASE WHEN doc_id IS NULL THEN 1 ELSE {_crc32("doc_id::VARCHAR || ':' || w")} END AS h FROM runs, crc),
+words AS (SELECT word, sum(k)::BIGINT AS n FROM (
+    SELECT k, CASE WHEN h % 199 = 0 THEN substr(w, 1, (h % length(w))::BIGINT) || substr(w, (h % length(w))::BIGINT + 2) ELSE w END AS word
+    FROM hashed) WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+less AS (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS d FROM (SELECT word, unnest(range(length(word))) AS i FROM words)),
+pairs AS (SELECT a.word AS w, b.word AS v FROM less a JOIN less b ON a.i = b.i AND a.d = b.d AND a.word <> b.word
+  UNION SELECT a.word, b.word FROM words a JOIN less b ON a.word = b.d
+  UNION SELECT b.word, a.word FROM words a JOIN less b ON a.word = b.d),
+best AS (SELECT w, count(*) AS n_near, arg_min(v, (-n, v)) AS near, max(n) AS near_n FROM pairs JOIN words ON word = v GROUP BY w),
+known AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * n THEN near END AS form,
+    CASE WHEN near_n >= 5 * n THEN near_n END AS form_n FROM words LEFT JOIN best ON w = word),
+chain AS (SELECT word, word AS at FROM known UNION ALL SELECT c.word, k.form FROM chain c JOIN known k ON k.word = c.at WHERE k.form IS NOT NULL)
+SELECT k.word, k.form, c.at AS root, k.n, k.n_near, k.form_n
+FROM known k JOIN chain c ON c.word = k.word JOIN known l ON l.word = c.at WHERE l.form IS NULL"""
+
+
+@_query
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crease.llm.convtrie import prefix_trie
+    return prefix_trie(read(spark, sf_dir, "conversations"))
+
+
+ORACLES["op13_conversation_trie"] = f"""
+WITH {_CRC_TABLE},
+t AS (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT c, n, c - c % 100 AS b, {_crc32("c::VARCHAR")} % 6 AS h FROM (SELECT c, count(*) AS n FROM t GROUP BY c), crc),
+rebuilt AS (SELECT v.c, t.place AS d, t.r, t.x FROM convs v JOIN t ON t.c = v.b AND t.place <= v.h
+  UNION ALL SELECT v.c, t.place - v.h + least(v.h, coalesce(f.n, 0)), t.r, t.x
+  FROM convs v JOIN t ON t.c = v.c AND t.place > v.h LEFT JOIN convs f ON f.c = v.b),
+path AS (SELECT c, d, length(x) AS size, list(sha256(length(r) || '|' || r || x)) OVER (PARTITION BY c ORDER BY d) AS p FROM rebuilt
+  UNION ALL SELECT c, 0, 0, [] FROM convs),
+node AS (SELECT path.d, p, min(path.c) AS c, count(*) AS n, max(size) AS size,
+    sha256(coalesce(string_agg(path.c::VARCHAR, ',' ORDER BY path.c) FILTER (WHERE path.d = l.d), '')) AS ends
+  FROM path JOIN (SELECT c, max(d) AS d FROM path GROUP BY c) l ON l.c = path.c GROUP BY path.d, p),
+kids AS (SELECT d - 1 AS d, p[1:d - 1] AS p, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+above AS (SELECT unnest(range(k.d + 1)) AS ad, k.p, kids.n IS NULL AS leaf, (k.n - 1) * k.size AS saved
+  FROM node k LEFT JOIN kids ON kids.d = k.d AND kids.p = k.p),
+below AS (SELECT ad AS d, p[1:ad] AS p, count(*) FILTER (WHERE leaf) AS leaves, sum(saved) AS saved FROM above GROUP BY ALL)
+SELECT k.c AS conv_id, k.d AS depth, q.c AS parent_conv_id, k.n AS n_convs, coalesce(kids.n, 0) AS n_children,
+  below.leaves AS n_leaves, below.saved::BIGINT AS saved_tokens, k.ends AS ends_sha256
+FROM node k JOIN below ON below.d = k.d AND below.p = k.p LEFT JOIN kids ON kids.d = k.d AND kids.p = k.p
+LEFT JOIN node q ON q.d = k.d - 1 AND q.p = k.p[1:k.d - 1]"""
