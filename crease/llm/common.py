@@ -38,6 +38,17 @@ def small_batches(spark: SparkSession, size: int = 8 << 20) -> None:
         spark.conf.set(key, f"{size}b")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``df`` has them (whatever its case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def give_back() -> None:
     """Returns freed memory to the system.  Python workers are used again by later
     tasks, and what their allocators keep adds up in an executor's memory."""

@@ -25,11 +25,11 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from crease.llm.common import frugal, small_batches
-from crease.llm.shingles import SHINGLE, mix, shingle_hashes
+from crease.llm.shingles import SHINGLE, mix, shingle_hashes, words_of
 
 CONTAINMENT, RECALL = 0.8, 0.9995
-#: Items of one pass: with at most 64 bands their tables take under 20 MB.
-SLICE = 20_000
+#: Items and code points of one pass: with at most 64 bands their tables take under 20 MB, their texts as much.
+SLICE, SLICE_CHARS = 20_000, 20_000_000
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _BATCH = 400_000
 
@@ -42,15 +42,21 @@ def band_count(containment: float = CONTAINMENT, recall: float = RECALL) -> int:
 
 
 class Index:
-    """A slice of items: shingle sets and, by size class and band, their MinHash values."""
+    """A slice of items: shingle sets and, by size class and band, their MinHash
+    values.  An item of fewer words than a shingle is one gram of all its words,
+    looked up among a document's grams of that length (``short``)."""
 
     def __init__(self, items: list[tuple], n: int, containment: float, recall: float):
         self.ids, self.sets = [], []
+        short: dict[int, dict[int, list]] = {}
         for item, text in items:
             hashes = np.unique(shingle_hashes(text, n))
             if len(hashes):
                 self.ids.append(item)
                 self.sets.append(hashes)
+            elif words := len(words_of(text)):
+                short.setdefault(words, {}).setdefault(int(shingle_hashes(text, words)[0]), []).append(item)
+        self.short = {words: (np.array(sorted(grams), np.uint64), grams) for words, grams in short.items()}
         self.n, self.containment = n, containment
         self.factors = mix(np.arange(1, band_count(containment, recall) + 1, dtype=np.uint64)) | np.uint64(1)
         sizes = np.array([len(s) for s in self.sets], np.int64)
@@ -104,6 +110,12 @@ class Index:
                             found.update((int(doc[h]), int(i)) for i in order[k, a:b])
         return found
 
+    def short_items(self, text: str | None) -> Iterator[tuple[object, float]]:
+        """(item id, 1) of the items of few words that stand in a text."""
+        for words, (grams, items) in self.short.items():
+            for gram in np.intersect1d(shingle_hashes(text, words), grams).tolist():
+                yield from ((i, 1.0) for i in items[gram])
+
     def search(self, docs: list[np.ndarray]) -> Iterator[tuple[int, object, float]]:
         """(document, item id, containment) of the candidates that hold."""
         at, own = -1, None
@@ -117,14 +129,15 @@ class Index:
 
 
 def _slices(items: DataFrame, item_col: str, text_col: str, size: int) -> Iterator[list[tuple]]:
-    """The distinct items in slices of at most ``size``."""
+    """The distinct items in slices of at most ``size``, and of ``SLICE_CHARS`` and one more text."""
     rows = items.select(F.col(item_col), F.col(text_col)).dropna().distinct()
-    part = []
+    part, chars = [], 0
     for row in rows.toLocalIterator():
         part.append((row[0], row[1]))
-        if len(part) == size:
+        chars += len(row[1])
+        if len(part) == size or chars >= SLICE_CHARS:
             yield part
-            part = []
+            part, chars = [], 0
     if part:
         yield part
 
@@ -144,7 +157,9 @@ def _matches(docs: DataFrame, text_col: str, items: DataFrame, item_col: str, it
             def search(texts) -> list[tuple]:
                 out, first, group, size = [], 0, [], 0
                 for k, text in enumerate(texts):
-                    group.append(shingle_hashes(text.as_py(), n))
+                    text = text.as_py()
+                    out += [(k, i, s) for i, s in index.short_items(text)]
+                    group.append(shingle_hashes(text, n))
                     size += len(group[-1])
                     if size >= _BATCH or k == len(texts) - 1:
                         out += [(first + d, i, s) for d, i, s in index.search(group)]
@@ -164,11 +179,15 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     """``(id_col, item_col, containment)``: for every row of ``docs`` the items
     of which it holds at least ``containment`` of the shingles.
 
-    Null or empty texts, texts and items of under ``n`` words, and null items
-    match nothing; a repeated document row or an item id with several texts gives
-    a row each; an empty table on either side gives no rows.
+    An item of fewer than ``n`` words is found where its words stand one after the
+    other.  Null and empty texts, null items and items without words match nothing;
+    very long texts are read whole; a repeated document row or an item id with
+    several texts gives a row each; an empty table on either side gives no rows.  If
+    both ids have one name, the item's is lengthened by ``_item``; other columns
+    are not read.
     """
-    out = StructType([docs.schema[id_col], items.schema[item_col], StructField("containment", DoubleType())])
+    item_out = f"{item_col}_item" if item_col in (id_col, "containment") else item_col
+    out = StructType([docs.schema[id_col], StructField(item_out, items.schema[item_col].dataType), StructField("containment", DoubleType())])
 
     def one(make):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

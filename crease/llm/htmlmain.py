@@ -16,7 +16,8 @@ from __future__ import annotations
 import html as htmllib
 import random
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Container, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -63,10 +64,15 @@ def _edge(tag: str) -> re.Pattern:
     return re.compile(rf"<(/?){tag}\b[^>]*(?:>|\Z)", re.I)
 
 
-def blocks(page: str) -> list[Block]:
-    """Leaf blocks in page order: text with white space collapsed, the tags and
-    the class/id words above it, those (or the tag) of the innermost region, and
-    the share of its characters in links.
+def blocks(page: str, known: Container[str] | None = None) -> list[Block]:
+    """Leaf blocks in page order: text with white space collapsed, the distinct
+    tags (its own last) and class/id words above it, those (or the tag) of the
+    innermost region, and the share of its characters in links.
+
+    With ``known``, the names of the features that have weights, other tags and
+    words above a block are left out.  Counts of open tags and words are kept as
+    tags open and close, so a page of any depth takes time in proportion to its
+    length.
 
     Text of scripts, styles, controls and comments never counts; of a control
     that is not closed only what stands right in it.  Math, drawings, objects and
@@ -75,7 +81,11 @@ def blocks(page: str) -> list[Block]:
     a tag cut off by the page's end is dropped.
     """
     out: list[Block] = []
-    stack: list[tuple[str, tuple]] = []
+    # open elements: tag, class/id words, the block's own tag and the region's marks up to here
+    stack: list[tuple[str, tuple, str, tuple]] = []
+    open_: Counter[str] = Counter()
+    above: dict[str, int] = {}  # open tags that are features, and words, with their numbers
+    words_above: dict[str, int] = {}
     buffer: list[str] = []
     held: list[str] = []  # embedded tags of the line
     linked, links, foreign, at, size = 0, 0, 0, 0, len(page)
@@ -84,12 +94,11 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked
         if buffer:
             text = " ".join(htmllib.unescape("".join(buffer)).split())
-            tags = tuple(tag for tag, _ in stack if tag not in _INLINE)
-            if text and not _UNSEEN.intersection(tags) and not (tags and tags[-1] in _CONTROLS):
-                tags = (*dict.fromkeys(t for t in held if t not in tags), *tags)
-                marks = tuple(dict.fromkeys(m for _, ms in stack for m in ms))
-                near = next((ms or (tag,) for tag, ms in reversed(stack) if ms or tag in _REGIONS), ())
-                out.append(Block(text, tags, marks, near, linked / max(1, len(text))))
+            own = stack[-1][2] if stack else ""
+            if text and not any(open_[t] for t in _UNSEEN) and own not in _CONTROLS:
+                lines = [t for t in dict.fromkeys(held) if not open_[t]]
+                tags = (*lines, *(t for t in above if t != own), *([own] if own else []))
+                out.append(Block(text, tags, tuple(words_above), stack[-1][3] if stack else (), linked / max(1, len(text))))
             buffer.clear()
         held.clear()
         linked = 0
@@ -97,7 +106,14 @@ def blocks(page: str) -> list[Block]:
     def close(tag: str) -> None:
         nonlocal links, foreign
         while stack:
-            top = stack.pop()[0]
+            top, marks, *_ = stack.pop()
+            open_[top] -= 1
+            for held_by, names in ((above, [top]), (words_above, marks)):
+                for name in names:
+                    if name in held_by:
+                        held_by[name] -= 1
+                        if not held_by[name]:
+                            del held_by[name]
             links -= top == "a"
             foreign -= top in _FOREIGN
             if top == tag:
@@ -119,7 +135,7 @@ def blocks(page: str) -> list[Block]:
             buffer.append(" ")
         inline = tag in _INLINE or tag in _EMBEDDED or (foreign > 0 and tag not in _BREAKS)
         if m[1]:
-            if any(t == tag for t, _ in stack):
+            if open_[tag]:
                 if not inline:
                     flush()
                 close(tag)
@@ -135,7 +151,7 @@ def blocks(page: str) -> list[Block]:
                 continue
         if not inline:
             flush()
-            if any(t == "p" for t, _ in stack):
+            if open_["p"]:
                 close("p")
         if tag in _EMBEDDED:
             held.append(tag)
@@ -144,7 +160,18 @@ def blocks(page: str) -> list[Block]:
         if tag in _VOID or m[3].endswith("/"):
             continue
         words = _PARTS.findall(" ".join(x for g in _MARKS.findall(m[3]) for x in g).lower()) if "=" in m[3] else ()
-        stack.append((tag, tuple(w.rstrip("s") for w in words if len(w) > 1)))
+        marks = tuple(dict.fromkeys(w.rstrip("s") for w in words if len(w) > 1))
+        _, _, own, near = stack[-1] if stack else ("", (), "", ())
+        if tag not in _INLINE:
+            own = tag
+            if known is None or f"in:{tag}" in known:
+                above[tag] = above.get(tag, 0) + 1
+        near = marks or ((tag,) if tag in _REGIONS else near)
+        marks = tuple(w for w in marks if known is None or f"mark:{w}" in known)
+        for w in marks:
+            words_above[w] = words_above.get(w, 0) + 1
+        stack.append((tag, marks, own, near))
+        open_[tag] += 1
         links += tag == "a"
         foreign += tag in _FOREIGN
     flush()
@@ -343,7 +370,7 @@ def train(sample: list[str], seed: int = 7, dressings: int = 4) -> Field:
 
 
 def main_text(page: str | None, field: Field) -> str:
-    found = blocks(page) if page else []
+    found = blocks(page, field.weights) if page else []
     return "\n".join(b.text for b, y in zip(found, field.decode(features(found))) if y)
 
 
@@ -360,8 +387,9 @@ def train_on(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
 def extract(pages: DataFrame, field: Field, html_col: str = "html", out_col: str = "text") -> DataFrame:
     """``pages`` with the main text as ``out_col`` instead of ``html_col`` (an equally named column gives way).
 
-    Content blocks are joined by one newline; a null or empty page and one
-    without content give the empty string.  One row per row, repeated ones too.
+    Content blocks are joined by one newline; a null or empty page and one without
+    content give the empty string; very long pages are read whole, whatever their
+    nesting.  One row per row, repeated ones too; an empty table stays empty.
     """
     small_batches(pages.sparkSession)
     rest = [c for c in pages.columns if c.lower() not in (out_col.lower(), html_col.lower())]

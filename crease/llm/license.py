@@ -62,20 +62,22 @@ class Automaton:
 
     ``step`` maps a state and the length matched so far over one token to the
     longest suffix that still occurs in some sequence: the matching statistic.
-    ``ends[state]`` has, by sequence, one end position of the state's strings.
+    ``ends[state]`` has, by sequence, all end positions of the state's strings, for
+    states whose longest string has ``least`` tokens or more.
     """
 
-    def __init__(self, sequences: list[list[int]]):
+    def __init__(self, sequences: list[list[int]], least: int = 1):
         self.next, self.link, self.size, self.ends = [{}], [-1], [0], [{}]
         for number, sequence in enumerate(sequences):
             last = 0
             for at, token in enumerate(sequence):
                 last = self._extend(last, token)
-                self.ends[last].setdefault(number, at)
+                self.ends[last].setdefault(number, set()).add(at)
         for state in sorted(range(1, len(self.size)), key=self.size.__getitem__, reverse=True):
-            parent = self.ends[self.link[state]]
-            for number, at in self.ends[state].items():
-                parent.setdefault(number, at)
+            if self.size[self.link[state]] >= least:
+                parent = self.ends[self.link[state]]
+                for number, at in self.ends[state].items():
+                    parent.setdefault(number, set()).update(at)
 
     def _new(self, size: int, edges: dict, link: int) -> int:
         self.next.append(edges)
@@ -123,7 +125,7 @@ class Scanner:
         self.labels = [label for label, _ in named]
         self.sequences = [[self.vocabulary[w] for w in ws] for _, ws in named]
         self.phrases, self.anchor, self.share, self.gap = len(phrases), anchor, share, gap
-        self.automaton = Automaton(self.sequences)
+        self.automaton = Automaton(self.sequences, anchor)
         a = self.automaton
         # phrases that end where a state's longest string ends
         self.closing: list[tuple] = [()] * len(a.size)
@@ -152,42 +154,67 @@ class Scanner:
         return n, hits, self._chain(anchors) if anchors else []
 
     def _run(self, tokens, start, hits, anchors) -> None:
+        """Phrases, and by template the longest matches: those that the next word
+        does not lengthen.  The states on the suffix links of the present one tell
+        what of the text's end stands in the other templates."""
         a, state, length = self.automaton, 0, 0
         step, closing, least = a.step, self.closing, self.anchor
-        for at, token in enumerate(tokens, start):
-            before, known = state, length
+        known: dict[int, tuple[int, int]] = {}
+        for at, token in enumerate([*tokens, -1], start):
             state, length = step(state, length, token)
-            if known >= least and length <= known:
-                anchors.append((at - known, known, before))
+            now: dict[int, tuple[int, int]] = {}
+            s, size = state, length
+            while size >= least:
+                for number in a.ends[s]:
+                    now.setdefault(number, (size, s))
+                s = a.link[s]
+                size = a.size[s]
+            for number, (size, s) in known.items():
+                if number >= self.phrases and now.get(number, (0, 0))[0] <= size:
+                    anchors.append((number, at - size, size, s))
+            known = now
             for number in closing[state]:
                 if len(self.sequences[number]) <= length:
                     hits.append((at + 1 - len(self.sequences[number]), self.labels[number]))
-        if length >= least:
-            anchors.append((start + len(tokens) - length, length, state))
 
     def _chain(self, anchors):
-        """Chains of matches, in step in text and template with at most ``gap``
-        words between, that cover at least ``share`` of their template."""
+        """Chains of matches that cover at least ``share`` of their template.
+
+        Matches of a chain follow each other in text and template, at most ``gap``
+        words apart in both; words that two of them share count once.  The heaviest
+        chains are kept, each match in one of them.  Among the matches before a match
+        only those that end at most ``gap`` words before it can be its predecessor.
+        """
         spans, by_template = [], {}
-        for start, length, state in anchors:
-            for number, end in self.automaton.ends[state].items():
-                if number >= self.phrases:
-                    by_template.setdefault(number, []).append((start, length, end + 1 - length))
+        for number, start, length, state in anchors:
+            for end in self.automaton.ends[state][number]:
+                by_template.setdefault(number, []).append((start, end + 1 - length, length))
         for number, own in by_template.items():
-            size, chains = len(self.sequences[number]), []
-            for start, length, place in sorted(own):
-                best = None
-                for chain in chains[-8:]:  # later ones only can still be in reach
-                    _, text_end, place_end, _ = chain
-                    if 0 <= start - text_end <= self.gap and 0 <= place - place_end <= self.gap and \
-                            (best is None or chain[3] > best[3]):
-                        best = chain
-                if best is None:
-                    chains.append([start, start + length, place + length, length])
-                else:
-                    best[1:] = [start + length, place + length, best[3] + length]
-            spans += [(self.labels[number], c[0], c[1], c[3] / size) for c in chains if c[3] >= self.share * size]
-        return spans
+            own.sort()
+            size, weight, before, active = len(self.sequences[number]), [], [], []
+            for j, (start, place, length) in enumerate(own):
+                best, from_ = length, -1
+                active = [i for i in active if own[i][0] + own[i][2] >= start - self.gap]
+                for i in active:
+                    ahead, above = start - own[i][0] - own[i][2], place - own[i][1] - own[i][2]
+                    gain = length + min(0, ahead, above)
+                    if own[i][0] < start and own[i][1] < place and above <= self.gap and gain > 0 \
+                            and start + length > own[i][0] + own[i][2] and weight[i] + gain > best:
+                        best, from_ = weight[i] + gain, i
+                weight.append(best)
+                before.append(from_)
+                active.append(j)
+            used: set[int] = set()
+            for j in sorted(range(len(own)), key=lambda j: (-weight[j], j)):
+                if weight[j] < self.share * size:
+                    break
+                trail = [j]
+                while before[trail[-1]] >= 0:
+                    trail.append(before[trail[-1]])
+                if used.isdisjoint(trail):
+                    used.update(trail)
+                    spans.append((self.labels[number], own[trail[-1]][0], own[j][0] + own[j][2], min(1.0, weight[j] / size)))
+        return sorted(spans, key=lambda s: (s[1], s[2], s[0]))
 
 
 _SPAN = StructType([StructField("label", StringType()), StructField("start", LongType()),
@@ -201,10 +228,20 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **sett
     covered template spans (label, start, end, share), in words from 0.
 
     Null and empty texts have no words and empty lists; repeated rows give a row
-    each; a null id stays null; an empty table stays empty.  Every text is
-    streamed whole; a task holds one text at a time.
+    each; a null id stays null; an empty table stays empty; other columns are not
+    read.  Every text is streamed whole; a task holds one text at a time.
+
+    ``settings`` are those of ``Scanner``; ``templates`` may be a table (label,
+    text) of license wordings, which goes to every task, so it is read up to
+    ``most_templates`` (default 20,000) rows and more are an error.
     """
     small_batches(docs.sparkSession)
+    most = settings.pop("most_templates", 20_000)
+    if isinstance(settings.get("templates"), DataFrame):
+        rows = settings["templates"].dropna().distinct().orderBy("label", "text").limit(most + 1).collect()
+        if len(rows) > most:
+            raise ValueError(f"more than {most} templates")
+        settings["templates"] = [(r["label"], r["text"]) for r in rows]
     out = StructType([docs.schema[id_col], StructField("n_words", LongType()), StructField("phrases", ArrayType(_HIT)),
                       StructField("spans", ArrayType(_SPAN))])
 

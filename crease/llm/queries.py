@@ -98,6 +98,15 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"))
 
 
+@_query
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    from crease.llm.toxicity import TOXIC, held_out, score, train_on
+    docs = read(spark, sf_dir, "documents")
+    scored = score(docs.select("doc_id", "text"), train_on(docs, read(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+
+
 @_query
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     from crease.llm.spelling import variants

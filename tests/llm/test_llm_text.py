@@ -154,8 +154,10 @@ def test_matching_statistics_are_longest_substrings():
     for at, token in enumerate(text):
         state, length = automaton.step(state, length, token)
         assert length == max((k for k in range(1, at + 2) if tuple(text[at + 1 - k:at + 1]) in pieces), default=0)
-        for number, end in automaton.ends[state].items() if length else ():
-            assert sequences[number][end + 1 - length:end + 1] == text[at + 1 - length:at + 1]
+        piece = text[at + 1 - length:at + 1]
+        if length:
+            assert automaton.ends[state] == {k: ends for k, s in enumerate(sequences) for ends in [
+                {e for e in range(length - 1, len(s)) if s[e + 1 - length:e + 1] == piece}] if ends}
 
 
 def _contained(docs, items, n=5, least=0.8):
