@@ -6,8 +6,6 @@ back as a one-row table, so applying them is a narrow projection.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -102,10 +100,12 @@ def _z_stats(df: DataFrame, col: str) -> DataFrame:
                     (F.col("mean") - 3 * std).alias("lower_bound"), (F.col("mean") + 3 * std).alias("upper_bound"))
 
 
-def outlier_rows(df: DataFrame, col: str, method: str = "iqr", id_col: str | None = None) -> DataFrame:
+def outlier_rows(df: DataFrame, col: str, method: str = "iqr", id_col: str | None = None,
+                 stats: DataFrame | None = None) -> DataFrame:
     """Rows whose ``col`` is strictly outside the fences (IQR: q1/q3 -/+ 1.5 IQR;
     z-score: |x - mean| / std > 3), with ``id_col`` (the explicit row label) and value."""
-    stats = _iqr_stats(df, col) if method == "iqr" else _z_stats(df, col)
+    if stats is None:
+        stats = _iqr_stats(df, col) if method == "iqr" else _z_stats(df, col)
     x = present(df, col).cast("double")
     j = df.select(*([id_col] if id_col else []), x.alias("value")).filter(F.col("value").isNotNull()) \
           .crossJoin(F.broadcast(stats))  # one-row statistics
@@ -120,20 +120,36 @@ def outliers_summary(df: DataFrame, col: str, method: str = "iqr") -> DataFrame:
     """One row: the fences, outlier_count and outlier_percentage (of all rows,
     nulls included, 2 dp).  IQR adds q1, q3, iqr; z-score adds mean, std."""
     stats = _iqr_stats(df, col) if method == "iqr" else _z_stats(df, col)
-    cnt = outlier_rows(df, col, method).agg(F.count(F.lit(1)).alias("outlier_count"))
-    j = stats.crossJoin(cnt)
+    keep = ["q1", "q3", "iqr"] if method == "iqr" else ["mean", "std"]
+    names = [*keep, "lower_bound", "upper_bound", "total_count"]
+    x = F.col("__value")
+    if method == "iqr":
+        out = (x < F.col("lower_bound")) | (x > F.col("upper_bound"))
+    else:
+        out = F.abs((x - F.col("mean")) / F.col("std")) > 3
+    # the one row of statistics goes along with the values, so it is planned once
+    j = df.select(present(df, col).cast("double").alias("__value")).crossJoin(F.broadcast(stats)) \
+        .agg(*[F.max(c).alias(c) for c in names], F.count(F.when(out, 1)).alias("outlier_count"))
     pct = F.when(F.col("total_count") > 0, F.round(F.col("outlier_count") / F.col("total_count") * 100.0, 2)) \
            .otherwise(F.lit(0.0))
-    keep = ["q1", "q3", "iqr"] if method == "iqr" else ["mean", "std"]
-    return j.select(F.lit(col).alias("column"), F.lit(method).alias("method"), *keep, "lower_bound", "upper_bound",
-                    "outlier_count", pct.alias("outlier_percentage"))
+    return j.select(F.lit(col).alias("column"), F.lit(method).alias("method"), *names[:-1], "outlier_count",
+                    pct.alias("outlier_percentage"))
 
 
 def outlier_counts(df: DataFrame, cols: list[str], method: str = "iqr") -> DataFrame:
-    """(column, n_outliers) for several columns."""
-    return reduce(DataFrame.unionByName,
-                  [outliers_summary(df, c, method).select("column", F.col("outlier_count").alias("n_outliers"))
-                   for c in cols])
+    """(column, n_outliers) for several columns, whose fences come from one pass over all."""
+    values = df.select(*[present(df, c).cast("double").alias(f"v{k}") for k, c in enumerate(cols)])
+    v = [F.col(f"v{k}") for k in range(len(cols))]
+    if method == "iqr":
+        stats = quantiles(values, {f"s{k}": (x, [0.25, 0.75]) for k, x in enumerate(v)})
+        iqr = [F.col(f"s{k}")[1] - F.col(f"s{k}")[0] for k in range(len(cols))]
+        out = [(x < F.col(f"s{k}")[0] - 1.5 * iqr[k]) | (x > F.col(f"s{k}")[1] + 1.5 * iqr[k]) for k, x in enumerate(v)]
+    else:
+        stats = values.agg(*[F.avg(x).alias(f"a{k}") for k, x in enumerate(v)], *[F.stddev_samp(x).alias(f"s{k}") for k, x in enumerate(v)])
+        out = [F.abs((x - F.col(f"a{k}")) / F.when(F.col(f"s{k}").isNull() | (F.col(f"s{k}") == 0), 1e-9).otherwise(F.col(f"s{k}"))) > 3
+               for k, x in enumerate(v)]
+    counts = values.crossJoin(F.broadcast(stats)).agg(*[F.count(F.when(o, 1)).alias(c) for o, c in zip(out, cols)])  # one-row statistics
+    return counts.unpivot([], list(cols), "column", "n_outliers")
 
 
 def handle_outliers(df: DataFrame, col: str, strategy: str, method: str = "iqr") -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crease.functions.columns import season_index
 from crease.operators.scan import order_bounds, running_totals
 
 # Fixed values of the rating system (must equal the reference's for equal results):
@@ -304,9 +305,10 @@ def _over_spine(log: DataFrame, match_tbl: DataFrame, match: str, innings: str,
 def step_features(log: DataFrame, match_tbl: DataFrame, match: str = "match_id",
                   innings: str = "innings", over: str = "over_no", runs: str = "runs",
                   wicket: str = "dismissal", venue: str = "venue",
-                  overs_limit: int | str = 20, final: str = "team1_runs") -> DataFrame:
+                  overs_limit: int | str = 20, final: str = "team1_runs", season: str | None = None) -> DataFrame:
     """One row per (match, over) for over 0..limit-1 of innings 1: cumulative runs and
-    wickets (cap 10), run rate = runs / (over + 1), venue code, final score.
+    wickets (cap 10), run rate = runs / (over + 1), venue code, final score and, with
+    the match table's ``season``, the season index.
     Overs before the first ball are skipped; after the last ball values carry.
     A match has at most ``limit`` overs, so the per-match window is bounded."""
     from crease.operators.prepare import dictionary_codes
@@ -318,7 +320,7 @@ def step_features(log: DataFrame, match_tbl: DataFrame, match: str = "match_id",
     # materialise it once (one row per match, far smaller than the log) in the
     # shared checkpoint folder instead of re-deriving it from the log three times.
     checkpoint_dir(match_tbl.sparkSession)
-    mt = match_tbl.select(match, venue, final, lim.alias("overs_limit")).checkpoint()
+    mt = match_tbl.select(match, venue, final, lim.alias("overs_limit"), *([season] if season else [])).checkpoint()
     steps = _over_spine(log, mt, match, innings, over, runs, wicket, F.col("overs_limit"))
     # matches without innings-1 balls have no first over and drop out here
     steps = steps.filter(F.col(over) >= F.col("__first"))
@@ -332,6 +334,7 @@ def step_features(log: DataFrame, match_tbl: DataFrame, match: str = "match_id",
         (F.col("cum_runs") / (F.col(over) + 1)).alias("run_rate"),
         F.coalesce("venue_enc", F.lit(0)).alias("venue_enc"),
         F.col("overs_limit").cast("int").alias("overs_limit"),
+        *([season_index(season).alias("season_idx")] if season else []),
         F.col(final).cast("long").alias("final_score"))
 
 

@@ -7,11 +7,9 @@ sizes, depths) are driver loops over Spark jobs on a cached, lineage-cut
 training table; none of them collects data to the driver.
 
 Parameter conversions from the reference's estimators:
-* ridge  alpha -> regParam = alpha / n, elasticNetParam = 0, no standardisation
-* lasso  alpha -> regParam = alpha,     elasticNetParam = 1, no standardisation
+* ridge and lasso are solved from one pass of sums (``crease.operators.linear``)
 * logistic C   -> regParam = 1 / (n C),  standardised input
-* boosted trees with row / column subsampling stand in for the gradient-boosting
-  library (same family; columns are drawn per node, objective is first order).
+* boosted trees are ``boost.Spec`` models (``crease.operators.boost``)
 """
 
 from __future__ import annotations
@@ -21,16 +19,17 @@ import random
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, OneVsRest,
-                                       NaiveBayes, RandomForestClassifier)
+from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crease.operators.boost import Spec, boost
+from crease.operators.linear import LinearFit, Penalised, fold_moments, merge, solve
 from crease.operators.prepare import kfold_assign, portable_hash
 
 SEED = 42
@@ -50,13 +49,13 @@ def regressors(n: int) -> dict:
     """The regression set."""
     return {
         "linear": LinearRegression(regParam=0.0, solver="normal"),
-        "ridge": LinearRegression(regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False),
-        "lasso": LinearRegression(regParam=0.1, elasticNetParam=1.0, standardization=False),
+        "ridge": Penalised("ridge", 1.0),
+        "lasso": Penalised("lasso", 0.1),
         "dt": DecisionTreeRegressor(maxDepth=8, maxBins=64, seed=SEED),
         "rf": RandomForestRegressor(numTrees=100, maxDepth=10, seed=SEED, **DEEP),
-        "gb": GBTRegressor(maxIter=100, stepSize=0.1, maxDepth=3, seed=SEED),
-        "xgb": GBTRegressor(maxIter=300, maxDepth=6, stepSize=0.05, subsamplingRate=0.8,
-                            featureSubsetStrategy="0.8", seed=SEED),
+        "gb": Spec(rounds=100, depth=3, rate=0.1, loss="squared", second=False),
+        "xgb": Spec(rounds=300, depth=6, rate=0.05, rows=0.8, columns=0.8, loss="squared"),
+        "ada": "adaboost_r2",
     }
 
 
@@ -69,9 +68,8 @@ def classifiers(n: int) -> dict:
         "dt": DecisionTreeClassifier(maxDepth=5, minInstancesPerNode=10, impurity="gini", seed=SEED),
         "bag": RandomForestClassifier(numTrees=200, featureSubsetStrategy="all", maxDepth=30, seed=SEED, **DEEP),
         "rf": RandomForestClassifier(numTrees=200, maxDepth=10, minInstancesPerNode=1, seed=SEED, **DEEP),
-        "gb": GBTClassifier(maxIter=200, maxDepth=4, stepSize=0.05, seed=SEED),
-        "xgb": GBTClassifier(maxIter=300, maxDepth=6, stepSize=0.05, subsamplingRate=0.8,
-                             featureSubsetStrategy="0.8", seed=SEED),
+        "gb": Spec(rounds=200, depth=4, rate=0.05, l2=0.0, least=1e-3),
+        "xgb": Spec(rounds=300, depth=6, rate=0.05, rows=0.8, columns=0.8),
     }
 
 
@@ -85,7 +83,13 @@ def assemble(features: list[str], scale: bool = False) -> list:
     return stages
 
 
-def fit_pipeline(train: DataFrame, features: list[str], label: str, estimator, scale: bool = False) -> PipelineModel:
+def fit_pipeline(train: DataFrame, features: list[str], label: str, estimator, scale: bool = False):
+    """A fitted pipeline, a ``boost.Boosted`` model of a ``boost.Spec``, or a
+    ``linear.LinearFit`` of a ``linear.Penalised``."""
+    if isinstance(estimator, Penalised):
+        return solve(merge(list(fold_moments(train, features, label).values())), features, estimator.kind, estimator.alpha)
+    if isinstance(estimator, Spec):
+        return boost(train, features, label, [estimator])[0][0]
     est = estimator.copy() if hasattr(estimator, "copy") else estimator
     est = est.setFeaturesCol("features").setLabelCol(label)
     return Pipeline(stages=assemble(features, scale) + [est]).fit(train)
@@ -174,13 +178,13 @@ class RbfSvmModel:
 
 
 def svm_rbf(train: DataFrame, features: list[str], label: str, n_components: int = 100,
-            c: float = 1.0) -> RbfSvmModel:
+            c: float = 1.0, gamma: float | None = None) -> RbfSvmModel:
     """Linear SVM on random Fourier features of the standardised input, with a
     logistic (Platt) fit on the margin for probabilities.  ``c`` weighs the loss
     of all rows, Spark's regParam the mean loss: regParam = 1 / (c n)."""
     reg = 1.0 / (c * max(1, train.count()))
     scaler_model = Pipeline(stages=assemble(features, scale=True)).fit(train)
-    ws, bs = rff_weights(len(features), n_components)
+    ws, bs = rff_weights(len(features), n_components, gamma)
     model = RbfSvmModel(scaler_model, ws, bs, None, None)
     z = model.features(train).cache()
     model.svm = LinearSVC(featuresCol="features", labelCol=label, regParam=reg, maxIter=100).fit(z)
@@ -272,64 +276,128 @@ def adaboost(train: DataFrame, features: list[str], label: str, n_estimators: in
     return AdaBoostModel(stumps, alphas, features, classes)
 
 
+def _tree_value(node, features: list[str]) -> Column:
+    """Prediction of a small fitted tree, as an expression."""
+    if node.subtreeDepth() == 0:
+        return F.lit(float(node.prediction()))
+    split = node.split()
+    x = F.col(features[split.featureIndex()]).cast("double")
+    return F.when(x <= float(split.threshold()), _tree_value(node.leftChild(), features)).otherwise(_tree_value(node.rightChild(), features))
+
+
+class AdaBoostRegressor:
+    """Stages of AdaBoost.R2; a prediction is the weighted median of theirs."""
+
+    def __init__(self, stages: list, features: list[str]):
+        self.stages, self.features = stages, features
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        values = F.array_sort(F.array(*[F.struct(_tree_value(node, self.features).alias("v"), F.lit(w).alias("w")) for node, w in self.stages]))
+        half = F.lit(0.5 * sum(w for _, w in self.stages))
+        start = F.struct(F.lit(0.0).alias("s"), F.lit(None).cast("double").alias("v"))
+        at = F.aggregate(values, start, lambda a, x: F.struct((a["s"] + x["w"]).alias("s"), F.when(
+            a["v"].isNull() & (a["s"] + x["w"] >= half), x["v"]).otherwise(a["v"]).alias("v")))
+        return df.withColumn("prediction", at["v"])
+
+
+def adaboost_r2(train: DataFrame, features: list[str], label: str, n_estimators: int = 50, learning_rate: float = 1.0,
+                depth: int = 3, checkpoint_every: int = 10) -> AdaBoostRegressor:
+    """AdaBoost.R2 with linear loss: each round fits a tree of ``depth`` on the weighted
+    rows, measures every row's error as a share of the largest, and weakens the rows
+    that the tree gets right.  Two passes a round (fit, errors); rows without label
+    take no part.  The weights stand in place of drawing rows by them."""
+    from crease.session import checkpoint_dir
+    checkpoint_dir(train.sparkSession)
+    rows = train.filter(F.col(label).isNotNull())
+    va = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
+    cur = va.transform(rows.select(*dict.fromkeys([*features, label]))).withColumn("__w", F.lit(1.0)).checkpoint()
+    stages = []
+    for turn in range(n_estimators):
+        tree = DecisionTreeRegressor(maxDepth=depth, maxBins=64, labelCol=label, featuresCol="features", weightCol="__w", seed=SEED).fit(cur)
+        node = tree._call_java("rootNode")
+        miss = cur.withColumn("__e", F.abs(_tree_value(node, features) - F.col(label).cast("double")))
+        worst, total, lost = miss.agg(F.max("__e"), F.sum("__w"), F.sum(F.col("__w") * F.col("__e"))).first()
+        if not worst:  # a perfect stage ends the rounds
+            stages.append((node, 1.0))
+            break
+        error = lost / worst / total
+        if error >= 0.5:
+            if not stages:
+                stages.append((node, 1.0))
+            break
+        beta = error / (1.0 - error)
+        stages.append((node, learning_rate * math.log(1.0 / beta)))
+        power = (1.0 - F.col("__e") / worst) * learning_rate
+        cur = miss.withColumn("__w", F.col("__w") / total * F.pow(F.lit(beta), power)).drop("__e")
+        cur = cur.checkpoint() if (turn + 1) % checkpoint_every == 0 else cur
+    return AdaBoostRegressor(stages, features)
+
+
 # ---------------------------------------------------------------------------
 # Stacking (L15): out-of-fold probabilities of the base models feed a boosted
 # meta model; bases are refitted on all rows for scoring.
 # ---------------------------------------------------------------------------
 
 class StackingModel:
-    def __init__(self, bases: dict, meta: PipelineModel, features: list[str]):
-        self.bases, self.meta, self.features = bases, meta, features
+    def __init__(self, bases: dict, meta, classes: int):
+        self.bases, self.meta, self.classes = bases, meta, classes
 
     def transform(self, df: DataFrame) -> DataFrame:
-        cur = df
-        for name, m in self.bases.items():
-            cur = m.transform(cur).withColumn(f"__p_{name}", vector_to_array("probability")[1]) \
-                   .drop("features", "features_raw", "rawPrediction", "probability", "prediction")
-        return self.meta.transform(cur)
-
-
-def stacking(train: DataFrame, features: list[str], label: str, id_col: str, folds: int = 5,
-             parallelism: int = 4) -> StackingModel:
-    """Out-of-fold base probabilities are written once (checkpoint) before the
-    meta model's boosting rounds read them; otherwise every round would re-score
-    every fold through every base model.  The folds x bases fits are independent
-    Spark jobs and run from ``parallelism`` driver threads."""
-    from concurrent.futures import ThreadPoolExecutor
+        return self.meta.transform(_with_base(df, self.bases, self.classes))
 
+
+def _base_columns(bases, classes: int) -> list[str]:
+    return [f"__p_{name}_{k}" for name in bases for k in range(1, classes)]
+
+
+def _with_base(df: DataFrame, models: dict, classes: int) -> DataFrame:
+    """``df`` with every base model's probabilities of the classes 1.."""
+    for name, m in models.items():
+        scored = m.transform(df)
+        p = _probabilities(scored)
+        df = scored.select(*df.columns, *[F.coalesce(F.get(p, F.lit(k)), F.lit(0.0)).alias(f"__p_{name}_{k}") for k in range(1, classes)])
+    return df
+
+
+def stacking(train: DataFrame, features: list[str], label: str, id_col: str, folds: int = 5) -> StackingModel:
+    """Logistic regression, a forest and boosted trees under a boosted meta model,
+    for labels 0..; folds are stratified by the label.  Out-of-fold probabilities are
+    written once (checkpoint) before the meta model reads them.  The folds' fits
+    are independent jobs; the boosted ones grow together."""
     from crease.session import checkpoint_dir
     checkpoint_dir(train.sparkSession)
-    n = train.count()
-    bases = {"lr": (LogisticRegression(maxIter=1000, regParam=1.0 / n), True),
-             "rf": (RandomForestClassifier(numTrees=200, maxDepth=10, seed=SEED, **DEEP), False),
-             "gb": (GBTClassifier(maxIter=200, maxDepth=4, stepSize=0.05, seed=SEED), False)}
-    f = kfold_assign(train, id_col, folds).checkpoint()
-    tasks = [(k, name) for k in range(folds) for name in bases] + [(None, name) for name in bases]
+    n, top = train.agg(F.count(F.lit(1)), F.max(label)).first()
+    classes = max(2, int(top or 0) + 1)
+    many = {"loss": "softmax", "classes": classes} if classes > 2 else {}
+    spark_bases = {"lr": (LogisticRegression(maxIter=1000, regParam=1.0 / max(n, 1)), True),
+                   "rf": (RandomForestClassifier(numTrees=200, maxDepth=10, seed=SEED, **DEEP), False)}
+    f = kfold_assign(train, id_col, folds, label=label).checkpoint()
 
     def fit(task):
         k, name = task
-        est, scale = bases[name]
-        return fit_pipeline(train if k is None else f.filter(F.col("fold") != k), features, label, est, scale)
+        est, scale = spark_bases[name]
+        return fit_pipeline(f if k is None else f.filter(F.col("fold") != k), features, label, est, scale)
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        models = dict(zip(tasks, pool.map(fit, tasks)))
-    oof = []
-    for k in range(folds):
-        cur = f.filter(F.col("fold") == k)
-        for name in bases:
-            cur = models[(k, name)].transform(cur).withColumn(f"__p_{name}", vector_to_array("probability")[1]) \
-                                   .drop("features", "features_raw", "rawPrediction", "probability", "prediction")
-        oof.append(cur)
-    meta_in = reduce(DataFrame.unionByName, oof).checkpoint()
-    meta = fit_pipeline(meta_in, [f"__p_{b}" for b in bases], label, GBTClassifier(maxIter=100, seed=SEED))
-    full = {name: models[(None, name)] for name in bases}
-    return StackingModel(full, meta, features)
+    tasks = [(k, name) for k in [*range(folds), None] for name in spark_bases]
+    models = dict(zip(tasks, _at_once(fit, tasks)))
+    specs = [Spec(rounds=200, depth=4, rate=0.05, l2=0.0, least=1e-3, fold=k, **many) for k in [*range(folds), None]]
+    models |= {(s.fold, "gb"): m for s, m in zip(specs, boost(f, features, label, specs, id_col, "fold")[0])}
+    bases = [*spark_bases, "gb"]
+    meta_in = reduce(DataFrame.unionByName, [
+        _with_base(f.filter(F.col("fold") == k), {name: models[k, name] for name in bases}, classes) for k in range(folds)]).checkpoint()
+    meta = boost(meta_in, _base_columns(bases, classes), label, [Spec(rounds=100, depth=3, rate=0.1, l2=0.0, least=1e-3, **many)], id_col)[0][0]
+    return StackingModel({name: models[None, name] for name in bases}, meta, classes)
 
 
 # ---------------------------------------------------------------------------
 # L16 fit many / L20 batch scoring / L22 persistence / L23 coefficients
 # ---------------------------------------------------------------------------
 
+def _probabilities(df: DataFrame, col: str = "probability") -> Column:
+    """Probabilities as an array, whether a vector or an array holds them."""
+    return F.col(col) if df.schema[col].dataType.typeName() == "array" else vector_to_array(col)
+
+
 def _metrics_row(spark, name, pred: DataFrame, label: str, kind: str, n_features: int = 1) -> DataFrame:
     from crease.operators.evaluate import binary_metrics, regression_metrics, roc_auc
     if kind == "regression":
@@ -339,7 +407,7 @@ def _metrics_row(spark, name, pred: DataFrame, label: str, kind: str, n_features
         return _multiclass_row(name, pred, label)
     pred = pred.withColumn("__y", F.col(label).cast("double"))
     m = binary_metrics(pred, "__y", "prediction", positive=1.0)
-    auc = roc_auc(pred.withColumn("__p", vector_to_array("probability")[1]), "__y", "__p", positive=1.0).select("auc") \
+    auc = roc_auc(pred.withColumn("__p", _probabilities(pred)[1]), "__y", "__p", positive=1.0).select("auc") \
         if "probability" in pred.columns else spark.range(1).select(F.lit(None).cast("double").alias("auc"))
     return m.crossJoin(auc).select(F.lit(name).alias("model"), "accuracy", "precision", "recall", "f1", "auc")  # single rows
 
@@ -347,8 +415,8 @@ def _metrics_row(spark, name, pred: DataFrame, label: str, kind: str, n_features
 def _multiclass_row(name: str, pred: DataFrame, label: str) -> DataFrame:
     """Accuracy, macro precision / recall / F1 and one-vs-rest AUC over the classes of ``label``."""
     from crease.operators.evaluate import macro_metrics, roc_auc_ovr
-    scored = pred.withColumn("__y", F.col(label).cast("double")).withColumn("__p", vector_to_array(
-        "probability" if "probability" in pred.columns else "rawPrediction"))
+    scored = pred.withColumn("__y", F.col(label).cast("double")).withColumn("__p", _probabilities(
+        pred, "probability" if "probability" in pred.columns else "rawPrediction"))
     size = scored.select(F.size("__p").alias("n")).first()["n"]  # classes of the model
     scored = scored.select("__y", F.col("prediction").cast("double").alias("prediction"),
                            *[F.col("__p")[i].alias(f"__p{i}") for i in range(size)]).checkpoint()
@@ -359,10 +427,11 @@ def _multiclass_row(name: str, pred: DataFrame, label: str) -> DataFrame:
         F.lit(name).alias("model"), "n", "accuracy", "macro_precision", "macro_recall", "macro_f1", F.col("macro_auc"))
 
 
-def multiclass_classifiers(n: int) -> dict:
-    """Classifiers of more than two classes; boosted trees one against the rest."""
+def multiclass_classifiers(n: int, classes: int) -> dict:
+    """Classifiers of more than two classes (labels 0..classes-1)."""
     pool = {k: v for k, v in classifiers(n).items() if k in ("logistic", "dt", "rf")}
-    return pool | {"gb": OneVsRest(classifier=GBTClassifier(maxIter=100, maxDepth=4, stepSize=0.1, seed=SEED), parallelism=4)}
+    return pool | {"gb": Spec(rounds=100, depth=3, rate=0.1, l2=0.0, least=1e-3, loss="softmax", classes=classes),
+                   "xgb": Spec(rounds=100, depth=6, rate=0.3, loss="softmax", classes=classes)}
 
 
 def fit_many_compare(train: DataFrame, test: DataFrame, features: list[str], label: str, kind: str,
@@ -372,7 +441,10 @@ def fit_many_compare(train: DataFrame, test: DataFrame, features: list[str], lab
     split is cached for the fits.  ``kind``: regression, classification (labels 0
     and 1) or multiclass (labels 0..)."""
     n = train.count()
-    pool = regressors(n) if kind == "regression" else multiclass_classifiers(n) if kind == "multiclass" else classifiers(n)
+    if kind == "multiclass":
+        pool = multiclass_classifiers(n, int(train.agg(F.max(label)).first()[0] or 0) + 1)
+    else:
+        pool = regressors(n) if kind == "regression" else classifiers(n)
     names = names or list(pool)
     train = train.cache()
     fitted, rows = {}, []
@@ -380,6 +452,8 @@ def fit_many_compare(train: DataFrame, test: DataFrame, features: list[str], lab
         est = pool[name]
         if est == "gaussian_nb":
             model = gaussian_nb(train, features, label)
+        elif est == "adaboost_r2":
+            model = adaboost_r2(train, features, label)
         else:
             model = fit_pipeline(train, features, label, est, scale=name in SCALED)
         fitted[name] = model
@@ -397,7 +471,7 @@ def batch_score(models: dict, df: DataFrame, keep: list[str]) -> DataFrame:
     parts = []
     for name, m in models.items():
         p = m.transform(df)
-        prob = vector_to_array("probability")[1] if "probability" in p.columns else F.lit(None).cast("double")
+        prob = _probabilities(p)[1] if "probability" in p.columns else F.lit(None).cast("double")
         parts.append(p.select(F.lit(name).alias("model"), *keep, F.col("prediction").cast("double").alias("prediction"),
                               prob.alias("probability")))
     return reduce(DataFrame.unionByName, parts)
@@ -409,11 +483,14 @@ def model_persist(model: PipelineModel, path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def coefficients(model: PipelineModel, features: list[str]) -> DataFrame:
+def coefficients(model: PipelineModel | LinearFit, features: list[str]) -> DataFrame:
     """(feature, coefficient) of the final linear stage plus the intercept."""
-    lm = model.stages[-1]
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
+    if isinstance(model, LinearFit):
+        rows = [*zip(features, map(float, model.weights)), ("(intercept)", model.intercept)]
+        return spark.createDataFrame(rows, "feature string, coefficient double")
+    lm = model.stages[-1]
     rows = [(f, float(c)) for f, c in zip(features, lm.coefficients.toArray())] + [("(intercept)", float(lm.intercept))]
     return spark.createDataFrame(rows, "feature string, coefficient double")
 
@@ -494,28 +571,129 @@ def grid_search(df: DataFrame, features: list[str], label: str, estimator, grid:
     return df.sparkSession.createDataFrame(rows, "params string, mean_score double")
 
 
-def regularised_cv(df: DataFrame, features: list[str], label: str, id_col: str, kind: str = "ridge",
-                   alphas: list[float] | None = None, folds: int = 5) -> tuple[float, PipelineModel]:
-    """Ridge / lasso with the penalty chosen by k-fold CV (ridge: largest R2, lasso:
-    least squared error): returns (best alpha, model refitted on all rows).
-    alpha is converted to Spark's regParam per the module notes, with the rows
-    that a fit sees: those of the other folds, then all."""
-    n = df.count()
+def boosted_search(df: DataFrame, features: list[str], label: str, grid: dict[str, list], id_col: str, folds: int = 5,
+                   sample: int | None = None, seed: int = SEED, **fixed) -> DataFrame:
+    """k-fold cross validation of boosted trees over a grid of ``boost.Spec`` fields
+    (or a seeded sample of ``sample`` points), folds stratified by the label: (its
+    fields, mean_score, best).  All folds and points grow together."""
+    from itertools import product
+
+    from crease.operators.boost import Spec, boost
+    points = [dict(zip(grid, values)) for values in product(*grid.values())]
+    if sample is not None and sample < len(points):
+        points = random.Random(seed).sample(points, sample)
+    f = kfold_assign(df, id_col, folds, label=label)
+    specs = [Spec(**p, **fixed, fold=k) for p in points for k in range(folds)]
+    _, scores = boost(f, features, label, specs, id_col, "fold", keep_trees=False)
+    rows = [(*p.values(), sum(scores[i * folds:(i + 1) * folds]) / folds) for i, p in enumerate(points)]
+    top = max(range(len(rows)), key=lambda i: (rows[i][-1], -i))
+    names = [f"{name} {'int' if isinstance(grid[name][0], int) else 'double'}" for name in grid]
+    return df.sparkSession.createDataFrame([(*r, i == top) for i, r in enumerate(rows)],
+                                           ", ".join(names) + ", mean_score double, best boolean")
+
+
+# The grids of the five classifiers.
+CLASSIFIER_GRIDS = {
+    "lr": {"C": [0.1, 1.0, 10.0, 100.0]},
+    "knn": {"n_neighbors": [3, 5, 7, 9, 11, 13, 15]},
+    "svm": {"C": [0.1, 1.0, 10.0, 100.0], "gamma": ["scale", "auto"]},
+    "dt": {"max_depth": [3, 5, 7, 10, None], "criterion": ["gini", "entropy"]},
+    "rf": {"n_estimators": [100, 200], "max_depth": [5, 10, None]},
+}
+#: Depth of a tree without a limit (Spark's largest).
+DEEPEST = 30
+
+
+def search_classifiers(df: DataFrame, features: list[str], label: str, id_col: str, folds: int = 5,
+                       grids: dict | None = None) -> DataFrame:
+    """Grid search of logistic regression, k-NN, SVM, tree and forest on labels 0 and
+    1: (estimator, params, mean_score, best), the mean accuracy over stratified folds;
+    ``best`` marks every estimator's best point (ties: the first).
+
+    Logistic regression, k-NN and SVM see standardised features (of the whole table,
+    as the reference scales before it searches).  All points of the forest grow
+    together; one neighbour search per fold serves every number of neighbours.
+    """
+    from itertools import product
+
+    from crease.operators.cluster import knn_neighbours
+    from crease.operators.prepare import scale_standard
+    from crease.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    grids = grids or CLASSIFIER_GRIDS
+    rows = df.filter(F.col(label).isNotNull()).select(id_col, F.col(label).cast("double").alias(label), *[F.col(c).cast("double").alias(c) for c in features])
+    f = kfold_assign(rows, id_col, folds, label=label).checkpoint()
+    scaled = scale_standard(f, features).checkpoint()
+    n = f.count()
     seen = max(1.0, n * (folds - 1) / folds)
-    if kind == "ridge":
-        alphas = alphas or [0.01, 0.1, 1, 10, 100]
-        reg = {a: a / seen for a in alphas}
-        base = LinearRegression(elasticNetParam=0.0, standardization=False)
-    else:
-        alphas = alphas or [0.001, 0.01, 0.1, 1, 10]
-        reg = {a: a for a in alphas}
-        base = LinearRegression(elasticNetParam=1.0, standardization=False, maxIter=5000)
-    res = grid_search(df, features, label, base, {"regParam": [reg[a] for a in alphas]}, id_col, folds=folds,
-                      kind="regression", metric="r2" if kind == "ridge" else "mse").collect()
-    score = {float(r["params"].split("=")[1]): r["mean_score"] * (-1 if kind == "ridge" else 1) for r in res}
-    best_alpha = min(alphas, key=lambda a: score[float(reg[a])])
-    model = fit_pipeline(df, features, label, base.copy().setRegParam(best_alpha / max(n, 1) if kind == "ridge" else best_alpha))
-    return best_alpha, model
+    variance = f.agg(*[F.var_pop(c).alias(c) for c in features]).first()  # of the scaled columns: 1, or 0 for a constant
+    spread = sum(1.0 for c in features if variance[c]) / len(features)
+    points = {name: [dict(zip(grid, v)) for v in product(*grid.values())] for name, grid in grids.items()}
+    ev = _evaluator("classification", label)
+
+    def accuracy(table: DataFrame, k: int, fit) -> float:
+        return float(ev.evaluate(fit(table.filter(F.col("fold") != k)).transform(table.filter(F.col("fold") == k))))
+
+    def single(task: tuple) -> float:
+        name, p, k = task
+        if name == "lr":
+            est = LogisticRegression(maxIter=1000, regParam=1.0 / (p["C"] * seen), elasticNetParam=0.0, standardization=False)
+            return accuracy(scaled, k, lambda tr: fit_pipeline(tr, features, label, est))
+        if name == "svm":  # on scaled columns: 1 / (columns x variance), or 1 / columns
+            gamma = 1.0 / (len(features) * (max(spread, 1e-12) if p["gamma"] == "scale" else 1.0))
+            return accuracy(scaled, k, lambda tr: svm_rbf(tr, features, label, c=p["C"], gamma=gamma))
+        est = DecisionTreeClassifier(maxDepth=p["max_depth"] or DEEPEST, impurity=p["criterion"], maxBins=64, seed=SEED)
+        return accuracy(f, k, lambda tr: fit_pipeline(tr, features, label, est))
+
+    tasks = [(name, p, k) for name in ("lr", "svm", "dt") if name in points for p in points[name] for k in range(folds)]
+    scores: dict[tuple, list[float]] = {}
+    for (name, p, _), score in zip(tasks, _at_once(single, tasks)):
+        scores.setdefault((name, str(p)), []).append(score)
+    if "rf" in points:
+        specs = [Spec(rounds=p["n_estimators"], depth=p["max_depth"] or DEEPEST, loss="share", columns=0.0, l2=0.0, fold=k)
+                 for p in points["rf"] for k in range(folds)]
+        found = boost(f, features, label, specs, id_col, "fold", keep_trees=False)[1]
+        for i, p in enumerate(points["rf"]):
+            scores["rf", str(p)] = found[i * folds:(i + 1) * folds]
+    if "knn" in points:
+        most = max(p["n_neighbors"] for p in points["knn"])
+        near = reduce(DataFrame.unionByName, [knn_neighbours(scaled.filter(F.col("fold") != k), scaled.filter(F.col("fold") == k), id_col, features, most)
+                                              .withColumn("fold", F.lit(k)) for k in range(folds)])
+        voted = near.join(f.select(F.col(id_col).alias("train_id"), F.col(label).alias("v")), "train_id") \
+            .join(f.select(F.col(id_col).alias("test_id"), F.col(label).alias("y")), "test_id")
+        votes = voted.groupBy("test_id", "fold", "y").agg(*[  # of equal votes the smaller class wins
+            (F.sum(F.when(F.col("rank") <= p["n_neighbors"], F.col("v"))) * 2 > F.count(F.when(F.col("rank") <= p["n_neighbors"], 1)))
+            .cast("double").alias(f"p{i}") for i, p in enumerate(points["knn"])])
+        for r in votes.groupBy("fold").agg(*[F.avg((F.col(f"p{i}") == F.col("y")).cast("double")).alias(f"p{i}") for i in range(len(points["knn"]))]) \
+                .orderBy("fold").collect():  # folds
+            for i, p in enumerate(points["knn"]):
+                scores.setdefault(("knn", str(p)), []).append(r[f"p{i}"])
+    out = []
+    for name, ps in points.items():
+        means = [sum(scores[name, str(p)]) / len(scores[name, str(p)]) for p in ps]
+        top = max(range(len(ps)), key=lambda i: (means[i], -i))
+        out += [(name, ", ".join(f"{k}={v}" for k, v in p.items()), float(m), i == top) for i, (p, m) in enumerate(zip(ps, means))]
+    return df.sparkSession.createDataFrame(out, "estimator string, params string, mean_score double, best boolean")
+
+
+def regularised_cv(df: DataFrame, features: list[str], label: str, id_col: str, kind: str = "ridge",
+                   alphas: list[float] | None = None, folds: int = 5) -> tuple[float, LinearFit]:
+    """Ridge / lasso with the penalty chosen by k-fold CV (ridge: largest mean R2,
+    lasso: least mean squared error; ties: the smaller penalty): (best alpha, model
+    of all rows).  One pass over the rows gives what all fits and scores need."""
+    parts = fold_moments(kfold_assign(df, id_col, folds), features, label, "fold")
+    alphas = alphas or ([0.01, 0.1, 1, 10, 100] if kind == "ridge" else [0.001, 0.01, 0.1, 1, 10])
+
+    def score(alpha: float) -> float:
+        out = []
+        for k, held in parts.items():
+            model = solve(merge([p for f, p in parts.items() if f != k]), features, kind, alpha)
+            error = model.squared_error(held)
+            out.append(1 - error / held.co[-1, -1] if kind == "ridge" else -error / held.n)
+        return sum(out) / len(out)
+
+    best = max(sorted(alphas), key=score)
+    return best, solve(merge(list(parts.values())), features, kind, best)
 
 
 def tree_rules(model: PipelineModel, features: list[str], max_depth: int | None = None) -> DataFrame:

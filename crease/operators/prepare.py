@@ -17,7 +17,7 @@ from crease.operators.scan import quantiles, running_totals
 # Names of the categories of missing and of unseen values.
 MISSING = "Missing"
 UNKNOWN = "<unknown>"
-# Most distinct levels turned into columns of their own; more become one sparse vector.
+# Most distinct levels that become columns of their own.
 ONE_HOT_MAX_LEVELS = 1000
 
 
@@ -60,17 +60,22 @@ def label_encode_unseen(train: DataFrame, score: DataFrame, col: str,
     return out, codes
 
 
-def one_hot(df: DataFrame, col: str, missing: str = MISSING,
+def one_hot(df: DataFrame, col: str, missing: str = MISSING, shape: str = "columns",
             max_levels: int = ONE_HOT_MAX_LEVELS) -> DataFrame:
-    """One 0/1 column ``{col}_{value}`` per distinct value (null -> Missing), no
-    dropped level, source column removed.  The distinct levels become the output
-    schema, so they are fetched; with more than ``max_levels`` the result is one
-    sparse vector column ``{col}_onehot`` instead, its index the level's code."""
+    """The one-hot code of ``col`` (null -> Missing, no dropped level, source column
+    removed).  ``shape="columns"``: one 0/1 column ``{col}_{value}`` per distinct
+    value; these become the output schema, so they are fetched, and more than
+    ``max_levels`` are an error.  ``shape="vector"``: one sparse vector column
+    ``{col}_onehot`` for any number of levels."""
+    if shape == "vector":
+        return one_hot_vector(df, col, missing)
+    if shape != "columns":
+        raise ValueError(shape)
     as_text = F.coalesce(F.col(col).cast("string"), F.lit(missing))
     levels_df = df.select(as_text.alias("v")).distinct()
     levels = [r[0] for r in levels_df.orderBy("v").limit(max_levels + 1).collect()]
     if len(levels) > max_levels:
-        return one_hot_vector(df, col, missing)
+        raise ValueError(f"{col} has more than {max_levels} levels: raise max_levels, or take shape='vector'")
     rest = [F.col(c) for c in df.columns if c != col]
     return df.select(*rest, *[(as_text == F.lit(v)).cast("int").alias(f"{col}_{v}") for v in levels])
 
@@ -92,12 +97,16 @@ def one_hot_vector(df: DataFrame, col: str, missing: str = MISSING) -> DataFrame
 def _scale(df: DataFrame, cols: list[str], method: str) -> DataFrame:
     if method not in ("standard", "minmax", "robust"):
         raise ValueError(method)
-    # Pass 1: medians, to fill nulls (the reference imputes before fitting).
-    meds = quantiles(df, {f"{c}__med": (F.col(c), [0.5]) for c in cols}) \
-        .select(*[F.col(f"{c}__med")[0].alias(f"{c}__med") for c in cols])
-    filled = df.crossJoin(F.broadcast(meds)).select(*[
-        F.coalesce(F.col(c).cast("double"), F.col(f"{c}__med")).alias(c) if c in cols else F.col(c)
-        for c in df.columns])
+    # Pass 1: medians of the columns that have nulls, to fill these (as the reference, before fitting).
+    may = [c for c in cols if df.schema[c].nullable]
+    nulls = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in may]).first() if may else {}
+    some = [c for c in may if nulls[c]]
+    filled = df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
+    if some:
+        meds = quantiles(df, {f"{c}__med": (F.col(c), [0.5]) for c in some}) \
+            .select(*[F.col(f"{c}__med")[0].alias(f"{c}__med") for c in some])
+        filled = filled.crossJoin(F.broadcast(meds)).select(*[
+            F.coalesce(F.col(c), F.col(f"{c}__med")).alias(c) if c in some else F.col(c) for c in df.columns])
     # Pass 2: the scaler's statistics on the filled column.
     aggs = []
     for c in cols:

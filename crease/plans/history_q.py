@@ -191,30 +191,38 @@ _MT = """mt AS (
   SELECT match_id, CAST(SUM(CASE WHEN innings = 1 THEN runs END) AS BIGINT) AS team1_runs,
     FIRST(venue ORDER BY innings, over_no, seq, bowler, price, shipped) AS venue
   FROM deliveries GROUP BY match_id HAVING COUNT(CASE WHEN innings = 1 THEN 1 END) > 0)"""
+# The season of a match: the year of its first ball.
+_MT_SEASONS = """seasons AS (
+  SELECT match_id, CAST(YEAR(FIRST(shipped ORDER BY innings, over_no, seq, bowler, price, shipped)) - 2008 AS INT) AS season_idx
+  FROM deliveries GROUP BY match_id)"""
 _MT_VENUES = """mt_venues AS (SELECT v, CAST(ROW_NUMBER() OVER (ORDER BY v) - 1 AS INT) AS code
   FROM (SELECT DISTINCT venue AS v FROM mt WHERE venue IS NOT NULL) x)"""
 
-STEP_SQL = with_ctes(DELIVERIES_SQL, _MT, _MT_VENUES, body=f"""
+STEP_CTES = [DELIVERIES_SQL, _MT, _MT_SEASONS, _MT_VENUES]
+STEP_BODY = f"""
 SELECT s.match_id, CAST(s.ov AS INT) AS over, CAST(SUM(d.runs) AS BIGINT) AS cum_runs,
   CAST(LEAST(COUNT(d.dismissal), 10) AS BIGINT) AS cum_wickets,
-  ROUND(SUM(d.runs) / (s.ov + 1), 6) AS run_rate, COALESCE(MAX(v.code), 0) AS venue_enc,
-  {DELIVERY_OVERS} AS overs_limit, MAX(s.team1_runs) AS final_score
+  SUM(d.runs) / (s.ov + 1) AS run_rate, COALESCE(MAX(v.code), 0) AS venue_enc,
+  {DELIVERY_OVERS} AS overs_limit, MAX(seasons.season_idx) AS season_idx, MAX(s.team1_runs) AS final_score
 FROM (SELECT m.match_id, m.team1_runs, m.venue, o.ov FROM mt m, range(0, {DELIVERY_OVERS}) o(ov)) s
 JOIN deliveries d ON d.match_id = s.match_id AND d.innings = 1 AND d.over_no <= s.ov
 LEFT JOIN mt_venues v ON v.v = s.venue
-GROUP BY s.match_id, s.ov""")
+LEFT JOIN seasons ON seasons.match_id = s.match_id
+GROUP BY s.match_id, s.ov"""
+STEP_SQL = with_ctes(*STEP_CTES, body=f"SELECT * REPLACE (ROUND(run_rate, 6) AS run_rate) FROM ({STEP_BODY})")
 
 
 def step_table(spark, sf):
     log = deliveries(spark, sf)
-    return H.step_features(log, _rollup(spark, sf), overs_limit=DELIVERY_OVERS)
+    matches = H.match_rollup(log, order=DELIVERY_ORDER[1:], carry=["venue", "shipped"]).withColumn("season", F.year("shipped"))
+    return H.step_features(log, matches, overs_limit=DELIVERY_OVERS, season="season")
 
 
 @register("step_features", STEP_SQL)
 def q_step_features(spark, sf):
     s = step_table(spark, sf)
     return s.select("match_id", "over", "cum_runs", "cum_wickets", F.round("run_rate", R6).alias("run_rate"),
-                    "venue_enc", "overs_limit", "final_score")
+                    "venue_enc", "overs_limit", "season_idx", "final_score")
 
 
 SEQ_SQL = with_ctes(DELIVERIES_SQL, _MT, body="""

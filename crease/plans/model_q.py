@@ -13,13 +13,14 @@ from crease.operators import models as M
 from crease.operators.history import elo_rating
 from crease.operators.prepare import scale_standard, train_test_split
 from crease.plans.eval_q import DIMENSIONS, _square, embedding_dims
-from crease.plans.history_q import FEATURE_COLS, FEATURES_SQL, match_feature_table, step_table
+from crease.plans.history_q import FEATURE_COLS, FEATURES_SQL, STEP_BODY, STEP_CTES, match_feature_table, step_table
+from crease.plans.linear_sql import solve_ctes, value
 from crease.plans.registry import register, with_ctes
 from crease.session import checkpoint_dir
 from crease.sources.fixtures import contests
 
 R6 = 6
-STEP_FEATURES = ["over", "cum_runs", "cum_wickets", "run_rate", "venue_enc", "overs_limit"]
+STEP_FEATURES = ["over", "cum_runs", "cum_wickets", "run_rate", "venue_enc", "overs_limit", "season_idx"]
 DIMS = [f"e{i}" for i in range(DIMENSIONS)]
 
 
@@ -49,9 +50,36 @@ def _fit_one(kind: str, name: str):
     return q
 
 
-for _name, _key in [("linear_regression", "linear"), ("ridge", "ridge"), ("lasso", "lasso"),
-                    ("dt_regressor", "dt"), ("random_forest_regressor", "rf"),
-                    ("gradient_boosting_regressor", "gb"), ("xgboost_like_regressor", "xgb")]:
+# The step table, its split, and the position of the training rows in hash order.
+_STEP_SPLIT = [*STEP_CTES, f"""steps AS (SELECT match_id * 10 + over AS row_id, CAST(final_score AS DOUBLE) AS y,
+  {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in STEP_FEATURES)} FROM ({STEP_BODY}))""",
+               """hashed AS (SELECT *, ((row_id % 1000003 + 42) * 2654435761) % 1000003 AS h, COUNT(*) OVER () AS total FROM steps)""",
+               """sp AS (SELECT *, CASE WHEN ROW_NUMBER() OVER (ORDER BY h, row_id) - 1 < CEIL(total * 0.2) THEN 'test' ELSE 'train' END AS split
+  FROM hashed)""",
+               """tr AS (SELECT *, (ROW_NUMBER() OVER (ORDER BY h, row_id) - 1) % 5 AS fold FROM sp WHERE split = 'train')"""]
+
+
+def _linear_metrics_sql(name: str, alpha: str) -> str:
+    p = len(STEP_FEATURES)
+    return with_ctes(*_STEP_SPLIT, *solve_ctes("fit", "tr", STEP_FEATURES, "y", alpha=alpha),
+                     f"e AS (SELECT {value(STEP_FEATURES)} - y AS e, y FROM sp, fit WHERE split = 'test')",
+                     "s AS (SELECT COUNT(*) AS n, AVG(ABS(e)) AS mae, AVG(e * e) AS mse, 1 - SUM(e * e) / (VAR_POP(y) * COUNT(*)) AS r2 FROM e)",
+                     body=f"""SELECT '{name}' AS model, ROUND(mae, 6) AS mae, ROUND(mse, 6) AS mse, ROUND(SQRT(mse), 6) AS rmse,
+  ROUND(r2, 6) AS r2, ROUND(1 - (1 - r2) * (n - 1) / (n - {p} - 1), 6) AS adj_r2, TRUE AS best FROM s""")
+
+
+def _q_linear(name: str):
+    def q(spark, sf):
+        out = _fit_one("regression", name)(spark, sf)
+        return out.select("model", *[F.round(c, R6).alias(c) for c in ("mae", "mse", "rmse", "r2", "adj_r2")], "best")
+    return q
+
+
+register("linear_regression", _linear_metrics_sql("linear", "0.0"))(_q_linear("linear"))
+register("ridge", _linear_metrics_sql("ridge", "1.0"))(_q_linear("ridge"))
+
+for _name, _key in [("lasso", "lasso"), ("dt_regressor", "dt"), ("random_forest_regressor", "rf"),
+                    ("gradient_boosting_regressor", "gb"), ("xgboost_like_regressor", "xgb"), ("adaboost_regressor", "ada")]:
     register(_name)(_fit_one("regression", _key))
 
 for _name, _key in [("logistic", "logistic"), ("dt_classifier", "dt"), ("bagging", "bag"),
@@ -105,6 +133,15 @@ def q_fit_many_compare(spark, sf):
     return metrics
 
 
+@register("fit_many_classification")
+def q_fit_many_classification(spark, sf):
+    """Which side wins: the comparison table of the two-class models."""
+    d = _cls_split(spark, sf)
+    tr, te = d.filter(F.col("split") == "train"), d.filter(F.col("split") == "test")
+    metrics, _ = M.fit_many_compare(tr, te, FEATURE_COLS, "a_won", "classification")
+    return metrics
+
+
 @register("fit_many_multiclass")
 def q_fit_many_multiclass(spark, sf):
     """Which of all sides wins: the comparison table with macro metrics."""
@@ -149,7 +186,16 @@ def q_batch_score(spark, sf):
     return M.batch_score(models, te, ["row_id", "final_score"])
 
 
-@register("model_persist")
+def _coefficients_sql(digits: int = 5, more: str = "") -> str:
+    rows = [f"SELECT '{c}' AS feature, ROUND(w{i}, {digits}) + 0.0 AS coefficient{more} FROM fit" for i, c in enumerate(STEP_FEATURES)]
+    return " UNION ALL ".join([*rows, f"SELECT '(intercept)', ROUND(intercept, {digits}) + 0.0{more} FROM fit"])
+
+
+def _rounded(coefficients, digits: int = 5):
+    return coefficients.withColumn("coefficient", F.round("coefficient", digits) + F.lit(0.0))
+
+
+@register("model_persist", with_ctes(*_STEP_SPLIT, *solve_ctes("fit", "tr", STEP_FEATURES, "y"), body=_coefficients_sql()))
 def q_model_persist(spark, sf):
     import uuid
     d = _reg_split(spark, sf)
@@ -157,7 +203,7 @@ def q_model_persist(spark, sf):
     model = M.fit_pipeline(tr, STEP_FEATURES, "final_score", M.regressors(1)["linear"])
     path = f"{checkpoint_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
     back = M.model_persist(model, path)
-    return M.coefficients(back, STEP_FEATURES)
+    return _rounded(M.coefficients(back, STEP_FEATURES))
 
 
 @register("coefficients")
@@ -177,19 +223,18 @@ def q_cross_validate(spark, sf):
 
 @register("grid_search")
 def q_grid_search(spark, sf):
-    from pyspark.ml.classification import DecisionTreeClassifier
     f = _cls_split(spark, sf).filter(F.col("split") == "train")
-    return M.grid_search(f, FEATURE_COLS, "a_won", DecisionTreeClassifier(seed=42),
-                         {"maxDepth": [3, 5, 7, 10], "impurity": ["gini", "entropy"]}, "match_id", folds=5)
+    return M.search_classifiers(f, FEATURE_COLS, "a_won", "match_id", folds=5)
+
+
+# The grid of the random search.
+BOOST_GRID = {"rounds": [100, 200, 300, 400], "depth": [3, 5, 7], "rate": [0.01, 0.05, 0.1], "rows": [0.6, 0.8, 1.0]}
 
 
 @register("random_search")
 def q_random_search(spark, sf):
-    from pyspark.ml.classification import GBTClassifier
     f = _cls_split(spark, sf).filter(F.col("split") == "train")
-    grid = {"maxIter": [100, 200, 300, 400], "maxDepth": [3, 5, 7], "stepSize": [0.01, 0.05, 0.1],
-            "subsamplingRate": [0.6, 0.8, 1.0]}
-    return M.grid_search(f, FEATURE_COLS, "a_won", GBTClassifier(seed=42), grid, "match_id", folds=5, sample=50)
+    return M.boosted_search(f, FEATURE_COLS, "a_won", BOOST_GRID, "match_id", folds=5, sample=50)
 
 
 def _cv_linear(kind):
@@ -197,11 +242,20 @@ def _cv_linear(kind):
         d = _reg_split(spark, sf)
         tr = d.filter(F.col("split") == "train")
         alpha, model = M.regularised_cv(tr, STEP_FEATURES, "final_score", "row_id", kind)
-        return M.coefficients(model, STEP_FEATURES).withColumn("alpha", F.lit(float(alpha)))
+        return _rounded(M.coefficients(model, STEP_FEATURES)).withColumn("alpha", F.lit(float(alpha)))
     return q
 
 
-register("ridge_cv")(_cv_linear("ridge"))
+RIDGE_CV_SQL = with_ctes(
+    *_STEP_SPLIT, "alphas AS (SELECT UNNEST([0.01, 0.1, 1.0, 10.0, 100.0])::DOUBLE AS alpha)",
+    "jobs AS (SELECT tr.*, alpha, held FROM tr, alphas, range(5) AS f(held) WHERE fold <> held)",
+    *solve_ctes("cv", "jobs", STEP_FEATURES, "y", ["alpha", "held"], "alpha"),
+    f"""r2 AS (SELECT alpha, held, 1 - SUM(({value(STEP_FEATURES)} - y) ^ 2) / (VAR_POP(y) * COUNT(*)) AS r2
+  FROM tr JOIN cv ON cv.held = tr.fold GROUP BY alpha, held)""",
+    "best AS (SELECT alpha FROM r2 GROUP BY alpha ORDER BY AVG(r2) DESC, alpha LIMIT 1)",
+    "chosen AS (SELECT tr.*, alpha FROM tr, best)",
+    *solve_ctes("fit", "chosen", STEP_FEATURES, "y", ["alpha"], "alpha"), body=_coefficients_sql(more=", alpha"))
+register("ridge_cv", RIDGE_CV_SQL)(_cv_linear("ridge"))
 register("lasso_cv")(_cv_linear("lasso"))
 
 
@@ -239,11 +293,19 @@ def q_permutation_importance(spark, sf):
     return M.permutation_importance(m, te, FEATURE_COLS, "a_won", "match_id")
 
 
-@register("attribution_dependence")
+ATTRIBUTION_SQL = with_ctes(
+    *_STEP_SPLIT, *solve_ctes("fit", "tr", STEP_FEATURES, "y"),
+    "mean AS (SELECT " + ", ".join(f"AVG({c}) AS mean_{c}" for c in STEP_FEATURES) + " FROM sp)",
+    body=" UNION ALL ".join(f"SELECT row_id, '{c}' AS feature, ROUND({c}, 6) AS value, ROUND(w{i} * ({c} - mean_{c}), 4) + 0.0 AS attribution "
+                            "FROM sp, fit, mean" for i, c in enumerate(STEP_FEATURES)))
+
+
+@register("attribution_dependence", ATTRIBUTION_SQL)
 def q_attribution_dependence(spark, sf):
     d = _reg_split(spark, sf)
     m = M.fit_pipeline(d.filter(F.col("split") == "train"), STEP_FEATURES, "final_score", M.regressors(1)["linear"])
-    return M.linear_attribution(m, d, STEP_FEATURES, ["row_id"])
+    return M.linear_attribution(m, d, STEP_FEATURES, ["row_id"]).withColumn("value", F.round("value", R6)) \
+        .withColumn("attribution", F.round("attribution", 4) + F.lit(0.0))
 
 
 @register("decision_grid")
@@ -258,12 +320,14 @@ def q_decision_grid(spark, sf):
 # clustering
 # ---------------------------------------------------------------------------
 
-# The dense-cell grid of DBSCAN is for few dimensions: its query clusters on three of them.
-DBSCAN_DIMS = DIMS[:3]
+# Neighbours of the vectors: no two of them are much nearer.
+DBSCAN_EPS = 9.25
 
 
 def _emb_scaled(spark, sf, dims=DIMS):
-    return scale_standard(embedding_dims(spark, sf, len(dims)), dims)
+    """The scaled vectors, cut from their lineage: their readers run many jobs."""
+    checkpoint_dir(spark)
+    return scale_standard(embedding_dims(spark, sf, len(dims)), dims).checkpoint()
 
 
 def _emb_z(n):
@@ -275,9 +339,8 @@ def _emb_z(n):
 
 
 _EMB_Z = _emb_z(len(DIMS))
-DBSCAN_SQL = "WITH RECURSIVE " + ",\n".join(_emb_z(3) + [
-    """pr AS (SELECT p.id AS a, q.id AS b FROM e p JOIN e q
-  ON (p.x0 - q.x0) * (p.x0 - q.x0) + (p.x1 - q.x1) * (p.x1 - q.x1) + (p.x2 - q.x2) * (p.x2 - q.x2) <= 0.25)""",
+DBSCAN_SQL = "WITH RECURSIVE " + ",\n".join(_EMB_Z + [
+    f"""pr AS (SELECT p.id AS a, q.id AS b FROM e p, e q WHERE {_square('p.x', 'q.x')} <= {DBSCAN_EPS * DBSCAN_EPS})""",
     """core AS (SELECT a AS id FROM pr GROUP BY a HAVING COUNT(*) >= 5)""",
     """ce AS (SELECT pr.a, pr.b FROM pr JOIN core c1 ON c1.id = pr.a JOIN core c2 ON c2.id = pr.b)""",
     """reach(id, r) AS (SELECT id, id FROM core UNION SELECT reach.id, ce.b FROM reach JOIN ce ON ce.a = reach.r)""",
@@ -292,7 +355,7 @@ FROM e LEFT JOIN cl ON cl.id = e.id LEFT JOIN border ON border.id = e.id"""
 
 @register("dbscan", DBSCAN_SQL)
 def q_dbscan(spark, sf):
-    return K.dbscan(_emb_scaled(spark, sf, DBSCAN_DIMS), "vec_id", DBSCAN_DIMS, eps=0.5, min_samples=5)
+    return K.dbscan(_emb_scaled(spark, sf), "vec_id", DIMS, eps=DBSCAN_EPS, min_samples=5)
 
 
 _SPLIT = """sp AS (SELECT *, ROW_NUMBER() OVER (ORDER BY ((id % 1000003 + 42) * 2654435761) % 1000003, id) - 1 AS pos,

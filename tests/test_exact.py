@@ -202,6 +202,8 @@ def test_one_hot_of_many_levels_is_a_sparse_vector(spark):
     rows = [(k, f"v{k % 12:02d}" if k % 13 else None) for k in range(60)]
     df = spark.createDataFrame(rows, "k int, c string")
     levels = sorted({v or "Missing" for _, v in rows})
-    out = {r["k"]: r["c_onehot"] for r in one_hot(df, "c", max_levels=5).collect()}
+    out = {r["k"]: r["c_onehot"] for r in one_hot(df, "c", shape="vector").collect()}
     assert all(out[k].size == len(levels) and out[k].indices.tolist() == [levels.index(v or "Missing")] for k, v in rows)
-    assert "c_v01" in one_hot(df, "c").columns
+    assert "c_v01" in one_hot(df, "c").columns  # the shape is the caller's, whatever the number of levels
+    with pytest.raises(ValueError, match="more than 5 levels"):
+        one_hot(df, "c", max_levels=5)

@@ -276,7 +276,7 @@ def test_dbscan_dense_cells_vs_all_pairs(spark, dims):
     """The dense-cell grid (no pairs inside a cell holding >= min_samples
     points) equals DBSCAN from all neighbour pairs, with one hot blob holding
     a third of the points, touching blobs, sparse bridges and noise."""
-    from crease.operators.cluster import _dbscan_pairs, dbscan
+    from crease.operators.cluster import _dbscan_metric, dbscan
     rng = np.random.default_rng(11)
     pts = np.vstack([rng.normal(0, 0.05, (150, dims)), rng.normal(0.6, 0.15, (120, dims)),
                      rng.normal(2.5, 0.25, (100, dims)), np.linspace(0.6, 2.5, 12)[:, None] * np.ones((1, dims)),
@@ -286,40 +286,7 @@ def test_dbscan_dense_cells_vs_all_pairs(spark, dims):
     df = spark.createDataFrame(rows, "id long, " + ", ".join(f"{c} double" for c in cols))
     for eps, ms in [(0.3, 5), (0.2, 8)]:
         got = sorted(tuple(r) for r in dbscan(df, "id", cols, eps, ms).collect())
-        want = sorted(tuple(r) for r in _dbscan_pairs(df.withColumn("w", F.lit(1)), cols, eps, ms).collect())
+        want = sorted(tuple(r) for r in _dbscan_metric(df.withColumn("w", F.lit(1)), cols, eps, ms).collect())
         assert got == want
         assert len({c for _, c, _ in got if c >= 0}) >= 2
 
-
-@pytest.mark.parametrize("name", ["fit_many_compare", "fit_many_multiclass", "batch_score"])
-def test_comparison_queries_fit_the_whole_pool(spark, monkeypatch, name):
-    from crease.operators import models as M
-    from crease.plans import QUERIES
-
-    def seen(train, test, features, label, kind, names=None):
-        pool = M.regressors(1) if kind == "regression" else M.multiclass_classifiers(1)
-        assert set(names or pool) == set(pool)
-        raise StopIteration(kind)
-
-    monkeypatch.setattr(M, "fit_many_compare", seen)
-    with pytest.raises(StopIteration):
-        QUERIES[name](spark, "/root/testdata/sf0.001")
-
-
-def test_multiclass_booster_has_its_full_rounds():
-    from crease.operators.models import multiclass_classifiers
-    booster = multiclass_classifiers(1)["gb"].getClassifier()
-    assert (booster.getMaxIter(), booster.getStepSize()) == (100, 0.1)
-
-
-def test_random_search_runs_fifty_draws_of_five_folds(spark, monkeypatch):
-    from crease.operators import models as M
-    from crease.plans import QUERIES
-
-    def seen(df, features, label, estimator, grid, id_col, folds=5, sample=None, **_):
-        assert (folds, sample, math.prod(map(len, grid.values()))) == (5, 50, 108)
-        raise StopIteration
-
-    monkeypatch.setattr(M, "grid_search", seen)
-    with pytest.raises(StopIteration):
-        QUERIES["random_search"](spark, "/root/testdata/sf0.001")
