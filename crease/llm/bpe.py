@@ -93,9 +93,10 @@ def decode(encoded: DataFrame, table: DataFrame, ids_col: str = "ids", out_col:
 
     The ids are joined map-side with ``table`` (token_id, bytes), which grows
     with the vocabulary only; a table of over ``TABLE_BYTES`` is refused.  Null
-    ids give empty bytes; an id that the table lacks is an error.
+    ids give empty bytes; an id that the table lacks is an error.  A column named
+    ``out_col`` is replaced; others pass through; an empty table stays empty.
     """
-    spark = encoded.sparkSession
+    spark, encoded = encoded.sparkSession, encoded.drop(out_col)
     size = table.agg(F.sum(F.length("bytes") + 8), F.count("*")).first()
     if (size[0] or 0) > TABLE_BYTES:
         raise ValueError("the token-byte table is not bounded by a vocabulary")

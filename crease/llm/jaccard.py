@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from crease.llm.common import cut, frugal, shuffle_width, small_batches, squeeze, unsqueeze
+from crease.llm.common import cut, frugal, shuffle_width, small_batches, squeeze, unsqueeze, unused
 from crease.llm.shingles import SHINGLE, mix, shingle_hashes, words_of
 from crease.operators.cluster import connected_components
 
@@ -263,15 +263,18 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
              similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """The rows of ``docs``, all columns, with one row of each near-duplicate
     class: the one of the smallest id (then of the smallest content hash; of equal
-    rows any one).  Texts without a gram are kept, repeated rows of them once.
+    rows any one).  Texts without a gram are kept, repeated rows of them once; very
+    long texts are read whole; an empty table stays empty; other columns pass
+    through, whatever their names.
     """
+    one, two = unused(docs, "__k1", "__k2")
     tagged, classes, verified = _classes(docs, id_col, text_col, n, similarity, recall)
     known = _placed(tagged, classes, verified).select("d1", "d2", "label", "size")
     rows = tagged.select("row", "id", "k1", "k2", "d1", "d2").join(known, ["d1", "d2"])
     group = F.when(F.col("size") > 0, F.col("label")).otherwise(F.xxhash64("k1", "k2", F.lit("empty")))
     first = F.struct(F.col("id").isNull(), "id", "k1", "k2")
     kept = rows.groupBy(group.alias("g"), (F.col("size") > 0).alias("some")).agg(F.min(first).alias("m")) \
-        .select(F.col("m.k1").alias("__k1"), F.col("m.k2").alias("__k2")).distinct()
+        .select(F.col("m.k1").alias(one), F.col("m.k2").alias(two)).distinct()
     k1, k2 = content_key(id_col, text_col)
-    return docs.select("*", k1.alias("__k1"), k2.alias("__k2")).join(kept, ["__k1", "__k2"], "left_semi") \
-        .dropDuplicates(["__k1", "__k2"]).select(*docs.columns)
+    return docs.select("*", k1.alias(one), k2.alias(two)).join(kept, [one, two], "left_semi") \
+        .dropDuplicates([one, two]).select(*docs.columns)

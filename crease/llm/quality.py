@@ -192,9 +192,12 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
     """``docs`` with the score (0 to 1) of every whole text as ``out_col``, or,
     with ``least``, the rows of at least that score, columns as they were.
 
-    A null or empty text is scored as one passage without words.  One row per
-    row; the model (some thousand numbers) is all that goes to every task.
+    A null or empty text is scored as one passage without words; very long texts are
+    read whole.  One row per row, an empty table stays empty; a column named
+    ``out_col`` is replaced, others pass through; the model (some thousand numbers)
+    is all that goes to every task.
     """
+    docs = docs.drop(out_col) if least is None else docs
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)

@@ -25,12 +25,32 @@ def _crc32(text: str) -> str:
             "lambda x: ('0x' || x)::BIGINT)), lambda c, b: xor(c // 256, tab[(xor(c, b) % 256 + 1)::INT])), 4294967295)")
 
 
+#: Words, and distinct 5-word shingles, of a text in SQL.
+_WORDS_SQL = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+')"
+
+
+def _grams_sql(words: str, n: str = "5") -> str:
+    return f"list_distinct(list_transform(range(1, len({words}) - {n} + 2), lambda i: array_to_string({words}[i:i + {n} - 1], ' ')))"
+
+
 @_query
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from crease.llm.decontaminate import contained_items
     return contained_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+ORACLES["op1_decontaminate"] = f"""
+WITH items AS (SELECT item_id, w, CASE WHEN len(w) < 5 THEN len(w) ELSE 5 END AS n FROM (
+    SELECT item_id, {_WORDS_SQL} AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL) WHERE len(w) > 0),
+wanted AS (SELECT item_id, n, {_grams_sql("w", "n")} AS grams FROM items),
+sizes AS (SELECT DISTINCT n FROM wanted),
+held AS (SELECT row, doc_id, n, UNNEST({_grams_sql("w", "n")}) AS gram
+  FROM (SELECT row_number() OVER () AS row, doc_id, {_WORDS_SQL} AS w FROM documents), sizes),
+parts AS (SELECT item_id, n, len(grams) AS size, UNNEST(grams) AS gram FROM wanted)
+SELECT doc_id, item_id, COUNT(*) / ANY_VALUE(size) AS containment
+FROM held JOIN parts USING (n, gram) GROUP BY row, doc_id, item_id HAVING COUNT(*) / ANY_VALUE(size) >= 0.8"""
+
+
 @_query
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from crease.llm.bpe import digests
@@ -43,6 +63,23 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(scan(read(spark, sf_dir, "documents")))
 
 
+@_query
+def license_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base columns of ``op3_license_scan``, which SQL can express."""
+    return op3_license_scan(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
+ORACLES["license_base"] = """
+WITH words AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+phrases AS (SELECT * FROM (VALUES (['mit', 'license'], 'mit'), (['apache', 'license'], 'apache'),
+  (['general', 'public', 'license'], 'gpl')) AS t(p, label)),
+places AS (SELECT row, label, UNNEST(list_filter(range(len(w)), lambda i: w[i + 1:i + len(p)] = p)) AS place FROM words, phrases)
+SELECT doc_id, len(w)::BIGINT AS n_words, COUNT(place) AS n_base, MIN(place) AS first_word, MAX(place) AS last_word,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS base_labels
+FROM words LEFT JOIN places USING (row) GROUP BY row, doc_id, len(w)"""
+
+
 @_query
 def op4_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
@@ -57,6 +94,22 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(read(spark, sf_dir, "documents"))
 
 
+ORACLES["op5_jaccard_join"] = f"""
+WITH RECURSIVE docs AS (SELECT row, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_sort({_grams_sql("w")}) END AS grams FROM (SELECT row_number() OVER () AS row, doc_id, {_WORDS_SQL} AS w FROM documents)),
+texts AS (SELECT grams, MIN(row) AS node, COUNT(*) AS copies, MIN(doc_id) AS text_id FROM docs WHERE len(grams) > 0 GROUP BY grams),
+parts AS (SELECT node, len(grams) AS size, UNNEST(grams) AS gram FROM texts),
+links AS (SELECT a.node AS a, b.node AS b FROM parts a JOIN parts b ON a.gram = b.gram AND a.node <> b.node
+  GROUP BY a.node, b.node, a.size, b.size HAVING COUNT(*) / (a.size + b.size - COUNT(*)) >= 0.8),
+reach AS (SELECT node AS a, node AS b FROM texts UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+classes AS (SELECT reach.a AS node, MIN(text_id) AS class_id FROM reach JOIN texts ON texts.node = reach.b GROUP BY reach.a),
+numbers AS (SELECT links.a AS node, SUM(copies) AS n FROM links JOIN texts ON texts.node = links.b GROUP BY links.a)
+SELECT doc_id, CASE WHEN len(docs.grams) = 0 THEN doc_id ELSE class_id END AS class_id,
+  CASE WHEN len(docs.grams) = 0 THEN doc_id ELSE text_id END AS text_id,
+  CASE WHEN len(docs.grams) = 0 THEN 0 ELSE coalesce(n, 0) + copies - 1 END::BIGINT AS n_links
+FROM docs LEFT JOIN texts ON texts.grams = docs.grams LEFT JOIN classes ON classes.node = texts.node LEFT JOIN numbers ON numbers.node = texts.node"""
+
+
 @_query
 def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     import uuid
