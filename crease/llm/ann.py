@@ -4,8 +4,12 @@ candidates reranked exactly.
 
 The split planes are fitted on a bounded sample; every vector is indexed.  Equal
 vectors are indexed once, with the smallest ids that could still be in a result,
-so a group of copies fills no leaf.  A tree's leaves are dealt to tasks in shards
-(subtrees); a query goes once to every shard in which its queue has found leaves.
+so a group of copies fills no leaf.  How many trees are searched and how many leaves
+a query visits is set for every table: for a bounded sample of queries the true
+neighbours are found by one pass over all vectors, and the fewest leaves are taken
+that hold the wanted share of them (``calibrate``).  A tree's leaves are dealt to
+tasks in shards (subtrees), large ones in blocks of bounded size; a query goes once
+to every shard in which its queue has found leaves.
 """
 
 from __future__ import annotations
@@ -19,12 +23,14 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from crease.llm.common import bounded_sample, cut, frugal, shuffle_width
+from crease.operators.scan import top_n
 
+#: Trees at most (halved while fewer need fewer leaves, two at least), vectors of a leaf and of a shard.
 TREES, LEAF, SHARD = 8, 128, 4_096
 #: Vectors of the sample on which the planes are fitted.
 SAMPLE = 32_768
-#: Leaves that a query visits: so many times the leaves of one tree, and at least so many.
-VISITS, VISITS_LEAST = 2.25, 64
+#: Queries whose true neighbours set the leaves to visit, and the share of these neighbours wanted there.
+PROBES, RECALL = 48, 0.95
 
 
 class Forest:
@@ -57,6 +63,12 @@ class Forest:
         other = draw.normal(size=own.shape[1])
         return (a - b) / size if size > 1e-12 else other / max(1e-12, np.linalg.norm(other))
 
+    def first(self, trees: int) -> "Forest":
+        """The forest of the first ``trees`` trees."""
+        out = object.__new__(Forest)
+        out.depth, out.planes, out.offsets = self.depth, self.planes[:trees], self.offsets[:trees]
+        return out
+
     def leaves(self, rows: np.ndarray) -> np.ndarray:
         """Leaf (0 to 2**depth - 1) of every row in every tree."""
         out = np.zeros((len(self.planes), len(rows)), np.int64)
@@ -121,16 +133,71 @@ def _least_ids(rows: DataFrame, k: int) -> DataFrame:
         .select("h1", "h2", "v", F.slice(F.array_sort("ids"), 1, k).alias("ids"))
 
 
+def _true_neighbours(nodes: DataFrame, asked: np.ndarray, k: int) -> list[np.ndarray]:
+    """The ``k`` distinct vectors of largest inner product for each row of ``asked``."""
+    width = asked.shape[1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores, rows = np.full((len(asked), 0), -np.inf), np.zeros((len(asked), 0, width))
+        for batch in batches:
+            x = _matrix(batch.column("v"), width)
+            own = asked @ x.T
+            top = np.argpartition(-own, min(k, len(x)) - 1, axis=1)[:, :k]
+            scores = np.concatenate([scores, np.take_along_axis(own, top, axis=1)], axis=1)
+            rows = np.concatenate([rows, x[top]], axis=1)
+            if scores.shape[1] > k:
+                top = np.argpartition(-scores, k - 1, axis=1)[:, :k]
+                scores, rows = np.take_along_axis(scores, top, axis=1), np.take_along_axis(rows, top[:, :, None], axis=1)
+        if scores.shape[1]:
+            n = scores.shape[1]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.arange(len(asked)), n).astype(np.int32)), pa.array(scores.ravel()),
+                 pa.array(rows.reshape(-1, width).tolist(), pa.list_(pa.float64()))], ["q", "score", "v"])
+
+    found = nodes.select("v").mapInArrow(frugal(run), "q int, score double, v array<double>")
+    best = top_n(found, ["q"], [F.desc("score"), F.col("v")], k, salt_by=["score"]).collect()  # probes x k
+    return [np.array([r["v"] for r in best if r["q"] == q]).reshape(-1, width) for q in range(len(asked))]
+
+
+def calibrate(forest: Forest, asked: np.ndarray, near: list[np.ndarray], longest: float, recall: float,
+              sample: np.ndarray) -> tuple[int, int, float]:
+    """(trees, visits, share): how many of the forest's trees to search and how many
+    leaves to visit so that they hold the share ``recall`` of the known neighbours,
+    by the fewest leaves, and the share of the (lifted) sample that these leaves hold."""
+    every, best = 2 ** forest.depth, None
+    trees = len(forest.planes)
+    places = [forest.leaves(_lift(rows, longest)) for rows in near]
+    while trees:
+        part = forest.first(trees)
+        orders, needed = [], []
+        for row, own in zip(_lift(asked, None), places):
+            order = part.visit(row, trees * every)
+            rank = np.zeros((trees, every), np.int64)
+            for n, (tree, leaf) in enumerate(order):
+                rank[tree, leaf] = n + 1
+            orders.append(rank)
+            needed += rank[np.arange(trees)[:, None], own[:trees]].min(axis=0).tolist()
+        visits = int(np.sort(needed)[min(len(needed) - 1, int(np.ceil(recall * len(needed))) - 1)]) if needed else trees * every
+        if best is None or visits < best[1]:
+            held = part.leaves(sample) if len(sample) else np.zeros((trees, 0), np.int64)
+            share = np.mean([(rank[np.arange(trees)[:, None], held].min(axis=0) <= visits).mean() for rank in orders]) \
+                if orders and held.shape[1] else 1.0
+            best = (trees, visits, float(share))
+        trees = trees // 2 if trees > 2 else 0
+    return best
+
+
 def search(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
-           trees: int = TREES, leaf: int = LEAF, shard: int = SHARD, sample: int = SAMPLE, visits: float = VISITS,
-           visits_least: int = VISITS_LEAST) -> DataFrame:
+           trees: int = TREES, leaf: int = LEAF, shard: int = SHARD, sample: int = SAMPLE, probes: int = PROBES,
+           recall: float = RECALL, told: dict | None = None) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for every id divisible by ``every`` the
     ``k`` nearest other ids found, by falling inner product, ties to the smaller id.
 
     Vectors that are null, zero, hold null or non-finite components, or have
     another length than most take no part, nor do null ids; of an id's several
     vectors the smallest counts.  Fewer than ``k`` others give as many rows; an
-    empty table gives none.
+    empty table gives none; other columns are not read.  ``told`` is given what
+    ``calibrate`` has found (trees, visits, share of all vectors that a query scores).
     """
     spark = vectors.sparkSession
     rows = cut(_usable(vectors, id_col, vector_col)
@@ -143,10 +210,36 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_
     drawn = bounded_sample(nodes.select("node", "v"), sample, "node").select("v").toArrow()
     # One more coordinate makes all vectors equally long, so that the nearest by angle is that by inner product.
     lifted = _lift(_matrix(drawn.column(0), width), longest) if count else np.zeros((0, 1))
-    forest = spark.sparkContext.broadcast(Forest(lifted, trees, depth))
+    asked = rows.filter(F.col("vec_id") % every == 0)
+    queries = cut(nodes.join(asked.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi"))
+    whole = Forest(lifted, max(1, trees), depth)
+    probe = bounded_sample(queries.select("node", "v"), probes, "node").select("v").toArrow()
+    probe = _matrix(probe.column(0), width) if count else np.zeros((0, 1))
+    near = _true_neighbours(nodes, probe, k + 1) if len(probe) else []
+    use, stops, share = calibrate(whole, probe, near, longest, recall, lifted)
+    if told is not None:
+        told |= {"trees": use, "visits": stops, "share": share, "leaves": 2 ** depth}
+    forest = spark.sparkContext.broadcast(whole.first(use))
     upper = max(0, min(depth, int(np.ceil(np.log2(max(1, count / shard))))))
     below = depth - upper
-    stops = max(visits_least, int(np.ceil(visits * 2 ** depth)))
+
+    def count_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(use << upper, np.int64)
+        for batch in batches:
+            for tree, own in enumerate(forest.value.leaves(_lift(_matrix(batch.column("v"), width), longest))):
+                total += np.bincount((tree << upper) + (own >> below), minlength=len(total))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["shard", "n"])
+
+    # a shard of many vectors is cut into blocks; there are at most trees x 2**depth numbers of blocks
+    cuts = np.ones(use << upper, np.int64)
+    if count > shard:
+        for r in nodes.select("v").mapInArrow(count_shards, "shard long, n long").groupBy("shard").agg(F.sum("n").alias("n")).collect():
+            cuts[r["shard"]] = max(1, -(-r["n"] // (2 * shard)))
+    base_of = np.concatenate(([0], np.cumsum(cuts)))[:-1]
+
+    def place(shards: np.ndarray, node) -> np.ndarray:
+        ids = node.to_numpy(zero_copy_only=False).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
+        return base_of[shards] + (ids % cuts[shards].astype(np.uint64)).astype(np.int64)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,7 +247,8 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_
             for tree, own in enumerate(leaves):
                 n = batch.num_rows
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, tree, np.int64) * (1 << upper) + (own >> below)), pa.array(np.zeros(n, np.int32)),
+                    [pa.array(place(np.full(n, tree, np.int64) * (1 << upper) + (own >> below), batch.column("node"))),
+                     pa.array(np.zeros(n, np.int32)),
                      batch.column("node"), batch.column("v"), batch.column("ids"),
                      pa.array([[x] for x in (own & ((1 << below) - 1)).tolist()], pa.list_(pa.int32()))], _SENT.names)
 
@@ -163,11 +257,13 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_
             own, at, to, lists = _matrix(batch.column("v"), width), [], [], []
             for i, row in enumerate(_lift(own, None)):
                 shards: dict[int, list] = {}
-                for tree, place in forest.value.visit(row, stops):
-                    shards.setdefault((tree << upper) + (place >> below), []).append(place & ((1 << below) - 1))
-                at += [i] * len(shards)
-                to += list(shards)
-                lists += list(shards.values())
+                for tree, leaf_at in forest.value.visit(row, stops):
+                    shards.setdefault((tree << upper) + (leaf_at >> below), []).append(leaf_at & ((1 << below) - 1))
+                for number, leaves in shards.items():
+                    blocks = int(cuts[number])
+                    at += [i] * blocks
+                    to += range(int(base_of[number]), int(base_of[number]) + blocks)
+                    lists += [leaves] * blocks
             take = batch.take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(to, pa.int64()), pa.array(np.ones(len(at), np.int32)), take.column("node"), take.column("v"),
@@ -191,8 +287,6 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_
                 for first in range(0, part.num_rows, 256):
                     yield base.nearest(part.slice(first, 256))
 
-    asked = rows.filter(F.col("vec_id") % every == 0)
-    queries = nodes.join(asked.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi")
     wide = shuffle_width(spark)
     sent = nodes.select("node", "v", "ids").mapInArrow(frugal(index), _SENT) \
         .unionAll(queries.select("node", "v", "ids").mapInArrow(frugal(route), _SENT))

@@ -264,7 +264,7 @@ def test_nearest_recall_and_exact_scores(spark):
     vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     exact = _nearest([(r.vec_id, r.embedding) for r in vectors.collect()], 20, 20)
     got = defaultdict(list)
-    for r in search(vectors, visits_least=16).orderBy("query_id", "rank").collect():
+    for r in search(vectors).orderBy("query_id", "rank").collect():
         got[r.query_id].append((r.vec_id, r.score, r.rank))
     assert set(got) == set(exact)
     hits = sum(len({i for i, _, _ in got[q]} & {i for i, _ in exact[q]}) for q in exact)
