@@ -394,15 +394,38 @@ def q_similar_entities(spark, sf):
     return s.withColumn("dist", F.round("dist", R6))
 
 
-@register("kmeans")
+def _lloyd_ctes(models: str, turns: int) -> list[str]:
+    """CTEs that end with ``last`` (k, seed, c, ctr): the centres of every model (k, seed) after ``turns`` steps."""
+    xs = ", ".join(f"x{i}" for i in range(len(DIMS)))
+    means = ", ".join(f"AVG(x[{i + 1}])" for i in range(len(DIMS)))
+    return [f"p AS MATERIALIZED (SELECT id, [{xs}] AS x FROM e)", f"models AS (SELECT * FROM ({models}) AS t(k, seed))",
+            """steps AS (SELECT 0 AS it, k, seed, c, x AS ctr FROM (
+  SELECT models.*, p.x, ROW_NUMBER() OVER (PARTITION BY k, seed ORDER BY ((id % 1000003 + seed) * 2654435761) % 1000003, id) - 1 AS c
+  FROM models, p) WHERE c < k
+  UNION ALL SELECT it + 1, k, seed, c, [""" + means + f"""] FROM (
+    SELECT it, k, seed, id, ANY_VALUE(x) AS x, ARG_MIN(c, list_distance(x, ctr)) AS c FROM steps, p GROUP BY it, k, seed, id)
+  GROUP BY it, k, seed, c HAVING it < {turns})""", f"last AS (SELECT k, seed, c, ctr FROM steps WHERE it = {turns})",
+            """dealt AS (SELECT k, seed, id, ARG_MIN(c, list_distance(x, ctr)) AS c, MIN(list_distance(x, ctr)) ^ 2 AS cost
+  FROM last, p GROUP BY k, seed, id)"""]
+
+
+KMEANS_SQL = "WITH RECURSIVE " + ",\n".join([*_EMB_Z, *_lloyd_ctes("SELECT 4, 42 + r FROM range(10) AS r(r)", 100),
+    "best AS (SELECT seed FROM dealt GROUP BY seed ORDER BY ROUND(SUM(cost), 6), seed LIMIT 1)",
+    "codes AS (SELECT c, ROW_NUMBER() OVER (ORDER BY MIN(id)) - 1 AS code FROM dealt JOIN best USING (seed) GROUP BY c)"]) + """
+SELECT id AS vec_id, code::INT AS kmeans_cluster FROM dealt JOIN best USING (seed) JOIN codes USING (c)"""
+ELBOW_SQL = "WITH RECURSIVE " + ",\n".join([*_EMB_Z, *_lloyd_ctes("SELECT k, 42 FROM range(2, 11) AS r(k)", 100)]) + """
+SELECT k::INT AS k, ROUND(SUM(cost), 6) AS inertia FROM dealt GROUP BY k"""
+
+
+@register("kmeans", KMEANS_SQL)
 def q_kmeans(spark, sf):
-    res, _ = K.kmeans(_emb_scaled(spark, sf), DIMS, k=4, restarts=10)
+    res, _ = K.kmeans(_emb_scaled(spark, sf), "vec_id", DIMS, k=4, restarts=10)
     return res.select("vec_id", "kmeans_cluster")
 
 
-@register("elbow")
+@register("elbow", ELBOW_SQL)
 def q_elbow(spark, sf):
-    return K.elbow(_emb_scaled(spark, sf), DIMS)
+    return K.elbow(_emb_scaled(spark, sf), "vec_id", DIMS).withColumn("inertia", F.round("inertia", R6))
 
 
 @register("cluster_batch")
