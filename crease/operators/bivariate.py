@@ -337,6 +337,23 @@ def box_by_category(df: DataFrame, cat: str, num: str, top: int | None = None) -
     return box_summary(d, num, [cat])
 
 
+def density_by_category(df: DataFrame, cat: str, num: str, bins: int = 20, top: int | None = None) -> DataFrame:
+    """Per category (all, or the ``top`` most frequent) the density of ``num`` in
+    ``bins`` equal bins between its least and largest value there: (category, bin,
+    low, high, count, density); bins without a value are left out, a category of one
+    value has one bin without width and no density."""
+    d = df.select(F.col(cat).cast("string").alias(cat), present(df, num).cast("double").alias("__v")) \
+          .filter(F.col(cat).isNotNull() & F.col("__v").isNotNull())
+    d = _only_top(d, cat, top)
+    spans = d.groupBy(cat).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.count(F.lit(1)).alias("__n"))
+    width = (F.col("__hi") - F.col("__lo")) / bins
+    place = F.when(width > 0, F.least(F.floor((F.col("__v") - F.col("__lo")) / width), F.lit(bins - 1))).otherwise(0).cast("int")
+    counts = d.join(spans, cat).groupBy(cat, "__lo", "__hi", "__n", place.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    low = F.col("__lo") + F.col("bin") * width
+    return counts.select(cat, "bin", low.alias("low"), (low + width).alias("high"), "count",
+                         F.when(width > 0, F.col("count") / (F.col("__n") * width)).alias("density"))
+
+
 def bivariate_auto(df: DataFrame, x: str, y: str) -> dict[str, DataFrame]:
     """Dispatch on the column types: num x num -> Pearson, Spearman, covariance,
     OLS; cat x num -> group stats, ANOVA, Kruskal-Wallis; cat x cat -> cross

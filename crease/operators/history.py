@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crease.functions.columns import season_index
-from crease.operators.scan import order_bounds, running_totals
+from crease.operators.scan import last_known, order_bounds, running_totals
 
 # Fixed values of the rating system (must equal the reference's for equal results):
 ELO_K = 32.0
@@ -396,6 +396,22 @@ def latest_team_rating(features: DataFrame, a: str = "side_a", b: str = "side_b"
                 .select("team", F.coalesce("__ra", "__rb", F.lit(default)).alias("rating")))
 
 
+def team_rating_as_of(features: DataFrame, a: str = "side_a", b: str = "side_b",
+                      a_rating: str = "side_a_strength", b_rating: str = "side_b_strength",
+                      order: list[str] | None = None, default: float = ELO_R0) -> DataFrame:
+    """``latest_team_rating`` at every match: for both sides the rating on their last
+    earlier row as side a, else as side b, else the default (``a_latest``, ``b_latest``)."""
+    order = order or ["ts", "match_id"]
+    rows = features.select(*order, F.lit("a").alias("__side"), F.col(a).alias("__team"), F.col(a_rating).alias("__ra"),
+                           F.lit(None).cast("double").alias("__rb")) \
+        .unionAll(features.select(*order, F.lit("b"), F.col(b), F.lit(None).cast("double"), F.col(b_rating)))
+    known = last_known(rows, ["__team"], order, {"__as_a": F.col("__ra"), "__as_b": F.col("__rb")})
+    latest = F.coalesce("__as_a", "__as_b", F.lit(float(default)))
+    wide = known.groupBy(*order).agg(F.max(F.when(F.col("__side") == "a", latest)).alias("a_latest"),
+                                     F.max(F.when(F.col("__side") == "b", latest)).alias("b_latest"))
+    return features.join(wide, order, "left")
+
+
 def h2h_total(matches: DataFrame, a: str = "side_a", b: str = "side_b", winner: str = "winner") -> DataFrame:
     """All-time record per unordered pair: matches, wins of the low and high side."""
     lo, hi = F.least(a, b), F.greatest(a, b)
@@ -438,6 +454,21 @@ def clamp_forecast(pred: Column, runs_so_far: Column) -> Column:
     return F.greatest(F.round(pred), runs_so_far.cast("double")).cast("long")
 
 
+def projected_rate(forecast: Column, overs: int = 20) -> Column:
+    """Run rate of a whole innings that ends at the forecast."""
+    return forecast / F.lit(float(overs))
+
+
+def runs_to_add(forecast: Column, runs_so_far: Column) -> Column:
+    """Runs between now and the forecast."""
+    return (forecast - runs_so_far).cast("long")
+
+
+def stacked_winner(probability: Column, a: Column, b: Column) -> Column:
+    """Side a where its (stacked) probability is a half or more, else side b."""
+    return F.when(probability >= 0.5, a).when(probability.isNotNull(), b)
+
+
 def ensemble_consensus(preds: DataFrame, case: list[str], value: str = "prediction") -> DataFrame:
     """Mean, population std, min and max over the models' outputs per case."""
     return preds.groupBy(*case).agg(

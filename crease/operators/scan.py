@@ -139,6 +139,32 @@ def running_totals(df: DataFrame, keys: list[str], order: list[str | Column],
     return joined.select(*out_cols)
 
 
+def last_known(df: DataFrame, keys: list[str], order: list[str], values: dict[str, Column],
+               n_blocks: int | None = None, bounds: list[float] | None = None) -> DataFrame:
+    """Append, for every ``name -> expr`` in ``values``, the last non-null value of
+    ``expr`` among the rows of the same ``keys`` group that come earlier in ``order``
+    (a total order; its first column numeric, date/time or string); null where there
+    is none.
+
+    Blocks as in ``running_totals``, but what a block hands on is the latest known
+    value ("latest wins" is as associative as a sum), so a hot key is many blocks.
+    """
+    x = _numeric_projection(df, order[0])
+    if bounds is None:
+        bounds = block_boundaries(df, x, _n_blocks(df, n_blocks))
+    own = {name: f"__v_{name}" for name in values}
+    base = df.select("*", *[expr.alias(own[name]) for name, expr in values.items()], _bucket(x, bounds).alias(_BLK))
+    before = Window.partitionBy(*keys, _BLK).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = base.select("*", *[F.last(own[name], ignorenulls=True).over(before).alias(f"__l_{name}") for name in values])
+    at = F.struct(*[F.col(c) for c in order])
+    blocks = base.groupBy(*keys, _BLK).agg(*[F.max_by(v, F.when(F.col(v).isNotNull(), at)).alias(v) for v in own.values()])
+    earlier = Window.partitionBy(*keys).orderBy(_BLK).rowsBetween(Window.unboundedPreceding, -1)
+    handed = blocks.select(*[F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)], F.col(_BLK).alias("__kb"),
+                           *[F.last(own[name], ignorenulls=True).over(earlier).alias(f"__o_{name}") for name in values])
+    cond = [F.col(k).eqNullSafe(F.col(f"__k_{i}")) for i, k in enumerate(keys)] + [F.col(_BLK) == F.col("__kb")]
+    return local.join(handed, cond).select(*df.columns, *[F.coalesce(f"__l_{name}", f"__o_{name}").alias(name) for name in values])
+
+
 def rank_histogram(df: DataFrame, value: str, keys: list[str] | None = None,
                    n_blocks: int | None = None) -> DataFrame:
     """Per distinct (keys, value): tie count ``ties`` and pandas-style average rank

@@ -230,6 +230,16 @@ def q_box_by_category(spark, sf):
     return b.select("o_orderpriority", "n", *[_r(c) for c in ("min", "q1", "median", "q3", "max")], "n_outliers")
 
 
+@register("density_by_category", with_ctes(_OP, """s AS (SELECT g, MIN(v) AS lo, (MAX(v) - MIN(v)) / 20 AS w, COUNT(v) AS n FROM d WHERE g IS NOT NULL AND v IS NOT NULL GROUP BY g)""",
+                                           """b AS (SELECT g, CAST(CASE WHEN w > 0 THEN LEAST(FLOOR((v - lo) / w), 19) ELSE 0 END AS INT) AS bin, lo, w, n
+  FROM d JOIN s USING (g) WHERE v IS NOT NULL)""", body="""
+SELECT g AS o_orderpriority, bin, ROUND(lo + bin * w, 6) AS low, ROUND(lo + bin * w + w, 6) AS high, COUNT(*) AS count,
+  ROUND(CASE WHEN w > 0 THEN COUNT(*) / (n * w) END, 9) AS density FROM b GROUP BY g, bin, lo, w, n"""))
+def q_density_by_category(spark, sf):
+    b = B.density_by_category(table(spark, sf, "orders"), "o_orderpriority", "o_totalprice")
+    return b.select("o_orderpriority", "bin", _r("low"), _r("high"), "count", F.round("density", 9).alias("density"))
+
+
 @register("bivariate_auto")
 def q_bivariate_auto(spark, sf):
     """All three branches of the dispatch, every result as (pair, result, row as JSON)."""

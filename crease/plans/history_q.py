@@ -269,14 +269,15 @@ def q_player_feature_matrix(spark, sf):
                                      ("elo_rating", "match_count", "pom_count", "win_rate")])
 
 
-LATEST_SQL = _recursive(with_ctes(CONTESTS_SQL, _AWARD_COUNTS, _ELO_REC, _HIST, """rated AS (
+_STRENGTH_CTES = [CONTESTS_SQL, _AWARD_COUNTS, _ELO_REC, _HIST, """rated AS (
   SELECT c.*, h.rating_after FROM contests c LEFT JOIN hist h USING (match_id))""", """st AS (
   SELECT m.match_id, m.ts, m.side_a, m.side_b,
     COALESCE((SELECT AVG(p.rating_after) FROM rated p WHERE p.winner = m.side_a AND p.rating_after IS NOT NULL
               AND (p.ts < m.ts OR (p.ts = m.ts AND p.match_id < m.match_id))), 1500.0) AS sa,
     COALESCE((SELECT AVG(p.rating_after) FROM rated p WHERE p.winner = m.side_b AND p.rating_after IS NOT NULL
               AND (p.ts < m.ts OR (p.ts = m.ts AND p.match_id < m.match_id))), 1500.0) AS sb
-  FROM contests m)""", """ra AS (SELECT side_a AS team, arg_max(sa, (ts, match_id)) AS r FROM st GROUP BY side_a)""",
+  FROM contests m)"""]
+LATEST_SQL = _recursive(with_ctes(*_STRENGTH_CTES, """ra AS (SELECT side_a AS team, arg_max(sa, (ts, match_id)) AS r FROM st GROUP BY side_a)""",
 """rb AS (SELECT side_b AS team, arg_max(sb, (ts, match_id)) AS r FROM st GROUP BY side_b)""", body="""
 SELECT COALESCE(ra.team, rb.team) AS team, ROUND(COALESCE(ra.r, rb.r, 1500.0), 6) AS rating
 FROM ra FULL OUTER JOIN rb ON ra.team = rb.team"""))
@@ -288,6 +289,21 @@ def q_latest_team_rating(spark, sf):
     return H.latest_team_rating(st).select("team", F.round("rating", R6).alias("rating"))
 
 
+_EARLIER = "OVER (PARTITION BY team ORDER BY ts, match_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+AS_OF_SQL = _recursive(with_ctes(*_STRENGTH_CTES, """sides AS (SELECT match_id, ts, 'a' AS side, side_a AS team, sa AS ra, NULL::DOUBLE AS rb FROM st
+  UNION ALL SELECT match_id, ts, 'b', side_b, NULL::DOUBLE, sb FROM st)""",
+                                 f"""known AS (SELECT *, COALESCE(LAST_VALUE(ra IGNORE NULLS) {_EARLIER}, LAST_VALUE(rb IGNORE NULLS) {_EARLIER}, 1500.0) AS r
+  FROM sides)""", body="""
+SELECT match_id, ROUND(MAX(CASE WHEN side = 'a' THEN r END), 6) AS a_latest, ROUND(MAX(CASE WHEN side = 'b' THEN r END), 6) AS b_latest
+FROM known GROUP BY match_id"""))
+
+
+@register("team_rating_as_of", AS_OF_SQL)
+def q_team_rating_as_of(spark, sf):
+    st = H.team_rating_as_of(H.team_strength_running(contests(spark, sf)))
+    return st.select("match_id", F.round("a_latest", R6).alias("a_latest"), F.round("b_latest", R6).alias("b_latest"))
+
+
 H2H_TOTAL_SQL = with_ctes(CONTESTS_SQL, body="""
 SELECT LEAST(side_a, side_b) AS team_lo, GREATEST(side_a, side_b) AS team_hi, COUNT(*) AS played,
   CAST(SUM(CASE WHEN winner = LEAST(side_a, side_b) THEN 1 ELSE 0 END) AS BIGINT) AS lo_wins,
@@ -344,12 +360,27 @@ def q_trajectory(spark, sf):
 
 
 CLAMP_SQL = with_ctes(DELIVERIES_SQL, _MT, *_STATE, body="""
-SELECT match_id, predicted AS forecast FROM state""")
+SELECT match_id, predicted AS forecast, ROUND(predicted / 20.0, 6) AS projected_rate,
+  CAST(predicted - cum_runs AS BIGINT) AS runs_to_add FROM state""")
 
 
 @register("clamp_forecast", CLAMP_SQL)
 def q_clamp_forecast(spark, sf):
-    return innings_states(spark, sf).select("match_id", F.col("predicted").alias("forecast"))
+    forecast = F.col("predicted")
+    return innings_states(spark, sf).select("match_id", forecast.alias("forecast"), F.round(H.projected_rate(forecast), R6).alias("projected_rate"),
+                                            H.runs_to_add(forecast, F.col("cum_runs")).alias("runs_to_add"))
+
+
+STACKED_SQL = _recursive(with_ctes(*_STRENGTH_CTES, body="""
+SELECT match_id, CASE WHEN 1 / (1 + 10 ^ ((sb - sa) / 400)) >= 0.5 THEN side_a ELSE side_b END AS predicted_winner FROM st"""))
+
+
+@register("stacked_winner", STACKED_SQL)
+def q_stacked_winner(spark, sf):
+    """The winner that the sides' running strengths make likelier."""
+    st = H.team_strength_running(contests(spark, sf))
+    p = 1 / (1 + F.pow(F.lit(10.0), (F.col("side_b_strength") - F.col("side_a_strength")) / 400))
+    return st.select("match_id", H.stacked_winner(p, F.col("side_a"), F.col("side_b")).alias("predicted_winner"))
 
 
 CONSENSUS_SQL = with_ctes(DELIVERIES_SQL, _MT, _STATE[0], """preds AS (

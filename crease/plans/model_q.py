@@ -206,6 +206,20 @@ def q_model_persist(spark, sf):
     return _rounded(M.coefficients(back, STEP_FEATURES))
 
 
+@register("model_artefact")
+def q_model_artefact(spark, sf):
+    """Boosted classifier saved with its contract, loaded back, and the test cases scored by name."""
+    import uuid
+
+    from crease.operators.artefact import Artefact
+    d = _cls_split(spark, sf)
+    model = M.fit_pipeline(d.filter(F.col("split") == "train"), FEATURE_COLS, "a_won", M.classifiers(1)["gb"])
+    path = f"{checkpoint_dir(spark).rstrip('/')}/artefact-{uuid.uuid4().hex}"
+    Artefact(model, FEATURE_COLS, ["side b or none", "side a"]).save(spark, path)
+    return Artefact.load(spark, path).score(d.filter(F.col("split") == "test"), ["match_id"]) \
+        .select("match_id", "label", F.col("probability")[1].alias("probability_a"))
+
+
 @register("coefficients")
 def q_coefficients(spark, sf):
     d = _reg_split(spark, sf)
@@ -308,6 +322,28 @@ def q_attribution_dependence(spark, sf):
         .withColumn("attribution", F.round("attribution", 4) + F.lit(0.0))
 
 
+def _attributed(spark, sf):
+    from crease.operators.boost import attributions
+    d = _reg_split(spark, sf)
+    m = M.fit_pipeline(d.filter(F.col("split") == "train"), STEP_FEATURES, "final_score", M.regressors(1)["gb"])
+    return attributions(m, d, ["row_id"])
+
+
+@register("tree_attribution")
+def q_tree_attribution(spark, sf):
+    """Features of the boosted model by their mean absolute share of its predictions."""
+    a = _attributed(spark, sf)
+    return a.select(F.posexplode("shares").alias("at", "share")).groupBy("at").agg(F.avg(F.abs("share")).alias("mean_share")) \
+        .select(F.element_at(F.array(*map(F.lit, STEP_FEATURES)), F.col("at") + 1).alias("feature"), "mean_share")
+
+
+@register("tree_attribution_sum", with_ctes(*_STEP_SPLIT, body="SELECT row_id, 0.0 AS gap FROM sp"))
+def q_tree_attribution_sum(spark, sf):
+    """By how much the shares and the bias of a row miss its prediction: by nothing."""
+    total = F.aggregate("shares", F.col("bias"), lambda a, x: a + x)
+    return _attributed(spark, sf).select("row_id", (F.round(total - F.col("margin"), R6) + F.lit(0.0)).alias("gap"))
+
+
 @register("decision_grid")
 def q_decision_grid(spark, sf):
     d = _cls_split(spark, sf)

@@ -253,27 +253,31 @@ def q_box_summary(spark, sf):
                                                          "upper_fence")], "n_outliers")
 
 
-def _stage_summary_sql(stage, table):
+def _stage_summary_sql(stage, table, applied=""):
     audit = _union([_audit_sql(c, n, not n, table) for c, n in DIRTY_COLS])
     missing = " + ".join(f"(COUNT(*) - COUNT({c}))" for c, _ in DIRTY_COLS)
+    numeric = [c for c, n in DIRTY_COLS if n]
+    close = " + ".join(f"CASE WHEN isfinite(CORR({a}, {b})) AND ABS(CORR({a}, {b})) > 0.8 THEN 1 ELSE 0 END"
+                       for i, a in enumerate(numeric) for b in numeric[i + 1:])
     return f"""SELECT '{stage}' AS stage, t.total_rows, CAST({len(DIRTY_COLS)} AS BIGINT) AS total_columns,
   t.missing_cells, t.duplicate_rows,
   CAST(GREATEST(5, FLOOR(100.0 - t.duplicate_rows * 15.0 / t.total_rows
        - 5.0 * (SELECT COUNT(*) FROM ({audit}) a WHERE status = 'Problem')
-       - 2.5 * (SELECT COUNT(*) FROM ({audit}) a WHERE status = 'Warning'))) AS BIGINT) AS quality_score
+       - 2.5 * (SELECT COUNT(*) FROM ({audit}) a WHERE status = 'Warning'))) AS BIGINT) AS quality_score,
+  (SELECT CAST({close} AS BIGINT) FROM {table}) AS collinear_pairs, '{applied}' AS applied_stages
 FROM (SELECT COUNT(*) AS total_rows, CAST({missing} AS BIGINT) AS missing_cells,
         COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM {table}) d) AS duplicate_rows FROM {table}) t"""
 
 
 BEFORE_AFTER_SQL = with_ctes(DIRTY_ORDERS_SQL, "deduped AS (SELECT DISTINCT * FROM dirty_orders)",
                              body=_union([_stage_summary_sql("original", "dirty_orders"),
-                                          _stage_summary_sql("latest", "deduped")]))
+                                          _stage_summary_sql("latest", "deduped", "drop_duplicates")]))
 
 
 @register("before_after_summary", BEFORE_AFTER_SQL)
 def q_before_after_summary(spark, sf):
     d = dirty_orders(spark, sf)
-    return P.before_after_summary(d, C.drop_duplicates(d))
+    return P.before_after_summary(d, C.drop_duplicates(d), ["drop_duplicates"])
 
 
 META_SQL = with_ctes(DIRTY_ORDERS_SQL, body="""

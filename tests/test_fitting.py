@@ -231,3 +231,72 @@ def test_search_prefers_the_better_penalty(spark):
     for kind, best in (("ridge", 0.01), ("lasso", 0.001)):
         alpha, model = regularised_cv(df, ["a", "b"], "y", "id", kind)
         assert alpha == best and model.weights == pytest.approx([2, -1], abs=0.01)
+
+
+def test_artefact_keeps_its_contract(spark, tmp_path):
+    from pyspark.ml.classification import LogisticRegression
+
+    from crease.operators.artefact import Artefact
+    from crease.operators.models import classifiers, fit_pipeline
+    df = _table(spark, 120).withColumn("c", F.coalesce("c", F.lit(0.0)))
+    for name, est in (("tree", classifiers(1)["gb"]), ("line", LogisticRegression())):
+        model = fit_pipeline(df, ["a", "b"], "y", est)
+        Artefact(model, ["a", "b"], ["no", "yes"]).save(spark, f"{tmp_path}/{name}")
+        back = Artefact.load(spark, f"{tmp_path}/{name}")
+        assert (back.features, back.labels) == (["a", "b"], ["no", "yes"])
+        out = {r.id: r for r in back.score(df, ["id"]).collect()}
+        want = {r.id: r.prediction for r in model.transform(df).collect()}
+        assert all(r.prediction == want[i] and r.label == ("no", "yes")[int(r.prediction)] and len(r.probability) == 2 for i, r in out.items())
+        with pytest.raises(ValueError, match="reads b, which the table lacks"):
+            back.score(df.drop("b"), ["id"])
+        with pytest.raises(ValueError, match="b is string"):
+            back.score(df.withColumn("b", F.lit("x")), ["id"])
+    codes = Artefact(fit_pipeline(df.withColumn("a", F.lit(1)), ["a"], "y", classifiers(1)["gb"]), ["a"], [], {"a": {"x": 1}}, 7)
+    assert codes.score(df.withColumn("a", F.lit("x")), ["id"]).count() == 120
+
+
+def test_attributions_add_up_to_the_margin(spark):
+    from crease.operators.boost import Spec, attributions, boost
+    df = _table(spark, 200)
+    model = boost(df, ["a", "b", "c"], "y", [Spec(rounds=5, depth=3)], "id")[0][0]
+    rows = attributions(model, df, ["id"]).collect()
+    p = {r.id: r.probability[1] for r in model.transform(df).collect()}
+    for r in rows:
+        assert r.bias + sum(r.shares) == pytest.approx(r.margin, abs=1e-9)
+        assert 1 / (1 + math.exp(-r.margin)) == pytest.approx(p[r.id], abs=1e-9)
+    only = boost(df.withColumn("d", F.lit(1.0)), ["d", "a"], "y", [Spec(rounds=3, depth=2)], "id")[0][0]
+    assert all(r.shares[0] == 0 for r in attributions(only, df.withColumn("d", F.lit(1.0)), ["id"]).collect())
+
+
+def test_last_known_with_a_hot_key(spark):
+    from crease.operators.scan import last_known
+    draw = random.Random(3)
+    rows = [(i, "hot" if draw.random() < 0.7 else draw.choice("ab"), draw.choice([None, None, float(i)])) for i in range(400)]
+    rows[5] = (5, None, 1.5)
+    df = spark.createDataFrame(rows, "t long, k string, v double")
+    for blocks in (1, 9):
+        got = {r.t: r.last for r in last_known(df, ["k"], ["t"], {"last": F.col("v")}, n_blocks=blocks).collect()}
+        seen, want = {}, {}
+        for t, k, v in rows:
+            want[t] = seen.get(k)
+            seen[k] = v if v is not None else seen.get(k)
+        assert got == want
+
+
+def test_lloyd_equals_a_loop(spark):
+    from crease.operators.cluster import _starts, _vectors, kmeans, lloyd
+    draw = np.random.default_rng(9)
+    pts = np.vstack([draw.normal(c, 0.5, (40, 2)) for c in (0, 3, 6)])
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(pts)] + [(900, None, 1.0)], "id long, a double, b double")
+    points = _vectors(df, "id", ["a", "b"]).checkpoint()
+    starts = [_starts(points, k, 42, 2) for k in (2, 3, 5)]
+    centres, costs = lloyd(points, starts)
+    for start, got, cost in zip(starts, centres, costs):
+        c = start.copy()
+        for _ in range(300):
+            to = ((pts[:, None] - c[None]) ** 2).sum(axis=2).argmin(axis=1)
+            c = np.array([pts[to == j].mean(axis=0) for j in range(len(c)) if (to == j).any()])
+        assert np.allclose(got, c) and cost == pytest.approx(((pts - c[((pts[:, None] - c[None]) ** 2).sum(axis=2).argmin(axis=1)]) ** 2).sum())
+    out, _ = kmeans(df, "id", ["a", "b"], k=3)
+    label = {r.id: r.kmeans_cluster for r in out.collect()}
+    assert label[900] is None and [label[0], label[40], label[80]] == [0, 1, 2] and all(label[i] == label[i // 40 * 40] for i in range(120))
