@@ -465,15 +465,18 @@ def fit_many_compare(train: DataFrame, test: DataFrame, features: list[str], lab
     return table.crossJoin(top).withColumn("best", F.col("model") == F.col("__top")).drop("__top"), fitted
 
 
-def batch_score(models: dict, df: DataFrame, keep: list[str]) -> DataFrame:
+def batch_score(models: dict, df: DataFrame, keep: list[str], labels: list[str] | None = None) -> DataFrame:
     """Score a table of cases with every model; long form (model, keys..., prediction,
-    probability of class 1 when available)."""
+    probability of class 1 where the model has one).  With ``labels``, the names of
+    the classes 0.., the predicted class's name (``label``) and the probabilities of
+    all classes (``probabilities``; null where the model has none) come along."""
     parts = []
     for name, m in models.items():
         p = m.transform(df)
-        prob = _probabilities(p)[1] if "probability" in p.columns else F.lit(None).cast("double")
+        known = _probabilities(p) if "probability" in p.columns else F.lit(None).cast("array<double>")
+        more = [F.get(F.array(*map(F.lit, labels)), F.col("prediction").cast("int")).alias("label"), known.alias("probabilities")] if labels else []
         parts.append(p.select(F.lit(name).alias("model"), *keep, F.col("prediction").cast("double").alias("prediction"),
-                              prob.alias("probability")))
+                              F.get(known, F.lit(1)).alias("probability"), *more))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -195,6 +195,15 @@ def _rounded(coefficients, digits: int = 5):
     return coefficients.withColumn("coefficient", F.round("coefficient", digits) + F.lit(0.0))
 
 
+@register("batch_score_classes")
+def q_batch_score_classes(spark, sf):
+    """Cases scored by every two-class model, with class names and all probabilities."""
+    d = _cls_split(spark, sf)
+    tr, te = d.filter(F.col("split") == "train"), d.filter(F.col("split") == "test")
+    _, models = M.fit_many_compare(tr, te, FEATURE_COLS, "a_won", "classification")
+    return M.batch_score(models, te, ["match_id", "a_won"], ["side b or none", "side a"])
+
+
 @register("model_persist", with_ctes(*_STEP_SPLIT, *solve_ctes("fit", "tr", STEP_FEATURES, "y"), body=_coefficients_sql()))
 def q_model_persist(spark, sf):
     import uuid

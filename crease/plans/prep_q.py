@@ -26,10 +26,11 @@ def q_label_encode(spark, sf):
                                            """c AS (SELECT p, CAST(ROW_NUMBER() OVER (ORDER BY p) - 1 AS INT) AS code FROM v)""",
                                            body="""
 SELECT d.o_orderkey, COALESCE(c.code, (SELECT code FROM c WHERE p = '<unknown>')) AS priority
-FROM dirty_orders d LEFT JOIN c ON c.p = d.priority"""))
+FROM dirty_orders d LEFT JOIN c ON c.p = CASE WHEN d.o_orderkey % 19 = 0 THEN 'a new level' ELSE d.priority END"""))
 def q_label_encode_unseen(spark, sf):
+    some = F.when(F.col("o_orderkey") % 19 == 0, "a new level").otherwise(F.col("priority"))  # values that the dictionary lacks
     enc, _ = PR.label_encode_unseen(table(spark, sf, "orders").withColumnRenamed("o_orderpriority", "priority"),
-                                    dirty_orders(spark, sf), "priority")
+                                    dirty_orders(spark, sf).withColumn("priority", some), "priority")
     return enc.select("o_orderkey", "priority")
 
 

@@ -13,7 +13,7 @@ from crease.session import checkpoint_dir
 from crease.sources import files as S
 from crease.sources.fixtures import (CONTESTS_SQL, DELIVERIES_SQL, DIRTY_ORDERS_SQL, contests, deliveries,
                                      dirty_orders, table)
-from crease.sources.synthetic import synthetic_matches
+from crease.sources.synthetic import synthetic_matches, u_sql
 
 # Text columns derived from the driver tables in both engines.
 _SEASON_TEXT_SQL = ("CASE WHEN match_id % 2 = 0 THEN CAST(season AS VARCHAR) "
@@ -191,7 +191,7 @@ def q_fifty_flag(spark, sf):
                                    """bowl AS (SELECT bowler, COUNT(dismissal) AS wickets FROM deliveries GROUP BY bowler)""",
                                    body="""
 SELECT COALESCE(batter, bowler) AS player, CAST(COALESCE(runs, 0) AS BIGINT) AS runs, COALESCE(wickets, 0) AS wickets,
-  CASE WHEN 'x' = 'y' THEN 'Wicketkeeper'
+  CASE WHEN COALESCE(batter, bowler) IN (3, 11, 64) THEN 'Wicketkeeper'
        WHEN COALESCE(runs, 0) >= 600 AND COALESCE(wickets, 0) >= 25 THEN 'All-Rounder'
        WHEN COALESCE(wickets, 0) >= 20 AND COALESCE(runs, 0) < COALESCE(wickets, 0) * 30 THEN 'Bowler'
        WHEN COALESCE(runs, 0) >= 300 THEN 'Batter' WHEN COALESCE(wickets, 0) > 0 THEN 'Bowler' ELSE 'Batter' END AS role
@@ -201,7 +201,7 @@ def q_assign_role(spark, sf):
     bat = d.groupBy("batter").agg(F.sum("runs").cast("long").alias("runs"))
     bowl = d.groupBy("bowler").agg(F.count("dismissal").alias("wickets"))
     p = A.outer_merge_coalesce(bat, bowl, key="player")
-    return p.select("player", "runs", "wickets", P.assign_role("player", "runs", "wickets", keepers=[-1]).alias("role"))
+    return p.select("player", "runs", "wickets", P.assign_role("player", "runs", "wickets", keepers=[3, 11, 64]).alias("role"))
 
 
 @register("drop_null_rows", with_ctes(DIRTY_ORDERS_SQL, body="""
@@ -267,11 +267,17 @@ def q_drop_stray_index_columns(spark, sf):
     return S.drop_stray_index_columns(n.withColumn("Unnamed: 0", F.col("n_nationkey")))
 
 
-@register("resolve_column", with_ctes(DELIVERIES_SQL, body="SELECT match_id, runs AS target FROM deliveries"))
+@register("resolve_column", with_ctes(DELIVERIES_SQL, body="""
+SELECT match_id, runs AS target, price AS hinted, bowler AS last_number, venue AS last_text FROM deliveries"""))
 def q_resolve_column(spark, sf):
+    """All ways: a candidate, a hint in the name, the last numeric and the last other column."""
     d = deliveries(spark, sf)
     c = S.resolve_column(d, ["total_runs", "runs_off_bat", "runs", "runs_scored"])
-    return d.select("match_id", F.col(c).alias("target"))
+    hinted = S.resolve_column(d, ["absent"], hints=("pri",))
+    some = d.select("match_id", "dismissal", "bowler", "venue")
+    number, text = S.resolve_column(some, ["absent"]), S.resolve_column(some, ["absent"], numeric=False)
+    return d.select("match_id", F.col(c).alias("target"), F.col(hinted).alias("hinted"), F.col(number).alias("last_number"),
+                    F.col(text).alias("last_text"))
 
 
 @register("stage_latest", with_ctes(DIRTY_ORDERS_SQL, body="SELECT DISTINCT * FROM dirty_orders"))
@@ -313,6 +319,25 @@ def q_table_metadata(spark, sf):
     return S.table_metadata(table(spark, sf, "orders"))
 
 
-@register("synthetic_matches")
+def _synthetic_sql():
+    u = lambda field, mod: u_sql("event_id", 42, field, mod)
+    return with_ctes(
+        f"""parts AS (SELECT event_id, {u(1, 8)} AS t1, ({u(1, 8)} + 1 + {u(2, 7)}) % 8 AS t2,
+  (120 + {u(3, 100)}) * CASE WHEN {u(4, 100)} = 0 THEN 3 ELSE 1 END AS runs,
+  CASE WHEN {u(6, 100)} < 2 THEN NULL ELSE CAST(15 + {u(5, 6)} AS DOUBLE) END AS overs FROM events)""",
+        f"""base AS (SELECT event_id AS match_id, CAST(2008 + {u(9, 17)} AS INT) AS season,
+  strftime(DATE '2008-04-01' + CAST({u(10, 6000)} AS INT), '%Y-%m-%d') AS date, 'Venue ' || ({u(11, 10)} + 1) AS venue,
+  'Team ' || (t1 + 1) AS team1, 'Team ' || (t2 + 1) AS team2,
+  'Team ' || (CASE WHEN {u(7, 2)} = 0 THEN t1 ELSE t2 END + 1) AS toss_winner,
+  CASE WHEN {u(12, 2)} = 0 THEN 'bat' ELSE 'field' END AS toss_decision,
+  CASE WHEN {u(13, 100)} < 4 THEN NULL ELSE 'Team ' || (CASE WHEN {u(8, 2)} = 0 THEN t1 ELSE t2 END + 1) END AS winner,
+  CAST(runs AS INT) AS runs_scored, CAST({u(14, 11)} AS INT) AS wickets_lost, overs, runs / overs AS strike_rate,
+  CASE WHEN {u(15, 100)} < 6 THEN NULL ELSE 'Player ' || {u(16, 300)} END AS player_of_match,
+  CASE WHEN {u(17, 100)} < 8 THEN NULL ELSE CAST({u(18, 80)} AS DOUBLE) END AS margin, {u(19, 10)} = 0 AS is_playoff,
+  'Premier' AS league FROM parts)""",
+        body=f"SELECT * FROM base UNION ALL SELECT * FROM base WHERE {u_sql('match_id', 42, 20, 64)} = 0")
+
+
+@register("synthetic_matches", _synthetic_sql())
 def q_synthetic_matches(spark, sf):
     return synthetic_matches(table(spark, sf, "events").select("event_id"), "event_id")

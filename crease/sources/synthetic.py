@@ -1,8 +1,9 @@
 """Seeded synthetic match table with planted defects.
 
 Rows are derived from an id column of a real table, so the output grows with
-the input; every value is a hash of (id, seed, field) -- no driver-side random
-state, no single generating task.
+the input; every value is a hash of (id, seed, field) in plain integer arithmetic,
+which any SQL engine repeats -- no driver-side random state, no single generating
+task.
 """
 
 from __future__ import annotations
@@ -16,8 +17,19 @@ N_VENUES = 10
 NULL_PCT = {"winner": 4, "player_of_match": 6, "margin": 8, "overs": 2}
 
 
+_PRIME, _FACTOR, _STEP = 1000003, 2654435761, 7919
+
+
 def _u(id_col: str, seed: int, field: int, mod: int):
-    return F.pmod(F.xxhash64(F.col(id_col), F.lit(seed), F.lit(field)), F.lit(mod))
+    """A number below ``mod``: a scaled square modulo a prime."""
+    x = F.pmod(F.pmod(F.col(id_col).cast("long"), F.lit(_PRIME)) + (seed + field * _STEP), F.lit(_PRIME))
+    return F.pmod(F.pmod(F.pmod(x * x, F.lit(_PRIME)) * F.lit(_FACTOR), F.lit(_PRIME)), F.lit(mod))
+
+
+def u_sql(id_col: str, seed: int, field: int, mod: int) -> str:
+    """``_u`` as SQL (ids of 0 and more)."""
+    x = f"(({id_col} % {_PRIME} + {seed + field * _STEP}) % {_PRIME})"
+    return f"((({x} * {x}) % {_PRIME} * {_FACTOR}) % {_PRIME} % {mod})"
 
 
 def synthetic_matches(ids: DataFrame, id_col: str, seed: int = 42, dup_every: int = 64) -> DataFrame:
@@ -50,5 +62,5 @@ def synthetic_matches(ids: DataFrame, id_col: str, seed: int = 42, dup_every: in
         (_u(id_col, seed, 19, 10) == 0).alias("is_playoff"),
         F.lit("Premier").alias("league"),
     )
-    dups = base.filter(F.pmod(F.xxhash64(F.col("match_id"), F.lit(seed), F.lit(20)), F.lit(dup_every)) == 0)
+    dups = base.filter(_u("match_id", seed, 20, dup_every) == 0)
     return base.unionAll(dups)
