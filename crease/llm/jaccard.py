@@ -26,7 +26,7 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, Stru
 
 from crease.llm.common import cut, frugal, shuffle_width, small_batches, squeeze, unsqueeze, unused
 from crease.llm.shingles import SHINGLE, mix, shingle_hashes, words_of
-from crease.operators.cluster import connected_components
+from crease.llm.components import components
 
 SIMILARITY, RECALL = 0.8, 0.9995
 #: Rows of a block: at least, at most; in between a group is cut into 32 blocks.
@@ -213,7 +213,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, n: int, similarity: fl
     stars = keys.join(stars, "key").filter(F.col("row") != F.col("least")).select(F.col("row").alias("a"), F.col("least").alias("b"))
     stars = cut(stars.distinct())
     ends = stars.select(F.col("a").alias("id")).unionAll(stars.select(F.col("b").alias("id"))).distinct()
-    groups = cut(connected_components(stars, ends))
+    groups = cut(components(stars, ends))
     held = groups.groupBy("lbl").agg(F.count("*").alias("held"))
     block = F.least(F.greatest(F.ceil(F.col("held") / 32), F.lit(BLOCK_LEAST)), F.lit(BLOCK_MOST))
     placed = groups.join(held, "lbl").withColumn("cuts", F.ceil(F.col("held") / block).cast("int")) \
@@ -224,7 +224,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, n: int, similarity: fl
         .select("row", "copies", "packed", "grp", "own", F.least("own", "x").alias("i"), F.greatest("own", "x").alias("j"))
     links = cut(_verify(blocks, n, similarity, width))
     edges = links.filter(F.col("row") != F.col("other")).select(F.col("row").alias("a"), F.col("other").alias("b"))
-    labels = connected_components(edges, links.select(F.col("row").alias("id")).distinct())
+    labels = components(edges, links.select(F.col("row").alias("id")).distinct())
     verified = links.groupBy("row").agg(F.sum("links").alias("links")) \
         .join(labels.select(F.col("id").alias("row"), F.col("lbl").alias("label")), "row")
     return tagged, classes, cut(verified)

@@ -322,3 +322,24 @@ def test_planted_names_and_numbers_by_brute_force(spark):
     assert all(len(v) == 1 for v in seen.values())
     assert all((a == next(iter(v))) == (not a.startswith("Mrs ") and "@" not in a) for a, v in seen.items())
     assert len({next(iter(v)) for v in seen.values()}) == len(seen)
+
+
+def test_components_agree_with_a_walk(spark):
+    from crease.llm.components import components
+    draw = random.Random(7)
+    edges = [(draw.randrange(300), draw.randrange(300)) for _ in range(190)] + [(k, k + 1) for k in range(400, 460)] + \
+            [(500, k) for k in range(501, 580)] + [(7, 7), (3, 250), (250, 3)] + [(599 - k % 2, 590 + k) for k in range(8)]
+    nodes, label = sorted(set(range(300)) | {x for e in edges for x in e} | {900}), {}
+    for n in nodes:
+        label[n] = n
+    changed = True
+    while changed:
+        changed = False
+        for a, b in edges:
+            low = min(label[a], label[b])
+            changed |= label[a] != low or label[b] != low
+            label[a] = label[b] = low
+    got = components(spark.createDataFrame(edges, "a long, b long"), spark.createDataFrame([(n,) for n in nodes], "id long")).collect()
+    assert {r.id: r.lbl for r in got} == label and len(got) == len(nodes)
+    none = spark.createDataFrame([], "a long, b long")
+    assert components(none, spark.createDataFrame([(1,)], "id long")).collect()[0].lbl == 1
