@@ -43,6 +43,39 @@ def test_boosting_over_rows_in_narrow_passes_and_across_checkpoints(spark, monke
     assert all(np.array_equal(u, v) for s, t in zip(near.trees, far.trees) for x, z in zip(s, t) for p, q in zip(x, z) for u, v in zip(p, q))
 
 
+def test_a_level_of_small_histograms_needs_one_stage(spark, monkeypatch):
+    from crease.operators import boost as B
+    df, sc = _table(spark), spark.sparkContext
+
+    def stages(rounds):
+        sc.setJobGroup(f"stages-{rounds}", "")
+        try:
+            model = B.boost(df, ["a", "b"], "y", [B.Spec(rounds=rounds, depth=2)], "id", in_task=0)[0][0]
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+        tracker = sc.statusTracker()
+        seen = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(f"stages-{rounds}") for s in tracker.getJobInfo(j).stageIds]
+        return model, sum(1 for s in seen if s is not None and s.numCompletedTasks)  # without those skipped
+
+    (_, few), (model, many) = stages(2), stages(6)
+    assert many - few <= 4 * 2
+    monkeypatch.setattr(B, "GATHER_MB", 0)  # added up by a shuffle
+    shuffled = B.boost(df, ["a", "b"], "y", [B.Spec(rounds=6, depth=2)], "id", in_task=0)[0][0]
+    assert all(np.array_equal(u, v) for s, t in zip(model.trees, shuffled.trees) for x, z in zip(s, t) for p, q in zip(x, z) for u, v in zip(p, q))
+
+
+def test_rows_step_down_by_rows_and_by_features():
+    from crease.operators.boost import step_down
+    draw = np.random.default_rng(4)
+    bins = draw.integers(0, 64, (500, 3)).astype(np.uint8)
+    feature, cut = np.array([2, -1, 0, 1]), np.array([30, 0, 63, 10])
+    for share in (0.1, 0.9):  # few or most rows are in a node
+        at = np.where(draw.random(500) < share, draw.integers(0, 4, 500), -1)
+        place = {0: 0, 2: 2, 3: 4}
+        want = [place[a] + int(b[feature[a]] > cut[a]) if a in place else -1 for a, b in zip(at.tolist(), bins)]
+        assert step_down(bins, at, feature, cut).tolist() == want == step_down(np.ascontiguousarray(bins.T).T, at, feature, cut).tolist()
+
+
 @pytest.mark.parametrize("kind", [RandomForestClassifier, RandomForestRegressor])
 def test_a_forest_of_many_draws_is_fitted_in_groups(spark, monkeypatch, kind):
     from crease.operators import models as M
