@@ -223,6 +223,21 @@ def test_dbscan_in_many_dimensions_vs_brute_force(spark, monkeypatch):
     assert got == want and len(code) >= 3
 
 
+def test_dbscan_sends_points_of_a_side_once_and_holds_few_distances(spark, monkeypatch):
+    from crease.operators import cluster as K
+    draw = np.random.default_rng(8)
+    cols = [f"f{k}" for k in range(5)]
+    df = spark.createDataFrame([(i, 1, *map(float, p)) for i, p in enumerate(draw.normal(size=(6000, 5)))],
+                               "id long, w long, " + ", ".join(f"{c} double" for c in cols))
+    assert K._metric_sides(df, cols, 50.0, ["id"]).count() == 2 * 6000  # no point is out of reach
+    few = df.filter("id < 400").drop("w")
+    whole = sorted(tuple(r) for r in K.dbscan(few, "id", cols, 0.8, 4).collect())
+    assert len({r[1] for r in whole}) >= 3
+    for name, size in (("PER_PIVOT", 50), ("SIDE", 40), ("CHUNK", 7)):
+        monkeypatch.setattr(K, name, size)
+    assert sorted(tuple(r) for r in K.dbscan(few, "id", cols, 0.8, 4).collect()) == whole
+
+
 def test_search_prefers_the_better_penalty(spark):
     from crease.operators.models import regularised_cv
     draw = random.Random(1)
