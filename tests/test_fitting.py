@@ -88,6 +88,21 @@ def test_boosting_learns_and_takes_nulls(spark):
         fit_pipeline(df.withColumn("y", F.lit(None).cast("double")), ["a"], "y", classifiers(1)["gb"])
 
 
+def test_many_models_are_dealt_over_tasks_and_shorter_ones_are_prefixes(spark, monkeypatch):
+    from crease.operators import boost as B
+    df, columns = _table(spark), ["a", "b", "c"]
+    specs = [B.Spec(rounds=r, depth=d, rate=0.3, rows=0.8, fold=k) for r in (2, 5, 3) for d in (2, 4) for k in (0, 2)] \
+        + [B.Spec(rounds=2, depth=d, rate=0.1, fold=k) for d in (1, 2, 3) for k in (None, 0, 1)]
+    assert [[specs[k].rounds for k in c] for c in B._chains(specs)] == [[2, 3, 5]] * 4 + [[2]] * 9
+    far = [B.boost(df, columns, "y", [s], "id", "fold", in_task=0) for s in specs[::4]]
+    monkeypatch.setattr(B, "_over_rows", None)  # 300 rows, a task holds 100, five times as many for 13 chains on 8 cores
+    models, scores = B.boost(df, columns, "y", specs, "id", "fold", in_task=100)
+    assert _same(models[::4], [m[0][0] for m in far]) and [len(m.trees) for m in models] == [s.rounds for s in specs]
+    assert scores[::4] == [m[1][0] for m in far] and [s is None for s in scores] == [s.fold is None for s in specs]
+    with pytest.raises(TypeError):
+        B.boost(df, columns, "y", specs[:2], "id", "fold", in_task=100)
+
+
 def test_random_search_runs_its_draws_over_all_folds(spark):
     from crease.operators.boost import Spec, boost
     from crease.operators.models import SEED, boosted_search
