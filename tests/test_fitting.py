@@ -103,6 +103,36 @@ def test_many_models_are_dealt_over_tasks_and_shorter_ones_are_prefixes(spark, m
         B.boost(df, columns, "y", specs[:2], "id", "fold", in_task=100)
 
 
+def test_attribution_walks_a_tree_once(spark, monkeypatch):
+    from crease.operators import boost as B
+    df, columns = _table(spark), ["a", "b", "c"]
+    model = B.boost(df, columns, "y", [B.Spec(rounds=4, depth=4, rate=0.3)], "id")[0][0]
+    rows = df.toPandas()
+    bins = B.binned([rows[c].to_numpy(float) for c in columns], model.edges)
+    want, margin, steps = np.zeros((len(rows), 3)), np.full(len(rows), model.base[0]), []
+    for (tree,) in model.trees:  # row by row: the change of value at every split
+        for i, b in enumerate(bins):
+            at = 0
+            for level, (feature, cut, value) in enumerate(tree):
+                if feature[at] < 0:
+                    margin[i] += value[at]
+                    break
+                to = 2 * int((feature[:at] >= 0).sum()) + int(b[feature[at]] > cut[at])
+                want[i, feature[at]] += tree[level + 1][2][to] - value[at]
+                at = to
+    step, shares, got = B.step_down, np.zeros((len(rows), 3)), np.full(len(rows), model.base[0])
+    monkeypatch.setattr(B, "step_down", lambda *a: steps.append(1) or step(*a))
+    for (tree,) in model.trees:
+        add, value = B.path_table(tree, 3)
+        node = B.landed(bins, tree)
+        shares, got = shares + add[node], got + value[node]
+    assert len(steps) == sum(len(tree) - 1 for (tree,) in model.trees)
+    assert np.allclose(shares, want) and np.allclose(got, margin)
+    spread = B.attributions(model, df, ["id"]).orderBy("id").collect()
+    assert np.allclose([r.shares for r in spread], want) and np.allclose([r.margin for r in spread], margin)
+    assert np.allclose([r.bias + sum(r.shares) for r in spread], margin)
+
+
 def test_random_search_runs_its_draws_over_all_folds(spark):
     from crease.operators.boost import Spec, boost
     from crease.operators.models import SEED, boosted_search
