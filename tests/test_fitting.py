@@ -167,6 +167,18 @@ def test_grid_search_of_all_five_classifiers(spark):
     assert next(r.mean_score for r in out if r.params == "n_neighbors=5") == pytest.approx(np.mean(right))
 
 
+def test_svm_points_of_one_gamma_are_fitted_once(spark, monkeypatch):
+    from crease.operators import models as M
+    df, fits, fit = _table(spark, 120).withColumn("c", F.lit(1.0)), [], M.svm_rbf
+    monkeypatch.setattr(M, "svm_rbf", lambda *a, **k: fits.append(k) or fit(*a, **k))
+    grids = {"svm": {"C": [1.0], "gamma": ["scale", "auto"]}}
+    out = M.search_classifiers(df, ["a", "b"], "y", "id", folds=2, grids=grids).collect()
+    assert len(fits) == 2 and len(out) == 2 and out[0].mean_score == out[1].mean_score
+    fits.clear()  # with a constant column the two differ
+    M.search_classifiers(df, ["a", "b", "c"], "y", "id", folds=2, grids=grids)
+    assert len(fits) == 4 and len({f["gamma"] for f in fits}) == 2
+
+
 def _weighted_tree(x, y, w, depth):
     """Exhaustive regression tree: a function row -> value."""
     mean = np.sum(w * y) / np.sum(w)
