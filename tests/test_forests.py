@@ -22,6 +22,12 @@ def _table(spark, n=400, seed=3):
 COLUMNS = ["a", "b", "c", "d"]
 
 
+@pytest.fixture(autouse=True)
+def _all_in_tasks(monkeypatch):
+    from crease.operators import models as M
+    monkeypatch.setattr(M, "TASK_DRAWS", 0)
+
+
 def _same(one, two):
     return len(one) == len(two) and all(len(s) == len(t) and all(np.array_equal(u, v) for p, q in zip(s, t) for u, v in zip(p, q))
                                         for x, z in zip(one, two) for s, t in zip(x, z))
@@ -109,5 +115,16 @@ def test_other_forests_are_fitted_by_spark(spark, monkeypatch):
     assert isinstance(M.fit_pipeline(df, COLUMNS, "z", RandomForestClassifier(numTrees=2, maxDepth=2)), PipelineModel)  # three classes
     with pytest.raises(Exception, match="NaN"):  # as ever
         M.fit_pipeline(df.withColumn("a", F.when(F.col("id") > 3, F.col("a"))), COLUMNS, "y", RandomForestClassifier(numTrees=2, maxDepth=2))
+    monkeypatch.setattr(M, "TASK_DRAWS", 20_000_000)  # small enough for Spark
+    assert isinstance(M.fit_pipeline(df, COLUMNS, "y", RandomForestClassifier(numTrees=2, maxDepth=2)), PipelineModel)
+    monkeypatch.setattr(M, "TASK_DRAWS", 0)
     monkeypatch.setattr(M, "IN_TASK", 10)  # more rows than a task holds
     assert isinstance(M.fit_pipeline(df, COLUMNS, "y", RandomForestClassifier(numTrees=2, maxDepth=2)), PipelineModel)
+
+
+def test_a_forest_has_the_bins_that_it_asks_for(spark):
+    from crease.operators import models as M
+    df = _table(spark, 1000).withColumn("b", F.floor(F.col("id") / 980).cast("double") + F.when(F.col("id") % 2 == 0, 5.0).otherwise(0.0))
+    model = M.fit_pipeline(df, COLUMNS, "y", RandomForestClassifier(numTrees=2, maxDepth=3, maxBins=8))
+    assert [len(e) for e in model.edges] == [7, 3, 7, 7]
+    assert model.edges[1] == [0.0, 1.0, 5.0]  # four values, of which two are rare
